@@ -72,9 +72,11 @@ def precision_recall(df: DataFrame, truth: str = "label", pred: str = "predictio
 
 def best_by_score(df: DataFrame, score: str, order_key: str, by: Sequence[str] = ()) -> DataFrame:
     """The row with the highest score; on ties the first (smallest
-    ``order_key``) wins, as with a strict ``>`` scan."""
-    w = Window.partitionBy(*by).orderBy(F.col(score).desc(), F.col(order_key).asc())
-    return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    numeric ``order_key``) wins, as with a strict ``>`` scan.  One
+    aggregate (``max_by``), so it combines map-side even for a hot group."""
+    cols = [c for c in df.columns if c not in by]
+    best = F.max_by(F.struct(*cols), F.struct(F.col(score), -F.col(order_key))).alias("_b")
+    return df.groupBy(*by).agg(best).select(*by, *[F.col("_b")[c].alias(c) for c in cols])
 
 
 # ------------------------------------------------------------ clustering scores

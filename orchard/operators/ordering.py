@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(cs) -> list[Column]:
@@ -48,3 +49,64 @@ def row_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str
     out = ranged.join(offsets, on=["_pid", *by], how="inner")
     return (out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
                .drop("_pid", "_mid", "_first", "_off"))
+
+
+def running_extreme(df: DataFrame, order: Sequence, by: Sequence[str], value: str,
+                    out: str = "best_so_far", kind: str = "max",
+                    num_partitions: int | None = None) -> DataFrame:
+    """Running max (or min) of ``value`` within ``by`` in ``order``.
+
+    Equals ``max(value) over (partition by by order by order rows between
+    unbounded preceding and current row)`` but a hot group is not sent to
+    one task: the table is range-partitioned on (by, order), every task scans
+    its slice (vectorised cumulative max in pandas), and the extreme of all
+    earlier slices of the same group - a table of #partitions rows - is
+    joined back.
+    """
+    import pandas as pd  # local: only executors need it
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = list(by)
+    keys = [F.col(b) for b in by] + _cols(order)
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("_pid", F.spark_partition_id()))
+    schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_local", T.DoubleType())])
+    is_max = kind == "max"
+
+    def scan(it):
+        import numpy as np
+        gkeys = [*by, "_pid"]
+        carry_key, carry_val = None, np.nan
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            v = pdf[gkeys].assign(_v=pdf[value].astype("float64"))
+            g = v.groupby(gkeys, sort=False, dropna=False)["_v"]
+            loc = (g.cummax() if is_max else g.cummin())
+            # a null value keeps the extreme seen so far, as SQL max() does
+            loc = loc.groupby([v[k] for k in gkeys], sort=False, dropna=False).ffill()
+            # groups are contiguous (sorted slice): only the first group of a
+            # batch can continue the last group of the previous batch
+            first = tuple(v.iloc[0][gkeys])
+            if carry_key == first and not np.isnan(carry_val):
+                same = np.ones(len(v), dtype=bool)
+                for k_, x_ in zip(gkeys, first):
+                    same &= (v[k_].to_numpy() == x_)
+                cur = loc.to_numpy(dtype="float64", na_value=np.nan)
+                comb = np.where(np.isnan(cur), carry_val,
+                                np.maximum(cur, carry_val) if is_max else np.minimum(cur, carry_val))
+                loc = pd.Series(np.where(same, comb, cur), index=loc.index)
+            carry_key = tuple(v.iloc[-1][gkeys])
+            carry_val = float(loc.iloc[-1]) if pd.notna(loc.iloc[-1]) else np.nan
+            yield pdf.assign(_local=loc.astype("float64"))
+
+    local = ranged.mapInPandas(scan, schema)
+    agg = F.max if is_max else F.min
+    part = local.groupBy("_pid", *by).agg(agg(value).alias("_pe"))
+    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid")
+    prefix = part.select("_pid", *by, agg("_pe").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"))
+    pick = F.greatest if is_max else F.least
+    res = local.join(prefix, on=["_pid", *by], how="inner")
+    return (res.withColumn(out, F.coalesce(pick(F.col("_local"), F.col("_prev")), F.col("_local"), F.col("_prev")))
+               .drop("_pid", "_local", "_prev"))

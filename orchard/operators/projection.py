@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,8 +76,8 @@ def bounds(df: DataFrame, axes: Sequence[str], pad: float = 1.0) -> DataFrame:
 def mesh_grid(spark: SparkSession, xmin: float, xmax: float, ymin: float, ymax: float,
               h: float) -> DataFrame:
     """Lattice ``(ix, iy, x, y)`` with step h over [min, max)."""
-    nx = max(int((xmax - xmin) // h) + (1 if (xmax - xmin) % h else 0), 1)
-    ny = max(int((ymax - ymin) // h) + (1 if (ymax - ymin) % h else 0), 1)
+    nx = max(math.ceil((xmax - xmin) / h), 1)
+    ny = max(math.ceil((ymax - ymin) / h), 1)
     xs = spark.range(nx).withColumnRenamed("id", "ix")
     return (xs.withColumn("iy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ny - 1).cast("bigint"))))
               .withColumn("x", F.lit(float(xmin)) + F.col("ix").cast("double") * F.lit(float(h)))

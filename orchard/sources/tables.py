@@ -92,15 +92,15 @@ def table_counts(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES
     return out
 
 
-def shape(df: DataFrame, train_flag: str | None = None) -> DataFrame:
-    """Rows x columns and, when ``train_flag`` names a boolean split column,
+def shape(df: DataFrame, test_flag: str | None = None) -> DataFrame:
+    """Rows x columns and, when ``test_flag`` names a boolean split column,
     the train share of all rows."""
-    n_cols = len([c for c in df.columns if c != train_flag])
+    n_cols = len([c for c in df.columns if c != test_flag])
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n_rows")]
-    if train_flag:
-        aggs.append(F.sum(F.col(train_flag).cast("int")).cast("bigint").alias("n_train"))
+    if test_flag:
+        aggs.append(F.sum(F.when(F.col(test_flag), 0).otherwise(1)).cast("bigint").alias("n_train"))
     out = df.agg(*aggs).withColumn("n_cols", F.lit(n_cols).cast("bigint"))
-    if train_flag:
+    if test_flag:
         out = out.withColumn("train_share", F.round(F.col("n_train") / F.col("n_rows"), 6))
     return out
 
