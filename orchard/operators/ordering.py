@@ -21,6 +21,15 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    """Persist and compute once; a lost block is rebuilt from the same
+    shuffle dependency, so it comes back with the same partition ids."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
 def row_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "row_idx",
               num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of the row in ``order`` within ``by``.
@@ -37,6 +46,10 @@ def row_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    # the counts and the rows must come from the *same* range partitioning
+    # (its sampled bounds are not reproducible across two plans), so the
+    # numbered slices are materialised once and both branches read them
+    ranged = _materialise(ranged)
     # rows of one group are contiguous inside a partition, so the first id of
     # the group in that partition anchors the local position
     stats = ranged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"),
@@ -101,7 +114,7 @@ def running_extreme(df: DataFrame, order: Sequence, by: Sequence[str], value: st
             carry_val = float(loc.iloc[-1]) if pd.notna(loc.iloc[-1]) else np.nan
             yield pdf.assign(_local=loc.astype("float64"))
 
-    local = ranged.mapInPandas(scan, schema)
+    local = _materialise(ranged.mapInPandas(scan, schema))
     agg = F.max if is_max else F.min
     part = local.groupBy("_pid", *by).agg(agg(value).alias("_pe"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid")
