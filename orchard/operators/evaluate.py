@@ -98,12 +98,12 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
     cm = confusion(df, truth, pred, g)
     a = cm.groupBy(*g, "truth").agg(F.sum("n").alias("a"))
     b = cm.groupBy(*g, "pred").agg(F.sum("n").alias("b"))
-    tot = cm.groupBy(*g).agg(F.sum("n").cast("double").alias("N"),
+    tot = cm.groupBy(*g).agg(F.sum("n").cast("double").alias("ntot"),
                              F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)).alias("hits"),
                              F.sum(F.col("n").cast("double") * F.col("n")).alias("sum_nij2"))
     # mutual information: sum n_ij/N * ln(N n_ij / (a_i b_j)), clipped at 0
-    cmab = cm.join(a, [*g, "truth"]).join(b, [*g, "pred"]).join(tot.select(*g, "N"), g)
-    mi = cmab.groupBy(*g).agg(F.sum(F.col("n") / F.col("N") * (F.log(F.col("n")) + F.log(F.col("N"))
+    cmab = cm.join(a, [*g, "truth"]).join(b, [*g, "pred"]).join(tot.select(*g, "ntot"), g)
+    mi = cmab.groupBy(*g).agg(F.sum(F.col("n") / F.col("ntot") * (F.log(F.col("n")) + F.log(F.col("ntot"))
                                                              - F.log(F.col("a")) - F.log(F.col("b")))).alias("mi_raw"))
     ha = a.groupBy(*g).agg(F.sum(F.col("a") * F.log(F.col("a"))).alias("sa_log"),
                            F.sum(F.col("a").cast("double") * F.col("a")).alias("sum_a2"),
@@ -113,7 +113,7 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
                            F.count(F.lit(1)).alias("n_pred"))
     purity = cm.groupBy(*g, "pred").agg(F.max("n").alias("m")).groupBy(*g).agg(F.sum("m").alias("maj"))
     s = tot.join(mi, g).join(ha, g).join(hb, g).join(purity, g)
-    N = F.col("N")
+    N = F.col("ntot")
     h_t = F.log(N) - F.col("sa_log") / N
     h_p = F.log(N) - F.col("sb_log") / N
     s = s.withColumn("h_true", F.greatest(h_t, F.lit(0.0))).withColumn("h_pred", F.greatest(h_p, F.lit(0.0)))
@@ -136,7 +136,7 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
     cols = [*out_by, N.cast("bigint").alias("n"), "raw_accuracy", "purity", "homogeneity", "completeness",
             "v_measure", "adjusted_rand"]
     if with_ami:
-        emi = expected_mutual_info(a, b, tot.select(*g, "N"), g)
+        emi = expected_mutual_info(a, b, tot.select(*g, "ntot"), g)
         s = s.join(emi, g)
         norm = (F.col("h_true") + F.col("h_pred")) / 2
         den = norm - F.col("emi")
@@ -160,12 +160,12 @@ def expected_mutual_info(a: DataFrame, b: DataFrame, tot: DataFrame, by: Sequenc
     am = a.groupBy(*by).agg(F.collect_list("a").alias("as_"))
     bm = b.groupBy(*by).agg(F.collect_list("b").alias("bs_"))
     m = am.join(bm, by).join(tot, by)
-    pairs = (m.select(*by, "N", F.explode("as_").alias("ai"), "bs_")
-              .select(*by, "N", "ai", F.explode("bs_").alias("bj")))
-    lo = F.greatest(F.lit(1).cast("bigint"), F.col("ai") + F.col("bj") - F.col("N").cast("bigint"))
+    pairs = (m.select(*by, "ntot", F.explode("as_").alias("ai"), "bs_")
+              .select(*by, "ntot", "ai", F.explode("bs_").alias("bj")))
+    lo = F.greatest(F.lit(1).cast("bigint"), F.col("ai") + F.col("bj") - F.col("ntot").cast("bigint"))
     hi = F.least(F.col("ai"), F.col("bj"))
-    terms = pairs.select(*by, "N", "ai", "bj", F.explode(F.sequence(lo, hi)).alias("nij"))
-    N, ai, bj, nij = F.col("N"), F.col("ai").cast("double"), F.col("bj").cast("double"), F.col("nij").cast("double")
+    terms = pairs.select(*by, "ntot", "ai", "bj", F.explode(F.sequence(lo, hi)).alias("nij"))
+    N, ai, bj, nij = F.col("ntot"), F.col("ai").cast("double"), F.col("bj").cast("double"), F.col("nij").cast("double")
     lg = (log_factorial(ai) + log_factorial(bj) + log_factorial(N - ai) + log_factorial(N - bj)
           - log_factorial(N) - log_factorial(nij) - log_factorial(ai - nij) - log_factorial(bj - nij)
           - log_factorial(N - ai - bj + nij))
@@ -202,3 +202,60 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster", by: Sequence[str] = (
     g = df.groupBy(*by, cluster).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     w = Window.partitionBy(*by)
     return g.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(w))
+
+
+def silhouette(df: DataFrame, key: str, features: str = "features", cluster: str = "cluster",
+               sample: int = 4800, seed: int = 100) -> DataFrame:
+    """Mean Euclidean silhouette over a seeded sample of at most
+    ``sample`` rows (the reference's sample size).
+
+    The sample is bounded, so it is broadcast once; every task takes a
+    slice of the sample and scores its points against the whole sample in
+    numpy (mean distance to each cluster), so no pair is ever a row.
+    A point alone in its cluster scores 0.  One row: ``(n, silhouette)``.
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from orchard.operators.split import sample_n
+
+    if sample > 50_000:
+        raise ValueError("silhouette sample must stay bounded (<= 50,000 rows)")
+    s = sample_n(df.select(key, features, cluster), key, sample, seed)
+    pdf = s.toPandas()                                   # <= sample rows by construction
+    if len(pdf) == 0:
+        return df.sparkSession.createDataFrame([], "n BIGINT, silhouette DOUBLE")
+    X = np.vstack(pdf[features].to_numpy()).astype(np.float64)
+    labs = pdf[cluster].to_numpy()
+    uniq, inv = np.unique(labs, return_inverse=True)
+    counts = np.bincount(inv, minlength=len(uniq)).astype(np.float64)
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast((X, inv, counts))
+    ids = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(pdf), dtype=np.int64)}))
+
+    def score(it):
+        Xb, invb, cnt = bc.value
+        k = len(cnt)
+        for part in it:
+            idx = part["i"].to_numpy()
+            if len(idx) == 0:
+                continue
+            sq = np.einsum("ij,ij->i", Xb, Xb)
+            d = np.sqrt(np.maximum(sq[idx][:, None] + sq[None, :] - 2.0 * (Xb[idx] @ Xb.T), 0.0))
+            d[np.arange(len(idx)), idx] = 0.0
+            sums = np.zeros((len(idx), k))
+            for c in range(k):
+                sums[:, c] = d[:, invb == c].sum(axis=1)
+            own = invb[idx]
+            own_n = cnt[own]
+            a = np.where(own_n > 1, sums[np.arange(len(idx)), own] / np.maximum(own_n - 1, 1), 0.0)
+            means = sums / cnt[None, :]
+            means[np.arange(len(idx)), own] = np.inf
+            b = means.min(axis=1) if k > 1 else np.zeros(len(idx))
+            sv = np.where((own_n > 1) & (k > 1), (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
+            yield pd.DataFrame({"s": sv})
+
+    per_point = ids.repartition(max(1, min(64, len(pdf) // 200 + 1))).mapInPandas(
+        score, T.StructType([T.StructField("s", T.DoubleType())]))
+    return per_point.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("s").alias("silhouette"))

@@ -69,9 +69,12 @@ def kcolour_fitness(colours, n: int) -> Column:
     c = _col(colours)
     nb = forward_neighbours(n)
     ok = []
+    def same_as(i):
+        return lambda j: c[j] == c[i]
+
     for i in range(len(nb)):
         if nb[i]:
-            clash = F.exists(F.array(*[F.lit(j) for j in nb[i]]), lambda j, i=i: c[j] == c[i])
+            clash = F.exists(F.array(*[F.lit(j) for j in nb[i]]), same_as(i))
             ok.append(F.when(clash, 0).otherwise(1))
         else:
             ok.append(F.lit(1))
@@ -127,11 +130,12 @@ def top_k(df: DataFrame, k: int, by: Sequence[str], order: Sequence[Column],
 
     Two rounds so that a hot group is never ranked in one task: first the
     best k inside ``(group, salt)`` slices, then the best k of the
-    ``k x salt_buckets`` survivors.  Salts come from a hash of the row's
-    order key, so the answer does not depend on partitioning.
+    ``k x salt_buckets`` survivors.  Salts come from a hash of the whole
+    row, so the answer does not depend on partitioning.
     """
     by = list(by)
-    salt = (F.abs(F.xxhash64(*(order if salt_key is None else [salt_key]))) % salt_buckets)
+    salt_src = [F.col(c) for c in df.columns] if salt_key is None else [salt_key]
+    salt = F.abs(F.xxhash64(*salt_src)) % salt_buckets
     w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
     stage1 = (df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
                 .where(F.col("_r") <= k).drop("_r", "_salt"))

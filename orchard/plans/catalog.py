@@ -1,3 +1,3 @@
 """Import every catalog module so their queries register."""
 
-from orchard.plans import catalog_basic, catalog_mdp, catalog_supervised  # noqa: F401
+from orchard.plans import catalog_basic, catalog_mdp, catalog_supervised, catalog_unsupervised  # noqa: F401
