@@ -55,9 +55,13 @@ def tree_nodes(model) -> list[dict]:
     for r in rows:
         nd = r["nodeData"] if "nodeData" in r.asDict() else r
         sp = nd["split"]
+        internal = nd["leftChild"] >= 0 and sp is not None
+        thr = sp["leftCategoriesOrThreshold"] if internal else None
+        if internal and sp["numCategories"] >= 0:
+            raise ValueError("categorical splits are not supported (features are continuous)")
         out.append({"id": nd["id"], "prediction": float(nd["prediction"]), "left": nd["leftChild"],
-                    "right": nd["rightChild"], "feature": sp["featureIndex"] if sp else -1,
-                    "threshold": (sp["leftCategoriesOrThreshold"][0] if sp and sp["numCategories"] < 0 else None),
+                    "right": nd["rightChild"], "feature": sp["featureIndex"] if internal else -1,
+                    "threshold": float(thr[0]) if internal else None,
                     "count": float(nd["rawCount"]) if "rawCount" in nd.asDict() else None})
     return out
 
@@ -260,7 +264,7 @@ def svm_classify(train: DataFrame, test: DataFrame, kernel: str = "linear", feat
         tr, te, fcol = pe.transform(tr), pe.transform(te), "_poly"
     k = int(train.agg(F.max(label)).first()[0]) + 1
     svc = LinearSVC(featuresCol=fcol, labelCol=label, maxIter=max_iter, regParam=reg)
-    est = svc if k <= 2 else OneVsRest(classifier=svc, featuresCol=fcol, labelCol=label)
+    est = svc if k <= 2 else OneVsRest(classifier=svc, featuresCol=fcol, labelCol=label, parallelism=4)
     model = est.fit(tr)
     return model.transform(te).drop("_vec", "_poly", "_rff", "rawPrediction")
 

@@ -48,6 +48,12 @@ def kmeans(df: DataFrame, k: int, features: str = "features", init: str = "k-mea
     """G1: ``pyspark.ml`` k-means, ``n_init`` seeds, the lowest training
     cost wins.  Returns (assigned DataFrame, model, cost, iterations)."""
     from pyspark.ml.clustering import KMeans
+    if k == 1:      # one cluster: the centre is the mean (pyspark.ml needs k >= 2)
+        from orchard.operators.scale import standard_scale_vectors_fit
+        means, _ = standard_scale_vectors_fit(df, features)
+        a = nearest_centre(df, [means], features, out, with_distance=True)
+        cost = a.agg(F.sum(f"{out}_sqdist")).first()[0]
+        return a.drop(f"{out}_sqdist"), None, float(cost), 0
     v = _vec(df, features).persist()
     best = None
     for i in range(max(1, n_init)):

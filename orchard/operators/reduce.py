@@ -115,7 +115,7 @@ def fast_ica(df: DataFrame, k: int, features: str = "features", out: str = "redu
     ``groupBy`` of #tasks x k^2 rows; the k x k update runs on the driver."""
     from orchard.session import cut_lineage
     z, _, _ = pca(df, k, whiten=True, features=features, out="_z")
-    z = cut_lineage(z.select("_z"))
+    z = cut_lineage(z)
     rng = np.random.RandomState(seed)
     W = _sym_decorrelate(rng.normal(size=(k, k)))
     schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()),
@@ -142,7 +142,7 @@ def fast_ica(df: DataFrame, k: int, features: str = "features", out: str = "redu
             yield pd.concat([rows, pd.DataFrame({"i": [-1], "j": [-1], "s": [float(n)]}).astype(
                 {"i": np.int32, "j": np.int32})], ignore_index=True)
 
-        sums = z.mapInPandas(part, schema).groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+        sums = z.select("_z").mapInPandas(part, schema).groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
         acc = np.zeros((k, k + 1))
         n = 1.0
         for r in sums:
