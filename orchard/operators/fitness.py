@@ -22,11 +22,20 @@ def _col(c) -> Column:
 
 
 # ----------------------------------------------------------------------- F1
-def alternating_bits(bits) -> Column:
+def alternating_bits(bits, n: int | None = None) -> Column:
     """positions matching the alternating pattern whose first element
-    is set by bit 0 (0 -> 0101..., anything else -> 1010...); max = n."""
+    is set by bit 0 (0 -> 0101..., anything else -> 1010...); max = n.
+    With the length ``n`` known the sum is n plain terms (whole-stage
+    code generation); otherwise a higher-order ``aggregate``."""
     b = _col(bits)
     first = F.when(b[0].cast("int") == 0, F.lit(0)).otherwise(F.lit(1))
+    if n is not None:
+        terms = [F.when(b[i].cast("int") == (first if i % 2 == 0 else F.lit(1) - first), 1).otherwise(0)
+                 for i in range(n)]
+        total = terms[0]
+        for x in terms[1:]:
+            total = total + x
+        return F.when(F.size(b) == n, total).otherwise(alternating_bits(b))
     hits = F.transform(b, lambda x, i: F.when(
         x.cast("int") == F.when(i % 2 == 0, first).otherwise(F.lit(1) - first), 1).otherwise(0))
     return F.aggregate(hits, F.lit(0), lambda acc, h: acc + h)
@@ -69,6 +78,7 @@ def kcolour_fitness(colours, n: int) -> Column:
     c = _col(colours)
     nb = forward_neighbours(n)
     ok = []
+
     def same_as(i):
         return lambda j: c[j] == c[i]
 
@@ -85,6 +95,7 @@ def conflict_join(edges: DataFrame, colours: DataFrame, cand: str = "cand_id") -
     """Equi joins edges x colours(src) x colours(dst) with equal colour,
     then ``nodes - conflicting sources`` per candidate (any graph).
     ``colours`` is ``(cand_id, node, colour)``."""
+    colours = colours.repartition(cand)      # both sides of the self-join keep this partitioning
     src = colours.select(cand, F.col("node").alias("src"), F.col("colour").alias("c_src"))
     dst = colours.select(cand, F.col("node").alias("dst"), F.col("colour").alias("c_dst"))
     clash = (src.join(F.broadcast(edges), "src").join(dst, [cand, "dst"])
@@ -112,35 +123,33 @@ def uniform_candidates(df: DataFrame, key: str, n: int, value_range: int | Seque
 
 # ----------------------------------------------------------------------- F6
 def one_element_neighbours(df: DataFrame, bits: str = "bits", value_range: int = 2,
-                           out: str = "neighbour") -> DataFrame:
+                           out: str = "neighbour", n: int | None = None) -> DataFrame:
     """every candidate with exactly one element changed to every other
-    value in ``[0, value_range)``: adds ``pos``, ``val`` and the new array."""
-    n = F.size(F.col(bits))
-    e = df.withColumn("pos", F.explode(F.sequence(F.lit(0), n - 1)))
+    value in ``[0, value_range)``: adds ``pos``, ``val`` and the new array
+    (n plain expressions when the length ``n`` is known)."""
+    size = F.size(F.col(bits)) if n is None else F.lit(n)
+    e = df.withColumn("pos", F.explode(F.sequence(F.lit(0), size - 1)))
     e = e.withColumn("val", F.explode(F.sequence(F.lit(0), F.lit(value_range - 1))))
     e = e.where(F.col(bits)[F.col("pos")] != F.col("val"))
-    return e.withColumn(out, F.transform(F.col(bits), lambda x, i: F.when(i == F.col("pos"), F.col("val"))
-                                         .otherwise(x)))
+    b = F.col(bits)
+    if n is not None:
+        return e.withColumn(out, F.array(*[F.when(F.col("pos") == i, F.col("val")).otherwise(b[i])
+                                           for i in range(n)]))
+    return e.withColumn(out, F.transform(b, lambda x, i: F.when(i == F.col("pos"), F.col("val")).otherwise(x)))
 
 
 # ----------------------------------------------------------------------- F7
-def top_k(df: DataFrame, k: int, by: Sequence[str], order: Sequence[Column],
-          salt_buckets: int = 32, salt_key: Column | None = None) -> DataFrame:
-    """best ``k`` rows per group in ``order`` (a total order).
-
-    Two rounds so that a hot group is never ranked in one task: first the
-    best k inside ``(group, salt)`` slices, then the best k of the
-    ``k x salt_buckets`` survivors.  Salts come from a hash of the whole
-    row, so the answer does not depend on partitioning.
+def top_k(df: DataFrame, k: int, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """best ``k`` rows per group in ``order`` (a total order), with a
+    ``rank`` column.
+
+    Written as ``row_number() <= k``; Catalyst turns it into a partial
+    ``WindowGroupLimit`` before the shuffle and a final one after, so every
+    task ships at most k rows per group and a hot group reaches its final
+    task as at most k rows per upstream task.
     """
-    by = list(by)
-    salt_src = [F.col(c) for c in df.columns] if salt_key is None else [salt_key]
-    salt = F.abs(F.xxhash64(*salt_src)) % salt_buckets
-    w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
-    stage1 = (df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
-                .where(F.col("_r") <= k).drop("_r", "_salt"))
-    w2 = Window.partitionBy(*by).orderBy(*order)
-    return stage1.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 # ----------------------------------------------------------------------- E17

@@ -289,7 +289,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY score DESC, po
 SELECT event_id, pos, val, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
 def q_f7(spark, sf):
     c = _bits(spark, sf, NB_N, 2, NB_SEED)
-    nb = FT.one_element_neighbours(c, "bits", 2, out="nb")
+    nb = FT.one_element_neighbours(c, "bits", 2, out="nb", n=NB_N)
     s = nb.select("event_id", F.col("pos").cast("int").alias("pos"), F.col("val").cast("int").alias("val"),
                   FT.alternating_bits("nb").cast("int").alias("score"))
     top = FT.top_k(s, 3, ["event_id"], [F.col("score").desc(), F.col("pos"), F.col("val")])
