@@ -225,39 +225,49 @@ def convergence_sweep(tp: DataFrame, states: DataFrame, gamma: float, max_iters:
 
 
 # ----------------------------------------------------------------------- M5
-def reachable(transitions: DataFrame, start: tuple[int, int], checkpoint_every: int = 8) -> DataFrame:
+def reachable(transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
     """M5, any MDP: breadth-first closure from ``start`` over transitions
-    with p > 0 - one frontier join and anti-join per level."""
+    with p > 0 - one frontier join and anti-join per level.  The visited set
+    and the frontier are checkpointed every level (the plan of a level
+    refers to both earlier tables, so it would otherwise grow
+    exponentially).  For grid worlds :func:`grid_reachable` needs far
+    fewer rounds."""
     spark = transitions.sparkSession
-    edges = (transitions.where(F.col("p") > 0).select("x", "y", "x2", "y2").distinct()
-                        .persist(StorageLevel.MEMORY_AND_DISK))
-    seen = spark.createDataFrame([start], "x INT, y INT")
+    edges = cut_lineage(transitions.where(F.col("p") > 0).select("x", "y", "x2", "y2").distinct())
+    seen = cut_lineage(spark.createDataFrame([start], "x INT, y INT"))
     frontier = seen
-    level = 0
     while True:
-        level += 1
         nxt = (frontier.join(edges, ["x", "y"]).select(F.col("x2").alias("x"), F.col("y2").alias("y"))
                        .distinct().join(seen, ["x", "y"], "left_anti"))
-        nxt = cut_lineage(nxt) if level % checkpoint_every == 0 else nxt.persist()
+        nxt = cut_lineage(nxt)
         if nxt.limit(1).count() == 0:
-            break
-        seen = seen.unionByName(nxt)
-        seen = cut_lineage(seen) if level % checkpoint_every == 0 else seen.persist()
+            return seen
+        seen = cut_lineage(seen.unionByName(nxt))
         frontier = nxt
-    return seen
+
+
+_PERM_P = 2_147_483_647        # prime modulus of the id permutation (fixed value)
+_PERM_A = 48_271               # multiplier, coprime with the modulus (fixed value)
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected components of ``nodes(id)`` / ``edges(src, dst)``:
-    ``(id, comp)`` with comp = smallest id of the component.
+    ``(id, comp)`` with comp = smallest id of the component
+    (ids in [0, 2^31 - 1)).
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014; the
     algorithm GraphFrames uses): each round is a few joins and aggregates
     over the edge list, the number of rounds grows with log^2 of the node
     count, and the loop ends only when the edge set stops changing (exact).
-    Every round's edge list is checkpointed.
+    Ids are first permuted (a bijection mod a prime) so spatially ordered
+    ids, as on a grid, do not form long chains; every round's edge list is
+    checkpointed.
     """
-    e = (edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
+    def perm(c):
+        return (F.col(c).cast("bigint") * F.lit(_PERM_A)) % F.lit(_PERM_P)
+
+    e = (edges.select(perm("src").alias("a"), perm("dst").alias("b"))
+              .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
               .where(F.col("u") != F.col("v")).distinct())
     e = cut_lineage(e)
 
@@ -283,14 +293,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     while True:
         nxt = cut_lineage(small_star(large_star(e)))
-        changed = nxt.exceptAll(e).limit(1).count() + e.exceptAll(nxt).limit(1).count()
+        diff = (nxt.withColumn("_n", F.lit(1)).join(e.withColumn("_o", F.lit(1)), ["u", "v"], "full_outer")
+                   .where(F.col("_n").isNull() | F.col("_o").isNull()))
+        changed = diff.limit(1).count()
         e = nxt
         if changed == 0:
             break
-    # converged: every edge joins a node to its component's minimum
-    comp = e.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("comp"))
-    return (nodes.select("id").join(comp, "id", "left")
-                 .select("id", F.coalesce(F.col("comp"), F.col("id")).alias("comp")))
+    # converged: every edge joins a node to its component's root (a permuted id)
+    root = e.groupBy(F.col("v").alias("pid")).agg(F.min("u").alias("root"))
+    lab = (nodes.select("id", perm("id").alias("pid")).join(root, "pid", "left")
+                .select("id", F.coalesce(F.col("root"), F.col("pid")).alias("root")))
+    # report the smallest original id of each component (an aggregate, so a
+    # giant component is combined map-side; the join back is skew-handled by AQE)
+    smallest = lab.groupBy("root").agg(F.min("id").alias("comp"))
+    return lab.join(smallest, "root").select("id", "comp")
 
 
 def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
