@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -162,3 +165,26 @@ def optimum_summary(runs: DataFrame, by: Sequence[str], fitness: str, run_id: st
         F.max(fitness).alias("best_fitness"),
         F.max_by(F.col(run_id), F.struct(F.col(fitness), -F.col(run_id))).alias("best_run"),
         F.avg(fitness).alias("mean_fitness"))
+
+
+# ----------------------------------------------------------------------- U1
+def score_candidates(df: DataFrame, fn, bits: str = "bits", out: str = "fitness",
+                     return_type: str = "double") -> DataFrame:
+    """Apply a fitness function to every candidate.
+
+    ``fn`` is either a Column -> Column function (stays in the JVM, the
+    preferred form: :func:`alternating_bits`, :func:`four_peaks` ...) or a
+    plain Python function of one numpy array, run as an Arrow-batched pandas
+    UDF - the fallback for fitness functions Spark SQL cannot express.
+    """
+    try:
+        col = fn(F.col(bits))
+        if isinstance(col, Column):
+            return df.withColumn(out, col)
+    except Exception:  # noqa: BLE001 - not a Column function, use the pandas path
+        pass
+    @F.pandas_udf(return_type)
+    def _score(s: pd.Series) -> pd.Series:
+        return s.map(lambda a: fn(np.asarray(a)))
+
+    return df.withColumn(out, _score(F.col(bits)))

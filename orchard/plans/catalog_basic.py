@@ -355,3 +355,15 @@ def q_e7(spark, sf):
     s = t(spark, sf, "events").groupBy("event_type", "user_id").agg(F.avg("value").alias("score"))
     b = best_by_score(s, "score", "user_id", by=["event_type"])
     return b.select("event_type", "user_id", r6("score").alias("score"))
+
+
+@register("s6_report", f"""WITH {SQL_FOLDS},
+f AS (SELECT fold, count(*) AS n, avg(CAST(quality AS DOUBLE)) AS share FROM folds GROUP BY fold)
+SELECT fold, CAST(n AS BIGINT) AS n, round(share * 100.0, 6) AS share,
+       CAST(floor(n / (SELECT count(*) FROM folds) * 100) AS BIGINT) AS pct FROM f""")
+def q_s6(spark, sf):
+    folds = S.stratified_kfold(_labelled_docs(spark, sf).select("doc_id", "quality"), "quality", "doc_id", 5)
+    per = folds.groupBy("fold").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                    F.avg(F.col("quality").cast("double")).alias("share"))
+    total = folds.count()
+    return SRC.report(per, 100.0, score_cols=["share"], size_col="n", total=total)

@@ -150,6 +150,29 @@ def q_m11(spark, sf):
     return M.values_match(v4, v5, 0.05).select(r6("max_diff").alias("max_diff"), "match")
 
 
+@register("j5_value_diff", lambda: f"""WITH {SQL_MDP},\n{_sql_sweeps(5)}
+SELECT coalesce(a.x, b.x) AS x, coalesce(a.y, b.y) AS y, round(coalesce(a.v, 0.0), 6) AS v1,
+       round(coalesce(b.v, 0.0), 6) AS v2, round(abs(coalesce(a.v, 0.0) - coalesce(b.v, 0.0)), 6) AS diff
+FROM v4 a FULL OUTER JOIN v5 b ON a.x = b.x AND a.y = b.y""")
+def q_j5(spark, sf):
+    cells, states, trans, tp = _mdp(spark, sf)
+    v4 = M.value_iteration(tp, states, GAMMA, 4)
+    v5 = M.bellman_backup(tp, v4, GAMMA)
+    d = M.values_diff(v4, v5)
+    return d.select("x", "y", r6("v1").alias("v1"), r6("v2").alias("v2"), r6("diff").alias("diff"))
+
+
+@register("m6_bellman_backup", f"""WITH {SQL_MDP},
+vr AS (SELECT x, y, r AS v FROM st WHERE NOT terminal),
+q AS (SELECT t.x, t.y, t.a, sum(t.p * (t.r + CAST({GAMMA!r} AS DOUBLE) * coalesce(v.v, 0.0))) AS q
+      FROM trr t LEFT JOIN vr v ON v.x = t.x2 AND v.y = t.y2 GROUP BY t.x, t.y, t.a)
+SELECT x, y, round(max(q), 6) AS v FROM q GROUP BY x, y""")
+def q_m6(spark, sf):
+    cells, states, trans, tp = _mdp(spark, sf)
+    v0 = states.where(~F.col("terminal")).select("x", "y", F.col("r").alias("v"))
+    return M.bellman_backup(tp, v0, GAMMA).select("x", "y", r6("v").alias("v"))
+
+
 def _sql_m12():
     deltas = "\nUNION ALL\n".join(
         f"SELECT {i} AS iter, max(abs(coalesce(a.v, 0.0) - coalesce(b.v, 0.0))) AS d "

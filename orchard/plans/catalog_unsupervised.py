@@ -279,6 +279,20 @@ def q_j4(spark, sf):
 NB_N, NB_SEED = 20, 7
 
 
+@register("f6_one_element_neighbours", f"""WITH c AS (SELECT event_id, {_sql_bits(NB_N, 2, NB_SEED)} FROM events),
+nb AS (SELECT c.event_id, p.pos, v.val,
+              list_transform(range(0, {NB_N}), lambda i: CASE WHEN i = p.pos THEN v.val ELSE c.bits[i + 1] END) AS nb
+       FROM c, range(0, {NB_N}) AS p(pos), range(0, 2) AS v(val) WHERE c.bits[p.pos + 1] <> v.val)
+SELECT event_id, CAST(pos AS INTEGER) AS pos, CAST(val AS INTEGER) AS val,
+       CAST(list_sum(nb) AS INTEGER) AS ones FROM nb""")
+def q_f6(spark, sf):
+    c = _bits(spark, sf, NB_N, 2, NB_SEED)
+    nb = FT.one_element_neighbours(c, "bits", 2, out="nb", n=NB_N)
+    ones = F.aggregate("nb", F.lit(0), lambda a, x: a + x)
+    return nb.select("event_id", F.col("pos").cast("int").alias("pos"), F.col("val").cast("int").alias("val"),
+                     ones.cast("int").alias("ones"))
+
+
 @register("f7_top_k_neighbours", f"""WITH c AS (SELECT event_id, {_sql_bits(NB_N, 2, NB_SEED)} FROM events),
 nb AS (SELECT event_id, pos, val,
               list_transform(range(0, len(bits)), lambda i: CASE WHEN i = pos THEN val ELSE bits[i + 1] END) AS bits
