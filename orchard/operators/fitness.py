@@ -101,7 +101,7 @@ def conflict_join(edges: DataFrame, colours: DataFrame, cand: str = "cand_id") -
     colours = colours.repartition(cand)      # both sides of the self-join keep this partitioning
     src = colours.select(cand, F.col("node").alias("src"), F.col("colour").alias("c_src"))
     dst = colours.select(cand, F.col("node").alias("dst"), F.col("colour").alias("c_dst"))
-    clash = (src.join(F.broadcast(edges), "src").join(dst, [cand, "dst"])
+    clash = (src.join(edges, "src").join(dst, [cand, "dst"])
                 .where(F.col("c_src") == F.col("c_dst"))
                 .select(cand, "src").distinct())
     bad = clash.groupBy(cand).agg(F.count(F.lit(1)).alias("bad"))
