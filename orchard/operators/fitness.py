@@ -115,13 +115,14 @@ def uniform_candidates(df: DataFrame, key: str, n: int, value_range: int | Seque
                        seed: int, out: str = "bits") -> DataFrame:
     """one candidate per row of ``df``: element i is
     ``md5(seed:key:i) mod range_i`` (deterministic, partition-independent)."""
+    from orchard.operators.ordering import spread
     ranges = [value_range] * n if isinstance(value_range, int) else list(value_range)
     rng = F.array(*[F.lit(int(r)) for r in ranges])
 
     def elem(i):
         h = hash_u32(F.concat(F.col(key).cast("string"), F.lit(":"), i.cast("string")), seed)
         return (h % F.element_at(rng, i + 1)).cast("int")
-    return df.withColumn(out, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), elem))
+    return spread(df, key).withColumn(out, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), elem))
 
 
 # ----------------------------------------------------------------------- F6

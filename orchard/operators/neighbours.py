@@ -107,8 +107,9 @@ def knn_join(train: DataFrame, query: DataFrame, k: int, train_key: str = "id",
                       F.col(label).cast("long").alias("nlabel"))
     n_train = tr.count()
     blocks = max(1, math.ceil(n_train / block_rows))
-    q = query.select(F.col(query_key).cast("long").alias("qid"),
-                     F.col(features).cast("array<double>").alias("qv"))
+    from orchard.operators.ordering import spread
+    q = spread(query.select(F.col(query_key).cast("long").alias("qid"),
+                            F.col(features).cast("array<double>").alias("qv")), "qid")
     schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()),
                            T.StructField("nlabel", T.LongType()), T.StructField("sqdist", T.DoubleType()),
                            T.StructField("rank", T.IntegerType())])

@@ -21,6 +21,21 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def spread(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Hash-repartition a small input before CPU-heavy per-row work.
+
+    A table that arrives as one file split is one task; operators that
+    expand every row (candidate arrays, neighbourhoods, kNN scoring) would
+    then run on one core.  Only when the input has fewer partitions than
+    ``spark.sql.shuffle.partitions`` is it redistributed, by a hash of
+    ``key`` (deterministic on retry, unlike round-robin).
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n, *[F.col(c) for c in df.columns[:1]])
+
+
 def _materialise(df: DataFrame) -> DataFrame:
     """Persist and compute once; a lost block is rebuilt from the same
     shuffle dependency, so it comes back with the same partition ids."""
