@@ -162,25 +162,38 @@ def prune_reduced_error(nodes: list[dict], holdout: DataFrame, features: str = "
 
 
 # ----------------------------------------------------------------------- C5
+ESTIMATOR_POOL = [1, 2, 5, 10, 20, 40, 80, 100, 150, 200]   # fixed values of the reference's sweep
+
+
 def adaboost_samme_r(df: DataFrame, n_estimators: int = 50, learning_rate: float = 1.0, max_depth: int = 1,
                      features: str = "features", label: str = "label", impurity: str = "gini",
-                     checkpoint_every: int = 5, eps: float = 2.220446049250313e-16):
+                     checkpoint_every: int = 5, eps: float = 2.220446049250313e-16,
+                     train_col: str | None = None, pool: Sequence[int] | None = None):
     """SAMME.R boosting.  Each round fits a weighted tree, then updates
     every row's weight with one expression over its class probabilities
     and renormalises (one aggregate); the running decision function is a
-    column.  Returns (scored DataFrame with ``prediction``, rounds used)."""
+    column.  With ``train_col`` (a boolean) only those rows are fitted and
+    weighted, the others are scored.  With ``pool`` the accuracy per
+    ``train_col`` value is recorded after every pool size (a model of m
+    estimators is the first m rounds of a longer run, so one run serves
+    the whole sweep).  Returns (scored DataFrame with ``prediction``,
+    rounds used, staged accuracy rows)."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.functions import vector_to_array
     k = int(df.agg(F.max(label)).first()[0]) + 1
     k = max(k, 2)
-    n = df.count()
-    d = to_vector(df, features).withColumn("_w", F.lit(1.0 / n)).withColumn(
-        "_f", F.array(*[F.lit(0.0)] * k))
+    fit_rows = F.col(train_col) if train_col else F.lit(True)
+    n = df.where(fit_rows).count()
+    d = to_vector(df, features).withColumn("_w", F.when(fit_rows, F.lit(1.0 / n)).otherwise(F.lit(0.0))) \
+        .withColumn("_f", F.array(*[F.lit(0.0)] * k))
+    pred = F.array_position(F.col("_f"), F.array_max("_f")) - 1
+    staged = []
+    pool_set = set(pool or [])
     rounds = 0
     for m in range(1, n_estimators + 1):
         tree = DecisionTreeClassifier(featuresCol="_vec", labelCol=label, weightCol="_w", maxDepth=max_depth,
                                       impurity=impurity, probabilityCol="_p", rawPredictionCol="_raw",
-                                      predictionCol="_pred", seed=m).fit(d)
+                                      predictionCol="_pred", seed=m).fit(d.where(fit_rows))
         s = tree.transform(d).withColumn("_lp", F.transform(vector_to_array("_p"),
                                                             lambda p: F.log(F.greatest(p, F.lit(eps)))))
         mean_lp = F.aggregate("_lp", F.lit(0.0), lambda a, x: a + x) / k
@@ -190,15 +203,20 @@ def adaboost_samme_r(df: DataFrame, n_estimators: int = 50, learning_rate: float
                                       .otherwise(-lp / (k - 1))), F.lit(0.0), lambda a, x: a + x)
         s = s.withColumn("_w", F.col("_w") * F.exp(F.lit(-learning_rate * (k - 1.0) / k) * ylp))
         s = s.withColumn("_f", F.zip_with("_f", h, lambda a, b: a + F.lit(learning_rate) * b))
+        s = s.withColumn("_w", F.when(fit_rows, F.col("_w")).otherwise(F.lit(0.0)))
         tot = s.agg(F.sum("_w")).first()[0]
         d = s.withColumn("_w", F.col("_w") / F.lit(tot)).drop("_p", "_raw", "_pred", "_lp")
         rounds = m
         if m % checkpoint_every == 0:
             d = cut_lineage(d)
+        if m in pool_set:
+            grp = [F.col(train_col).alias("train")] if train_col else [F.lit(True).alias("train")]
+            for r in d.groupBy(*grp).agg(F.avg((pred.cast("double") == F.col(label)).cast("double"))
+                                         .alias("acc")).collect():
+                staged.append((m, bool(r["train"]), float(r["acc"])))
         if tot <= 0:
             break
-    pred = F.array_position(F.col("_f"), F.array_max("_f")) - 1
-    return d.withColumn("prediction", pred.cast("double")).drop("_vec", "_w"), rounds
+    return d.withColumn("prediction", pred.cast("double")).drop("_vec", "_w"), rounds, staged
 
 
 # ----------------------------------------------------------------------- C7

@@ -195,7 +195,7 @@ def calinski_harabasz(df: DataFrame, features: str = "features", cluster: str =
     glob = d.groupBy(*by, "dim").agg(F.avg("x").alias("g"))
     extra = (cent.join(glob, [*by, "dim"])
                  .groupBy(*by).agg(F.sum(F.col("nk") * (F.col("c") - F.col("g")) * (F.col("c") - F.col("g"))).alias("B")))
-    intra = (d.join(F.broadcast(cent.select(*by, cluster, "dim", "c")), [*by, cluster, "dim"])
+    intra = (d.join(cent.select(*by, cluster, "dim", "c"), [*by, cluster, "dim"])
               .groupBy(*by).agg(F.sum((F.col("x") - F.col("c")) * (F.col("x") - F.col("c"))).alias("W")))
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(cluster).alias("k"))
     s = extra.join(intra, by).join(sizes, by)

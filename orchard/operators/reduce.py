@@ -26,6 +26,9 @@ from orchard.functions.vectors import dot, vector_literal
 from orchard.operators.scale import covariance, moments
 
 
+MAX_INLINE_WEIGHTS = 1_000_000    # d x k literals inlined into one projection
+
+
 def _fix_signs(V: np.ndarray) -> np.ndarray:
     """Make the largest-magnitude entry of every column positive."""
     idx = np.argmax(np.abs(V), axis=0)
@@ -38,6 +41,8 @@ def project(df: DataFrame, W: np.ndarray, features: str = "features", out: str =
             mean: Sequence[float] | None = None, scale: Sequence[float] | None = None) -> DataFrame:
     """Rows times a (d x k) matrix as k dot products with literal columns of
     W (k x d values inlined; a projection, no join)."""
+    if W.shape[0] * W.shape[1] > MAX_INLINE_WEIGHTS:
+        raise ValueError(f"projection matrix {W.shape} too large to inline; reduce d or k")
     x = F.col(features).cast("array<double>")
     if mean is not None:
         m = vector_literal(mean)

@@ -106,9 +106,10 @@ def q_c4(spark, sf):
 def q_c5(spark, sf):
     d = doc_features(spark, sf).persist()
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
-    scored, rounds = C.adaboost_samme_r(d, n_estimators=10, max_depth=1)
-    s = scored.withColumn("split", F.when(F.col("is_test"), "test").otherwise("train"))
-    return _scores(s, by=["split"]).withColumn("estimators", F.lit(rounds))
+    d = d.withColumn("is_train", ~F.col("is_test"))
+    pool = [p for p in C.ESTIMATOR_POOL if p <= 10]
+    scored, rounds, staged = C.adaboost_samme_r(d, n_estimators=10, max_depth=1, train_col="is_train", pool=pool)
+    return spark.createDataFrame(staged, "estimators INT, train BOOLEAN, accuracy DOUBLE")
 
 
 # ------------------------------------------------------------------ networks / SVM / pipelines

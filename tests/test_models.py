@@ -32,7 +32,8 @@ def test_pruning_never_lowers_holdout_accuracy(spark):
 
 def test_adaboost_predicts_known_labels(spark):
     d = doc_features(spark, SF_SMALL)
-    scored, rounds = C.adaboost_samme_r(d, n_estimators=3, max_depth=1)
+    scored, rounds, staged = C.adaboost_samme_r(d, n_estimators=3, max_depth=1, pool=[1, 3])
+    assert [r[0] for r in staged] == [1, 3]
     labels = {r[0] for r in d.select("label").distinct().collect()}
     preds = {r[0] for r in scored.select("prediction").distinct().collect()}
     assert rounds == 3 and preds <= labels | {0.0, 1.0}
