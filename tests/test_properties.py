@@ -166,3 +166,40 @@ def test_convergence_sweep_finds_first_small_delta(spark):
     rows, first = M.convergence_sweep(tp, states, 0.5, 60, tol=0.05)
     d = [r["max_delta"] for r in rows.orderBy("iter").collect()]
     assert first is not None and d[first - 1] <= 0.05 and all(x > 0.05 for x in d[:first - 1])
+
+
+def test_connected_components_match_union_find(spark):
+    rng = np.random.RandomState(3)
+    n = 300
+    edges = [(int(a), int(b)) for a, b in rng.randint(0, n, size=(260, 2))]
+    parent = list(range(n))
+
+    def find(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    want = {}
+    for v in range(n):
+        want.setdefault(find(v), []).append(v)
+    want_comp = {v: min(members) for members in want.values() for v in members}
+    nodes = spark.range(n).select(F.col("id"))
+    e = spark.createDataFrame(edges, "src BIGINT, dst BIGINT")
+    got = {r["id"]: r["comp"] for r in M.connected_components(nodes, e).collect()}
+    assert got == want_comp
+
+
+def test_event_grid_reachability_bfs_equals_components(spark):
+    from orchard.sources.grids import grid_from_events
+    cells = grid_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    states = M.grid_states(cells).cache()
+    tr = M.grid_transitions(cells).cache()
+    start = states.where(~F.col("terminal")).orderBy("x", "y").first()
+    s = (start["x"], start["y"])
+    a = {(r["x"], r["y"]) for r in M.reachable(tr, s).collect()}
+    b = {(r["x"], r["y"]) for r in M.grid_reachable(states, tr, s).collect()}
+    assert a == b and len(a) > 1
