@@ -113,10 +113,19 @@ def knn_join(train: DataFrame, query: DataFrame, k: int, train_key: str = "id",
     schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()),
                            T.StructField("nlabel", T.LongType()), T.StructField("sqdist", T.DoubleType()),
                            T.StructField("rank", T.IntegerType())])
+    if blocks > 1:
+        # one pass writes the train side partitioned by block; every block
+        # read below then prunes to its own files instead of rescanning
+        from orchard.session import checkpoint_dir
+        import uuid
+        path = f"{checkpoint_dir(spark).rstrip('/')}/knn-blocks-{uuid.uuid4().hex}"
+        (tr.withColumn("_blk", hash_bucket("nid", 7919, blocks).cast("int"))
+           .write.partitionBy("_blk").parquet(path))
+        tr = spark.read.parquet(path)
     parts = []
     for b in range(blocks):
-        blk = tr if blocks == 1 else tr.where(hash_bucket("nid", 7919, blocks) == b)
-        pdf = blk.toPandas()                          # <= block_rows rows by construction
+        blk = tr if blocks == 1 else tr.where(F.col("_blk") == b).drop("_blk")
+        pdf = blk.toPandas()              # about n_train / blocks rows (hash blocks), bounded by design
         ids = pdf["nid"].to_numpy(np.int64)
         X = np.vstack(pdf["v"].to_numpy()) if len(pdf) else np.zeros((0, 0))
         labs = pdf["nlabel"].to_numpy(np.int64)

@@ -203,3 +203,13 @@ def test_event_grid_reachability_bfs_equals_components(spark):
     a = {(r["x"], r["y"]) for r in M.reachable(tr, s).collect()}
     b = {(r["x"], r["y"]) for r in M.grid_reachable(states, tr, s).collect()}
     assert a == b and len(a) > 1
+
+
+def test_knn_join_blocks_give_the_same_neighbours(spark):
+    from orchard.operators.neighbours import knn_join
+    e = embeddings(spark, SF_SMALL)
+    tr, q = e.where(~F.col("is_test")), e.where(F.col("is_test"))
+    one = {(r["qid"], r["rank"]): r["nid"] for r in knn_join(tr, q, 5, "vec_id", "vec_id").collect()}
+    many = {(r["qid"], r["rank"]): r["nid"]
+            for r in knn_join(tr, q, 5, "vec_id", "vec_id", block_rows=60).collect()}
+    assert one == many and len(one) == 5 * q.count()
