@@ -91,12 +91,29 @@ def grid_transitions(cells: DataFrame, p_intended: float = P_INTENDED) -> DataFr
 
 
 def prepare_transitions(transitions: DataFrame, states: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Attach the reward of s and hash-partition on the successor once; the
-    result is persisted and reused by every sweep."""
+    """Attach the reward of s and store the table bucketed on the successor
+    (x2, y2) under the shared checkpoint folder.
+
+    Every sweep joins this table with the current values on the successor;
+    a bucketed scan reports its hash partitioning, so only the values
+    (#states rows) are shuffled per sweep and the transition table (about
+    16 x #states rows) never is.  (A cached table does not keep its
+    partitioning under adaptive execution.)  Falls back to a persisted,
+    hash-partitioned copy when the session has no writable catalog.
+    """
+    import uuid
+
+    from orchard.session import checkpoint_dir
     spark = transitions.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = transitions.join(states.select("x", "y", "r"), ["x", "y"])
-    return t.repartition(n, "x2", "y2").persist(StorageLevel.MEMORY_AND_DISK)
+    name = f"orchard_transitions_{uuid.uuid4().hex}"
+    try:
+        (t.write.bucketBy(n, "x2", "y2").sortBy("x2", "y2").mode("overwrite")
+          .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+        return spark.table(name)
+    except Exception:  # noqa: BLE001 - no catalog available: keep a partitioned cached copy
+        return t.repartition(n, "x2", "y2").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ----------------------------------------------------------------------- M6 / J6
