@@ -90,9 +90,18 @@ def grid_transitions(cells: DataFrame, p_intended: float = P_INTENDED) -> DataFr
     return t.groupBy("x", "y", "a", "x2", "y2").agg(F.sum("p").alias("p"))
 
 
+def _broadcast_threshold(spark) -> int:
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    mult = {"b": 1, "k": 1024, "kb": 1024, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suf in ("kb", "mb", "gb", "b", "k", "m", "g"):
+        if v.endswith(suf):
+            return int(float(v[: -len(suf)]) * mult[suf])
+    return int(v)
+
+
 def prepare_transitions(transitions: DataFrame, states: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Attach the reward of s and store the table bucketed on the successor
-    (x2, y2) under the shared checkpoint folder.
+    """Attach the reward of s; for large state spaces store the table
+    bucketed on the successor (x2, y2) under the shared checkpoint folder.
 
     Every sweep joins this table with the current values on the successor;
     a bucketed scan reports its hash partitioning, so only the values
@@ -107,6 +116,12 @@ def prepare_transitions(transitions: DataFrame, states: DataFrame, partitions: i
     spark = transitions.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = transitions.join(states.select("x", "y", "r"), ["x", "y"])
+    # checked size: when the value table (x, y, v: ~32 bytes a state) fits
+    # well under the broadcast threshold, every sweep broadcasts V and the
+    # transition table is never shuffled anyway - a cached copy suffices
+    thr = _broadcast_threshold(spark)
+    if thr > 0 and states.count() * 32 < thr // 2:
+        return t.repartition(n, "x2", "y2").persist(StorageLevel.MEMORY_AND_DISK)
     name = f"orchard_transitions_{uuid.uuid4().hex}"
     try:
         (t.write.bucketBy(n, "x2", "y2").sortBy("x2", "y2").mode("overwrite")

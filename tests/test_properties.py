@@ -213,3 +213,20 @@ def test_knn_join_blocks_give_the_same_neighbours(spark):
     many = {(r["qid"], r["rank"]): r["nid"]
             for r in knn_join(tr, q, 5, "vec_id", "vec_id", block_rows=60).collect()}
     assert one == many and len(one) == 5 * q.count()
+
+
+def test_bucketed_and_cached_transitions_agree(spark):
+    cells = grid_cells(spark, DEFAULT_MAP)
+    states = M.grid_states(cells).cache()
+    tr = M.grid_transitions(cells)
+    cached = M.value_iteration(M.prepare_transitions(tr, states), states, 0.9, 6)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tp = M.prepare_transitions(tr, states)
+        assert "orchard_transitions_" in tp._jdf.queryExecution().executedPlan().toString()
+        bucketed = M.value_iteration(tp, states, 0.9, 6)
+        m = M.values_match(cached, bucketed, 1e-9).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert m["match"]
