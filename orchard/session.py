@@ -65,3 +65,35 @@ def cut_lineage(df, eager: bool = True):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``orchard`` importable in the Python workers.
+
+    Operators that run Python in tasks (``mapInPandas``, pandas UDFs) refer
+    to functions of this package; when the workers' path does not contain
+    the repository (another working directory, a cluster), the package is
+    zipped once per SparkContext and shipped with ``addPyFile`` - the
+    runtime form of ``--py-files``.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="orchard-py-", dir="/tmp")
+    path = os.path.join(out_dir, "orchard.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
