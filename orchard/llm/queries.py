@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import chat_format, url_filter
+from orchard.llm import chat_format, embedding_dedup, jaccard_join, substring_dedup, url_filter
 from orchard.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,90 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                        FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)""")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return chat_format.read_back(chat_format.format_chat(rows))
+
+
+# --------------------------------------------------------------------------
+# op4: n-gram Jaccard join
+# --------------------------------------------------------------------------
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce({}, '')), '[\x00-\x2f\x3a-\x60\x7b-\x7f]+'), lambda w: w <> '')"
+_SHINGLES = """CASE WHEN len(w) = 0 THEN []
+            WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END"""
+
+OP4_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+s AS (SELECT doc_id, {_SHINGLES} AS s FROM d),
+g AS (SELECT doc_id, list_sort(s) AS s, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS k FROM s WHERE len(s) > 0),
+u AS (SELECT k, any_value(n) AS n, any_value(s) AS s, count(*) AS c, min(doc_id) AS first FROM g GROUP BY k),
+e AS (SELECT k, n, unnest(s) AS t FROM u),
+p AS (SELECT a.k AS a, b.k AS b FROM e a JOIN e b ON a.t = b.t AND a.k < b.k AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n
+      GROUP BY a.k, b.k, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT k AS a, k AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+cls AS (SELECT r.a AS k, min(u.first) AS class_id FROM r JOIN u ON r.b = u.k GROUP BY r.a),
+deg AS (SELECT l.a AS k, sum(u.c) AS nrows, count(*) AS texts FROM l JOIN u ON l.b = u.k GROUP BY l.a)
+SELECT g.doc_id, class_id, u.first AS copy_id, (coalesce(deg.nrows, 0) + u.c - 1)::BIGINT AS n_links,
+       coalesce(deg.texts, 0)::BIGINT AS n_text_links
+FROM g JOIN u USING (k) JOIN cls USING (k) LEFT JOIN deg USING (k)
+UNION ALL SELECT doc_id, doc_id, doc_id, 0, 0 FROM s WHERE len(s) = 0
+"""
+
+
+@register("op4_jaccard_join", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, Jaccard of five-word shingles >= 0.8."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+# --------------------------------------------------------------------------
+# op6: embedding near-duplicates
+# --------------------------------------------------------------------------
+
+OP6_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings
+                     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                       AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)
+                       AND list_contains(list_transform(embedding, lambda x: x <> 0), true)),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e)
+      AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id)::BIGINT AS n_links, component_id,
+       c.vec_id = component_id AS kept FROM c
+"""
+
+
+@register("op6_embedding_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, cosine >= 0.98 within a label."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+# --------------------------------------------------------------------------
+# op10: substring dedup
+# --------------------------------------------------------------------------
+
+OP10_SQL = f"""
+WITH RECURSIVE l AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+x AS (SELECT doc_id, text, unnest(range(0, len(ls)))::INT AS para, unnest(ls) AS line FROM l),
+d AS (SELECT doc_id, text, para, {_WORDS.format('line')} AS w FROM x),
+g AS (SELECT doc_id, text, para, list_sort({_SHINGLES}) AS s FROM d WHERE len(w) >= 40),
+o AS (SELECT DISTINCT doc_id, para, s, md5(array_to_string(s, chr(10))) AS k FROM g),
+u AS (SELECT k, any_value(s) AS s, any_value(len(s)) AS n, count(*) AS c, min((doc_id, para)) AS first FROM o GROUP BY k),
+e AS (SELECT k, n, unnest(s) AS t FROM u),
+p AS (SELECT a.k AS a, b.k AS b FROM e a JOIN e b ON a.t = b.t AND a.k < b.k AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n
+      GROUP BY a.k, b.k, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+q AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT k AS a, k AS b FROM u UNION SELECT r.a, q.b FROM r JOIN q ON r.b = q.a),
+cl AS (SELECT r.a AS k, min(u.first) AS first, sum(u.c) AS occurrences FROM r JOIN u ON r.b = u.k GROUP BY r.a)
+SELECT o.doc_id, o.para, cl.first[1] AS cluster_doc_id, cl.first[2] AS cluster_para, cl.occurrences::BIGINT AS occurrences,
+       NOT (o.doc_id = cl.first[1] AND o.para = cl.first[2]) AS removed
+FROM o JOIN cl USING (k) WHERE cl.occurrences > 1
+"""
+
+
+@register("op10_substring_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a passage (a line of 40 words or more) that repeats, and which ones go."""
+    return substring_dedup.repeats(table(spark, sf_dir, "documents")).drop("version")
