@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import chat_format, embedding_dedup, jaccard_join, substring_dedup, url_filter
+from orchard.llm import (chat_format, embedding_dedup, jaccard_join, quality, substring_dedup, toxicity,
+                         url_filter)
 from orchard.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +184,20 @@ FROM o JOIN cl USING (k) WHERE cl.occurrences > 1
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence of a passage (a line of 40 words or more) that repeats, and which ones go."""
     return substring_dedup.repeats(table(spark, sf_dir, "documents")).drop("version")
+
+
+# --------------------------------------------------------------------------
+# op1, op7: classifiers (tested on held-out labels and against brute force)
+# --------------------------------------------------------------------------
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, with its nearest labelled examples."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
