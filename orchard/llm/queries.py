@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import (chat_format, embedding_dedup, jaccard_join, quality, substring_dedup, toxicity,
+from orchard.llm import (chat_format, embedding_dedup, jaccard_join, packing, quality, substring_dedup, toxicity,
                          url_filter)
 from orchard.llm.common import prepare, table
 
@@ -201,3 +201,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# --------------------------------------------------------------------------
+# op8: best-fit packing (tested against a plain tokenizer run and an exact cover check)
+# --------------------------------------------------------------------------
+
+
+def tokenizer_file() -> str:
+    """The public word BPE file; operators take the path as a parameter."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document piece in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
