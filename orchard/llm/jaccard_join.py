@@ -111,35 +111,32 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 def leaf_members(nodes: DataFrame, runs: int, depth: int, limit: int) -> DataFrame:
     """(id, slot, key, size): the bucket in which each run leaves a node with company."""
-    here = nodes.select("id", "keys", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(runs - 1)),
+    keys = nodes.select("id", "keys")
+    here = nodes.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(runs - 1)),
                         lambda r: F.get("keys", r * depth))).alias("slot", "key"))
     found = []
     for d in range(depth):
         sizes = saved(pairs.bucket_sizes(here))
-        rows = here.join(sizes, ["slot", "key"])
-        if d == depth - 1:
+        rows = saved(here.join(sizes, ["slot", "key"]).select("id", "slot", "key", "size"))
+        large = rows.where(F.col("size") > limit)
+        if d == depth - 1 or not large.take(1):
             found.append(rows)
             break
         # mostly alike: two random nodes of the bucket agree in more than half of the other runs
-        large = rows.where(F.col("size") > limit)
-        probe = (large.select("slot", "key", "size", F.posexplode(F.slice("keys", 1, runs * depth)).alias("i", "v"))
+        probe = (large.join(keys, "id").select("slot", "key", "size", F.posexplode("keys").alias("i", "v"))
                       .where((F.col("i") % depth == 0) & (F.col("i") != F.col("slot") * depth))
                       .groupBy("slot", "key", "size", "i", "v").agg(F.count(F.lit(1)).alias("c")))
-        alike = (probe.groupBy("slot", "key", "size")
-                      .agg((F.sum(F.col("c").cast("double") * F.col("c")) / (runs - 1)).alias("agree"))
-                      .select("slot", "key", (F.col("agree") > 0.5 * F.col("size") * F.col("size")).alias("alike")))
-        alike = saved(alike)
-        split = saved(alike.where("NOT alike"))
-        if not split.take(1):
-            found.append(rows)
-            break
-        marked = rows.join(split.withColumn("go", F.lit(True)), ["slot", "key"], "left")
-        found.append(marked.where("go IS NULL").drop("go", "alike"))
-        here = marked.where("go").select("id", "keys", "slot",
-                                         F.get("keys", F.col("slot") * depth + (d + 1)).alias("key"))
-    out = found[0].select("id", "slot", "key", "size")
+        split = saved(probe.groupBy("slot", "key", "size")
+                           .agg((F.sum(F.col("c").cast("double") * F.col("c")) / (runs - 1)).alias("agree"))
+                           .where(F.col("agree") <= 0.5 * F.col("size") * F.col("size"))
+                           .select("slot", "key", F.lit(True).alias("go")))
+        marked = rows.join(split, ["slot", "key"], "left")
+        found.append(marked.where("go IS NULL").drop("go"))
+        here = (marked.where("go").select("id", "slot").join(keys, "id")
+                      .select("id", "slot", F.get("keys", F.col("slot") * depth + (d + 1)).alias("key")))
+    out = found[0]
     for f in found[1:]:
-        out = out.unionByName(f.select("id", "slot", "key", "size"))
+        out = out.unionByName(f)
     return out
 
 
