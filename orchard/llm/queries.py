@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import (chat_format, embedding_dedup, jaccard_join, packing, quality, substring_dedup, toxicity,
+from orchard.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, packing, quality, substring_dedup, toxicity,
                          url_filter)
 from orchard.llm.common import prepare, table
 
@@ -218,3 +218,26 @@ def tokenizer_file() -> str:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document piece in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+# --------------------------------------------------------------------------
+# op3: benchmark decontamination
+# --------------------------------------------------------------------------
+
+_FULL_SHINGLES = ("CASE WHEN len(w) < 5 THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, len(w) - 3), "
+                  "lambda i: array_to_string(w[i:i+4], ' '))) END")
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark),
+i AS (SELECT item_id, {_FULL_SHINGLES} AS s FROM b),
+it AS (SELECT item_id, len(s) AS n, unnest(s) AS t FROM i),
+ds AS (SELECT doc_id, unnest({_FULL_SHINGLES}) AS t FROM d)
+SELECT doc_id, item_id, count(*) / n AS containment FROM it JOIN ds USING (t)
+GROUP BY doc_id, item_id, n HAVING count(*) / n >= 0.8 - 1e-9
+"""
+
+
+@register("op3_decontaminate", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with containment of five-word shingles >= 0.8."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
