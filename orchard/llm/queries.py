@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, packing, quality, substring_dedup, toxicity,
+from orchard.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, lattice_lm, packing, quality, substring_dedup, toxicity,
                          url_filter)
 from orchard.llm.common import prepare, table
 
@@ -241,3 +241,20 @@ GROUP BY doc_id, item_id, n HAVING count(*) / n >= 0.8 - 1e-9
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) with containment of five-word shingles >= 0.8."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# --------------------------------------------------------------------------
+# op9: language-model scores (base columns tested against brute force)
+# --------------------------------------------------------------------------
+
+
+def pieces_file() -> str:
+    """The public piece vocabulary; operators take the path as a parameter."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op9_lattice_lm")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lattice log10 probability of every document."""
+    return lattice_lm.score_texts(table(spark, sf_dir, "documents"), pieces_file(), component_col="lang")
