@@ -42,3 +42,24 @@ def fold(doc_id: Column, buckets: int) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame, row_bytes: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose id is not in the one column of ``ids``; a null id stays."""
+    key, = fresh(df, "_drop_id")
+    ids = ids.toDF(key)
+    if row_bytes:
+        ids = small_side(ids, row_bytes)
+    return df.join(ids, df[id_col] == ids[key], "left_anti")

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orchard.llm.common import saved, small_side
+from orchard.llm.common import saved, small_side, without_ids
 
 THRESHOLD, SHINGLE = 0.8, 5
 
@@ -114,5 +114,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def remove_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  **options) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns (a null id stays)."""
-    bad = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_id"), "left_anti")
+    bad = find_leaks(docs, items, id_col, text_col, **options).select("doc_id").distinct()
+    return without_ids(docs, id_col, bad)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm import pairs
-from orchard.llm.common import saved, small_side
+from orchard.llm.common import fresh, saved, small_side, without_ids
 from orchard.llm.graph import components
 from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, set_ids, shingles, slices, unique_sets
 
@@ -196,3 +196,19 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     zero = F.lit(0).cast("long")
     return out.unionByName(empty.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
                                         zero.alias("n_links"), zero.alias("n_text_links")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its class, with all their columns.
+
+    Rows that repeat an id are one document: one of them stays.  Rows with a
+    null id cannot be named and stay.
+    """
+    classes_ = saved(jaccard_join(docs, id_col, text_col, **options).where("doc_id IS NOT NULL")
+                     .groupBy("doc_id")
+                     .agg(F.min("class_id").alias("c"), F.count(F.lit(1)).alias("n")))
+    left = without_ids(docs, id_col, classes_.where("c <> doc_id").select("doc_id"), 16)
+    key, = fresh(docs, "_repeated_id")
+    repeated = classes_.where("n > 1").select(F.col("doc_id").alias(key))
+    more = left.join(repeated, left[id_col] == repeated[key], "left_semi").dropDuplicates([id_col])
+    return without_ids(left, id_col, repeated, 16).union(more)

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orchard.llm.common import fold, saved
+from orchard.llm.common import fold, saved, without_ids
 from orchard.llm.text import Words, buffers, lists, shingles, slices, space_table
 
 MAX_ROWS, BINS, PAIR_BINS, ROUNDS, PAIR_ROUNDS, RATE, PAIRS = 20_000, 48, 12, 200, 60, 0.1, 8
@@ -263,5 +263,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """
     scored = score_quality(docs, labels, id_col, text_col, **options)
     good = scored.groupBy("doc_id").agg(F.max("predicted").alias("p"))
-    rejected = good.where("p = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
-    return docs.join(rejected, F.col(id_col) == F.col("_id"), "left_anti")
+    return without_ids(docs, id_col, good.where("p = 0").select("doc_id"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm import pairs
-from orchard.llm.common import saved
+from orchard.llm.common import fresh, saved
 from orchard.llm.jaccard_join import classes, least_agreeing, only_flagged, verified_links
 from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, set_ids, shingles, slices, unique_sets
 
@@ -144,13 +144,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Columns stay as they are, but for the text.
     """
+    own, i, v, lines = fresh(docs, "_version", "_id", "_v", "_lines")
     drop = (repeats(docs, id_col, text_col, **options).where("removed")
-            .groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_v"))
-            .agg(F.collect_set("para").alias("_drop")))
-    marked = docs.withColumn("_version", F.xxhash64(F.col(text_col).cast("string")))
-    joined = marked.join(drop, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_v")), "left")
+            .groupBy(F.col("doc_id").alias(i), F.col("version").alias(v))
+            .agg(F.collect_set("para").alias(lines)))
+    marked = docs.withColumn(own, F.xxhash64(F.col(text_col).cast("string")))
+    joined = marked.join(drop, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(v)), "left")
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1),
-                                 lambda x, i: ~F.array_contains(F.col("_drop"), i)), "\n")
-    new = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept)
+                                 lambda x, at: ~F.array_contains(F.col(lines), at)), "\n")
+    new = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(kept)
     out = joined.withColumn(text_col, new)
-    return out.where(F.col("_drop").isNull() | (F.trim(F.col(text_col)) != "")).select(*[f"`{c}`" for c in docs.columns])
+    return out.where(F.col(lines).isNull() | (F.trim(F.col(text_col)) != "")).select(*[f"`{c}`" for c in docs.columns])

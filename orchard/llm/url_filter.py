@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orchard.llm.common import fresh
+
 #: Fixed rules of the contract.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -110,7 +112,8 @@ def filter_urls(df: DataFrame, url: str = "url", rules: Sequence[tuple[str, str,
                 out.append((host, path, rule, verdict, hard, terms))
             yield pd.DataFrame(out, columns=["host", "path", "rule", "verdict", "strict_hits", "soft_terms"])
     new = ("host", "path", "rule", "verdict", "strict_hits", "soft_terms")
-    judged = df.withColumn("_judged", judge(F.col(url)))
+    got, = fresh(df, "_judged")
+    judged = df.withColumn(got, judge(F.col(url)))
     return judged.select(*[F.col(f"`{c}`") for c in df.columns if c not in new],
-                         *[F.col(f"_judged.{c}").alias(c) for c in new])
+                         *[F.col(got)[c].alias(c) for c in new])
 
