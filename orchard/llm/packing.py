@@ -8,17 +8,15 @@ words.  Only documents longer than a sequence are cut.
 
 Packing is bulk-synchronous best fit.  Pieces are range-sorted by length, so
 a piece is known by its length and its rank within the length.  Lengths and
-gaps are whole numbers up to the capacity, so a round's sorted lists of
-pieces and gaps are runs of equal values and a run is one entry of the sweep.
-A round sweeps both lists from the longest down: every piece takes the
-smallest free gap that holds it, rank by rank where several want the same
-one, and a gap takes one piece a round; then the gaps shrink by what they
-took.  Pieces that no gap can hold open new sequences: each one longer than
-half a sequence its own, of the others the longest ones, as many as their
-total needs at least.  Rounds repeat until all are placed.  What is swept has
-at most two times ``capacity`` entries a round at any size of the corpus; the
-resulting runs (length, first rank, count -> first sequence, place) are
-applied to the pieces where they lie.
+gaps are whole numbers up to the capacity, so the sorted lists of pieces and
+gaps are runs of equal values, and a run is one entry of a sweep.  A round
+takes all pieces of the longest length left and sweeps the gaps upwards from
+it: the pieces take the smallest gap that holds them, rank by rank where many
+want the same one; the gaps then shrink by what they took and are swept again
+until no gap holds the length, and what is left of it opens new sequences.
+Rounds repeat down the lengths, so there are at most ``capacity`` of them at
+any size of the corpus.  The resulting runs (length, first rank -> first
+sequence, place) are applied to the pieces where they lie.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed each; extra columns are ignored; an empty table packs nothing.
@@ -28,6 +26,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
@@ -132,56 +131,41 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> dict[str, np.ndarray]:
-    """Place ``counts[s]`` pieces of each length s: runs (size, rank, count, sequence, place) as arrays."""
-    left = counts.astype(np.int64).copy()
-    rank = np.zeros(len(left), np.int64)
-    gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]     # runs of sequences by free room
-    out: list[tuple[int, int, int, int, int]] = []
+    """Place ``counts[s]`` pieces of each length s: runs (size, rank, sequence, place) as arrays."""
+    gaps: dict[int, list[tuple[int, int]]] = {}       # runs of sequences (first, count) by free room
+    rooms: list[int] = []                              # the rooms that have runs, sorted
+    out: list[tuple[int, int, int, int]] = []
     opened = 0
 
-    def place(size: int, room: int, first: int, n: int, later: list) -> None:
-        out.append((size, int(rank[size]), n, first, capacity - room))
-        rank[size] += n
-        left[size] -= n
-        if room > size:
-            later.append((room - size, first, n))
-
-    while left.any():
-        later: list[tuple[int, int, int]] = []
-        sizes = np.flatnonzero(left)[::-1].tolist()
-        rooms = [c for c in range(capacity, 0, -1) if gaps[c]]
-        free: list[tuple[int, int, int]] = []           # the smallest room on top
-        k = 0
-        for s in sizes:
-            while k < len(rooms) and rooms[k] >= s:
-                free += [(rooms[k], f, n) for f, n in gaps[rooms[k]]]
-                gaps[rooms[k]] = []
-                k += 1
-            while left[s] and free:
-                room, first, n = free.pop()
-                take = min(n, int(left[s]))
-                if take < n:
-                    free.append((room, first + take, n - take))
-                place(s, room, first, take, later)
-        for room, first, n in free:
-            gaps[room].append((first, n))
-        for room, first, n in later:
+    def free(room: int, first: int, n: int) -> None:
+        if room:
+            if room not in gaps:
+                insort(rooms, room)
+                gaps[room] = []
             gaps[room].append((first, n))
-        widest = max((c for c in range(1, capacity + 1) if gaps[c]), default=0)
-        stuck = [s for s in np.flatnonzero(left)[::-1].tolist() if s > widest]
-        fresh: list[tuple[int, int, int]] = []
-        need = -(-int(sum(s * left[s] for s in stuck if 2 * s <= capacity)) // capacity)
-        for s in stuck:
-            take = int(left[s]) if 2 * s > capacity else min(int(left[s]), need)
-            need -= take if 2 * s <= capacity else 0
-            if take:
-                place(s, capacity, opened, take, fresh)
+
+    for size in np.flatnonzero(counts)[::-1].tolist():
+        rank, left = 0, int(counts[size])
+        while left:
+            at = bisect_left(rooms, size)
+            if at < len(rooms):
+                room = rooms[at]
+                first, n = gaps[room].pop()
+                if not gaps[room]:
+                    del gaps[room], rooms[at]
+                take = min(n, left)
+                if take < n:
+                    free(room, first + take, n - take)
+            else:                                      # as many sequences as this length fills
+                room, first, take = capacity, opened, -(-left // (capacity // size))
                 opened += take
-        for room, first, n in fresh:
-            gaps[room].append((first, n))
-    a = np.array(out, dtype=np.int64).reshape(-1, 5)
+            out.append((size, rank, first, capacity - room))
+            free(room - size, first, take)
+            rank += take
+            left -= take
+    a = np.array(out, dtype=np.int64).reshape(-1, 4)
     a = a[np.lexsort((a[:, 1], a[:, 0]))]
-    return {"size": a[:, 0], "rank": a[:, 1], "sequence": a[:, 3], "place": a[:, 4]}
+    return {"size": a[:, 0], "rank": a[:, 1], "sequence": a[:, 2], "place": a[:, 3]}
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

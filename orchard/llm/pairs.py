@@ -37,8 +37,9 @@ def gather(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return per.join(nodes, "id")
 
 
-def deal(gathered: DataFrame, block: int = BLOCK) -> DataFrame:
+def deal(gathered: DataFrame, block: int | None = None) -> DataFrame:
     """One row per node and block pair, dealt by group and sorted inside the partitions."""
+    block = block or BLOCK
     rows = gathered.select("*", F.explode("slots").alias("_s"))
     rows = (rows.withColumns({"slot": F.col("_s.slot"), "key": F.col("_s.key"),
                               "_n": F.ceil(F.col("_s.size") / F.lit(block)).cast("int")})
