@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import math
 import time
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.functions.vectors import dot, vector_literal
@@ -42,12 +43,11 @@ def decision_tree(df: DataFrame, impurity: str = "entropy", max_depth: int = 5,
 
 
 # ----------------------------------------------------------------------- C2
-def tree_nodes(model) -> list[dict]:
+def tree_nodes(model, spark: SparkSession | None = None) -> list[dict]:
     """The fitted tree as node records (id, prediction, left, right,
     feature, threshold), read from the model's own saved node table.  The
     model is written under the shared checkpoint folder."""
-    from pyspark.sql import SparkSession
-    ss = SparkSession.getActiveSession()
+    ss = spark or SparkSession.active()
     path = f"{checkpoint_dir(ss)}/tree-{model.uid}-{time.time_ns()}"
     model.write().overwrite().save(path)
     rows = ss.read.parquet(f"{path}/data").collect()        # one row per node (tree-sized)
@@ -66,10 +66,9 @@ def tree_nodes(model) -> list[dict]:
     return out
 
 
-def tree_nodes_df(model) -> DataFrame:
-    from pyspark.sql import SparkSession
-    ss = SparkSession.getActiveSession()
-    return ss.createDataFrame(tree_nodes(model),
+def tree_nodes_df(model, spark: SparkSession | None = None) -> DataFrame:
+    ss = spark or SparkSession.active()
+    return ss.createDataFrame(tree_nodes(model, ss),
                               "id INT, prediction DOUBLE, left INT, right INT, feature INT, threshold DOUBLE, "
                               "count DOUBLE")
 
@@ -93,72 +92,40 @@ def tree_expr(nodes: list[dict], features: str = "features", output: str = "pred
 
 
 # ----------------------------------------------------------------------- C3
-def prune_reduced_error(nodes: list[dict], holdout: DataFrame, features: str = "features", label: str = "label",
-                        start_best: float | None = None) -> set[int]:
-    """Bottom-up reduced-error pruning on a holdout table.
-
-    The holdout rows are routed to their leaves once and counted per
-    (leaf, label) - one aggregate, #leaves x #classes rows.  Every "cut this
-    branch" test is then arithmetic on those counts (tree-sized, driver)
-    instead of re-scoring the holdout per node.  Visiting order and the
-    keep-if-not-worse rule follow the reference (left subtree first, the
-    best score is passed down and up); ``start_best`` = None starts from
-    the unpruned accuracy, 0.0 reproduces the reference exactly.
-    Returns the set of node ids that become leaves.
+def prune_reduced_error(nodes: list[dict], holdout: DataFrame, features: str = "features",
+                        label: str = "label") -> set[int]:
+    """Reduced-error pruning on a holdout table.
+
+    A node becomes a leaf when it then classifies at least as many of the
+    holdout rows that reach it as its pruned subtree does.  The rows are
+    routed once and counted per (leaf, label) - one aggregate of #leaves x
+    #classes rows; the rest is one bottom-up pass over the node table.
+    Returns the nodes that become leaves (the topmost ones).
     """
-    by_id = {n["id"]: n for n in nodes}
+    reached = {n["id"]: Counter() for n in nodes}
     leaf = tree_expr(nodes, features, output="leaf")
-    counts = (holdout.select(leaf.alias("leaf"), F.col(label).cast("double").alias("y"))
-                     .groupBy("leaf", "y").count().collect())
-    n_total = sum(r["count"] for r in counts) or 1
-    per = {}                                      # node -> {label: count} of holdout rows below it
-    for r in counts:
-        per.setdefault(r["leaf"], {}).setdefault(r["y"], 0)
-        per[r["leaf"]][r["y"]] += r["count"]
-
-    def is_leaf(i):
-        return by_id[i]["left"] < 0
-
-    def below(i):
-        if i in memo:
-            return memo[i]
-        if is_leaf(i):
-            memo[i] = dict(per.get(i, {}))
-        else:
-            a, b = below(by_id[i]["left"]), below(by_id[i]["right"])
-            memo[i] = {k: a.get(k, 0) + b.get(k, 0) for k in set(a) | set(b)}
-        return memo[i]
-    memo: dict = {}
-    collapsed: set[int] = set()
-
-    def correct(i):
-        """Holdout hits under node i in the current (partly pruned) tree."""
-        if is_leaf(i) or i in collapsed:
-            return below(i).get(by_id[i]["prediction"], 0)
-        return correct(by_id[i]["left"]) + correct(by_id[i]["right"])
-
-    root = min(by_id)
-    if is_leaf(root):
-        return set()
-    state = {"acc": correct(root) / n_total}
-
-    def visit(i, best):
-        for child in (by_id[i]["left"], by_id[i]["right"]):
-            if not is_leaf(child):
-                xb = visit(child, best)
-                if xb > best:
-                    best = xb
-        before = correct(i)
-        hit_cut = below(i).get(by_id[i]["prediction"], 0)
-        score = state["acc"] + (hit_cut - before) / n_total
-        if score >= best:
-            collapsed.add(i)
-            state["acc"] = score
-            best = score
-        return best
-
-    visit(root, state["acc"] if start_best is None else start_best)
-    return collapsed
+    for r in (holdout.select(leaf.alias("leaf"), F.col(label).cast("double").alias("y"))
+                     .groupBy("leaf", "y").count().collect()):
+        reached[r["leaf"]][r["y"]] += r["count"]
+    hits, cut = {}, set()
+    for n in sorted(nodes, key=lambda n: -n["id"]):        # children carry larger ids than their parent
+        i, sides = n["id"], (n["left"], n["right"])
+        if n["left"] < 0:
+            hits[i] = reached[i][n["prediction"]]
+            continue
+        reached[i] = reached[sides[0]] + reached[sides[1]]
+        hits[i] = max(reached[i][n["prediction"]], hits[sides[0]] + hits[sides[1]])
+        if hits[i] == reached[i][n["prediction"]]:
+            cut.add(i)
+    by_id = {n["id"]: n for n in nodes}
+    top, walk = set(), [min(by_id)]
+    while walk:
+        i = walk.pop()
+        if i in cut:
+            top.add(i)
+        elif by_id[i]["left"] >= 0:
+            walk += [by_id[i]["left"], by_id[i]["right"]]
+    return top
 
 
 # ----------------------------------------------------------------------- C5
@@ -341,8 +308,7 @@ def cross_val_score(fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
         acc = pred.agg(F.avg((F.col(label) == F.col("prediction")).cast("double"))).first()[0]
         rows.append((f, float(acc or 0.0) * 100))
     rows.append((-1, sum(r[1] for r in rows) / k))
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession().createDataFrame(rows, "fold INT, accuracy DOUBLE")
+    return df_folds.sparkSession.createDataFrame(rows, "fold INT, accuracy DOUBLE")
 
 
 def learning_curve(fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], df_folds: DataFrame, key: str,
@@ -367,6 +333,4 @@ def learning_curve(fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
             te_s.append(predict(test).agg(F.avg(hit)).first()[0] or 0.0)
         a, b = sum(tr_s) / k, sum(te_s) / k
         rows.append((int(m), 1 - a if error else a, 1 - b if error else b))
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession().createDataFrame(rows, "train_size BIGINT, train_score DOUBLE, "
-                                                                 "test_score DOUBLE")
+    return df_folds.sparkSession.createDataFrame(rows, "train_size BIGINT, train_score DOUBLE, test_score DOUBLE")

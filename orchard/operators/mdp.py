@@ -278,63 +278,55 @@ def reachable(transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
         frontier = nxt
 
 
-_PERM_P = 2_147_483_647        # prime modulus of the id permutation (fixed value)
-_PERM_A = 48_271               # multiplier, coprime with the modulus (fixed value)
-
-
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected components of ``nodes(id)`` / ``edges(src, dst)``:
-    ``(id, comp)`` with comp = smallest id of the component
-    (ids in [0, 2^31 - 1)).
-
-    Alternating large-star / small-star rounds (Kiveris et al., 2014; the
-    algorithm GraphFrames uses): each round is a few joins and aggregates
-    over the edge list, the number of rounds grows with log^2 of the node
-    count, and the loop ends only when the edge set stops changing (exact).
-    Ids are first permuted (a bijection mod a prime) so spatially ordered
-    ids, as on a grid, do not form long chains; every round's edge list is
-    checkpointed.
+    ``(id, comp)`` with comp = smallest id of the component; any 64-bit ids.
+
+    Alternating large-star / small-star rounds (Kiveris et al., 2014): each
+    round is a few joins and aggregates over the edge list, and the number of
+    rounds grows with log^2 of the node count.  Nodes are ordered by
+    (hash of the id, id), so spatially ordered ids, as on a grid, do not form
+    long chains and different ids never meet.  Every round's edge list is
+    checkpointed; a round that leaves its count and checksum unchanged left
+    the edges unchanged, which ends the loop.
     """
-    def perm(c):
-        return (F.col(c).cast("bigint") * F.lit(_PERM_A)) % F.lit(_PERM_P)
+    def node(c):
+        i = F.col(c).cast("bigint")
+        return F.struct(F.xxhash64(i).alias("h"), i.alias("id"))
 
-    e = (edges.select(perm("src").alias("a"), perm("dst").alias("b"))
-              .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-              .where(F.col("u") != F.col("v")).distinct())
-    e = cut_lineage(e)
+    def ordered(df):
+        return (df.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+                  .where(F.col("u") != F.col("v")).distinct())
 
     def both(df):
         return df.unionByName(df.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
     def large_star(df):
         d = both(df)
-        m = d.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        return (d.where(F.col("v") > F.col("u")).join(m, "u")
-                 .select(F.col("v").alias("a"), F.col("m").alias("b"))
-                 .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-                 .where(F.col("u") != F.col("v")).distinct())
+        m = d.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        return ordered(d.where(F.col("v") > F.col("u")).join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b")))
 
     def small_star(df):
         d = both(df).where(F.col("v") < F.col("u"))       # smaller neighbours of u
         m = d.groupBy("u").agg(F.min("v").alias("m"))
         moved = d.join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        self_ = m.select(F.col("u").alias("a"), F.col("m").alias("b"))
-        return (moved.unionByName(self_)
-                     .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-                     .where(F.col("u") != F.col("v")).distinct())
+        return ordered(moved.unionByName(m.select(F.col("u").alias("a"), F.col("m").alias("b"))))
 
-    while True:
-        nxt = cut_lineage(small_star(large_star(e)))
-        diff = (nxt.withColumn("_n", F.lit(1)).join(e.withColumn("_o", F.lit(1)), ["u", "v"], "full_outer")
-                   .where(F.col("_n").isNull() | F.col("_o").isNull()))
-        changed = diff.limit(1).count()
-        e = nxt
-        if changed == 0:
+    def checksum(df):
+        return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    e = cut_lineage(ordered(edges.select(node("src").alias("a"), node("dst").alias("b"))))
+    seen = checksum(e)
+    while seen[0]:
+        e = cut_lineage(small_star(large_star(e)))
+        now = checksum(e)
+        if now == seen:
             break
-    # converged: every edge joins a node to its component's root (a permuted id)
-    root = e.groupBy(F.col("v").alias("pid")).agg(F.min("u").alias("root"))
-    lab = (nodes.select("id", perm("id").alias("pid")).join(root, "pid", "left")
-                .select("id", F.coalesce(F.col("root"), F.col("pid")).alias("root")))
+        seen = now
+    # every edge joins a node to its component's root
+    root = e.groupBy(F.col("v.id").alias("id")).agg(F.min("u.id").alias("root"))
+    lab = (nodes.select(F.col("id").cast("bigint").alias("id")).join(root, "id", "left")
+                .select("id", F.coalesce("root", "id").alias("root")))
     # report the smallest original id of each component (an aggregate, so a
     # giant component is combined map-side; the join back is skew-handled by AQE)
     smallest = lab.groupBy("root").agg(F.min("id").alias("comp"))

@@ -1,13 +1,11 @@
 """Nearest-centre assignment (J1), exact k-nearest-neighbour join (J2) and
 the kNN classifier sweep (C6).
 
-J2 never forms the query x train product as rows.  The train side is cut
-into blocks of at most ``block_rows`` vectors (its size is counted first);
-each block is broadcast once and every query partition scores its rows
-against it with numpy in ``mapInPandas``, keeping only the best k per query.
-With more than one block the per-block winners (k per query per block) are
-merged by a per-query top-k, so the shuffle is ``k x blocks`` rows per query,
-independent of the train size per block.
+J2 never forms the query x train product as rows and moves no train row
+through the driver.  Both sides are dealt into hash blocks of bounded size;
+every pair of a train block and a query block is one group, scored with
+numpy, and hands on only the best k per query.  The winners of all train
+blocks (k rows per query and block) are merged by a per-query top-k.
 """
 
 from __future__ import annotations
@@ -19,13 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orchard.functions.hashing import hash_bucket
 from orchard.functions.vectors import sq_distance, vector_literal
 
-MAX_BROADCAST_ROWS = 250_000       # vectors per broadcast block
-MAX_CENTRES = 10_000               # centres inlined into one expression
+BLOCK_ROWS = 4096                  # vectors per block of either side
 
 
 # ----------------------------------------------------------------------- J1
@@ -33,11 +28,12 @@ def nearest_centre(points: DataFrame, centres: Sequence[Sequence[float]],
                    features: str = "features", out: str = "cluster",
                    with_distance: bool = False) -> DataFrame:
     """Index of the closest centre (squared Euclidean), ties to the
-    lowest index.  The k centres (bounded by ``MAX_CENTRES``) are inlined as
-    literals, so this is a projection: no join, no shuffle."""
+    lowest index.  The centres are a list in the driver's program (k x d
+    numbers) and are inlined as literals, so this is a projection: no join,
+    no shuffle."""
     cs = [list(map(float, c)) for c in centres]
-    if not cs or len(cs) > MAX_CENTRES:
-        raise ValueError(f"need 1..{MAX_CENTRES} centres, got {len(cs)}")
+    if not cs:
+        raise ValueError("no centres")
     x = F.col(features).cast("array<double>")
     dists = F.array(*[F.struct(sq_distance(x, vector_literal(c)).alias("d"), F.lit(i).alias("c"))
                       for i, c in enumerate(cs)])
@@ -50,106 +46,76 @@ def nearest_centre(points: DataFrame, centres: Sequence[Sequence[float]],
 
 def centres_from(df: DataFrame, features: str = "features", key: str | None = None,
                  k: int | None = None) -> list[list[float]]:
-    """Collect a bounded set of centre vectors (first k by key)."""
-    if k is not None and k > MAX_CENTRES:
-        raise ValueError("too many centres to inline")
+    """Collect centre vectors: the first k by key (all rows of a centre table when k is not given)."""
     q = df.select(key, features).orderBy(key) if key else df.select(features)
-    rows = q.limit(k).collect() if k is not None else q.limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError("too many centres to inline")
+    rows = (q if k is None else q.limit(k)).collect()
     return [list(map(float, r[features])) for r in rows]
 
 
 # ----------------------------------------------------------------------- J2
 def _topk_block(ids: np.ndarray, X: np.ndarray, labels: np.ndarray, k: int,
-                q_ids: np.ndarray, Q: np.ndarray):
-    """Best k rows of X for every row of Q: ranking by the Gram expansion,
-    then exact squared differences for the survivors, ties by id."""
-    m = X.shape[0]
-    kk = min(k, m)
-    if m == 0 or len(Q) == 0:
-        return None
-    x2 = np.einsum("ij,ij->i", X, X)
-    q2 = np.einsum("ij,ij->i", Q, Q)
+                q_ids: np.ndarray, Q: np.ndarray) -> pd.DataFrame:
+    """Best k rows of X for every row of Q by (squared distance, id).
+
+    The Gram expansion ranks roughly; every row whose approximate distance
+    is within the rounding error of the k-th best is measured exactly, so
+    any number of ties is resolved by id.
+    """
+    x2, q2 = np.einsum("ij,ij->i", X, X), np.einsum("ij,ij->i", Q, Q)
     approx = q2[:, None] + x2[None, :] - 2.0 * (Q @ X.T)
-    cand = min(m, kk + 16)
-    if cand < m:
-        part = np.argpartition(approx, cand - 1, axis=1)[:, :cand]
-    else:
-        part = np.broadcast_to(np.arange(m), (len(Q), m))
-    out_q, out_id, out_lab, out_d, out_r = [], [], [], [], []
-    for r in range(len(Q)):
-        c = part[r]
-        diff = X[c] - Q[r]
-        d = np.sum(diff * diff, axis=1)
-        order = np.lexsort((ids[c], d))[:kk]
-        out_q.append(np.full(len(order), q_ids[r]))
-        out_id.append(ids[c][order])
-        out_lab.append(labels[c][order])
-        out_d.append(d[order])
-        out_r.append(np.arange(1, len(order) + 1))
-    return (np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_lab),
-            np.concatenate(out_d), np.concatenate(out_r))
+    kk = min(k, len(X))
+    kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+    slack = 8.0 * (X.shape[1] + 4) * np.finfo(np.float64).eps * (q2 + x2.max())
+    rows, cols = np.nonzero(approx <= (kth + 2 * slack)[:, None])
+    d = np.empty(len(rows))
+    for s in range(0, len(rows), 1 << 16):
+        diff = X[cols[s:s + (1 << 16)]] - Q[rows[s:s + (1 << 16)]]
+        d[s:s + (1 << 16)] = np.sum(diff * diff, axis=1)
+    order = np.lexsort((ids[cols], d, rows))
+    rows, cols, d = rows[order], cols[order], d[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+    keep = place < kk
+    rows, cols = rows[keep], cols[keep]
+    return pd.DataFrame({"qid": q_ids[rows], "nid": ids[cols], "nlabel": labels[cols], "sqdist": d[keep]})
 
 
 def knn_join(train: DataFrame, query: DataFrame, k: int, train_key: str = "id",
              query_key: str = "id", features: str = "features", label: str = "label",
-             block_rows: int = MAX_BROADCAST_ROWS, query_batch: int = 512) -> DataFrame:
+             block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact k nearest train rows of every query row.
 
     Returns ``(qid, nid, nlabel, sqdist, rank)`` with rank 1..k (distance,
-    then neighbour id).  Exact at any size: train blocks are bounded, the
-    merge keeps all k winners of every block.
+    then neighbour id).  Rows without a vector or key take no part; a null
+    label stays null.
     """
-    spark = train.sparkSession
-    tr = train.select(F.col(train_key).cast("long").alias("nid"),
-                      F.col(features).cast("array<double>").alias("v"),
-                      F.col(label).cast("long").alias("nlabel"))
-    n_train = tr.count()
-    blocks = max(1, math.ceil(n_train / block_rows))
-    from orchard.operators.ordering import spread
-    q = spread(query.select(F.col(query_key).cast("long").alias("qid"),
-                            F.col(features).cast("array<double>").alias("qv")), "qid")
-    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()),
-                           T.StructField("nlabel", T.LongType()), T.StructField("sqdist", T.DoubleType()),
-                           T.StructField("rank", T.IntegerType())])
-    if blocks > 1:
-        # one pass writes the train side partitioned by block; every block
-        # read below then prunes to its own files instead of rescanning
-        from orchard.session import checkpoint_dir
-        import uuid
-        path = f"{checkpoint_dir(spark).rstrip('/')}/knn-blocks-{uuid.uuid4().hex}"
-        (tr.withColumn("_blk", hash_bucket("nid", 7919, blocks).cast("int"))
-           .write.partitionBy("_blk").parquet(path))
-        tr = spark.read.parquet(path)
-    parts = []
-    for b in range(blocks):
-        blk = tr if blocks == 1 else tr.where(F.col("_blk") == b).drop("_blk")
-        pdf = blk.toPandas()              # about n_train / blocks rows (hash blocks), bounded by design
-        ids = pdf["nid"].to_numpy(np.int64)
-        X = np.vstack(pdf["v"].to_numpy()) if len(pdf) else np.zeros((0, 0))
-        labs = pdf["nlabel"].to_numpy(np.int64)
-        bc = spark.sparkContext.broadcast((ids, X, labs))
-
-        def score(it, bc=bc):
-            ids_, X_, labs_ = bc.value
-            for pdf_q in it:
-                for s in range(0, len(pdf_q), query_batch):
-                    chunk = pdf_q.iloc[s:s + query_batch]
-                    Q = np.vstack(chunk["qv"].to_numpy()) if len(chunk) else np.zeros((0, 0))
-                    res = _topk_block(ids_, X_, labs_, k, chunk["qid"].to_numpy(np.int64), Q)
-                    if res is None:
-                        continue
-                    yield pd.DataFrame({"qid": res[0], "nid": res[1], "nlabel": res[2],
-                                        "sqdist": res[3], "rank": res[4].astype(np.int32)})
-        parts.append(q.mapInPandas(score, schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if blocks > 1:      # merge the per-block winners: k x blocks rows per query
-        w = Window.partitionBy("qid").orderBy("sqdist", "nid")
-        out = out.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-    return out
+    def side(df, key, names):
+        out = df.select(F.col(key).cast("long").alias(names[0]), F.col(features).cast("array<double>").alias(names[1]),
+                        *([F.col(label).cast("long").alias("nlabel")] if len(names) > 2 else []))
+        return out.where(F.col(names[0]).isNotNull() & F.col(names[1]).isNotNull())
+
+    tr, q = side(train, train_key, ("nid", "v", "nlabel")), side(query, query_key, ("qid", "qv"))
+    nt, nq = (max(1, math.ceil(df.count() / block_rows)) for df in (tr, q))
+
+    def dealt(df, key, own, own_n, other, other_n):
+        mine = F.pmod(F.xxhash64(key), F.lit(own_n)).cast("int").alias(own)
+        return df.select("*", mine, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))).alias(other))
+
+    tr, q = dealt(tr, "nid", "_tb", nt, "_qb", nq), dealt(q, "qid", "_qb", nq, "_tb", nt)
+    schema = "qid long, nid long, nlabel long, sqdist double"
+
+    def score(t: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if len(t) == 0 or len(p) == 0:
+            return pd.DataFrame({"qid": [], "nid": [], "nlabel": [], "sqdist": []})
+        X = np.vstack(t["v"].to_numpy())
+        parts = [_topk_block(t["nid"].to_numpy(np.int64), X, t["nlabel"].astype("Int64").to_numpy(dtype=object), k,
+                             c["qid"].to_numpy(np.int64), np.vstack(c["qv"].to_numpy()))
+                 for c in (p.iloc[s:s + 512] for s in range(0, len(p), 512))]
+        out = pd.concat(parts, ignore_index=True)
+        return out.assign(nlabel=pd.array(out["nlabel"], dtype="Int64"))
+
+    best = tr.groupBy("_tb", "_qb").cogroup(q.groupBy("_tb", "_qb")).applyInPandas(score, schema)
+    w = Window.partitionBy("qid").orderBy("sqdist", "nid")
+    return best.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
 
 
 # ----------------------------------------------------------------------- C6

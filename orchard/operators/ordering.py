@@ -22,20 +22,28 @@ def _cols(cs) -> list[Column]:
 
 
 def spread(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Hash-repartition a small input before CPU-heavy per-row work.
+    """Hash-repartition narrow rows before CPU-heavy per-row work.
 
     A table that arrives as one file split is one task; operators that
-    expand every row (candidate arrays, neighbourhoods, kNN scoring) would
-    then run on one core.  Only when the input has fewer partitions than
-    ``spark.sql.shuffle.partitions`` is it redistributed, by a hash of
-    ``key`` (deterministic on retry, unlike round-robin).
+    expand every row (candidate arrays, neighbourhoods) would then run on
+    one core.  The rows are dealt by a hash of ``key`` (deterministic on
+    retry, unlike round-robin); they are ids and a few numbers, so the
+    shuffle is small beside the work that follows.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() >= n:
-        return df
     return df.repartition(n, key) if key else df.repartition(n, *[F.col(c) for c in df.columns[:1]])
 
 
+def _join_slices(rows: DataFrame, per_slice: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Attach the one row per (slice, group) of ``per_slice``; null group keys match each other."""
+    right = per_slice.select(F.col("_pid").alias("_spid"), *[F.col(b).alias(f"_s_{i}") for i, b in enumerate(by)],
+                             *[c for c in per_slice.columns if c != "_pid" and c not in by])
+    cond = F.col("_pid") == F.col("_spid")
+    for i, b in enumerate(by):
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_s_{i}"))
+    return rows.join(right, cond, "inner").drop("_spid", *[f"_s_{i}" for i in range(len(by))])
+
+
 def _materialise(df: DataFrame) -> DataFrame:
     """Persist and compute once; a lost block is rebuilt from the same
     shuffle dependency, so it comes back with the same partition ids."""
@@ -74,7 +82,7 @@ def row_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str
                            (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)))
                            .alias("_off"))
     offsets = offsets.fillna(0, subset=["_off"])
-    out = ranged.join(offsets, on=["_pid", *by], how="inner")
+    out = _join_slices(ranged, offsets.select("_pid", *by, "_first", "_off"), by)
     return (out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
                .drop("_pid", "_mid", "_first", "_off"))
 
@@ -116,16 +124,16 @@ def running_extreme(df: DataFrame, order: Sequence, by: Sequence[str], value: st
             loc = loc.groupby([v[k] for k in gkeys], sort=False, dropna=False).ffill()
             # groups are contiguous (sorted slice): only the first group of a
             # batch can continue the last group of the previous batch
-            first = tuple(v.iloc[0][gkeys])
+            first = tuple(None if pd.isna(x_) else x_ for x_ in v.iloc[0][gkeys])
             if carry_key == first and not np.isnan(carry_val):
                 same = np.ones(len(v), dtype=bool)
                 for k_, x_ in zip(gkeys, first):
-                    same &= (v[k_].to_numpy() == x_)
+                    same &= (v[k_].isna() if x_ is None else v[k_] == x_).to_numpy()
                 cur = loc.to_numpy(dtype="float64", na_value=np.nan)
                 comb = np.where(np.isnan(cur), carry_val,
                                 np.maximum(cur, carry_val) if is_max else np.minimum(cur, carry_val))
                 loc = pd.Series(np.where(same, comb, cur), index=loc.index)
-            carry_key = tuple(v.iloc[-1][gkeys])
+            carry_key = tuple(None if pd.isna(x_) else x_ for x_ in v.iloc[-1][gkeys])
             carry_val = float(loc.iloc[-1]) if pd.notna(loc.iloc[-1]) else np.nan
             yield pdf.assign(_local=loc.astype("float64"))
 
@@ -135,6 +143,6 @@ def running_extreme(df: DataFrame, order: Sequence, by: Sequence[str], value: st
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid")
     prefix = part.select("_pid", *by, agg("_pe").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"))
     pick = F.greatest if is_max else F.least
-    res = local.join(prefix, on=["_pid", *by], how="inner")
+    res = _join_slices(local, prefix, by)
     return (res.withColumn(out, F.coalesce(pick(F.col("_local"), F.col("_prev")), F.col("_local"), F.col("_prev")))
                .drop("_pid", "_local", "_prev"))

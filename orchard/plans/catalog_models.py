@@ -83,10 +83,9 @@ def q_c3(spark, sf):
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     nodes = C.tree_nodes(C.decision_tree(train, "gini", 6, 10))
     out = []
-    for mode, start in (("unpruned_start", None), ("zero_start", 0.0)):
-        cut = C.prune_reduced_error(nodes, test, start_best=start)
+    for tree, cut in (("whole", set()), ("pruned", C.prune_reduced_error(nodes, test))):
         p = test.withColumn("prediction", C.tree_expr(nodes, collapsed=cut))
-        s = _scores(p).withColumn("start", F.lit(mode)).withColumn("n_collapsed", F.lit(len(cut)))
+        s = _scores(p).withColumn("tree", F.lit(tree)).withColumn("n_collapsed", F.lit(len(cut)))
         out.append(s)
     return out[0].unionByName(out[1])
 
