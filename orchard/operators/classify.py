@@ -156,7 +156,7 @@ def adaboost_samme_r(df: DataFrame, n_estimators: int = 50, learning_rate: float
     pred = F.array_position(F.col("_f"), F.array_max("_f")) - 1
     staged = []
     pool_set = set(pool or [])
-    rounds = 0
+    rounds, held = 0, None
     for m in range(1, n_estimators + 1):
         tree = DecisionTreeClassifier(featuresCol="_vec", labelCol=label, weightCol="_w", maxDepth=max_depth,
                                       impurity=impurity, probabilityCol="_p", rawPredictionCol="_raw",
@@ -171,11 +171,15 @@ def adaboost_samme_r(df: DataFrame, n_estimators: int = 50, learning_rate: float
         s = s.withColumn("_w", F.col("_w") * F.exp(F.lit(-learning_rate * (k - 1.0) / k) * ylp))
         s = s.withColumn("_f", F.zip_with("_f", h, lambda a, b: a + F.lit(learning_rate) * b))
         s = s.withColumn("_w", F.when(fit_rows, F.col("_w")).otherwise(F.lit(0.0)))
-        tot = s.agg(F.sum("_w")).first()[0]
-        d = s.withColumn("_w", F.col("_w") / F.lit(tot)).drop("_p", "_raw", "_pred", "_lp")
-        rounds = m
+        s = s.drop("_p", "_raw", "_pred", "_lp").persist()
+        tot = s.agg(F.sum("_w")).first()[0] or 0.0
+        d, rounds = (s if tot <= 0 else s.withColumn("_w", F.col("_w") / F.lit(tot))), m
         if m % checkpoint_every == 0:
             d = cut_lineage(d)
+            s.unpersist()
+        if held is not None:
+            held.unpersist()
+        held = s if m % checkpoint_every else None
         if m in pool_set:
             grp = [F.col(train_col).alias("train")] if train_col else [F.lit(True).alias("train")]
             for r in d.groupBy(*grp).agg(F.avg((pred.cast("double") == F.col(label)).cast("double"))
@@ -283,10 +287,12 @@ def nn_forward(df: DataFrame, weights: Sequence[np.ndarray], features: str = "fe
     return df.withColumn(out, layer[0] if len(layer) == 1 else F.array(*layer))
 
 
-def sum_squares_error(df: DataFrame, label: str = "label", score: str = "score", half: bool = False) -> DataFrame:
-    """Sum of squared errors (times 1/2 with ``half``), one row."""
+def sum_squares_error(df: DataFrame, label: str = "label", score: str = "score", half: bool = False,
+                      extra: Sequence[Column] = ()) -> DataFrame:
+    """Sum of squared errors (times 1/2 with ``half``), one row;
+    ``extra`` aggregates are computed in the same pass."""
     e = F.pow(F.col(label).cast("double") - F.col(score), 2)
-    return df.agg((F.sum(e) * (0.5 if half else 1.0)).alias("sse"), F.count(F.lit(1)).cast("bigint").alias("n"))
+    return df.agg((F.sum(e) * (0.5 if half else 1.0)).alias("sse"), F.count(F.lit(1)).cast("bigint").alias("n"), *extra)
 
 
 # ----------------------------------------------------------------------- E5 / E6 / E8

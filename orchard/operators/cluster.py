@@ -104,9 +104,10 @@ def cluster_sweep(df: DataFrame, ks: Sequence[int], features: str = "features",
         else:
             a, _, cost = gmm(df, k, features, n_init=n_init, seed=seed)
             iters = None
+        a = a.persist()
         sc = cluster_scores(a, label, "cluster")
-        ch = calinski_harabasz(a, features, "cluster").select("calinski_harabasz")
-        row = (sc.withColumn("_j", F.lit(1)).join(ch.withColumn("_j", F.lit(1)), "_j").drop("_j")
+        ch = calinski_harabasz(a, features, "cluster").first()["calinski_harabasz"]
+        row = (sc.withColumn("calinski_harabasz", F.lit(ch).cast("double"))
                  .withColumn("k", F.lit(k)).withColumn("cost", F.lit(float(cost)))
                  .withColumn("n_iter", F.lit(iters).cast("int")))
         out = row if out is None else out.unionByName(row)

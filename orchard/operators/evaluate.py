@@ -35,39 +35,46 @@ def accuracy(df: DataFrame, truth: str = "label", pred: str = "prediction",
               .withColumn("accuracy", F.col("correct") / F.col("n")))
 
 
-def precision_recall(df: DataFrame, truth: str = "label", pred: str = "prediction",
-                     average: str = "binary", pos_label=1, by: Sequence[str] = ()) -> DataFrame:
-    """Precision and recall, ``binary`` (class ``pos_label``),
-    ``micro``, ``macro`` or ``weighted``; a zero denominator gives 0."""
-    if average == "binary":
-        t = F.col(truth) == F.lit(pos_label)
-        p = F.col(pred) == F.lit(pos_label)
-        g = df.groupBy(*by).agg(F.sum((t & p).cast("int")).alias("tp"),
-                                F.sum(p.cast("int")).alias("pp"),
-                                F.sum(t.cast("int")).alias("ap"))
-        return g.select(*by,
-                        F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(F.lit(0.0)).alias("precision"),
-                        F.when(F.col("ap") > 0, F.col("tp") / F.col("ap")).otherwise(F.lit(0.0)).alias("recall"))
+AVERAGES = ("binary", "micro", "macro", "weighted")
+
+
+def classification_scores(df: DataFrame, truth: str = "label", pred: str = "prediction", pos_label=1,
+                          by: Sequence[str] = ()) -> DataFrame:
+    """E2-E4 in one pass: ``n``, ``correct``, ``accuracy`` and
+    ``precision_<average>`` / ``recall_<average>`` for ``binary`` (class
+    ``pos_label``), ``micro``, ``macro`` and ``weighted``; a zero denominator
+    gives 0.  One scan: the contingency table is turned into a row per class,
+    and those rows are aggregated - no join."""
     cm = confusion(df, truth, pred, by)
-    if average == "micro":
-        g = cm.groupBy(*by).agg(F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"),
-                                F.sum("n").alias("n"))
-        v = F.col("tp") / F.col("n")
-        return g.select(*by, v.alias("precision"), v.alias("recall"))
-    # per-class tp, predicted and actual counts; classes = labels seen in either column
-    per_true = cm.groupBy(*by, F.col("truth").alias("cls")).agg(
-        F.sum("n").alias("actual"),
-        F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"))
-    per_pred = cm.groupBy(*by, F.col("pred").alias("cls")).agg(F.sum("n").alias("predicted"))
-    pc = per_true.join(per_pred, on=[*by, "cls"], how="full_outer").fillna(0, ["actual", "tp", "predicted"])
+    hit = F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(F.struct(F.col("truth").alias("cls"), F.col("n").alias("actual"), zero.alias("predicted"),
+                             hit.cast("bigint").alias("tp")),
+                    F.struct(F.col("pred").alias("cls"), zero.alias("actual"), F.col("n").alias("predicted"),
+                             zero.alias("tp")))
+    pc = (cm.select(*by, F.explode(sides).alias("s")).groupBy(*by, F.col("s.cls").alias("cls"))
+            .agg(*[F.sum(f"s.{c}").alias(c) for c in ("actual", "predicted", "tp")]))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("actual") > 0, F.col("tp") / F.col("actual")).otherwise(F.lit(0.0))
-    if average == "macro":
-        return pc.groupBy(*by).agg(F.avg(prec).alias("precision"), F.avg(rec).alias("recall"))
-    if average == "weighted":
-        return pc.groupBy(*by).agg((F.sum(prec * F.col("actual")) / F.sum("actual")).alias("precision"),
-                                   (F.sum(rec * F.col("actual")) / F.sum("actual")).alias("recall"))
-    raise ValueError(f"unknown average {average!r}")
+    pos = F.col("cls") == F.lit(pos_label)
+    out = pc.groupBy(*by).agg(
+        F.sum("actual").cast("bigint").alias("n"), F.sum("tp").cast("bigint").alias("correct"),
+        F.coalesce(F.sum(F.when(pos, prec)), F.lit(0.0)).alias("precision_binary"),
+        F.coalesce(F.sum(F.when(pos, rec)), F.lit(0.0)).alias("recall_binary"),
+        F.avg(prec).alias("precision_macro"), F.avg(rec).alias("recall_macro"),
+        (F.sum(prec * F.col("actual")) / F.sum("actual")).alias("precision_weighted"),
+        (F.sum(rec * F.col("actual")) / F.sum("actual")).alias("recall_weighted"))
+    share = F.col("correct") / F.col("n")
+    return out.withColumns({"accuracy": share, "precision_micro": share, "recall_micro": share})
+
+
+def precision_recall(df: DataFrame, truth: str = "label", pred: str = "prediction",
+                     average: str = "binary", pos_label=1, by: Sequence[str] = ()) -> DataFrame:
+    """``precision`` and ``recall`` for one kind of average."""
+    if average not in AVERAGES:
+        raise ValueError(f"unknown average {average!r}")
+    s = classification_scores(df, truth, pred, pos_label, by)
+    return s.select(*by, F.col(f"precision_{average}").alias("precision"), F.col(f"recall_{average}").alias("recall"))
 
 
 def best_by_score(df: DataFrame, score: str, order_key: str, by: Sequence[str] = ()) -> DataFrame:
@@ -80,43 +87,41 @@ def best_by_score(df: DataFrame, score: str, order_key: str, by: Sequence[str] =
 
 
 # ------------------------------------------------------------ clustering scores
-def _group(df: DataFrame, by: Sequence[str]):
-    """Evaluate per ``by`` group; without groups use one constant group so
-    every step is a keyed join (never a cartesian product)."""
-    by = list(by)
-    if by:
-        return df, by, by
-    return df.withColumn("_g", F.lit(0)), ["_g"], []
-
-
 def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
                    by: Sequence[str] = (), with_ami: bool = True) -> DataFrame:
     """E2 (raw), purity, E9 homogeneity, E10 completeness, E11 V-measure,
     E12 adjusted Rand, E13 adjusted mutual information (arithmetic mean),
-    natural logarithms, from one contingency table per ``by`` group."""
-    df, g, out_by = _group(df, by)
-    cm = confusion(df, truth, pred, g)
-    a = cm.groupBy(*g, "truth").agg(F.sum("n").alias("a"))
-    b = cm.groupBy(*g, "pred").agg(F.sum("n").alias("b"))
-    tot = cm.groupBy(*g).agg(F.sum("n").cast("double").alias("ntot"),
-                             F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)).alias("hits"),
-                             F.sum(F.col("n").cast("double") * F.col("n")).alias("sum_nij2"))
-    # mutual information: sum n_ij/N * ln(N n_ij / (a_i b_j)), clipped at 0
-    cmab = cm.join(a, [*g, "truth"]).join(b, [*g, "pred"]).join(tot.select(*g, "ntot"), g)
-    mi = cmab.groupBy(*g).agg(F.sum(F.col("n") / F.col("ntot") * (F.log(F.col("n")) + F.log(F.col("ntot"))
-                                                             - F.log(F.col("a")) - F.log(F.col("b")))).alias("mi_raw"))
-    ha = a.groupBy(*g).agg(F.sum(F.col("a") * F.log(F.col("a"))).alias("sa_log"),
-                           F.sum(F.col("a").cast("double") * F.col("a")).alias("sum_a2"),
-                           F.count(F.lit(1)).alias("n_true"))
-    hb = b.groupBy(*g).agg(F.sum(F.col("b") * F.log(F.col("b"))).alias("sb_log"),
-                           F.sum(F.col("b").cast("double") * F.col("b")).alias("sum_b2"),
-                           F.count(F.lit(1)).alias("n_pred"))
-    purity = cm.groupBy(*g, "pred").agg(F.max("n").alias("m")).groupBy(*g).agg(F.sum("m").alias("maj"))
-    s = tot.join(mi, g).join(ha, g).join(hb, g).join(purity, g)
-    N = F.col("ntot")
-    h_t = F.log(N) - F.col("sa_log") / N
-    h_p = F.log(N) - F.col("sb_log") / N
-    s = s.withColumn("h_true", F.greatest(h_t, F.lit(0.0))).withColumn("h_pred", F.greatest(h_p, F.lit(0.0)))
+    natural logarithms, from one contingency table per ``by`` group.
+
+    One scan: margins are window sums over the contingency table (#classes x
+    #clusters rows), and a single aggregate turns its rows into every sum
+    that the scores need - no join."""
+    by = list(by)
+    cm = confusion(df, truth, pred, by)
+    wg, wt, wp = (Window.partitionBy(*by, *extra) for extra in ((), ("truth",), ("pred",)))
+    cm = cm.select("*", F.sum("n").over(wt).alias("a"), F.sum("n").over(wp).alias("b"),
+                   F.sum("n").over(wg).cast("double").alias("ntot"), F.max("n").over(wp).alias("most"),
+                   (F.row_number().over(wt.orderBy("pred")) == 1).alias("ft"),
+                   (F.row_number().over(wp.orderBy("truth")) == 1).alias("fp"))
+    a, b, n, N = (F.col(c) for c in ("a", "b", "n", "ntot"))
+
+    def once(flag, x):
+        return F.sum(F.when(F.col(flag), x))
+
+    s = cm.groupBy(*by).agg(
+        F.max(N).alias("ntot"), F.sum(F.when(F.col("truth") == F.col("pred"), n).otherwise(0)).alias("hits"),
+        F.sum(n.cast("double") * n).alias("sum_nij2"),
+        # mutual information: sum n_ij/N * ln(N n_ij / (a_i b_j)), clipped at 0
+        F.sum(n / N * (F.log(n) + F.log(N) - F.log(a) - F.log(b))).alias("mi_raw"),
+        once("ft", a * F.log(a)).alias("sa_log"), once("ft", a.cast("double") * a).alias("sum_a2"),
+        once("ft", F.lit(1)).alias("n_true"), once("fp", b * F.log(b)).alias("sb_log"),
+        once("fp", b.cast("double") * b).alias("sum_b2"), once("fp", F.lit(1)).alias("n_pred"),
+        once("fp", F.col("most")).alias("maj"), F.collect_list(F.when(F.col("ft"), a)).alias("as_"),
+        F.collect_list(F.when(F.col("fp"), b)).alias("bs_")).where(N > 0)
+    if with_ami:
+        s = expected_mutual_info(s, by)
+    s = s.withColumn("h_true", F.greatest(F.log(N) - F.col("sa_log") / N, F.lit(0.0)))
+    s = s.withColumn("h_pred", F.greatest(F.log(N) - F.col("sb_log") / N, F.lit(0.0)))
     s = s.withColumn("mi", F.greatest(F.col("mi_raw"), F.lit(0.0)))
     hom = F.when(F.col("h_true") == 0, F.lit(1.0)).otherwise(F.col("mi") / F.col("h_true"))
     com = F.when(F.col("h_pred") == 0, F.lit(1.0)).otherwise(F.col("mi") / F.col("h_pred"))
@@ -133,11 +138,9 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
         F.lit(2.0) * (tp * tn - fn * fp) / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)))
     s = s.withColumn("adjusted_rand", ari)
     s = s.withColumn("raw_accuracy", F.col("hits") / N).withColumn("purity", F.col("maj") / N)
-    cols = [*out_by, N.cast("bigint").alias("n"), "raw_accuracy", "purity", "homogeneity", "completeness",
+    cols = [*by, N.cast("bigint").alias("n"), "raw_accuracy", "purity", "homogeneity", "completeness",
             "v_measure", "adjusted_rand"]
     if with_ami:
-        emi = expected_mutual_info(a, b, tot.select(*g, "ntot"), g)
-        s = s.join(emi, g)
         norm = (F.col("h_true") + F.col("h_pred")) / 2
         den = norm - F.col("emi")
         den = F.when(den < 0, F.least(den, F.lit(-EPS))).otherwise(F.greatest(den, F.lit(EPS)))
@@ -148,20 +151,20 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
     return s.select(*cols)
 
 
-def expected_mutual_info(a: DataFrame, b: DataFrame, tot: DataFrame, by: Sequence[str]) -> DataFrame:
-    """E[MI] under the hypergeometric model of random labelings.
+def expected_mutual_info(s: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add ``emi``: E[MI] under the hypergeometric model of random labelings,
+    from one row per group with the total ``ntot`` and the margins ``as_``
+    and ``bs_``.
 
-    Margins are per-group label counts (#classes rows), so the (i, j) pairs
-    are a product of two short lists formed by ``explode`` inside one group
-    row, not a join of data rows.  The inner sum over n_ij has
-    min(a_i, b_j) terms, all evaluated with log-factorials in the JVM.
+    The (a_i, b_j) pairs come from the margin lists of a group row; they are
+    dealt out by value before their terms are generated, so the terms of a
+    group spread over the tasks.
     """
     by = list(by)
-    am = a.groupBy(*by).agg(F.collect_list("a").alias("as_"))
-    bm = b.groupBy(*by).agg(F.collect_list("b").alias("bs_"))
-    m = am.join(bm, by).join(tot, by)
-    pairs = (m.select(*by, "ntot", F.explode("as_").alias("ai"), "bs_")
-              .select(*by, "ntot", "ai", F.explode("bs_").alias("bj")))
+    keep = [c for c in s.columns if c not in (*by, "as_", "bs_")]
+    pairs = (s.select(*by, *keep, F.explode("as_").alias("ai"), "bs_")
+              .select(*by, *keep, "ai", F.explode("bs_").alias("bj"))
+              .repartition(int(s.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ai", "bj"))
     lo = F.greatest(F.lit(1).cast("bigint"), F.col("ai") + F.col("bj") - F.col("ntot").cast("bigint"))
     hi = F.least(F.col("ai"), F.col("bj"))
     # Hoeffding's bound for sampling without replacement: terms further than
@@ -172,37 +175,37 @@ def expected_mutual_info(a: DataFrame, b: DataFrame, tot: DataFrame, by: Sequenc
     reach = F.sqrt(F.lit(400.0) * F.least(F.col("ai"), F.col("bj")).cast("double")) + F.lit(1.0)
     lo = F.greatest(lo, F.floor(mu - reach).cast("bigint"))
     hi = F.least(hi, F.ceil(mu + reach).cast("bigint"))
-    terms = pairs.select(*by, "ntot", "ai", "bj", F.explode(F.sequence(lo, hi)).alias("nij"))
+    terms = pairs.select("*", F.explode(F.sequence(lo, hi)).alias("nij"))
     N, ai, bj, nij = F.col("ntot"), F.col("ai").cast("double"), F.col("bj").cast("double"), F.col("nij").cast("double")
     lg = (log_factorial(ai) + log_factorial(bj) + log_factorial(N - ai) + log_factorial(N - bj)
           - log_factorial(N) - log_factorial(nij) - log_factorial(ai - nij) - log_factorial(bj - nij)
           - log_factorial(N - ai - bj + nij))
     term = nij / N * (F.log(N * nij) - F.log(ai * bj)) * F.exp(lg)
-    return terms.groupBy(*by).agg(F.sum(term).alias("emi"))
+    return terms.groupBy(*by).agg(F.sum(term).alias("emi"), *[F.max(c).alias(c) for c in keep]).where(F.col("ntot") > 0)
 
 
 def calinski_harabasz(df: DataFrame, features: str = "features", cluster: str = "cluster",
                       by: Sequence[str] = ()) -> DataFrame:
     """[B/(k-1)] / [W/(n-k)]; null when k < 2, 1.0 when W = 0.
 
-    Two aggregate passes over the data (centroids, then squared distances),
-    each a partial aggregation; centroids are k rows per group, joined back by
-    broadcast hash join.
+    One scan: count, mean and central second moment per (cluster, dimension)
+    are one partial aggregation; the rest works on those k x d rows.
     """
-    df, by, out_by = _group(df, by)
-    d = df.select(*by, cluster, F.posexplode(F.col(features).cast("array<double>")).alias("dim", "x"))
-    cent = d.groupBy(*by, cluster, "dim").agg(F.avg("x").alias("c"), F.count(F.lit(1)).alias("nk"))
-    glob = d.groupBy(*by, "dim").agg(F.avg("x").alias("g"))
-    extra = (cent.join(glob, [*by, "dim"])
-                 .groupBy(*by).agg(F.sum(F.col("nk") * (F.col("c") - F.col("g")) * (F.col("c") - F.col("g"))).alias("B")))
-    intra = (d.join(cent.select(*by, cluster, "dim", "c"), [*by, cluster, "dim"])
-              .groupBy(*by).agg(F.sum((F.col("x") - F.col("c")) * (F.col("x") - F.col("c"))).alias("W")))
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(cluster).alias("k"))
-    s = extra.join(intra, by).join(sizes, by)
+    by = list(by)
+    d = df.select(*by, F.col(cluster).alias("_c"), F.posexplode(F.col(features).cast("array<double>")).alias("dim", "x"))
+    m = d.groupBy(*by, "_c", "dim").agg(F.count("x").alias("nk"), F.avg("x").alias("c"), F.var_pop("x").alias("v"))
+    w = Window.partitionBy(*by, "dim")
+    g = F.sum(F.col("nk") * F.col("c")).over(w) / F.sum("nk").over(w)
+    m = m.withColumn("gap", F.col("c") - g)
+    one = F.col("dim") == 0
+    s = m.groupBy(*by).agg(F.sum(F.col("nk") * F.col("gap") * F.col("gap")).alias("B"),
+                           F.sum(F.col("nk") * F.col("v")).alias("W"),
+                           F.sum(F.when(one, F.col("nk"))).alias("n"),
+                           F.sum(F.when(one, 1)).alias("k"))
     ch = (F.when(F.col("k") < 2, F.lit(None).cast("double"))
            .when(F.col("W") == 0, F.lit(1.0))
            .otherwise(F.col("B") * (F.col("n") - F.col("k")) / (F.col("W") * (F.col("k") - 1))))
-    return s.select(*out_by, F.col("k").cast("bigint").alias("k"), ch.alias("calinski_harabasz"))
+    return s.select(*by, F.col("k").cast("bigint").alias("k"), ch.alias("calinski_harabasz"))
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster", by: Sequence[str] = ()) -> DataFrame:
@@ -228,8 +231,6 @@ def silhouette(df: DataFrame, key: str, features: str = "features", cluster: str
 
     from orchard.operators.split import sample_n
 
-    if sample > 50_000:
-        raise ValueError("silhouette sample must stay bounded (<= 50,000 rows)")
     s = sample_n(df.select(key, features, cluster), key, sample, seed)
     pdf = s.toPandas()                                   # <= sample rows by construction
     if len(pdf) == 0:

@@ -395,12 +395,16 @@ def next_in_order(df: DataFrame, by: Sequence[str], order: Sequence, cols: Seque
     return idx.join(nxt, [*by, "_t"], "left")
 
 
-def steps_from_events(events: DataFrame) -> DataFrame:
+def steps_from_events(events: DataFrame, episode=None) -> DataFrame:
     """Logged experience as episode steps: episode = user, t = position in
     (ts, event_id) order, state = (day index, hour), action = event type,
-    reward = value.  ``(episode, t, x, y, action, reward, event_id)``."""
+    reward = value.  ``(episode, t, x, y, action, reward, event_id)``;
+    days count from the first event of the whole log.  ``episode`` keeps the
+    steps of one user only."""
     from orchard.operators.ordering import row_index
     day0 = events.agg(F.min(F.to_date("ts")).alias("d0")).first()["d0"]
+    if episode is not None:
+        events = events.where(F.col("user_id") == F.lit(episode))
     e = events.select(F.col("user_id").alias("episode"), "event_id", "ts",
                       F.datediff(F.to_date("ts"), F.lit(day0)).cast("int").alias("x"),
                       F.hour("ts").cast("int").alias("y"),
@@ -474,11 +478,14 @@ def action_probs(q: DataFrame, policy: str = "epsilon", param: float = 0.1, tie_
     return df.select("s", "a", "q", p.alias("prob"))
 
 
-def episode_summary(steps: DataFrame) -> DataFrame:
-    """Time steps and total reward (rewards of t >= 1) per episode."""
-    return steps.groupBy("episode").agg(
+def episode_summary(events: DataFrame, episode: str = "user_id", reward: str = "value",
+                    order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
+    """Time steps and total reward per episode; the first step (in
+    ``order``) earns nothing.  One partial aggregate, no sort."""
+    first = F.min_by(F.coalesce(F.col(reward), F.lit(0.0)), F.struct(*order))
+    return events.groupBy(F.col(episode).alias("episode")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_steps"),
-        F.coalesce(F.sum(F.when(F.col("t") >= 1, F.col("reward"))), F.lit(0.0)).alias("total_reward"))
+        (F.coalesce(F.sum(reward), F.lit(0.0)) - first).alias("total_reward"))
 
 
 def best_episode(summary: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Everything that touches rows is a Spark plan; only d x d / k x d matrices
 (bounded by the number of features, never by the number of rows) are
 solved on the driver with numpy - the same split ``pyspark.ml`` makes.
 
-* D3 truncated SVD: ``RowMatrix.computeSVD`` (uncentred), project X V.
+* D3 truncated SVD: eigenvectors of the Gram matrix (uncentred), project X V.
 * D4 PCA (centred, optionally whitened): covariance (D2) -> eigen-decomposition.
 * D5 FastICA: whiten (D4), then symmetric fixed-point iterations; each
   iteration is one distributed aggregate of E[z g(w'z)] and E[g'(w'z)].
@@ -23,10 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.vectors import dot, vector_literal
-from orchard.operators.scale import covariance, moments
-
-
-MAX_INLINE_WEIGHTS = 1_000_000    # d x k literals inlined into one projection
+from orchard.operators.scale import co_moments, first_vector, gram
 
 
 def _fix_signs(V: np.ndarray) -> np.ndarray:
@@ -41,8 +38,6 @@ def project(df: DataFrame, W: np.ndarray, features: str = "features", out: str =
             mean: Sequence[float] | None = None, scale: Sequence[float] | None = None) -> DataFrame:
     """Rows times a (d x k) matrix as k dot products with literal columns of
     W (k x d values inlined; a projection, no join)."""
-    if W.shape[0] * W.shape[1] > MAX_INLINE_WEIGHTS:
-        raise ValueError(f"projection matrix {W.shape} too large to inline; reduce d or k")
     x = F.col(features).cast("array<double>")
     if mean is not None:
         m = vector_literal(mean)
@@ -70,33 +65,33 @@ def gaussian_random_projection(df: DataFrame, k: int, seed: int, d: int | None =
 
 # ----------------------------------------------------------------------- D3
 def truncated_svd(df: DataFrame, k: int, features: str = "features", out: str = "reduced"):
-    """D3: uncentred truncated SVD via ``RowMatrix.computeSVD``; rows are
+    """D3: uncentred truncated SVD: the right singular vectors are the top
+    eigenvectors of the Gram matrix (D2, one scan, d x d numbers); rows are
     projected on V (= U Sigma).  Signs fixed (largest |entry| positive).
     Returns (projected DataFrame, singular values, V)."""
-    from pyspark.mllib.linalg import Vectors as MV
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    rows = df.select(F.col(features).cast("array<double>")).rdd.map(lambda r: MV.dense(r[0]))
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    V = _fix_signs(np.array(svd.V.toArray()))
-    s = np.array(svd.s.toArray())
-    return project(df, V, features, out), s, V
+    g = gram(df, features).collect()
+    d = 1 + max(r["i"] for r in g)
+    G = np.zeros((d, d))
+    for r in g:
+        G[r["i"], r["j"]] = G[r["j"], r["i"]] = r["g"]
+    vals, vecs = np.linalg.eigh(G)
+    order = np.argsort(vals)[::-1][:k]
+    V = _fix_signs(vecs[:, order])
+    return project(df, V, features, out), np.sqrt(np.maximum(vals[order], 0.0)), V
 
 
 # ----------------------------------------------------------------------- D4
 def pca_fit(df: DataFrame, k: int, features: str = "features"):
     """Mean, top-k eigenvectors (d x k) and eigenvalues of the sample
     covariance (the covariance is a d x d aggregate, D2)."""
-    cov = covariance(df, features).collect()
-    d = 1 + max(r["i"] for r in cov)
-    C = np.zeros((d, d))
-    for r in cov:
-        C[r["i"], r["j"]] = C[r["j"], r["i"]] = r["cov"]
-    mom = moments(df, features).where(F.col("j") == -1).collect()     # d + 1 numbers
-    n = next(r["s"] for r in mom if r["i"] == -1)
-    mean = np.zeros(d)
-    for r in mom:
-        if r["i"] >= 0:
-            mean[r["i"]] = r["s"] / n
+    shift = np.array(first_vector(df, features))
+    d = len(shift)
+    C, mean = np.zeros((d, d)), np.zeros(d)
+    for r in co_moments(df, features, shift.tolist()).collect():        # d (d + 1) / 2 rows
+        i, j, n = r["i"], r["j"], r["n"]
+        C[i, j] = C[j, i] = (r["sxy"] - r["sx"] * r["sy"] / n) / (n - 1)
+        if i == j:
+            mean[i] = shift[i] + r["sx"] / n
     vals, vecs = np.linalg.eigh(C)
     order = np.argsort(vals)[::-1][:k]
     return mean, _fix_signs(vecs[:, order]), vals[order]

@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def standard_scale_fit(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -69,53 +68,52 @@ def standard_scale_vectors_apply(df: DataFrame, means, sds, features: str = "fea
     return df.withColumn(features, scaled)
 
 
-def moments(df: DataFrame, features: str = "features", centred: bool = True) -> DataFrame:
-    """Partial sums for covariance: ``(i, j, sxy)`` for i <= j plus ``(i, -1, sx)``
-    and ``(-1, -1, n)`` rows, summed across partitions."""
-    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()),
-                           T.StructField("s", T.DoubleType())])
+def co_moments(df: DataFrame, features: str = "features", shift: Sequence[float] | None = None) -> DataFrame:
+    """``(i, j, sxy, sx, sy, n)`` for i <= j: sums of products and sums of
+    ``x - shift`` over all rows, in one scan.
+
+    Every task adds up its rows in numpy and hands on d(d+1)/2 rows, which a
+    ``groupBy`` sums.  With a shift near the data (any row will do) the
+    difference of the sums does not cancel, however large the means are.
+    """
+    schema = "i int, j int, sxy double, sx double, sy double, n double"
 
     def part(it):
-        G = None
-        sx = None
+        G = sx = None
         n = 0
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            X = np.vstack(pdf[features].to_numpy()).astype(np.float64)
+            X = np.vstack(pdf["x"].to_numpy()).astype(np.float64)
+            if shift is not None:
+                X = X - np.asarray(shift)
             if G is None:
-                G = np.zeros((X.shape[1], X.shape[1]))
-                sx = np.zeros(X.shape[1])
+                G, sx = np.zeros((X.shape[1], X.shape[1])), np.zeros(X.shape[1])
             G += X.T @ X
             sx += X.sum(axis=0)
             n += X.shape[0]
         if G is None:
             return
-        iu, ju = np.triu_indices(G.shape[0])
-        rows = [pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "s": G[iu, ju]}),
-                pd.DataFrame({"i": np.arange(len(sx), dtype=np.int32), "j": np.full(len(sx), -1, np.int32), "s": sx}),
-                pd.DataFrame({"i": np.array([-1], np.int32), "j": np.array([-1], np.int32), "s": [float(n)]})]
-        yield pd.concat(rows, ignore_index=True)
+        i, j = np.triu_indices(G.shape[0])
+        yield pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "sxy": G[i, j], "sx": sx[i], "sy": sx[j],
+                            "n": np.full(len(i), float(n))})
+
+    x = df.select(F.col(features).cast("array<double>").alias("x")).where("x IS NOT NULL")
+    return x.mapInPandas(part, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("sxy", "sx", "sy", "n")])
+
 
-    return (df.select(F.col(features).cast("array<double>").alias(features))
-              .mapInPandas(part, schema).groupBy("i", "j").agg(F.sum("s").alias("s")))
+def first_vector(df: DataFrame, features: str = "features") -> list[float]:
+    r = df.select(F.col(features).cast("array<double>").alias("x")).where("x IS NOT NULL").first()
+    return list(r["x"]) if r else []
 
 
 def covariance(df: DataFrame, features: str = "features", sample: bool = True) -> DataFrame:
     """``(i, j, cov)`` for i <= j (sample covariance by default)."""
-    m = moments(df, features)
-    sxy = m.where((F.col("i") >= 0) & (F.col("j") >= 0))
-    sx = m.where((F.col("i") >= 0) & (F.col("j") == -1)).select(F.col("i").alias("k"), F.col("s").alias("sk"))
-    n = m.where((F.col("i") == -1)).select(F.col("s").alias("n"), F.lit(1).alias("_one"))
-    out = (sxy.join(F.broadcast(sx.withColumnRenamed("k", "i").withColumnRenamed("sk", "si")), "i")
-              .join(F.broadcast(sx.withColumnRenamed("k", "j").withColumnRenamed("sk", "sj")), "j")
-              .withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one"))
-    ddof = 1.0 if sample else 0.0
-    cov = (F.col("s") - F.col("si") * F.col("sj") / F.col("n")) / (F.col("n") - F.lit(ddof))
-    return out.select("i", "j", cov.alias("cov"))
+    m = co_moments(df, features, first_vector(df, features))
+    cov = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - F.lit(1.0 if sample else 0.0))
+    return m.select("i", "j", cov.alias("cov"))
 
 
 def gram(df: DataFrame, features: str = "features") -> DataFrame:
     """Uncentred ``X^T X`` as ``(i, j, g)`` for i <= j."""
-    m = moments(df, features)
-    return m.where((F.col("i") >= 0) & (F.col("j") >= 0)).select("i", "j", F.col("s").alias("g"))
+    return co_moments(df, features).select("i", "j", F.col("sxy").alias("g"))

@@ -310,16 +310,10 @@ SELECT round(hit / n, 6) AS accuracy,
        round(pw, 6) AS precision_weighted, round(rw, 6) AS recall_weighted
 FROM b, m""")
 def q_e3(spark, sf):
-    lab = t(spark, sf, "labels").withColumn("_g", F.lit(0))
-    out = None
-    from orchard.operators.evaluate import accuracy
-    acc = accuracy(lab, "quality", "toxic", by=["_g"]).select("_g", r6("accuracy").alias("accuracy"))
-    out = acc
-    for avg in ("binary", "micro", "macro", "weighted"):
-        pr = precision_recall(lab, "quality", "toxic", average=avg, by=["_g"])
-        out = out.join(pr.select("_g", r6("precision").alias(f"precision_{avg}"),
-                                 r6("recall").alias(f"recall_{avg}")), "_g")
-    return out.drop("_g")
+    from orchard.operators.evaluate import AVERAGES, classification_scores
+    s = classification_scores(t(spark, sf, "labels"), "quality", "toxic")
+    return s.select(r6("accuracy").alias("accuracy"),
+                    *[r6(f"{m}_{a}").alias(f"{m}_{a}") for a in AVERAGES for m in ("precision", "recall")])
 
 
 # ------------------------------------------------------------------ windows / run tables

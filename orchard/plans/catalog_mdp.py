@@ -276,7 +276,7 @@ summ AS (SELECT episode, CAST(count(*) AS BIGINT) AS n_steps,
 
 @register("m17_episode_summary", f"WITH {SQL_STEPS} SELECT episode, n_steps, round(total_reward, 6) AS total_reward FROM summ")
 def q_m17(spark, sf):
-    s = M.episode_summary(M.steps_from_events(t(spark, sf, "events")))
+    s = M.episode_summary(t(spark, sf, "events"))
     return s.select("episode", "n_steps", r6("total_reward").alias("total_reward"))
 
 
@@ -290,7 +290,7 @@ best AS (SELECT (SELECT episode FROM summ ORDER BY n_steps, episode LIMIT 1) AS
 @register("m18_best_episode", f"""WITH {SQL_BEST}
 SELECT fewest_steps_episode, fewest_steps, top_reward_episode, round(top_reward, 6) AS top_reward FROM best""")
 def q_m18(spark, sf):
-    b = M.best_episode(M.episode_summary(M.steps_from_events(t(spark, sf, "events"))))
+    b = M.best_episode(M.episode_summary(t(spark, sf, "events")))
     return b.select("fewest_steps_episode", "fewest_steps", "top_reward_episode", r6("top_reward").alias("top_reward"))
 
 
@@ -300,6 +300,6 @@ q AS (SELECT * FROM p WHERE t < (SELECT max(t) FROM p))
 SELECT CAST(floor(t / 10) AS BIGINT) AS line, string_agg(concat(x, ',', y), ' ' ORDER BY t) AS path
 FROM q GROUP BY 1""")
 def q_m19(spark, sf):
-    steps = M.steps_from_events(t(spark, sf, "events")).persist()
-    best = M.best_episode(M.episode_summary(steps)).first()["fewest_steps_episode"]
-    return M.episode_path(steps, int(best))
+    events = t(spark, sf, "events")
+    best = M.best_episode(M.episode_summary(events)).first()["fewest_steps_episode"]
+    return M.episode_path(M.steps_from_events(events, best), int(best))

@@ -15,7 +15,7 @@ from orchard.operators import classify as C
 from orchard.operators import mdp as M
 from orchard.operators import reduce as R
 from orchard.operators.cluster import cluster_sweep, gmm, gmm_centres, kmeans
-from orchard.operators.evaluate import accuracy, cluster_scores, precision_recall
+from orchard.operators.evaluate import classification_scores, cluster_scores
 from orchard.operators.split import learning_sizes_list, stratified_kfold, train_test_split
 from orchard.plans.catalog_mdp import GAMMA, _mdp
 from orchard.plans.common import SPLIT_SEED, embeddings, r6, t
@@ -45,11 +45,9 @@ def doc_features(spark, sf) -> DataFrame:
 
 
 def _scores(pred: DataFrame, avg: str = "binary", by=()) -> DataFrame:
-    acc = accuracy(pred, "label", "prediction", by=list(by))
-    pr = precision_recall(pred, "label", "prediction", average=avg, by=list(by))
-    if by:
-        return acc.join(pr, list(by))
-    return (acc.withColumn("_j", F.lit(1)).join(pr.withColumn("_j", F.lit(1)), "_j").drop("_j"))
+    s = classification_scores(pred, "label", "prediction", by=list(by))
+    return s.select(*by, "n", "correct", "accuracy", F.col(f"precision_{avg}").alias("precision"),
+                    F.col(f"recall_{avg}").alias("recall"))
 
 
 # ------------------------------------------------------------------ trees

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orchard.operators.evaluate import accuracy, precision_recall
+from orchard.operators.evaluate import classification_scores
 from orchard.operators.neighbours import knn_classify, knn_join
 from orchard.plans.common import SQL_EMB, embeddings, r6
 from orchard.plans.registry import register
@@ -60,9 +60,7 @@ FROM acc JOIN m ON acc.k = m.k"""
 def q_knn_sweep(spark, sf):
     e = embeddings(spark, sf)
     pred = knn_classify(e.where(~F.col("is_test")), e.where(F.col("is_test")), KNN_KS, "vec_id", "vec_id")
-    pred = pred.cache()
-    acc = accuracy(pred, "label", "prediction", by=["k"])
-    pr = precision_recall(pred, "label", "prediction", average="macro", by=["k"])
-    return (acc.join(pr, "k")
+    s = classification_scores(pred, "label", "prediction", by=["k"])
+    return (s
                .select(F.col("k").cast("int").alias("k"), "n", "correct", r6("accuracy").alias("accuracy"),
-                       r6("precision").alias("precision_macro"), r6("recall").alias("recall_macro")))
+                       r6("precision_macro").alias("precision_macro"), r6("recall_macro").alias("recall_macro")))

@@ -357,7 +357,5 @@ SELECT round(sum((y - score) * (y - score)), 4) AS sse, CAST(count(*) AS BIGINT)
 FROM o""")
 def q_c10(spark, sf):
     s = _net_scores(spark, sf)
-    e = sum_squares_error(s, "y", "score")
-    c = s.agg(F.sum((threshold("score", 0.5) == F.col("y")).cast("int")).cast("bigint").alias("correct"))
-    return (e.withColumn("_j", F.lit(1)).join(c.withColumn("_j", F.lit(1)), "_j")
-             .select(F.round("sse", 4).alias("sse"), "n", "correct"))
+    hit = F.sum((threshold("score", 0.5) == F.col("y")).cast("int")).cast("bigint").alias("correct")
+    return sum_squares_error(s, "y", "score", extra=[hit]).select(F.round("sse", 4).alias("sse"), "n", "correct")

@@ -8,7 +8,9 @@ the cluster and only invents one when it is unset (local runs, tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="orchard-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -87,7 +91,8 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="orchard-py-", dir="/tmp")
+    out_dir = tempfile.mkdtemp(prefix="orchard-py-")
+    atexit.register(shutil.rmtree, out_dir, ignore_errors=True)      # the driver serves it until it ends
     path = os.path.join(out_dir, "orchard.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):

@@ -19,7 +19,7 @@ def test_streaming_episode_summary_equals_batch(spark):
     run_to_table(stream_episode_summary(read_events_stream(spark, src)), "episodes_s", ck, "complete")
     got = {r["episode"]: (r["n_steps"], round(r["total_reward"], 6)) for r in spark.table("episodes_s").collect()}
     want = {r["episode"]: (r["n_steps"], round(r["total_reward"], 6))
-            for r in M.episode_summary(M.steps_from_events(ev)).collect()}
+            for r in M.episode_summary(ev).collect()}
     assert got == want
 
 
