@@ -14,6 +14,7 @@ import math
 import time
 from collections import Counter
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,6 +133,20 @@ def prune_reduced_error(nodes: list[dict], holdout: DataFrame, features: str = "
 ESTIMATOR_POOL = [1, 2, 5, 10, 20, 40, 80, 100, 150, 200]   # fixed values of the reference's sweep
 
 
+def samme_r_step(s: DataFrame, k: int, learning_rate: float = 1.0, label: str = "label", log_probs: str = "_lp",
+                 weight: str = "_w", decision: str = "_f") -> DataFrame:
+    """C5, one round of SAMME.R (Zhu et al., 2009) from the log class
+    probabilities of a fitted tree: the weight of a row is multiplied by
+    exp(-rate (k-1)/k y.log p), with y = 1 for its class and -1/(k-1) for the
+    others, and the decision function gains rate (k-1)(log p - mean log p)."""
+    mean_lp = F.aggregate(log_probs, F.lit(0.0), lambda a, x: a + x) / k
+    h = F.transform(log_probs, lambda lp: F.lit(k - 1.0) * (lp - mean_lp))
+    ylp = F.aggregate(F.transform(log_probs, lambda lp, i: F.when(i == F.col(label).cast("int"), lp)
+                                  .otherwise(-lp / (k - 1))), F.lit(0.0), lambda a, x: a + x)
+    s = s.withColumn(weight, F.col(weight) * F.exp(F.lit(-learning_rate * (k - 1.0) / k) * ylp))
+    return s.withColumn(decision, F.zip_with(decision, h, lambda a, b: a + F.lit(learning_rate) * b))
+
+
 def adaboost_samme_r(df: DataFrame, n_estimators: int = 50, learning_rate: float = 1.0, max_depth: int = 1,
                      features: str = "features", label: str = "label", impurity: str = "gini",
                      checkpoint_every: int = 5, eps: float = 2.220446049250313e-16,
@@ -163,13 +178,7 @@ def adaboost_samme_r(df: DataFrame, n_estimators: int = 50, learning_rate: float
                                       predictionCol="_pred", seed=m).fit(d.where(fit_rows))
         s = tree.transform(d).withColumn("_lp", F.transform(vector_to_array("_p"),
                                                             lambda p: F.log(F.greatest(p, F.lit(eps)))))
-        mean_lp = F.aggregate("_lp", F.lit(0.0), lambda a, x: a + x) / k
-        h = F.transform("_lp", lambda lp: F.lit(k - 1.0) * (lp - mean_lp))
-        # y_k = 1 for the true class, -1/(K-1) otherwise
-        ylp = F.aggregate(F.transform("_lp", lambda lp, i: F.when(i == F.col(label).cast("int"), lp)
-                                      .otherwise(-lp / (k - 1))), F.lit(0.0), lambda a, x: a + x)
-        s = s.withColumn("_w", F.col("_w") * F.exp(F.lit(-learning_rate * (k - 1.0) / k) * ylp))
-        s = s.withColumn("_f", F.zip_with("_f", h, lambda a, b: a + F.lit(learning_rate) * b))
+        s = samme_r_step(s, k, learning_rate, label)
         s = s.withColumn("_w", F.when(fit_rows, F.col("_w")).otherwise(F.lit(0.0)))
         s = s.drop("_p", "_raw", "_pred", "_lp").persist()
         tot = s.agg(F.sum("_w")).first()[0] or 0.0
@@ -295,6 +304,33 @@ def sum_squares_error(df: DataFrame, label: str = "label", score: str = "score",
     return df.agg((F.sum(e) * (0.5 if half else 1.0)).alias("sse"), F.count(F.lit(1)).cast("bigint").alias("n"), *extra)
 
 
+def estimator_fit(estimator, features: str = "features") -> Callable:
+    """A ``pyspark.ml`` estimator as the ``fit`` function of E5 and E6 (its features column is ``_vec``)."""
+    def fit(train):
+        model = estimator.fit(to_vector(train, features))
+        return lambda df: model.transform(to_vector(df, features))
+    return fit
+
+
+def nearest_mean_fit(features: str = "features", label: str = "label") -> Callable:
+    """A deterministic classifier for E5 and E6: the class with the nearest mean, ties to the smaller label."""
+    from orchard.operators.neighbours import nearest_centre
+
+    def fit(train):
+        m = (train.select(F.col(label).cast("double").alias("y"), F.posexplode(F.col(features).cast("array<double>"))
+                          .alias("dim", "x")).groupBy("y", "dim").agg(F.avg("x").alias("c")).orderBy("y", "dim").collect())
+        means: dict = {}
+        for r in m:                                            # #classes x d numbers
+            means.setdefault(r["y"], []).append(r["c"])
+        names = F.array(*[F.lit(y) for y in means])
+
+        def predict(df):
+            near = nearest_centre(df, list(means.values()), features, "_centre")
+            return near.withColumn("prediction", F.get(names, F.col("_centre"))).drop("_centre")
+        return predict
+    return fit
+
+
 # ----------------------------------------------------------------------- E5 / E6 / E8
 def timed(fn: Callable, *a, **kw):
     """(result, wall seconds) of an action-producing call."""
@@ -304,39 +340,42 @@ def timed(fn: Callable, *a, **kw):
 
 
 def cross_val_score(fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], df_folds: DataFrame,
-                    k: int, label: str = "label", fold_col: str = "fold") -> DataFrame:
+                    k: int, label: str = "label", fold_col: str = "fold", parallelism: int = 4) -> DataFrame:
     """E5: for every fold, fit on the others and score on it; returns
     ``(fold, accuracy)`` rows plus the mean (fold = -1), as percentages.
     ``fit(train)`` returns a ``predict(df)`` function adding ``prediction``."""
-    rows = []
-    for f in range(k):
+    def one(f):
         pred = fit(df_folds.where(F.col(fold_col) != f))(df_folds.where(F.col(fold_col) == f))
         acc = pred.agg(F.avg((F.col(label) == F.col("prediction")).cast("double"))).first()[0]
-        rows.append((f, float(acc or 0.0) * 100))
+        return f, float(acc or 0.0) * 100
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(one, range(k))
     rows.append((-1, sum(r[1] for r in rows) / k))
     return df_folds.sparkSession.createDataFrame(rows, "fold INT, accuracy DOUBLE")
 
 
 def learning_curve(fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], df_folds: DataFrame, key: str,
                    k: int, sizes: Sequence[int], label: str = "label", fold_col: str = "fold",
-                   seed: int = 17, error: bool = False) -> DataFrame:
+                   seed: int = 17, error: bool = False, parallelism: int = 4) -> DataFrame:
     """Mean train and test accuracy per train size over the k CV
     rounds; the train sample of size m is the nested prefix ``prank < m``
     of one seeded ranking per round (T5).  ``error`` gives 1 - score."""
     from orchard.operators.split import nested_prefix_ranks
     ranks = nested_prefix_ranks(df_folds, key, k, seed, fold_col).select(key, "cv_round", "prank")
     ranks = cut_lineage(ranks)
+    def one(job):
+        m, f = job
+        ids = ranks.where((F.col("cv_round") == f) & (F.col("prank") < m)).select(key)
+        train = df_folds.join(ids, key, "left_semi")
+        hit = F.avg((F.col(label) == F.col("prediction")).cast("double"))
+        predict = fit(train)
+        return [float(predict(d).agg(hit).first()[0] or 0.0) for d in (train, df_folds.where(F.col(fold_col) == f))]
+    jobs = [(int(m), f) for m in sizes for f in range(k)]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(one, jobs)
     rows = []
     for m in sizes:
-        tr_s, te_s = [], []
-        for f in range(k):
-            ids = ranks.where((F.col("cv_round") == f) & (F.col("prank") < m)).select(key)
-            train = df_folds.join(ids, key, "left_semi")
-            test = df_folds.where(F.col(fold_col) == f)
-            hit = (F.col(label) == F.col("prediction")).cast("double")
-            predict = fit(train)
-            tr_s.append(predict(train).agg(F.avg(hit)).first()[0] or 0.0)
-            te_s.append(predict(test).agg(F.avg(hit)).first()[0] or 0.0)
-        a, b = sum(tr_s) / k, sum(te_s) / k
+        got = [s for s, (size, _) in zip(scores, jobs) if size == int(m)]
+        a, b = (sum(x[i] for x in got) / k for i in (0, 1))
         rows.append((int(m), 1 - a if error else a, 1 - b if error else b))
     return df_folds.sparkSession.createDataFrame(rows, "train_size BIGINT, train_score DOUBLE, test_score DOUBLE")

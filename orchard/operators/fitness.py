@@ -170,20 +170,17 @@ def optimum_summary(runs: DataFrame, by: Sequence[str], fitness: str, run_id: st
 
 # ----------------------------------------------------------------------- U1
 def score_candidates(df: DataFrame, fn, bits: str = "bits", out: str = "fitness",
-                     return_type: str = "double") -> DataFrame:
+                     return_type: str = "double", python: bool = False) -> DataFrame:
     """Apply a fitness function to every candidate.
 
-    ``fn`` is either a Column -> Column function (stays in the JVM, the
-    preferred form: :func:`alternating_bits`, :func:`four_peaks` ...) or a
-    plain Python function of one numpy array, run as an Arrow-batched pandas
-    UDF - the fallback for fitness functions Spark SQL cannot express.
+    ``fn`` is a Column -> Column function (stays in the JVM:
+    :func:`alternating_bits`, :func:`four_peaks` ...) or, with ``python``, a
+    function of one numpy array, run as an Arrow-batched pandas UDF for
+    fitness functions Spark SQL cannot express.
     """
-    try:
-        col = fn(F.col(bits))
-        if isinstance(col, Column):
-            return df.withColumn(out, col)
-    except Exception:  # noqa: BLE001 - not a Column function, use the pandas path
-        pass
+    if not python:
+        return df.withColumn(out, fn(F.col(bits)))
+
     @F.pandas_udf(return_type)
     def _score(s: pd.Series) -> pd.Series:
         return s.map(lambda a: fn(np.asarray(a)))

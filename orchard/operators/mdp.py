@@ -17,13 +17,14 @@ short and a lost executor recomputes from the last checkpoint.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orchard.session import cut_lineage
+from orchard.session import checkpoint_dir, cut_lineage
 from orchard.sources.grids import COSTLY, GOAL, NEG_EXIT, WALL
 
 # Fixed values of the reference's grid world.
@@ -90,45 +91,27 @@ def grid_transitions(cells: DataFrame, p_intended: float = P_INTENDED) -> DataFr
     return t.groupBy("x", "y", "a", "x2", "y2").agg(F.sum("p").alias("p"))
 
 
-def _broadcast_threshold(spark) -> int:
-    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    mult = {"b": 1, "k": 1024, "kb": 1024, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suf in ("kb", "mb", "gb", "b", "k", "m", "g"):
-        if v.endswith(suf):
-            return int(float(v[: -len(suf)]) * mult[suf])
-    return int(v)
-
-
-def prepare_transitions(transitions: DataFrame, states: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Attach the reward of s; for large state spaces store the table
-    bucketed on the successor (x2, y2) under the shared checkpoint folder.
+@contextmanager
+def prepared_transitions(transitions: DataFrame, states: DataFrame, partitions: int | None = None):
+    """The transitions with the reward of s, as a table bucketed on the
+    successor (x2, y2) under the shared checkpoint folder; dropped at the end
+    of the block, so results must be checkpointed inside it.
 
     Every sweep joins this table with the current values on the successor;
     a bucketed scan reports its hash partitioning, so only the values
     (#states rows) are shuffled per sweep and the transition table (about
-    16 x #states rows) never is.  (A cached table does not keep its
-    partitioning under adaptive execution.)  Falls back to a persisted,
-    hash-partitioned copy when the session has no writable catalog.
+    16 x #states rows) never is.
     """
-    import uuid
-
-    from orchard.session import checkpoint_dir
     spark = transitions.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t = transitions.join(states.select("x", "y", "r"), ["x", "y"])
-    # checked size: when the value table (x, y, v: ~32 bytes a state) fits
-    # well under the broadcast threshold, every sweep broadcasts V and the
-    # transition table is never shuffled anyway - a cached copy suffices
-    thr = _broadcast_threshold(spark)
-    if thr > 0 and states.count() * 32 < thr // 2:
-        return t.repartition(n, "x2", "y2").persist(StorageLevel.MEMORY_AND_DISK)
     name = f"orchard_transitions_{uuid.uuid4().hex}"
+    (transitions.join(states.select("x", "y", "r"), ["x", "y"]).repartition(n, "x2", "y2")
+        .write.bucketBy(n, "x2", "y2").sortBy("x2", "y2")
+        .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
     try:
-        (t.write.bucketBy(n, "x2", "y2").sortBy("x2", "y2").mode("overwrite")
-          .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
-        return spark.table(name)
-    except Exception:  # noqa: BLE001 - no catalog available: keep a partitioned cached copy
-        return t.repartition(n, "x2", "y2").persist(StorageLevel.MEMORY_AND_DISK)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 # ----------------------------------------------------------------------- M6 / J6
@@ -278,9 +261,10 @@ def reachable(transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
         frontier = nxt
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Undirected components of ``nodes(id)`` / ``edges(src, dst)``:
-    ``(id, comp)`` with comp = smallest id of the component; any 64-bit ids.
+def component_roots(edges: DataFrame) -> DataFrame:
+    """``(id, root)`` of the undirected components of ``edges(src, dst)``:
+    ``root`` is one member, the same for the whole component (it is not
+    listed itself); any 64-bit ids.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014): each
     round is a few joins and aggregates over the edge list, and the number of
@@ -324,7 +308,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             break
         seen = now
     # every edge joins a node to its component's root
-    root = e.groupBy(F.col("v.id").alias("id")).agg(F.min("u.id").alias("root"))
+    return e.select(F.col("v.id").alias("id"), F.col("u.id").alias("root"))
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Undirected components of ``nodes(id)`` / ``edges(src, dst)``:
+    ``(id, comp)`` with comp = smallest id of the component."""
+    root = component_roots(edges)
     lab = (nodes.select(F.col("id").cast("bigint").alias("id")).join(root, "id", "left")
                 .select("id", F.coalesce("root", "id").alias("root")))
     # report the smallest original id of each component (an aggregate, so a
@@ -345,22 +335,23 @@ def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int,
     width = int(states.agg(F.max("y")).first()[0]) + 1
     sid = (F.col("x").cast("bigint") * width + F.col("y")).alias("id")
     nonterm = st.where(~F.col("terminal"))
-    nodes = nonterm.select(sid)
     tr = transitions.where(F.col("p") > 0)
     nt2 = nonterm.select(F.col("x").alias("x2"), F.col("y").alias("y2"))
     e_nn = (tr.join(nt2, ["x2", "y2"], "left_semi")
               .select(sid.alias("src"), (F.col("x2").cast("bigint") * width + F.col("y2")).alias("dst"))
               .where(F.col("src") != F.col("dst")))
-    comps = connected_components(nodes, e_nn)
     sx, sy = start
     start_row = st.where((F.col("x") == sx) & (F.col("y") == sy)).first()
     if start_row is None:
         return spark.createDataFrame([], "x INT, y INT")
     if start_row["terminal"]:
         return spark.createDataFrame([(sx, sy)], "x INT, y INT")
-    c0 = comps.where(F.col("id") == sx * width + sy).first()["comp"]
-    inside = comps.where(F.col("comp") == c0).select(
-        (F.col("id") / width).cast("int").alias("x"), (F.col("id") % width).cast("int").alias("y"))
+    roots = component_roots(e_nn)
+    mine = sx * width + sy
+    found = roots.where(F.col("id") == mine).first()
+    r0 = found["root"] if found else mine
+    inside = (roots.where(F.col("root") == r0).select("id").union(spark.range(1).select(F.lit(r0).alias("id")))
+                   .select(F.floor(F.col("id") / width).cast("int").alias("x"), (F.col("id") % width).cast("int").alias("y")))
     term = st.where(F.col("terminal")).select(F.col("x").alias("x2"), F.col("y").alias("y2"))
     edge_t = (tr.join(inside, ["x", "y"], "left_semi").join(term, ["x2", "y2"], "left_semi")
                 .select(F.col("x2").alias("x"), F.col("y2").alias("y")))

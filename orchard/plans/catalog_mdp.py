@@ -7,11 +7,14 @@ space grows with the data.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from orchard.operators import mdp as M
 from orchard.plans.common import r6, t
 from orchard.plans.registry import register
+from orchard.session import cut_lineage
 from orchard.sources.grids import SQL_EVENT_GRID, grid_from_events, grid_stats
 
 GAMMA = 0.99          # discount of the reference's runs (fixed value)
@@ -19,12 +22,19 @@ VI_SWEEPS = 5         # unrolled depth of the exact value-iteration checks
 CONV_SWEEPS = 12
 
 
-def _mdp(spark, sf):
-    cells = grid_from_events(t(spark, sf, "events")).persist()
-    states = M.grid_states(cells).persist()
-    trans = M.grid_transitions(cells)
-    tp = M.prepare_transitions(trans, states)
-    return cells, states, trans, tp
+def on_grid(fn):
+    """Query over the event grid: ``fn(cells, states, tp)``; the result is
+    checkpointed, then the prepared transitions and cached tables go."""
+    @functools.wraps(fn)
+    def run(spark, sf):
+        cells = grid_from_events(t(spark, sf, "events")).persist()
+        states = M.grid_states(cells).persist()
+        with M.prepared_transitions(M.grid_transitions(cells), states) as tp:
+            out = cut_lineage(fn(cells, states, tp))
+        cells.unpersist()
+        states.unpersist()
+        return out
+    return run
 
 
 def _start(states):
@@ -107,23 +117,23 @@ def q_m3(spark, sf):
 
 
 @register("m5_reachable", f"WITH RECURSIVE {SQL_MDP},\n{SQL_REACH}\nSELECT x, y FROM reach")
-def q_m5(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
-    return M.grid_reachable(states, trans, _start(states))
+@on_grid
+def q_m5(cells, states, tp):
+    return M.grid_reachable(states, tp, _start(states))
 
 
 @register("m7_value_iteration", lambda: f"WITH {SQL_MDP},\n{_sql_sweeps(VI_SWEEPS)}\n"
           f"SELECT x, y, round(v, 6) AS v FROM v{VI_SWEEPS}")
-def q_m7(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m7(cells, states, tp):
     v = M.value_iteration(tp, states, GAMMA, VI_SWEEPS)
     return v.select("x", "y", r6("v").alias("v"))
 
 
 @register("m8_policy_evaluation", lambda: f"WITH {SQL_MDP},\n{_sql_sweeps(VI_SWEEPS, policy='(t.x + t.y) % 4')}\n"
           f"SELECT x, y, round(v, 6) AS v FROM v{VI_SWEEPS}")
-def q_m8(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m8(cells, states, tp):
     pol = states.where(~F.col("terminal")).select("x", "y", ((F.col("x") + F.col("y")) % 4).alias("a"))
     v = M.policy_evaluation(tp, pol, states, GAMMA, VI_SWEEPS)
     return v.select("x", "y", r6("v").alias("v"))
@@ -134,8 +144,8 @@ q AS (SELECT t.x, t.y, t.a, sum(t.p * (t.r + CAST({GAMMA!r} AS DOUBLE) * coalesc
       FROM trr t LEFT JOIN v3 v ON v.x = t.x2 AND v.y = t.y2 GROUP BY t.x, t.y, t.a),
 b AS (SELECT x, y, a, row_number() OVER (PARTITION BY x, y ORDER BY round(q, 9) DESC, a) AS rn FROM q)
 SELECT x, y, a FROM b WHERE rn = 1""")
-def q_m9(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m9(cells, states, tp):
     v = M.value_iteration(tp, states, GAMMA, 3)
     return M.greedy_policy(tp, v, GAMMA).select("x", "y", "a")
 
@@ -143,8 +153,8 @@ def q_m9(spark, sf):
 @register("m11_values_match", lambda: f"""WITH {SQL_MDP},\n{_sql_sweeps(5)},
 d AS (SELECT abs(coalesce(a.v, 0.0) - coalesce(b.v, 0.0)) AS diff FROM v4 a FULL OUTER JOIN v5 b ON a.x = b.x AND a.y = b.y)
 SELECT round(max(diff), 6) AS max_diff, max(diff) <= 0.05 AS match FROM d""")
-def q_m11(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m11(cells, states, tp):
     v4 = M.value_iteration(tp, states, GAMMA, 4)
     v5 = M.bellman_backup(tp, v4, GAMMA)
     return M.values_match(v4, v5, 0.05).select(r6("max_diff").alias("max_diff"), "match")
@@ -154,8 +164,8 @@ def q_m11(spark, sf):
 SELECT coalesce(a.x, b.x) AS x, coalesce(a.y, b.y) AS y, round(coalesce(a.v, 0.0), 6) AS v1,
        round(coalesce(b.v, 0.0), 6) AS v2, round(abs(coalesce(a.v, 0.0) - coalesce(b.v, 0.0)), 6) AS diff
 FROM v4 a FULL OUTER JOIN v5 b ON a.x = b.x AND a.y = b.y""")
-def q_j5(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_j5(cells, states, tp):
     v4 = M.value_iteration(tp, states, GAMMA, 4)
     v5 = M.bellman_backup(tp, v4, GAMMA)
     d = M.values_diff(v4, v5)
@@ -167,8 +177,8 @@ vr AS (SELECT x, y, r AS v FROM st WHERE NOT terminal),
 q AS (SELECT t.x, t.y, t.a, sum(t.p * (t.r + CAST({GAMMA!r} AS DOUBLE) * coalesce(v.v, 0.0))) AS q
       FROM trr t LEFT JOIN vr v ON v.x = t.x2 AND v.y = t.y2 GROUP BY t.x, t.y, t.a)
 SELECT x, y, round(max(q), 6) AS v FROM q GROUP BY x, y""")
-def q_m6(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m6(cells, states, tp):
     v0 = states.where(~F.col("terminal")).select("x", "y", F.col("r").alias("v"))
     return M.bellman_backup(tp, v0, GAMMA).select("x", "y", r6("v").alias("v"))
 
@@ -182,8 +192,8 @@ def _sql_m12():
 
 
 @register("m12_convergence_sweep", _sql_m12)
-def q_m12(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m12(cells, states, tp):
     rows, _ = M.convergence_sweep(tp, states, GAMMA, CONV_SWEEPS, tol=0.05, stop=False)
     return rows.select("iter", r6("max_delta").alias("max_delta"))
 
@@ -192,10 +202,10 @@ def q_m12(spark, sf):
 SELECT c.x, c.y, round(coalesce(v.v, 0.0), 6) AS v
 FROM cells c LEFT JOIN (SELECT v{VI_SWEEPS}.* FROM v{VI_SWEEPS} SEMI JOIN reach ON reach.x = v{VI_SWEEPS}.x
                         AND reach.y = v{VI_SWEEPS}.y) v ON v.x = c.x AND v.y = c.y""")
-def q_m13(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
+@on_grid
+def q_m13(cells, states, tp):
     v = M.value_iteration(tp, states, GAMMA, VI_SWEEPS)
-    reach = M.grid_reachable(states, trans, _start(states))
+    reach = M.grid_reachable(states, tp, _start(states))
     return M.value_grid(v, cells, reach).select("x", "y", r6("v").alias("v"))
 
 

@@ -17,7 +17,7 @@ from orchard.operators import reduce as R
 from orchard.operators.cluster import cluster_sweep, gmm, gmm_centres, kmeans
 from orchard.operators.evaluate import classification_scores, cluster_scores
 from orchard.operators.split import learning_sizes_list, stratified_kfold, train_test_split
-from orchard.plans.catalog_mdp import GAMMA, _mdp
+from orchard.plans.catalog_mdp import GAMMA, on_grid
 from orchard.plans.common import SPLIT_SEED, embeddings, r6, t
 from orchard.plans.registry import register
 
@@ -294,7 +294,7 @@ def q_e8(spark, sf):
 
 # ------------------------------------------------------------------ MDP
 @register("m10_policy_iteration")
-def q_m10(spark, sf):
-    cells, states, trans, tp = _mdp(spark, sf)
-    v, policy, rounds = M.policy_iteration(tp, states, GAMMA, e_iters=5, p_iters=5)
+@on_grid
+def q_m10(cells, states, tp):
+    v, policy, rounds = M.policy_iteration(tp, states, GAMMA, e_iters=20, p_iters=100)
     return v.join(policy, ["x", "y"]).select("x", "y", r6("v").alias("v"), "a").withColumn("rounds", F.lit(rounds))

@@ -143,10 +143,10 @@ def test_lloyd_inertia_never_rises(spark):
 def test_value_iteration_and_policy_iteration_agree(spark):
     cells = grid_cells(spark, DEFAULT_MAP)
     states = M.grid_states(cells).cache()
-    tp = M.prepare_transitions(M.grid_transitions(cells), states)
-    vi = M.value_iteration(tp, states, 0.9, 150)
-    v_pi, pol, rounds = M.policy_iteration(tp, states, 0.9, e_iters=150, p_iters=30)
-    m = M.values_match(vi, v_pi, 0.05).first()
+    with M.prepared_transitions(M.grid_transitions(cells), states) as tp:
+        vi = M.value_iteration(tp, states, 0.9, 150)
+        v_pi, pol, rounds = M.policy_iteration(tp, states, 0.9, e_iters=150, p_iters=30)
+        m = M.values_match(vi, v_pi, 0.05).first()
     assert m["match"], m
 
 
@@ -162,8 +162,8 @@ def test_easy_map_goal_reachable_both_ways(spark):
 def test_convergence_sweep_finds_first_small_delta(spark):
     cells = grid_cells(spark, EASY_MAP)
     states = M.grid_states(cells).cache()
-    tp = M.prepare_transitions(M.grid_transitions(cells), states)
-    rows, first = M.convergence_sweep(tp, states, 0.5, 60, tol=0.05)
+    with M.prepared_transitions(M.grid_transitions(cells), states) as tp:
+        rows, first = M.convergence_sweep(tp, states, 0.5, 60, tol=0.05)
     d = [r["max_delta"] for r in rows.orderBy("iter").collect()]
     assert first is not None and d[first - 1] <= 0.05 and all(x > 0.05 for x in d[:first - 1])
 
@@ -215,18 +215,21 @@ def test_knn_join_blocks_give_the_same_neighbours(spark):
     assert one == many and len(one) == 5 * q.count()
 
 
-def test_bucketed_and_cached_transitions_agree(spark):
+def test_transitions_are_not_shuffled_in_a_sweep(spark):
     cells = grid_cells(spark, DEFAULT_MAP)
     states = M.grid_states(cells).cache()
     tr = M.grid_transitions(cells)
-    cached = M.value_iteration(M.prepare_transitions(tr, states), states, 0.9, 6)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        tp = M.prepare_transitions(tr, states)
-        assert "orchard_transitions_" in tp._jdf.queryExecution().executedPlan().toString()
-        bucketed = M.value_iteration(tp, states, 0.9, 6)
-        m = M.values_match(cached, bucketed, 1e-9).first()
+        with M.prepared_transitions(tr, states) as tp:
+            name = tp.inputFiles()[0].split("/")[-2]
+            sweep = M.bellman_backup(tp, M.zero_values(states), 0.9)
+            plan = sweep._jdf.queryExecution().executedPlan().toString()
+            assert "orchard_transitions_" in plan and "Bucketed: true" in plan
+            bucketed = M.value_iteration(tp, states, 0.9, 6).collect()
+        assert not spark.catalog.tableExists(name)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert m["match"]
+    with M.prepared_transitions(tr, states) as tp:
+        assert sorted(map(tuple, M.value_iteration(tp, states, 0.9, 6).collect())) == pytest.approx(sorted(map(tuple, bucketed)))
