@@ -1,8 +1,7 @@
 """Dense-vector expressions over ``ARRAY<DOUBLE>`` columns.
 
-They compile to Catalyst higher-order functions (``zip_with``,
-``aggregate``), so they stay inside whole-stage code generation and never
-leave the JVM.
+They use Catalyst higher-order functions (``zip_with``, ``aggregate``): the
+rows never leave the JVM, though lambdas are interpreted rather than compiled.
 """
 
 from __future__ import annotations
@@ -41,28 +40,3 @@ def euclidean(a, b) -> Column:
 
 def dot(a, b) -> Column:
     return _sum(F.zip_with(_col(a), _col(b), lambda x, y: x * y))
-
-
-def axpy(alpha: Column, x, y) -> Column:
-    """Elementwise ``alpha * x + y``."""
-    return F.zip_with(_col(x), _col(y), lambda u, v: alpha * u + v)
-
-
-def _sum_terms(terms: list[Column]) -> Column:
-    # balanced tree keeps the generated code shallow for long vectors
-    while len(terms) > 1:
-        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-    return terms[0]
-
-
-def sq_distance_lit(a, c: Sequence[float]) -> Column:
-    """Squared distance to a constant vector as d plain terms: compiled by
-    whole-stage code generation (higher-order functions are interpreted)."""
-    x = _col(a)
-    return _sum_terms([(x[i] - F.lit(float(v))) * (x[i] - F.lit(float(v))) for i, v in enumerate(c)])
-
-
-def dot_lit(a, w: Sequence[float]) -> Column:
-    """Dot product with a constant vector as d plain terms (codegen)."""
-    x = _col(a)
-    return _sum_terms([x[i] * F.lit(float(v)) for i, v in enumerate(w)])

@@ -60,14 +60,6 @@ def standard_scale_vectors_fit(train: DataFrame, features: str = "features") ->
     return means, sds
 
 
-def standard_scale_vectors_apply(df: DataFrame, means, sds, features: str = "features") -> DataFrame:
-    m = F.array(*[F.lit(v) for v in means])
-    s = F.array(*[F.lit(v) for v in sds])
-    x = F.col(features).cast("array<double>")
-    scaled = F.zip_with(F.zip_with(x, m, lambda a, b: a - b), s, lambda a, b: a / b)
-    return df.withColumn(features, scaled)
-
-
 def co_moments(df: DataFrame, features: str = "features", shift: Sequence[float] | None = None) -> DataFrame:
     """``(i, j, sxy, sx, sy, n)`` for i <= j: sums of products and sums of
     ``x - shift`` over all rows, in one scan.

@@ -25,16 +25,12 @@ def train_test_split(df: DataFrame, key: str, frac: float = 0.3, seed: int = 100
     return df.withColumn(flag, hash_bucket(key, seed) < F.lit(pct))
 
 
-def sample_n(df: DataFrame, key: str, n: int, seed: int = 100,
-             take_limit: int = 100_000) -> DataFrame:
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 100) -> DataFrame:
     """Exactly ``n`` rows (all when fewer) chosen by seeded hash order.
 
-    Small n: TakeOrderedAndProject keeps n rows per task, no sort of the
-    table.  Large n: numbered by a distributed sort, so no task holds n rows.
+    Numbered by a distributed sort, so no task holds n rows.
     """
     order = [hash_rank_key(key, seed), F.col(key)]
-    if n <= take_limit:
-        return df.orderBy(*order).limit(n)
     return row_index(df, order, name="_ri").where(F.col("_ri") < n).drop("_ri")
 
 
@@ -82,7 +78,3 @@ def nested_prefix_ranks(df_folds: DataFrame, key: str, k: int, seed: int = 17,
     train = rounds.where(F.col("cv_round") != F.col(fold_col)).drop(fold_col)
     return row_index(train, [hash_rank_key(key, seed), F.col(key)], by=["cv_round"], name="prank")
 
-
-def hash_fold(key: str, k: int, seed: int) -> "F.Column":
-    """Balanced-in-expectation fold without numbering (for huge tables)."""
-    return (hash_bucket(key, seed, 1 << 30) % k).cast("int")

@@ -2,7 +2,6 @@
 properties its experiments rely on)."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from orchard.operators import mdp as M
@@ -70,7 +69,7 @@ def test_running_best_matches_pandas(spark):
 def test_sample_n_exact_size(spark):
     d = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     assert sample_n(d, "doc_id", 37, 5).count() == 37
-    assert sample_n(d, "doc_id", 37, 5, take_limit=10).count() == 37
+    assert sample_n(d, "doc_id", 37, 5).count() == 37
 
 
 def test_scaled_columns_mean_zero_variance_one(spark):
@@ -232,4 +231,5 @@ def test_transitions_are_not_shuffled_in_a_sweep(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     with M.prepared_transitions(tr, states) as tp:
-        assert sorted(map(tuple, M.value_iteration(tp, states, 0.9, 6).collect())) == pytest.approx(sorted(map(tuple, bucketed)))
+        again = sorted(map(tuple, M.value_iteration(tp, states, 0.9, 6).collect()))
+    assert np.allclose(np.array(again), np.array(sorted(map(tuple, bucketed))))
