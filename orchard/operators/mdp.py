@@ -91,9 +91,19 @@ def grid_transitions(cells: DataFrame, p_intended: float = P_INTENDED) -> DataFr
     return t.groupBy("x", "y", "a", "x2", "y2").agg(F.sum("p").alias("p"))
 
 
+def with_reward(transitions: DataFrame, states: DataFrame, reward_on: str = "s") -> DataFrame:
+    """M3: the transitions with the reward ``r`` of the state left ("s") or entered ("s2")."""
+    if reward_on == "s":
+        return transitions.join(states.select("x", "y", "r"), ["x", "y"])
+    if reward_on == "s2":
+        return transitions.join(states.select(F.col("x").alias("x2"), F.col("y").alias("y2"), "r"), ["x2", "y2"])
+    raise ValueError(reward_on)
+
+
 @contextmanager
-def prepared_transitions(transitions: DataFrame, states: DataFrame, partitions: int | None = None):
-    """The transitions with the reward of s, as a table bucketed on the
+def prepared_transitions(transitions: DataFrame, states: DataFrame, partitions: int | None = None, reward_on: str = "s"):
+    """The transitions with the reward of s (``reward_on="s"``) or of the
+    state entered (``"s2"``), as a table bucketed on the
     successor (x2, y2) under the shared checkpoint folder; dropped at the end
     of the block, so results must be checkpointed inside it.
 
@@ -105,7 +115,7 @@ def prepared_transitions(transitions: DataFrame, states: DataFrame, partitions:
     spark = transitions.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"orchard_transitions_{uuid.uuid4().hex}"
-    (transitions.join(states.select("x", "y", "r"), ["x", "y"]).repartition(n, "x2", "y2")
+    (with_reward(transitions, states, reward_on).repartition(n, "x2", "y2")
         .write.bucketBy(n, "x2", "y2").sortBy("x2", "y2")
         .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
     try:

@@ -11,6 +11,7 @@ from orchard.operators import split as S
 from orchard.operators.evaluate import confusion, precision_recall, best_by_score
 from orchard.operators.neighbours import centres_from, nearest_centre
 from orchard.operators.ordering import running_extreme
+from orchard.operators.reduce import project_2d, random_projection_matrix
 from orchard.operators.scale import covariance, standard_scale
 from orchard.plans.common import SPLIT_SEED, embeddings, r6, t
 from orchard.plans.registry import register
@@ -112,13 +113,27 @@ def q_p6(spark, sf):
     return P.head(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), 10, "o_orderkey")
 
 
-@register("p7_bounds", """
-SELECT round(min(CAST(embedding[1] AS DOUBLE)) - 1, 6) AS x_min, round(max(CAST(embedding[1] AS DOUBLE)) + 1, 6) AS x_max,
-       round(min(CAST(embedding[2] AS DOUBLE)) - 1, 6) AS y_min, round(max(CAST(embedding[2] AS DOUBLE)) + 1, 6) AS y_max
-FROM embeddings""")
+PLOT_SEED = 12        # seed of the plot projection (fixed value)
+
+
+def _sql_plane() -> str:
+    """plane(vec_id, x, y): the 2-D random projection (D7) of whole vectors."""
+    R = random_projection_matrix(64, 2, PLOT_SEED)
+    xy = ", ".join(f"list_sum(list_transform(list_zip(CAST(embedding AS DOUBLE[]), [{', '.join(repr(float(v)) for v in R[j])}]::DOUBLE[]), "
+                   f"lambda p: p[1] * p[2])) AS {'xy'[j]}" for j in range(2))
+    return f"plane AS (SELECT vec_id, {xy} FROM embeddings)"
+
+
+def _plane(spark, sf):
+    p = project_2d(embeddings(spark, sf), "grp", PLOT_SEED, out="xy")
+    return p.select("vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
+
+
+@register("p7_bounds", lambda: f"""WITH {_sql_plane()}
+SELECT round(min(x) - 1, 6) AS x_min, round(max(x) + 1, 6) AS x_max, round(min(y) - 1, 6) AS y_min, round(max(y) + 1, 6) AS y_max
+FROM plane""")
 def q_p7(spark, sf):
-    e = embeddings(spark, sf).select(F.col("features")[0].alias("x"), F.col("features")[1].alias("y"))
-    b = P.bounds(e, ["x", "y"])
+    b = P.bounds(_plane(spark, sf), ["x", "y"])
     return b.select(*[r6(c).alias(c) for c in b.columns])
 
 
@@ -127,14 +142,12 @@ MESH_H = 0.05      # lattice step of the decision-region grid (fixed value)
 
 def _sql_mesh():
     return f"""
-WITH b AS (SELECT min(CAST(embedding[1] AS DOUBLE)) - 1.0 AS x0, max(CAST(embedding[1] AS DOUBLE)) + 1.0 AS x1,
-                  min(CAST(embedding[2] AS DOUBLE)) - 1.0 AS y0, max(CAST(embedding[2] AS DOUBLE)) + 1.0 AS y1
-           FROM embeddings),
+WITH {_sql_plane()},
+b AS (SELECT min(x) - 1.0 AS x0, max(x) + 1.0 AS x1, min(y) - 1.0 AS y0, max(y) + 1.0 AS y1 FROM plane),
 g AS (SELECT ix, iy, b.x0 + CAST(ix AS DOUBLE) * {MESH_H!r} AS x, b.y0 + CAST(iy AS DOUBLE) * {MESH_H!r} AS y
       FROM b, range(0, CAST(ceil((b.x1 - b.x0) / {MESH_H!r}) AS BIGINT)) AS rx(ix),
               range(0, CAST(ceil((b.y1 - b.y0) / {MESH_H!r}) AS BIGINT)) AS ry(iy)),
-c AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS c, CAST(embedding[1] AS DOUBLE) AS cx,
-             CAST(embedding[2] AS DOUBLE) AS cy FROM embeddings ORDER BY vec_id LIMIT 3),
+c AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS c, x AS cx, y AS cy FROM plane ORDER BY vec_id LIMIT 3),
 d AS (SELECT ix, iy, c, (x - cx) * (x - cx) + (y - cy) * (y - cy) AS d FROM g, c),
 r AS (SELECT ix, iy, c, row_number() OVER (PARTITION BY ix, iy ORDER BY d, c) AS rn FROM d)
 SELECT ix, iy, CAST(c AS INTEGER) AS cluster FROM r WHERE rn = 1"""
@@ -142,12 +155,11 @@ SELECT ix, iy, CAST(c AS INTEGER) AS cluster FROM r WHERE rn = 1"""
 
 @register("p8_mesh_grid", _sql_mesh)
 def q_p8(spark, sf):
-    e = t(spark, sf, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 2)
-                                          .alias("xy"))
-    e2 = e.select("vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
-    bd = P.bounds(e2, ["x", "y"]).first()
+    plane = _plane(spark, sf).persist()
+    bd = P.bounds(plane, ["x", "y"]).first()
     mesh = P.mesh_grid(spark, bd["x_min"], bd["x_max"], bd["y_min"], bd["y_max"], MESH_H)
-    cents = centres_from(e, "xy", key="vec_id", k=3)
+    cents = centres_from(plane.select("vec_id", F.array("x", "y").alias("xy")), "xy", key="vec_id", k=3)
+    plane.unpersist()
     lab = nearest_centre(mesh.select("ix", "iy", F.array("x", "y").alias("p")), cents, "p", "cluster")
     return lab.select("ix", "iy", "cluster")
 

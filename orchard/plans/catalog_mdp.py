@@ -116,6 +116,14 @@ def q_m3(spark, sf):
     return M.grid_states(grid_from_events(t(spark, sf, "events")))
 
 
+@register("m3_reward_on_next", f"WITH {SQL_MDP} SELECT tr.x, tr.y, tr.a, tr.x2, tr.y2, round(tr.p, 9) AS p, st.r "
+          "FROM tr JOIN st ON st.x = tr.x2 AND st.y = tr.y2")
+def q_m3_next(spark, sf):
+    cells = grid_from_events(t(spark, sf, "events"))
+    tr = M.with_reward(M.grid_transitions(cells), M.grid_states(cells), "s2")
+    return tr.select("x", "y", "a", "x2", "y2", F.round("p", 9).alias("p"), "r")
+
+
 @register("m5_reachable", f"WITH RECURSIVE {SQL_MDP},\n{SQL_REACH}\nSELECT x, y FROM reach")
 @on_grid
 def q_m5(cells, states, tp):

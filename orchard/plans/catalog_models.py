@@ -120,7 +120,7 @@ def q_c7(spark, sf):
     tr, te = _emb_split(spark, sf)
     out = []
     for solver, iters in (("l-bfgs", 100), ("gd", 200)):
-        scored, _, fit_s = C.mlp_classify(tr, te, hidden=(32,), max_iter=iters, solver=solver)
+        scored, _, fit_s = C.mlp_classify(tr, te, hidden=(100,), max_iter=iters, solver=solver)
         s = _scores(scored, "micro").withColumn("solver", F.lit(solver)).withColumn("fit_seconds", F.lit(fit_s))
         out.append(s)
     return out[0].unionByName(out[1])
@@ -133,7 +133,7 @@ def q_c8(spark, sf):
     dtr, dte = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     out = []
     for name, a, b in (("linear", tr, te), ("rbf", dtr, dte), ("poly", dtr, dte)):
-        s = C.svm_classify(a, b, name, max_iter=20)
+        s = C.svm_classify(a, b, name, max_iter=100)
         out.append(_scores(s, "micro").withColumn("kernel", F.lit(name)))
     return out[0].unionByName(out[1]).unionByName(out[2])
 
@@ -148,7 +148,7 @@ def _reduced(method, tr, te):
     elif method == "pca":
         red = R.pca(both, REDUCE_K, whiten=True)[0]
     elif method == "ica":
-        red = R.fast_ica(both, REDUCE_K, max_iter=50)[0]
+        red = R.fast_ica(both, REDUCE_K, max_iter=500)[0]
     elif method == "grp":
         red = R.gaussian_random_projection(both, REDUCE_K, 1)
     else:
@@ -163,7 +163,7 @@ def q_c11(spark, sf):
     out = []
     for method in ("base", "svd", "pca", "ica", "grp"):
         a, b = _reduced(method, tr, te)
-        scored, _, fit_s = C.mlp_classify(a, b, hidden=(32,), max_iter=100)
+        scored, _, fit_s = C.mlp_classify(a, b, hidden=(100,), max_iter=100)
         out.append(_scores(scored, "micro").withColumn("method", F.lit(method))
                    .withColumn("n_features", F.lit(64 if method == "base" else REDUCE_K))
                    .withColumn("fit_seconds", F.lit(fit_s)))
@@ -183,10 +183,10 @@ def q_c12(spark, sf):
             a = kmeans(e, 10, seed=1)[0]
         else:
             red = R.pca(e, 5, whiten=True)[0].withColumn("features5", F.col("reduced"))
-            a = gmm(red.drop("reduced"), 5, "features5", n_init=2)[0].drop("features5")
+            a = gmm(red.drop("reduced"), 5, "features5", n_init=13)[0].drop("features5")
         aug = augment_with_cluster(a, "cluster", "features")
         scored, _, fit_s = C.mlp_classify(aug.where(~F.col("is_test")), aug.where(F.col("is_test")),
-                                          hidden=(32,), max_iter=100)
+                                          hidden=(100,), max_iter=100)
         out.append(_scores(scored, "micro").withColumn("method", F.lit(method)))
     return out[0].unionByName(out[1])
 
@@ -203,14 +203,14 @@ def q_g1(spark, sf):
 @register("g4_gmm")
 def q_g4(spark, sf):
     e = R.pca(embeddings(spark, sf), 5, whiten=True)[0].withColumn("features", F.col("reduced")).drop("reduced")
-    a, model, ll = gmm(e, 10, n_init=3)
+    a, model, ll = gmm(e, 10, n_init=13)
     return cluster_scores(a, "label", "cluster").withColumn("log_likelihood", F.lit(ll))
 
 
 @register("g5_gmm_centres")
 def q_g5(spark, sf):
     e = R.pca(embeddings(spark, sf), 5, whiten=True)[0].withColumn("features", F.col("reduced")).drop("reduced")
-    return gmm_centres(gmm(e, 4, n_init=2)[1], 2)
+    return gmm_centres(gmm(e, 4, n_init=13)[1], 2)
 
 
 @register("g6_cluster_sweep")
@@ -222,7 +222,7 @@ def q_g6(spark, sf):
 def q_g7(spark, sf):
     e = embeddings(spark, sf).persist()
     out = None
-    for method in ("svd", "pca", "grp"):
+    for method in ("svd", "pca", "ica", "grp"):
         red = _reduced(method, e.where(~F.col("is_test")), e.where(F.col("is_test")))
         both = red[0].unionByName(red[1])
         sw = cluster_sweep(both, [2, 10], seed=1).withColumn("method", F.lit(method))
@@ -276,7 +276,7 @@ def q_e5(spark, sf):
 def q_e6(spark, sf):
     d = stratified_kfold(doc_features(spark, sf), "label", "doc_id", 5).persist()
     n_max = d.where(F.col("fold") != 0).count()
-    sizes = learning_sizes_list(n_max, 4)
+    sizes = learning_sizes_list(n_max, 11)
     return C.learning_curve(_tree_fit(3), d, "doc_id", 5, sizes)
 
 

@@ -153,11 +153,13 @@ def q_e16(spark, sf):
 
 
 @register("d8_augment_with_cluster", f"""WITH {SQL_ASSIGN}
-SELECT vec_id, CAST(len(v) + 1 AS INTEGER) AS n_features, CAST(cluster AS DOUBLE) AS f0, v[1] AS f1 FROM a""")
+SELECT vec_id, CAST(len(v) + 1 AS INTEGER) AS n_features, CAST(cluster AS DOUBLE) AS f0, md5(array_to_string(v, ',')) AS rest
+FROM (SELECT vec_id, cluster, list_transform(v, lambda x: CAST(round(x * 1000000) AS BIGINT)) AS v FROM a)""")
 def q_d8(spark, sf):
     aug = augment_with_cluster(_assigned(spark, sf)[2], "cluster", "features")
     return aug.select("vec_id", F.size("features").alias("n_features"), F.col("features")[0].alias("f0"),
-                      F.col("features")[1].alias("f1"))
+                      F.md5(F.array_join(F.transform(F.slice("features", 2, 1 << 20), lambda x: F.round(x * 1000000).cast("bigint")
+                                                     .cast("string")), ",")).alias("rest"))
 
 
 GRP_SEED = 12         # seed of the plot projection (fixed value)
