@@ -259,7 +259,8 @@ def reachable(transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
     fewer rounds."""
     spark = transitions.sparkSession
     edges = cut_lineage(transitions.where(F.col("p") > 0).select("x", "y", "x2", "y2").distinct())
-    seen = cut_lineage(spark.createDataFrame([start], "x INT, y INT"))
+    kind = dict(edges.dtypes)
+    seen = cut_lineage(spark.createDataFrame([start], f"x {kind['x']}, y {kind['y']}"))
     frontier = seen
     while True:
         nxt = (frontier.join(edges, ["x", "y"]).select(F.col("x2").alias("x"), F.col("y2").alias("y"))
@@ -342,7 +343,8 @@ def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int,
     spark = states.sparkSession
     st = states.select("x", "y", "terminal")
     # integer id per state: dense enough and reversible
-    width = int(states.agg(F.max("y")).first()[0]) + 1
+    width = int(states.agg(F.max("y")).first()[0] or 0) + 1
+    kind = dict(st.dtypes)
     sid = (F.col("x").cast("bigint") * width + F.col("y")).alias("id")
     nonterm = st.where(~F.col("terminal"))
     tr = transitions.where(F.col("p") > 0)
@@ -352,16 +354,15 @@ def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int,
               .where(F.col("src") != F.col("dst")))
     sx, sy = start
     start_row = st.where((F.col("x") == sx) & (F.col("y") == sy)).first()
-    if start_row is None:
-        return spark.createDataFrame([], "x INT, y INT")
-    if start_row["terminal"]:
-        return spark.createDataFrame([(sx, sy)], "x INT, y INT")
+    here = st.where((F.col("x") == sx) & (F.col("y") == sy)).select("x", "y")
+    if start_row is None or start_row["terminal"]:
+        return here
     roots = component_roots(e_nn)
     mine = sx * width + sy
     found = roots.where(F.col("id") == mine).first()
     r0 = found["root"] if found else mine
     inside = (roots.where(F.col("root") == r0).select("id").union(spark.range(1).select(F.lit(r0).alias("id")))
-                   .select(F.floor(F.col("id") / width).cast("int").alias("x"), (F.col("id") % width).cast("int").alias("y")))
+                   .select(F.expr(f"id div {width}").cast(kind["x"]).alias("x"), (F.col("id") % width).cast(kind["y"]).alias("y")))
     term = st.where(F.col("terminal")).select(F.col("x").alias("x2"), F.col("y").alias("y2"))
     edge_t = (tr.join(inside, ["x", "y"], "left_semi").join(term, ["x2", "y2"], "left_semi")
                 .select(F.col("x2").alias("x"), F.col("y2").alias("y")))

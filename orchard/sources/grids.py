@@ -64,11 +64,12 @@ def grid_from_events(events: DataFrame) -> DataFrame:
 
     A (user, day) cell with no events is a wall; a purchase worth at least
     ``EVENT_GRID_HIGH_VALUE`` makes a goal, such an error a negative exit,
-    any other error a costly cell.  Every cell of the bounding box is listed
-    (walls included), one row per cell.
+    any other error a costly cell.  Every day of every user in the log is
+    listed (walls included), one row per cell; a user id that does not occur
+    has no cells, which moves treat like walls.
     """
     day0 = events.agg(F.min(F.to_date("ts")).alias("d0")).first()["d0"]
-    ev = events.select(F.col("user_id").cast("int").alias("x"),
+    ev = events.select(F.col("user_id").cast("bigint").alias("x"),
                        F.datediff(F.to_date("ts"), F.lit(day0)).cast("int").alias("y"),
                        "event_type", "value")
     hi = F.col("value") >= F.lit(EVENT_GRID_HIGH_VALUE)
@@ -79,15 +80,15 @@ def grid_from_events(events: DataFrame) -> DataFrame:
     code = (F.when(F.col("goal"), GOAL).when(F.col("neg"), NEG_EXIT)
              .when(F.col("err"), COSTLY).otherwise(CLEAR))
     open_cells = cells.select("x", "y", code.cast("int").alias("code"))
-    dims = open_cells.agg(F.max("x").alias("w"), F.max("y").alias("h")).first()
-    box = (events.sparkSession.range(dims["w"] + 1).select(F.col("id").cast("int").alias("x"))
-           .withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(int(dims["h"]))))))
+    last = open_cells.agg(F.max("y")).first()[0]
+    box = (open_cells.select("x").distinct()
+           .withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(int(last if last is not None else 0))))))
     return (box.join(open_cells, ["x", "y"], "left")
                .select("x", "y", F.coalesce(F.col("code"), F.lit(WALL)).cast("int").alias("code")))
 
 
 SQL_EVENT_GRID = f"""ev AS (
-  SELECT CAST(user_id AS INTEGER) AS x,
+  SELECT CAST(user_id AS BIGINT) AS x,
          CAST(datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS INTEGER) AS y,
          event_type, value FROM events),
 oc AS (
@@ -96,7 +97,7 @@ oc AS (
                     WHEN bool_or(event_type = 'error') THEN 2 ELSE 0 END AS code
   FROM ev GROUP BY x, y),
 cells AS (
-  SELECT CAST(bx.x AS INTEGER) AS x, CAST(by_.y AS INTEGER) AS y, CAST(coalesce(oc.code, 1) AS INTEGER) AS code
-  FROM range(0, (SELECT max(x) + 1 FROM oc)) AS bx(x)
+  SELECT CAST(bx.x AS BIGINT) AS x, CAST(by_.y AS INTEGER) AS y, CAST(coalesce(oc.code, 1) AS INTEGER) AS code
+  FROM (SELECT DISTINCT x FROM oc) AS bx
   CROSS JOIN range(0, (SELECT max(y) + 1 FROM oc)) AS by_(y)
   LEFT JOIN oc ON oc.x = bx.x AND oc.y = by_.y)"""

@@ -2,6 +2,7 @@
 properties its experiments rely on)."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from orchard.operators import mdp as M
