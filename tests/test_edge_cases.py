@@ -13,6 +13,7 @@ from orchard.operators.ordering import row_index, running_extreme
 from orchard.operators.reduce import pca_fit, truncated_svd
 from orchard.operators.scale import covariance
 from orchard.operators.split import stratified_kfold
+import orchard.plans.catalog  # noqa: F401  (registers the queries)
 from orchard.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
