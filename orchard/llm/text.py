@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 SHINGLE = 5
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
