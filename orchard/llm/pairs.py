@@ -22,7 +22,7 @@ from orchard.llm.common import shuffle_partitions
 
 BLOCK = 1024
 #: Pairs compared at a time inside a task.
-CHUNK = 300_000
+CHUNK = 100_000
 GROUP = ("slot", "key", "lo", "hi")
 
 
