@@ -272,23 +272,30 @@ def reachable(transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
         frontier = nxt
 
 
+def mixed_id(c) -> Column:
+    """A bijection of the 64-bit integers (shifts and exclusive ors only, so
+    nothing overflows) that scatters neighbouring ids."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("bigint")
+    for left, right, last in ((13, 7, 17), (21, 35, 4)):
+        x = x.bitwiseXOR(F.shiftleft(x, left))
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, right))
+        x = x.bitwiseXOR(F.shiftleft(x, last))
+    return x
+
+
 def component_roots(edges: DataFrame) -> DataFrame:
-    """``(id, root)`` of the undirected components of ``edges(src, dst)``:
-    ``root`` is one member, the same for the whole component (it is not
-    listed itself); any 64-bit ids.
+    """``(node, root)`` of the undirected components of ``edges(src, dst)``,
+    both as ``mixed_id``: ``root`` is one member, the same for the whole
+    component (it is not listed itself); any 64-bit ids.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014): each
     round is a few joins and aggregates over the edge list, and the number of
-    rounds grows with log^2 of the node count.  Nodes are ordered by
-    (hash of the id, id), so spatially ordered ids, as on a grid, do not form
-    long chains and different ids never meet.  Every round's edge list is
+    rounds grows with log^2 of the node count.  Nodes are ordered by a
+    bijection of their ids, so spatially ordered ids, as on a grid, do not
+    form long chains and different ids never meet.  Every round's edge list is
     checkpointed; a round that leaves its count and checksum unchanged left
     the edges unchanged, which ends the loop.
     """
-    def node(c):
-        i = F.col(c).cast("bigint")
-        return F.struct(F.xxhash64(i).alias("h"), i.alias("id"))
-
     def ordered(df):
         return (df.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
                   .where(F.col("u") != F.col("v")).distinct())
@@ -299,18 +306,17 @@ def component_roots(edges: DataFrame) -> DataFrame:
     def large_star(df):
         d = both(df)
         m = d.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return ordered(d.where(F.col("v") > F.col("u")).join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b")))
+        return d.where(F.col("v") > F.col("u")).join(m, "u").select(F.col("m").alias("u"), "v")
 
     def small_star(df):
-        d = both(df).where(F.col("v") < F.col("u"))       # smaller neighbours of u
-        m = d.groupBy("u").agg(F.min("v").alias("m"))
-        moved = d.join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return ordered(moved.unionByName(m.select(F.col("u").alias("a"), F.col("m").alias("b"))))
+        m = df.groupBy("v").agg(F.min("u").alias("m"))       # the smallest of v's smaller neighbours
+        moved = df.join(m, "v").select(F.col("u").alias("a"), F.col("m").alias("b"))
+        return ordered(moved.unionByName(m.select(F.col("v").alias("a"), F.col("m").alias("b"))))
 
     def checksum(df):
         return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    e = cut_lineage(ordered(edges.select(node("src").alias("a"), node("dst").alias("b"))))
+    e = cut_lineage(ordered(edges.select(mixed_id("src").alias("a"), mixed_id("dst").alias("b"))))
     seen = checksum(e)
     while seen[0]:
         e = cut_lineage(small_star(large_star(e)))
@@ -319,15 +325,15 @@ def component_roots(edges: DataFrame) -> DataFrame:
             break
         seen = now
     # every edge joins a node to its component's root
-    return e.select(F.col("v.id").alias("id"), F.col("u.id").alias("root"))
+    return e.select(F.col("v").alias("node"), F.col("u").alias("root"))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected components of ``nodes(id)`` / ``edges(src, dst)``:
     ``(id, comp)`` with comp = smallest id of the component."""
     root = component_roots(edges)
-    lab = (nodes.select(F.col("id").cast("bigint").alias("id")).join(root, "id", "left")
-                .select("id", F.coalesce("root", "id").alias("root")))
+    lab = (nodes.select(F.col("id").cast("bigint").alias("id"), mixed_id("id").alias("node")).join(root, "node", "left")
+                .select("id", F.coalesce("root", "node").alias("root")))
     # report the smallest original id of each component (an aggregate, so a
     # giant component is combined map-side; the join back is skew-handled by AQE)
     smallest = lab.groupBy("root").agg(F.min("id").alias("comp"))
@@ -344,7 +350,6 @@ def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int,
     st = states.select("x", "y", "terminal")
     # integer id per state: dense enough and reversible
     width = int(states.agg(F.max("y")).first()[0] or 0) + 1
-    kind = dict(st.dtypes)
     sid = (F.col("x").cast("bigint") * width + F.col("y")).alias("id")
     nonterm = st.where(~F.col("terminal"))
     tr = transitions.where(F.col("p") > 0)
@@ -358,11 +363,11 @@ def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int,
     if start_row is None or start_row["terminal"]:
         return here
     roots = component_roots(e_nn)
-    mine = sx * width + sy
-    found = roots.where(F.col("id") == mine).first()
+    mine = spark.range(1).select(mixed_id(F.lit(sx * width + sy))).first()[0]
+    found = roots.where(F.col("node") == mine).first()
     r0 = found["root"] if found else mine
-    inside = (roots.where(F.col("root") == r0).select("id").union(spark.range(1).select(F.lit(r0).alias("id")))
-                   .select(F.expr(f"id div {width}").cast(kind["x"]).alias("x"), (F.col("id") % width).cast(kind["y"]).alias("y")))
+    member = roots.where(F.col("root") == r0).select("node").union(spark.range(1).select(F.lit(r0).alias("node")))
+    inside = nonterm.withColumn("node", mixed_id(sid)).join(member, "node", "left_semi").select("x", "y")
     term = st.where(F.col("terminal")).select(F.col("x").alias("x2"), F.col("y").alias("y2"))
     edge_t = (tr.join(inside, ["x", "y"], "left_semi").join(term, ["x2", "y2"], "left_semi")
                 .select(F.col("x2").alias("x"), F.col("y2").alias("y")))
