@@ -12,8 +12,19 @@ sets, or word edit similarity, at the threshold or above.  Verified links
 are clustered by components; of each cluster the occurrence with the
 smallest (doc_id, paragraph) stays and all others are removals.
 
-Defined cases: null texts have no paragraphs; shorter paragraphs are never
-compared or removed; rows that repeat a doc_id and its text are one document
+``remove_repeats`` then looks at the whole of what is left, whatever its line
+breaks: every run of ``min_words`` words that stands at two places or more
+stays at the smallest (doc_id, version, word number), and the words of its
+other occurrences are cut by span, but for words that a kept occurrence
+covers.  Runs are found by their seeds, the shorter runs of words with the
+smallest hash of a window: every run of ``min_words`` words holds one, and it
+is the same one wherever the run stands, so only runs over a seed that
+repeats are compared (by 64-bit hashes, no seed is sampled or capped).
+Passages with changed words that are not whole lines lose the unchanged
+stretches of at least ``min_words`` words, not the shorter ones.
+
+Defined cases: null texts have no paragraphs; shorter paragraphs are not
+compared as paragraphs, only as parts of runs of words; rows that repeat a doc_id and its text are one document
 (they keep and lose the same paragraphs); a null doc_id sorts first; extra
 columns are kept by ``remove_repeats`` and ignored by ``repeats``; an empty
 table gives an empty result.
@@ -22,17 +33,19 @@ table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm import pairs
-from orchard.llm.common import fresh, saved
+from orchard.llm.common import fresh, saved, small_side
 from orchard.llm.jaccard_join import classes, least_agreeing, only_flagged, verified_links
-from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, set_ids, shingles, slices, unique_sets
+from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, runs_of, set_ids, shingles, slices, unique_sets
 
 #: Passages from this many words on count as repeats.
 MIN_WORDS = 40
@@ -139,19 +152,146 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
                          & (F.col("version") == F.col("class.version")))).alias("removed"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the repeated paragraphs; a document that loses all its text goes.
+def chosen(h: np.ndarray, row: np.ndarray, w: int) -> np.ndarray:
+    """True where a hash is the smallest of some window of ``w`` neighbours of its row."""
+    n, m = len(h), len(h) - w + 1
+    if m <= 0:
+        return np.zeros(n, bool)
+
+    def sliding(x: np.ndarray, take) -> np.ndarray:
+        width, size = 1, len(x) - w + 1
+        while width * 2 <= w:
+            x, width = take(x[:-width], x[width:]), width * 2
+        return take(x[:size], x[w - width:w - width + size])
+    low = np.where(row[w - 1:] == row[:m], sliding(h, np.minimum), np.uint64(0))
+    wide = np.zeros(n + w - 1, np.uint64)
+    wide[w - 1:w - 1 + m] = low
+    return h == sliding(wide, np.maximum)
+
+
+def seeds(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, version, at, h): word numbers and hashes of the seeds of every text."""
+    k = (min_words + 1) // 2
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                w = Words(lowered(part.column("text")), ALNUM)
+                at, h = runs_of(w.hash, w.row, k)
+                h |= np.uint64(1)
+                pick = chosen(h, w.row[at], min_words - k + 1)
+                at, h = at[pick], h[pick]
+                row = w.row[at]
+                first = np.searchsorted(w.row, row)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("version"),
+                    lists((at - first).astype(np.int32), row, part.num_rows, pa.int32()),
+                    lists(h.view(np.int64), row, part.num_rows, pa.int64())], ["doc_id", "version", "at", "h"])
+    return docs.mapInArrow(run, "doc_id long, version long, at array<int>, h array<long>")
+
+
+def seeded_runs(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, version, pos, gram) of the runs of ``min_words`` words over the seeds in ``hits``."""
+    k = (min_words + 1) // 2
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                w = Words(lowered(part.column("text")), ALNUM)
+                hits = part.column("hits")
+                row = np.repeat(np.arange(part.num_rows), hits.value_lengths().to_numpy(zero_copy_only=False))
+                last = np.searchsorted(w.row, row) + hits.flatten().to_numpy(zero_copy_only=False)
+                over = np.zeros(len(w.row) + 1, np.int64)
+                np.add.at(over, np.maximum(last - (min_words - k), 0), 1)
+                np.add.at(over, last + 1, -1)
+                at, h = runs_of(w.hash, w.row, min_words)
+                ok = np.cumsum(over)[at] > 0
+                at, h = at[ok], h[ok]
+                row = w.row[at]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id").take(pa.array(row)), part.column("version").take(pa.array(row)),
+                    pa.array((at - np.searchsorted(w.row, row)).astype(np.int32)), pa.array(h.view(np.int64))],
+                    ["doc_id", "version", "pos", "gram"])
+    return docs.mapInArrow(run, "doc_id long, version long, pos int, gram long")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, version, again, stay) of every text with a run of words that stays elsewhere.
+
+    ``docs``: doc_id, version, text.  ``again``: word numbers at which such
+    runs start; ``stay``: starts of the repeated runs that stay here.
+    """
+    own = docs.select("doc_id", "version")
+    found = saved(seeds(docs, min_words))
+    flat = found.select("doc_id", "version", F.inline(F.arrays_zip("at", "h")))
+    twice = saved(flat.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
+    hits = saved(flat.join(small_side(twice, 16), "h", "left_semi")
+                     .groupBy(*[F.col(c).alias(f"_{c}") for c in own.columns]).agg(F.collect_set("at").alias("hits")))
+    size = hits.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("hits")), F.lit(0))).first()
+    same = docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (docs["version"] == F.col("_version"))
+    texts = docs.join(small_side(hits, 1, size[0] * 48 + size[1] * 4), same)
+    occ = saved(seeded_runs(texts.select("doc_id", "version", "text", "hits"), min_words))
+    here = F.struct("doc_id", "version", "pos")
+    first = saved(occ.groupBy("gram").agg(F.min(here).alias("first"), F.max(here).alias("last"))
+                     .where(~F.col("first").eqNullSafe(F.col("last"))).select("gram", "first"))
+    marked = occ.join(first, "gram").select("doc_id", "version", "pos", here.eqNullSafe(F.col("first")).alias("stays"))
+    return (marked.groupBy("doc_id", "version")
+                  .agg(F.collect_set(F.when(~F.col("stays"), F.col("pos"))).alias("again"),
+                       F.collect_set(F.when(F.col("stays"), F.col("pos"))).alias("stay"))
+                  .where(F.size("again") > 0))
+
+
+def without_runs(text: str, again, stay, min_words: int) -> str:
+    """``text`` without the words of the runs that start at ``again``, but for those of the runs at ``stay``."""
+    w = Words(pa.array([text], pa.large_string()), ALNUM)
+    n = len(w.start)
+
+    def covered(starts) -> np.ndarray:
+        d = np.zeros(n + 1, np.int64)
+        s = np.unique(np.asarray(starts, np.int64))
+        d[s] += 1
+        np.add.at(d, s + min_words, -1)
+        return np.cumsum(d)[:n] > 0
+    gone = covered(again) & ~covered(stay)
+    if gone.all():
+        return ""
+    raw, out, at = w.data.tobytes(), [], 0
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+    for a, b in edge.reshape(-1, 2):
+        out.append(raw[at:w.start[a]])
+        at = re.compile(rb"\S*\s*").match(raw, w.end[b - 1], w.start[b] if b < n else len(raw)).end()
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                   **options) -> DataFrame:
+    """``docs`` without the repeated paragraphs and runs of words; a document that loses all its text goes.
 
     Columns stay as they are, but for the text.
     """
-    own, i, v, lines = fresh(docs, "_version", "_id", "_v", "_lines")
-    drop = (repeats(docs, id_col, text_col, **options).where("removed")
-            .groupBy(F.col("doc_id").alias(i), F.col("version").alias(v))
-            .agg(F.collect_set("para").alias(lines)))
+    own, i, v, lines, again, stay = fresh(docs, "_version", "_id", "_v", "_lines", "_again", "_stay")
+    drop = saved(repeats(docs, id_col, text_col, min_words, **options).where("removed")
+                 .groupBy(F.col("doc_id").alias(i), F.col("version").alias(v))
+                 .agg(F.collect_set("para").alias(lines)))
     marked = docs.withColumn(own, F.xxhash64(F.col(text_col).cast("string")))
-    joined = marked.join(drop, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(v)), "left")
+    joined = marked.join(small_side(drop, 64), F.col(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(v)), "left")
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1),
                                  lambda x, at: ~F.array_contains(F.col(lines), at)), "\n")
     new = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(kept)
-    out = joined.withColumn(text_col, new)
-    return out.where(F.col(lines).isNull() | (F.trim(F.col(text_col)) != "")).select(*[f"`{c}`" for c in docs.columns])
+    left = joined.withColumn(text_col, new)
+    left = (left.where(F.col(lines).isNull() | (F.trim(F.col(text_col)) != "")).select(*[f"`{c}`" for c in docs.columns])
+                .withColumn(own, F.xxhash64(F.col(text_col).cast("string"))))
+    spans = saved(repeated_runs(left.select(F.col(id_col).alias("doc_id"), F.col(own).alias("version"),
+                                            F.col(text_col).cast("string").alias("text")), min_words)
+                  .toDF(i, v, again, stay))
+    rows, starts = spans.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(again) + F.size(stay)), F.lit(0))).first()
+
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, more: pd.Series, keep: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else without_runs(t, m, k, min_words) for t, m, k in zip(text, more, keep)],
+                         dtype=object)
+    joined = left.join(small_side(spans, 1, rows * 48 + starts * 4),
+                       F.col(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(v)), "left")
+    out = joined.withColumn(lines, cut(F.when(F.col(again).isNotNull(), F.col(text_col).cast("string")), again, stay))
+    out = out.withColumn(text_col, F.when(F.col(again).isNull(), F.col(text_col)).otherwise(F.col(lines)))
+    return out.where(F.col(again).isNull() | (F.trim(F.col(text_col)) != "")).select(*[f"`{c}`" for c in docs.columns])

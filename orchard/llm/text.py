@@ -178,6 +178,18 @@ def shingles(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray
     return s, r
 
 
+def runs_of(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the first word, 64-bit hash) of all runs of ``k`` words of one text."""
+    n, m = len(hashes), len(hashes) - k + 1
+    if m <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    p, inv = _powers(n)
+    acc = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * p[:n], dtype=np.uint64, out=acc[1:])
+    at = np.flatnonzero(row[k - 1:] == row[:m])
+    return at, mix((acc[at + k] - acc[at]) * inv[at])
+
+
 def minhash_seeds(t: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20250611)
     return (rng.integers(0, 1 << 31, t).astype(np.uint32) * np.uint32(2) + np.uint32(1),

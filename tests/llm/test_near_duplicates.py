@@ -182,6 +182,37 @@ def test_substring_dedup_is_brute_force(spark):
     assert substring_dedup.repeats(df.limit(0)).count() == 0
 
 
+def test_repeated_runs_inside_long_lines_and_across_short_ones(spark):
+    r = random.Random(4)
+    vocab = [f"v{i}é" for i in range(5000)]
+    def say(n):
+        return " ".join(r.choice(vocab) for _ in range(n))
+    def wrapped(t):
+        return re.sub(r"((?:\S+ ){11}\S+) ", r"\1\n", t)
+    a, b, c = say(60), say(50), say(39)
+    p1, p2 = say(70), say(70)
+    rows = [(0, f"{p1} {a} {p2}"), (1, f"{(s1 := say(80))} ({a.upper()}). {(s2 := say(80))}"),
+            (2, wrapped(say(30)) + "\n" + wrapped(b) + "\n" + say(20)),
+            (3, wrapped(say(17) + " " + b) + "\n\nlast"), (4, b), (5, say(60) + " " + c), (6, c + " " + say(60)),
+            (7, "ha " * 100), (8, None), (9, ""), (10, say(30) + "\n" + say(30)), (None, f"null {a} id")]
+    rows.append(rows[0])
+    df = frame(spark, rows)
+    assert substring_dedup.repeats(df).where("removed and doc_id in (0, 1, 2, 3, 4)").count() == 0
+    out = substring_dedup.remove_repeats(df)
+    assert out.columns == df.columns
+    left = out.select("doc_id", "text").collect()
+    got = {x.doc_id: x.text for x in left}
+    assert got[None] == rows[11][1] and [x.text for x in left if x.doc_id == 0] == [f"{p1} {p2}"] * 2
+    assert got[1] == f"{s1} ({s2}" and got[2] == rows[2][1] and 4 not in got
+    assert words(got[3]) == words(rows[3][1])[:17] + ["last"]
+    assert all(got[i] == rows[i][1] for i in (5, 6, 8, 9, 10)) and words(got[7]) == ["ha"] * 40
+    seen = {}
+    for i, t in {(x.doc_id, x.text) for x in left}:
+        w = words(t)
+        for k in range(len(w) - 39):
+            assert seen.setdefault(tuple(w[k:k + 40]), (i, k)) == (i, k)
+
+
 def test_decontaminate_is_brute_force(spark):
     r = random.Random(2)
     vocab = [f"t{i}" for i in range(400)]
