@@ -13,7 +13,10 @@ survives in it with probability (1 - e^-x) / x for x = size / bins <= 1, at
 least 0.63, whatever the document's length.  Every item is sketched with the
 bins of each partition that occurs, and a document is a candidate for an
 item when they agree in a bin; an item with q shared shingles is missed with
-probability 0.37^q at most (3e-5 for the 80 percent of a 15-word item).
+probability 0.37^q at most.  Items that can match with fewer than
+``LEAST_SHARED`` shared shingles (under 12 shingles at 0.8) are not left to
+the bins: every shingle of every document is probed against theirs, so none
+of them is missed, and for the others the bound is 0.37^10 = 5e-5.
 Candidates are verified by the exact containment of their shingles as texts.
 
 Sketches never leave the row of their document: the only shuffles carry
@@ -34,6 +37,10 @@ from pyspark.sql import functions as F
 from orchard.llm.common import saved, small_side, without_ids
 
 THRESHOLD, SHINGLE = 0.8, 5
+#: Items that match with fewer shared shingles than this are found by all their shingles.
+LEAST_SHARED = 10
+#: In the place of a partition: the mark is any shingle, not a bin minimum.
+WHOLE = -1
 
 
 def let(value: Column, body) -> Column:
@@ -65,14 +72,20 @@ def partition_bits(size: Column) -> Column:
     return F.ceil(F.log2(F.greatest(size, F.lit(1)).cast("double"))).cast("int")
 
 
-def sketch(df: DataFrame, keep: list[str], bits: str) -> DataFrame:
-    """``keep``, ``bits`` and one row ``h`` per bin minimum of the sorted hashes ``s``."""
+def sketch(df: DataFrame, keep: list[str], bits: str, whole: bool = False) -> DataFrame:
+    """``keep``, ``bits`` and one row ``h`` per bin minimum of the sorted hashes ``s``.
+
+    ``whole``: also a row of every hash, with ``WHOLE`` for ``bits``.
+    """
     pairs = F.arrays_zip(F.col("s").alias("h"),
                          F.concat(F.array(F.lit(None).cast("long")), F.slice("s", 1, F.greatest(F.size("s") - 1, F.lit(0))))
                          .alias("before"))
     rows = df.select(*keep, bits, F.inline(pairs).alias("h", "before"))
     shift = F.lit(64) - F.col(bits)
     first = F.col("before").isNull() | ((F.col(bits) > 0) & (_shifted("h", shift) != _shifted("before", shift)))
+    if whole:
+        both = F.when(first, F.array(F.col(bits), F.lit(WHOLE))).otherwise(F.array(F.lit(WHOLE)))
+        return rows.select(*keep, F.explode(both).alias(bits), "h")
     return rows.where(first).drop("before")
 
 
@@ -80,15 +93,17 @@ def _shifted(c: str, shift: Column) -> Column:
     return F.call_function("shiftright", F.col(c), shift)
 
 
-def candidates(docs: DataFrame, items: DataFrame, doc_key: list[str]) -> DataFrame:
-    """Distinct (doc key, item_id) that agree in a bin."""
+def candidates(docs: DataFrame, items: DataFrame, doc_key: list[str], threshold: float = THRESHOLD) -> DataFrame:
+    """Distinct (doc key, item_id) that agree in a bin, or in any shingle of a short item."""
     d = (docs.select(*doc_key, shingle_hashes(words(F.col("text"))).alias("s"))
              .withColumn("p", partition_bits(F.size("s"))))
     i = items.select("item_id", shingle_hashes(words(F.col("text"))).alias("s"))
+    short = F.ceil(F.size("s") * F.lit(float(threshold)) - F.lit(1e-9)) < LEAST_SHARED
     # every partition that a document can be in: sizes up to 2^30
-    i = i.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(30))))
-    marks = saved(sketch(i, ["item_id"], "p").distinct())
-    probe = sketch(d, doc_key, "p")
+    long = i.where(~short).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(30))))
+    every = i.where(short).select("item_id", F.lit(WHOLE).alias("p"), F.explode("s").alias("h"))
+    marks = saved(sketch(long, ["item_id"], "p").unionByName(every).distinct())
+    probe = sketch(d, doc_key, "p", whole=bool(marks.where(F.col("p") == WHOLE).take(1)))
     # item marks: at most 31 rows a shingle of the benchmark; beyond the bound the join shuffles
     return probe.join(small_side(marks, 28), ["p", "h"]).select(*doc_key, "item_id").distinct()
 
@@ -98,7 +113,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """(doc_id, item_id, containment) of every document that holds an item."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     items = items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text"))
-    cand = saved(candidates(docs, items, ["doc_id"]))
+    cand = saved(candidates(docs, items, ["doc_id"], threshold))
     want = cand.select("doc_id").distinct()
     hit = docs.join(small_side(want, 16), docs["doc_id"].eqNullSafe(want["doc_id"]), "left_semi")
     hit = hit.select("doc_id", shingle_texts(words(F.col("text"))).alias("d"))

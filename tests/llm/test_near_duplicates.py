@@ -249,6 +249,21 @@ def test_decontaminate_is_brute_force(spark):
     assert decontaminate.find_leaks(df, bf.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_every_short_item(spark):
+    r = random.Random(3)
+    items = [" ".join(f"i{k}x{j}" for j in range(5 + k % 6)) for k in range(60)]
+    docs = []
+    for it in items:
+        w = [f"t{r.randrange(10 ** 6)}" for _ in range(1000)]
+        docs.append(" ".join(w[:500]) + f" {it} " + " ".join(w[500:]))
+    bf = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = frame(spark, list(enumerate(docs)))
+    got = decontaminate.find_leaks(df, bf).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == {(k, k) for k in range(60)} and all(x.containment == 1 for x in got)
+    plan = decontaminate.candidates(df.select("doc_id", "text"), bf, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_decontaminate_runs_no_python(spark):
     df = frame(spark, [(1, "a b c d e f")])
     bf = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
