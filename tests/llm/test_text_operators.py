@@ -111,6 +111,20 @@ def test_block_max_search_is_exact():
             set(ids[o].tolist())
 
 
+def test_toxicity_looks_up_every_word(spark):
+    r = np.random.default_rng(5)
+    texts = [f"plain{i} " + " ".join(f"c{j}" for j in r.integers(0, 400, 30)) for i in range(400)]
+    rare = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 in (1, 2)][:2]     # two examples of the index
+    asks = [400 + i for i in range(2)]
+    texts = [t + f" rareword{rare.index(i)}" if i in rare else t for i, t in enumerate(texts)]
+    texts += [f"rareword{i} unseen{i}" for i in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i in rare or i % 9 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x.evidence for x in toxicity.score_toxicity(docs, labels).collect()}
+    assert [[e.doc_id for e in got[a]] for a in asks] == [[i] for i in rare]
+    assert all(got[i][0].doc_id == i and abs(got[i][0].similarity - 1) < 1e-9 for i in rare)
+
+
 def test_isotonic():
     x = np.array([0, 0, 1, 2, 3, 3, 4.0])
     k, v = toxicity.isotonic(x, np.array([0, 1, 0, 0, 1, 1, 1.0]))
