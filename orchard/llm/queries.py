@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, lattice_lm, packing, quality, substring_dedup, toxicity,
-                         url_filter)
+from orchard.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, lattice_lm, mixing, packing, quality, substring_dedup,
+                         toxicity, url_filter, vector_codes)
 from orchard.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -258,3 +258,67 @@ def pieces_file() -> str:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and lattice log10 probability of every document."""
     return lattice_lm.score_texts(table(spark, sf_dir, "documents"), pieces_file(), component_col="lang")
+
+
+# --------------------------------------------------------------------------
+# op12: mixing sources to target weights
+# --------------------------------------------------------------------------
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+h AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || size), 1, 15))::BIGINT AS h FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM h GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, source_size * 2.0::DOUBLE AS bound FROM s),
+c AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS total, sum(weight) OVER () AS weights,
+             coalesce(sum(bound) OVER o, 0) AS full_size, coalesce(sum(weight) OVER o, 0) AS full_weight, row_number() OVER p AS i
+      FROM w WINDOW o AS (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    p AS (ORDER BY bound / weight, source NULLS LAST)),
+l AS (SELECT arg_min((total - full_size) / (weights - full_weight), i) AS level FROM c
+      WHERE weight * ((total - full_size) / (weights - full_weight)) <= bound),
+t AS (SELECT source, source_size, least(weight * level, bound) AS target FROM w, l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+r AS (SELECT h.doc_id, h.size, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS rest,
+             coalesce(sum(h.size) OVER (PARTITION BY h.source ORDER BY h.h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM h JOIN e ON h.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (whole + CASE WHEN rest > 0 AND below + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
+"""
+
+
+@register("op12_mix_sources", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# --------------------------------------------------------------------------
+# op13: vector code compression
+# --------------------------------------------------------------------------
+
+_PICK = """SELECT x.vec_id, x.label, x.part, x.v, arg_min(b.entry, ({d}, b.entry)) AS entry, min({d})::BIGINT AS dist
+           FROM x JOIN {book} b USING (part) GROUP BY ALL"""
+_DIST = "list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i])))"
+_MOVE = """SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM {book} b LEFT JOIN (
+             SELECT part, entry, list(floor(s / n)::BIGINT ORDER BY i) AS v
+             FROM (SELECT part, entry, i, sum(v[i])::DOUBLE AS s, count(*) AS n FROM {pick}, range(1, 1 + (SELECT max(len(v)) FROM x)) r(i)
+                   GROUP BY ALL) GROUP BY ALL) m USING (part, entry)"""
+
+OP13_SQL = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
+x AS (SELECT vec_id, label, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS v FROM v, range(16) r(part)),
+b0 AS (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM x QUALIFY entry < 64),
+p1 AS MATERIALIZED ({_PICK.format(d=_DIST, book='b0')}), b1 AS MATERIALIZED ({_MOVE.format(book='b0', pick='p1')}),
+p2 AS MATERIALIZED ({_PICK.format(d=_DIST, book='b1')}), b2 AS MATERIALIZED ({_MOVE.format(book='b1', pick='p2')}),
+p3 AS MATERIALIZED ({_PICK.format(d=_DIST, book='b2')}),
+c AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error
+      FROM p3 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256 FROM c
+"""
+
+
+@register("op13_vector_codes", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector and the squared error that it leaves."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
