@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, lattice_lm, mixing, packing, quality, substring_dedup,
-                         toxicity, url_filter, vector_codes)
+                         toxicity, turn_repair, url_filter, vector_codes)
 from orchard.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -322,3 +322,62 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code of every vector and the squared error that it leaves."""
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+# --------------------------------------------------------------------------
+# op11: conversation structure repair
+# --------------------------------------------------------------------------
+
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({s}) + 1),
+            lambda j: ascii(substr({s}, j::INT, 1))::BIGINT)),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+            lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+OP11_SQL = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+m AS (SELECT *, {_CRC.format(s='s')} % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM m, range(2) r(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+o AS (SELECT *, row_number() OVER w AS i, left(role, 1) AS t, lag(left(role, 1)) OVER w AS before
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                     WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE 'none' END AS fault FROM o),
+st AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+              count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+              count(*) FILTER (i > 1 AND before || t NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+ins(q, k, to_q, roles) AS (VALUES (0, 0, 0, []::VARCHAR[]), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']),
+                                  (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']),
+                                  (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+                                  (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])),
+op(q, e, t, to_q) AS (VALUES (0, 'D', '*', 0), (1, 'D', '*', 1), (2, 'D', '*', 2), (3, 'D', '*', 3),
+                             (0, 'R', '*', 2), (1, 'R', '*', 2), (2, 'R', '*', 3), (3, 'R', '*', 2),
+                             (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (3, 'K', 'u', 2), (2, 'K', 'a', 3)),
+w AS (SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0::BIGINT, 'audit': '', 'said': []::VARCHAR[]}} AS b FROM st
+      UNION ALL
+      SELECT w.conv_id, w.i + 1, op.to_q, min({{'cost': w.b.cost + 3 * ins.k
+               + CASE op.e WHEN 'D' THEN 4 ELSE CASE op.e WHEN 'R' THEN 3 ELSE 0 END + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END END,
+             'audit': w.b.audit || repeat('I', ins.k) || op.e,
+             'said': w.b.said || ins.roles || CASE op.e WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text]
+                       ELSE [CASE op.to_q WHEN 3 THEN 'assistant:' ELSE 'user:' END || f.text] END}})
+      FROM w JOIN f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = w.i + 1 JOIN ins ON ins.q = w.q
+             JOIN op ON op.q = ins.to_q AND (op.t = '*' OR op.t = f.t) AND (op.e = 'D' OR fault NOT IN ('blank', 'duplicate'))
+      GROUP BY w.conv_id, w.i, op.to_q),
+z AS (SELECT st.conv_id, min({{'cost': w.b.cost + 3 * ins.k, 'audit': w.b.audit || repeat('I', ins.k), 'said': w.b.said || ins.roles}}) AS b
+      FROM st JOIN w ON st.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = st.n JOIN ins ON ins.q = w.q
+      WHERE ins.to_q IN (0, 3) GROUP BY st.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(z.b.cost, 0)::BIGINT AS cost,
+       coalesce(z.b.audit, '') AS audit, sha256(coalesce(array_to_string(z.b.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN st ON a.conv_id IS NOT DISTINCT FROM st.conv_id
+     LEFT JOIN z ON a.conv_id IS NOT DISTINCT FROM z.conv_id
+"""
+
+
+@register("op11_turn_repair", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.repair_digests(turn_repair.damage(turns), turns)
