@@ -1,16 +1,21 @@
 """Clustering (G1-G7): Lloyd steps and inertia as plain DataFrame plans,
-k-means and Gaussian mixtures through ``pyspark.ml``, and sweeps that score
-every fit with the contingency-based metrics of ``evaluate``.
+k-means and Gaussian mixtures whose starts and sizes share their scans
+(``many``), and sweeps that score every fit with the contingency-based
+metrics of ``evaluate``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orchard.operators import many
+from orchard.operators.evaluate import scores_from_counts
+from orchard.operators.many import Centres, Mixture
 from orchard.operators.neighbours import nearest_centre
+from orchard.session import cut_lineage
 
 
 def lloyd_step(points: DataFrame, centres: Sequence[Sequence[float]], features: str = "features") -> DataFrame:
@@ -38,77 +43,92 @@ def inertia(points: DataFrame, centres: Sequence[Sequence[float]], features: str
     return a.agg(F.sum("cluster_sqdist").alias("inertia"), F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def _vec(df: DataFrame, features: str):
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn("_vec", array_to_vector(F.col(features).cast("array<double>")))
+def _fits(points: DataFrame, ks: Sequence[int], n_init: int, init: str, max_iter: int, seed: int) -> dict[int, list[Centres]]:
+    """``n_init`` settled k-means fits for every k, all from the same scans."""
+    begin = many.starts(points, max(ks), range(seed, seed + n_init), init)
+    fits = {k: [Centres(c[:k].copy(), k, s) for s, c in begin.items() if len(c) >= 1] for k in ks}
+    flat = [m for k in ks for m in fits[k]]
+    if flat:
+        many.lloyd(points, flat, max_iter)
+    return fits
 
 
-def kmeans(df: DataFrame, k: int, features: str = "features", init: str = "k-means||", max_iter: int = 100,
+def _hashed(df: DataFrame, features: str) -> DataFrame:
+    """Points with a row hash for the draws (equal vectors share it)."""
+    return many.vectors(df, features, F.xxhash64(F.col(features).cast("array<double>")).alias("_h"))
+
+
+def kmeans(df: DataFrame, k: int, features: str = "features", init: str = "k-means++", max_iter: int = 100,
            n_init: int = 1, seed: int = 1, out: str = "cluster"):
-    """G1: ``pyspark.ml`` k-means, ``n_init`` seeds, the lowest training
-    cost wins.  Returns (assigned DataFrame, model, cost, iterations)."""
-    from pyspark.ml.clustering import KMeans
-    if k == 1:      # one cluster: the centre is the mean (pyspark.ml needs k >= 2)
-        from orchard.operators.scale import standard_scale_vectors_fit
-        means, _ = standard_scale_vectors_fit(df, features)
-        a = nearest_centre(df, [means], features, out, with_distance=True)
-        cost = a.agg(F.sum(f"{out}_sqdist")).first()[0]
-        return a.drop(f"{out}_sqdist"), None, float(cost), 0
-    v = _vec(df, features).persist()
-    best = None
-    for i in range(max(1, n_init)):
-        m = KMeans(k=k, initMode=init, maxIter=max_iter, seed=seed + i, featuresCol="_vec",
-                   predictionCol=out).fit(v)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost, m.summary.numIter)
-    model, cost, iters = best
-    return model.transform(v).drop("_vec"), model, cost, iters
+    """G1: Lloyd from ``n_init`` seeded starts (``k-means++`` or ``random``) in the same scans; the lowest cost wins,
+    ties to the first seed.  Returns (assigned DataFrame, :class:`Centres`, cost, iterations)."""
+    points = many.held(_hashed(df, features))
+    try:
+        best = min(_fits(points, [k], n_init, init, max_iter, seed)[k], key=lambda m: m.cost)
+    finally:
+        points.unpersist()
+    return many.assign(df, best, features, out), best, best.cost, best.n_iter
+
+
+def gmm_fits(points: DataFrame, ks: Sequence[int], n_init: int = 13, max_iter: int = 100, seed: int = 1,
+             fits: dict[int, list[Centres]] | None = None) -> dict[int, list[Mixture]]:
+    """``n_init`` settled mixtures for every k, each started from a k-means fit, all from the same scans."""
+    fits = fits or _fits(points, ks, n_init, "k-means++", max_iter, seed)
+    flat = many.mixtures_from(points, [f for k in ks for f in fits[k]])
+    many.em(points, flat, max_iter)
+    left = iter(flat)
+    return {k: [next(left) for _ in fits[k]] for k in ks}
 
 
 def gmm(df: DataFrame, k: int, features: str = "features", n_init: int = 13, max_iter: int = 100, seed: int = 1,
         out: str = "cluster"):
-    """Full-covariance Gaussian mixture (``pyspark.ml``), hard labels,
-    ``n_init`` seeds, highest log-likelihood wins.  Use after a reduction
-    when d is large (d x d covariance per component)."""
-    from pyspark.ml.clustering import GaussianMixture
-    v = _vec(df, features).persist()
-    best = None
-    for i in range(max(1, n_init)):
-        m = GaussianMixture(k=k, maxIter=max_iter, seed=seed + i, featuresCol="_vec", predictionCol=out,
-                            probabilityCol="_prob").fit(v)
-        ll = m.summary.logLikelihood
-        if best is None or ll > best[1]:
-            best = (m, ll)
-    model, ll = best
-    return model.transform(v).drop("_vec", "_prob"), model, ll
-
-
-def gmm_centres(model, dims: int = 2) -> DataFrame:
-    """First ``dims`` coordinates of every component mean."""
-    from pyspark.ml.functions import vector_to_array
-    g = model.gaussiansDF.withColumn("_m", vector_to_array("mean"))
-    g = g.select(F.monotonically_increasing_id().alias("_i"), "_m")
-    return g.select(*[F.col("_m")[i].alias(f"c{i}") for i in range(dims)])
+    """Full-covariance Gaussian mixture by EM, hard labels, ``n_init`` starts in the same scans, highest
+    log-likelihood wins.  A task holds d x d sums per component, so reduce first when d is large.
+    Returns (assigned DataFrame, :class:`Mixture`, mean log-likelihood)."""
+    points = many.held(_hashed(df, features))
+    try:
+        best = max(gmm_fits(points, [k], n_init, max_iter, seed)[k], key=lambda m: m.log_likelihood())
+    finally:
+        points.unpersist()
+    return many.assign(df, best, features, out), best, best.log_likelihood()
+
+
+def gmm_centres(spark: SparkSession, model: Mixture, dims: int = 2) -> DataFrame:
+    """Component id, weight and the first ``dims`` coordinates of every component mean."""
+    rows = [(j, float(model.weights[j]), *map(float, model.means[j][:dims])) for j in range(model.k)]
+    return spark.createDataFrame(rows, "component INT, weight DOUBLE, " + ", ".join(f"c{i} DOUBLE" for i in range(dims)))
 
 
 def cluster_sweep(df: DataFrame, ks: Sequence[int], features: str = "features", label: str = "label",
-                  method: str = "kmeans", seed: int = 1, n_init: int = 1) -> DataFrame:
-    """Per k: fit, then raw accuracy, homogeneity, completeness,
-    V-measure, ARI, AMI and Calinski-Harabasz; k = 1 allowed (CH null)."""
-    from orchard.operators.evaluate import calinski_harabasz, cluster_scores
-    out = None
-    for k in ks:
-        if method == "kmeans":
-            a, _, cost, iters = kmeans(df, k, features, seed=seed, n_init=n_init)
-        else:
-            a, _, cost = gmm(df, k, features, n_init=n_init, seed=seed)
-            iters = None
-        a = a.persist()
-        sc = cluster_scores(a, label, "cluster")
-        ch = calinski_harabasz(a, features, "cluster").first()["calinski_harabasz"]
-        row = (sc.withColumn("calinski_harabasz", F.lit(ch).cast("double"))
-                 .withColumn("k", F.lit(k)).withColumn("cost", F.lit(float(cost)))
-                 .withColumn("n_iter", F.lit(iters).cast("int")))
-        out = row if out is None else out.unionByName(row)
-    return out
+                  methods: Sequence[str] = ("kmeans", "em"), n_inits: Sequence[int] = (1,), em_init: int = 13,
+                  seed: int = 1, sample: int = 4800, max_iter: int = 100) -> DataFrame:
+    """One row per (method, k, n_init): raw accuracy, purity, homogeneity, completeness, V-measure, ARI, AMI,
+    Calinski-Harabasz, silhouette (over a hash sample of ``sample`` rows), cost or mean log-likelihood, iterations.
+
+    k-means runs max(n_inits) seeds for every k; its row for n_init = i is the best of the first i.  ``em`` rows
+    take the best of ``em_init`` mixtures.  All fits share their scans, and so do all scores.
+    """
+    points = many.held(many.vectors(df, features, F.xxhash64(F.col(features).cast("array<double>")).alias("_h"), F.col(label).alias("_l")))
+    try:
+        seeds = max([*(n_inits if "kmeans" in methods else []), *([em_init] if "em" in methods else [])])
+        fits = _fits(points, ks, seeds, "k-means++", max_iter, seed)
+        rows = []
+        if "kmeans" in methods:
+            rows += [("kmeans", k, n, min(fits[k][:n], key=lambda m: m.cost)) for k in ks for n in n_inits]
+        if "em" in methods:
+            mixed = gmm_fits(points, ks, em_init, max_iter, seed, {k: f[:em_init] for k, f in fits.items()})
+            rows += [("em", k, em_init, max(mixed[k], key=lambda m: m.log_likelihood())) for k in ks]
+        models = list({id(r[3]): r[3] for r in rows}.values())
+        place = {id(m): i for i, m in enumerate(models)}
+        table, sums = many.counts_and_moments(points, "_l", models)
+        taken = many.vectors(points.orderBy("_h").limit(sample), "_x")
+        sil = many.silhouettes(taken, models)
+        scores = cut_lineage(scores_from_counts(table, ["model"]))
+    finally:
+        points.unpersist()
+    extra = [(place[id(m)], name, k, n, many.calinski_harabasz_from(m, sums, place[id(m)]), sil[place[id(m)]],
+              m.cost if name == "kmeans" else None, m.log_likelihood() if name == "em" else None, m.n_iter)
+             for name, k, n, m in rows]
+    side = df.sparkSession.createDataFrame(extra, "model INT, method STRING, k INT, n_init INT, calinski_harabasz DOUBLE, silhouette DOUBLE, "
+                                                  "cost DOUBLE, log_likelihood DOUBLE, n_iter INT")
+    return side.join(scores, "model").drop("model")

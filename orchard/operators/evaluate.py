@@ -91,13 +91,17 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
                    by: Sequence[str] = (), with_ami: bool = True) -> DataFrame:
     """E2 (raw), purity, E9 homogeneity, E10 completeness, E11 V-measure,
     E12 adjusted Rand, E13 adjusted mutual information (arithmetic mean),
-    natural logarithms, from one contingency table per ``by`` group.
+    natural logarithms, from one contingency table per ``by`` group."""
+    return scores_from_counts(confusion(df, truth, pred, by), by, with_ami)
+
+
+def scores_from_counts(cm: DataFrame, by: Sequence[str] = (), with_ami: bool = True) -> DataFrame:
+    """:func:`cluster_scores` from a contingency table ``(by..., truth, pred, n)``.
 
     One scan: margins are window sums over the contingency table (#classes x
     #clusters rows), and a single aggregate turns its rows into every sum
     that the scores need - no join."""
     by = list(by)
-    cm = confusion(df, truth, pred, by)
     wg, wt, wp = (Window.partitionBy(*by, *extra) for extra in ((), ("truth",), ("pred",)))
     cm = cm.select("*", F.sum("n").over(wt).alias("a"), F.sum("n").over(wp).alias("b"),
                    F.sum("n").over(wg).cast("double").alias("ntot"), F.max("n").over(wp).alias("most"),

@@ -14,7 +14,8 @@ from orchard.operators import classify as C
 from orchard.operators import fitness as FT
 from orchard.operators import mdp as M
 from orchard.operators import reduce as R
-from orchard.operators.cluster import gmm, gmm_centres, inertia, kmeans
+from orchard.operators import many
+from orchard.operators.cluster import gmm, gmm_centres, inertia, kmeans, lloyd_step
 from orchard.operators.neighbours import nearest_centre
 from orchard.operators.split import learning_sizes_list, stratified_kfold
 from orchard.plans.catalog_mdp import GAMMA, SQL_MDP, on_grid
@@ -192,29 +193,98 @@ def q_d7_grp(spark, sf):
 
 
 # ------------------------------------------------------------------ clustering
-@register("g1_kmeans_invariants", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS misplaced, true AS cost_agrees FROM embeddings")
-def q_g1_invariants(spark, sf):
-    """Every row is with its nearest centre, and the cost is the inertia (G3) of the centres."""
+KS = 12
+
+
+@register("g1_lloyd_step_every_k", f"""WITH {SQL_E},
+k AS (SELECT unnest(range(1, {KS + 1})) AS k), s AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, v AS cv FROM e QUALIFY cluster < {KS}),
+d AS (SELECT k, vec_id, v, cluster, {_DIST.format('v', 'cv')} AS d FROM e, k JOIN s ON cluster < k),
+a AS (SELECT k, vec_id, any_value(v) AS v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM d GROUP BY k, vec_id),
+x AS (SELECT k, cluster, unnest(v) AS x, unnest(range(0, len(v))) AS dim FROM a)
+SELECT k::INTEGER AS k, x.cluster::INTEGER AS cluster, dim::INTEGER AS dim, count(*)::BIGINT AS n, round(avg(x), 9) AS centre,
+       round((SELECT sum(d) FROM a WHERE a.k = x.k), 6) AS cost FROM x GROUP BY k, x.cluster, dim""")
+def q_g1_steps(spark, sf):
+    """One Lloyd sweep of twelve models (k = 1..12, started from the first k vectors) in one scan."""
     e = embeddings(spark, sf)
-    a, model, _, _ = kmeans(e, 10, n_init=13, seed=1)
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    first = np.array([r["features"] for r in e.orderBy("vec_id").limit(KS).collect()])
+    got = many.lloyd_once(many.vectors(e, "features"), {k: first[:k] for k in range(1, KS + 1)})
+    rows = [(k, j, i, int(n[j]), round(float(c[j][i]), 9), round(float(cost.sum()), 6)) for k, (c, n, cost) in got.items()
+            for j in range(k) if n[j] for i in range(c.shape[1])]
+    return spark.createDataFrame(rows, "k INT, cluster INT, dim INT, n BIGINT, centre DOUBLE, cost DOUBLE")
+
+
+@register("g1_kmeans_invariants", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS misplaced, true AS cost_agrees, true AS settled FROM embeddings")
+def q_g1_invariants(spark, sf):
+    """Every row is with its nearest centre; the cost of the fit is the inertia (G3) of its centres; the centres are means."""
+    return kmeans_holds(embeddings(spark, sf), *kmeans(embeddings(spark, sf), 10, n_init=13, seed=1)[:3])
+
+
+def kmeans_holds(e, assigned, model, cost):
+    centres = model.centres.tolist()
     whole = inertia(e, centres).first()["inertia"]
-    cost = model.computeCost(a) if hasattr(model, "computeCost") else None
-    placed = nearest_centre(a, centres, "features", "own", with_distance=True)
+    moved = {(r["cluster"], r["dim"]): r["centre"] for r in lloyd_step(e, centres).collect()}
+    gap = sum((c - centres[j][i]) ** 2 for (j, i), c in moved.items())
+    placed = nearest_centre(assigned, centres, "features", "own")
     return placed.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                       F.sum((F.col("own") != F.col("cluster")).cast("int")).cast("bigint").alias("misplaced"),
-                      (F.abs(F.sum("own_sqdist") - F.lit(float(cost if cost is not None else whole))) < 1e-6).alias("cost_agrees"))
-
-
-@register("g4_gmm_invariants", "SELECT CAST(count(*) AS BIGINT) AS n, true AS weights_sum_to_one, CAST(4 AS BIGINT) AS centres, "
-          "true AS labels_in_range FROM embeddings")
+                      F.lit(bool(abs(whole - cost) < 1e-6 * max(1.0, whole))).alias("cost_agrees"),
+                      F.lit(bool(gap < 1e-4)).alias("settled"))
+
+
+#: Given mixtures of the first two components: (weight, mean, mean, variance, covariance, variance).
+MIXTURE = [(0.5, 0.0, 0.0, 0.02, 0.005, 0.03), (0.3, 0.1, -0.1, 0.015, -0.004, 0.01), (0.2, -0.1, 0.1, 0.03, 0.0, 0.02)]
+REG = 1e-6
+
+
+@register("g4_em_step", f"""WITH {SQL_E}, x AS (SELECT vec_id, v[1] AS x, v[2] AS y FROM e),
+g(j, w, m, n, a, b, c) AS (VALUES {', '.join(f"({j}, {', '.join(f'{v}::DOUBLE' for v in g)})" for j, g in enumerate(MIXTURE))}),
+l AS (SELECT *, ln(w) - ln(2 * pi()) - 0.5 * ln(a * c - b * b)
+                - 0.5 * (c * (x - m) * (x - m) - 2 * b * (x - m) * (y - n) + a * (y - n) * (y - n)) / (a * c - b * b) AS l FROM x, g),
+t AS (SELECT *, max(l) OVER (PARTITION BY vec_id) AS top FROM l),
+z AS (SELECT *, top + ln(sum(exp(l - top)) OVER (PARTITION BY vec_id)) AS z FROM t),
+r AS (SELECT *, exp(l - z) AS r FROM z),
+s AS (SELECT j, sum(r) AS n, sum(r * x) / sum(r) AS mx, sum(r * y) / sum(r) AS my, sum(r * x * x) / sum(r) AS xx, sum(r * x * y) / sum(r) AS xy,
+             sum(r * y * y) / sum(r) AS yy, avg(z) AS level FROM r GROUP BY j)
+SELECT j::INTEGER AS component, round(n / (SELECT count(*) FROM x), 8) AS weight, round(mx, 8) AS mean0, round(my, 8) AS mean1,
+       round(xx - mx * mx + {REG}, 8) AS var0, round(xy - mx * my, 8) AS covar, round(yy - my * my + {REG}, 8) AS var1, round(level, 8) AS level FROM s""")
+def q_g4_step(spark, sf):
+    """One EM step of a full-covariance mixture from given parameters."""
+    pts = many.vectors(embeddings(spark, sf).withColumn("two", F.slice("features", 1, 2)), "two")
+    given = many.Mixture(np.array([g[0] for g in MIXTURE]), np.array([g[1:3] for g in MIXTURE]),
+                         np.array([[[g[3], g[4]], [g[4], g[5]]] for g in MIXTURE]))
+    w, mu, cov, level = many.em_once(pts, {0: given}, REG)[0]
+    rows = [(j, *(round(float(v), 8) for v in (w[j], *mu[j], cov[j][0, 0], cov[j][0, 1], cov[j][1, 1], level))) for j in range(len(w))]
+    return spark.createDataFrame(rows, "component INT, weight DOUBLE, mean0 DOUBLE, mean1 DOUBLE, var0 DOUBLE, covar DOUBLE, var1 DOUBLE, level DOUBLE")
+
+
+@register("g4_gmm_invariants", """SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS falls, true AS settled, true AS better_than_one,
+  round(-0.5 * (5 * ln(2 * pi()) + 5 * ln((count(*) - 1) / count(*) + 1e-6) + 5 * ((count(*) - 1) / count(*)) / ((count(*) - 1) / count(*) + 1e-6)), 6)
+  AS one_component_level FROM embeddings""")
 def q_g4_invariants(spark, sf):
+    """The level never falls, a further step hardly raises it, one component has the closed form's level and four have more."""
     red = R.pca(embeddings(spark, sf), 5, whiten=True)[0]
-    a, model, _ = gmm(red, 4, "reduced", n_init=13)
-    return a.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                 F.lit(bool(abs(sum(model.weights) - 1) < 1e-9)).alias("weights_sum_to_one"),
-                 F.lit(gmm_centres(model, 2).count()).cast("bigint").alias("centres"),
-                 F.bool_and(F.col("cluster").between(0, 3)).alias("labels_in_range"))
+    single, model = (gmm(red, k, "reduced", n_init=13)[1] for k in (1, 4))
+    return mixture_holds(red, "reduced", single, model)
+
+
+def mixture_holds(df, features, single, model):
+    points = many.vectors(df, features)
+    *_, level = many.em_once(points, {0: model})[0]
+    falls = sum(b < a - 1e-6 for a, b in zip(model.trace, model.trace[1:]))
+    return points.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.lit(falls).cast("bigint").alias("falls"),
+                      F.lit(bool(abs(level - model.log_likelihood()) < 1e-2)).alias("settled"),
+                      F.lit(bool(model.log_likelihood() > single.log_likelihood())).alias("better_than_one"),
+                      F.lit(round(single.log_likelihood(), 6)).alias("one_component_level"))
+
+
+@register("g5_weighted_centres", f"""WITH {SQL_E} SELECT CAST(3 AS BIGINT) AS components, round(avg(v[1]), 8) AS c0, round(avg(v[2]), 8) AS c1,
+       CAST(1.0 AS DOUBLE) AS weight FROM e""")
+def q_g5_weighted(spark, sf):
+    """Weighted by component, the centres of a mixture are the mean of the table."""
+    two = embeddings(spark, sf).select(F.slice("features", 1, 2).alias("features"))
+    g = gmm_centres(spark, gmm(two, 3, n_init=2)[1], 2)
+    return g.agg(F.count_distinct("component").alias("components"), *[F.round(F.sum(F.col("weight") * F.col(c)), 8).alias(c) for c in ("c0", "c1")],
+                 F.round(F.sum("weight"), 8).alias("weight"))
 
 
 # ------------------------------------------------------------------ fitted networks and kernels on learnable labels

@@ -6,7 +6,9 @@ tests hold metric floors and invariants instead (see tests/).
 
 from __future__ import annotations
 
+import functools
 import time
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,40 +196,50 @@ def q_c12(spark, sf):
 # ------------------------------------------------------------------ clustering fits
 @register("g1_kmeans")
 def q_g1(spark, sf):
-    e = embeddings(spark, sf)
-    a, model, cost, iters = kmeans(e, 10, n_init=3, seed=1)
+    a, model, cost, iters = kmeans(embeddings(spark, sf), 10, n_init=3, seed=1)
     return (cluster_scores(a, "label", "cluster").withColumn("cost", F.lit(cost))
             .withColumn("n_iter", F.lit(iters)))
 
 
+def whitened(spark, sf, k=5):
+    """``vec_id``, ``label`` and ``k`` whitened components as ``features``."""
+    red = R.pca(embeddings(spark, sf), k, whiten=True)[0]
+    return red.select("vec_id", "label", F.col("reduced").alias("features"))
+
+
 @register("g4_gmm")
 def q_g4(spark, sf):
-    e = R.pca(embeddings(spark, sf), 5, whiten=True)[0].withColumn("features", F.col("reduced")).drop("reduced")
-    a, model, ll = gmm(e, 10, n_init=13)
+    a, model, ll = gmm(whitened(spark, sf), 10, n_init=13)
     return cluster_scores(a, "label", "cluster").withColumn("log_likelihood", F.lit(ll))
 
 
 @register("g5_gmm_centres")
 def q_g5(spark, sf):
-    e = R.pca(embeddings(spark, sf), 5, whiten=True)[0].withColumn("features", F.col("reduced")).drop("reduced")
-    return gmm_centres(gmm(e, 4, n_init=13)[1], 2)
+    return gmm_centres(spark, gmm(whitened(spark, sf), 4, n_init=13)[1], 2)
+
+
+#: Numbers of clusters of the sweeps, k-means starts per row, mixture starts (fixed values).
+SWEEP_K, SWEEP_STARTS, EM_STARTS = range(1, 13), range(1, 11), 13
 
 
 @register("g6_cluster_sweep")
 def q_g6(spark, sf):
-    return cluster_sweep(embeddings(spark, sf), [1, 2, 5, 10], seed=1)
+    """k-means over the whole vectors for every (k, number of starts); mixtures over five whitened components."""
+    km = cluster_sweep(embeddings(spark, sf), SWEEP_K, methods=("kmeans",), n_inits=SWEEP_STARTS, seed=1)
+    return km.unionByName(cluster_sweep(whitened(spark, sf), SWEEP_K, methods=("em",), em_init=EM_STARTS, seed=1))
 
 
 @register("g7_reduce_then_cluster")
 def q_g7(spark, sf):
-    e = embeddings(spark, sf).persist()
-    out = None
-    for method in ("svd", "pca", "ica", "grp"):
-        red = _reduced(method, e.where(~F.col("is_test")), e.where(F.col("is_test")))
-        both = red[0].unionByName(red[1])
-        sw = cluster_sweep(both, [2, 10], seed=1).withColumn("method", F.lit(method))
-        out = sw if out is None else out.unionByName(sw)
-    return out
+    """Four reductions, each swept over every k with one k-means start and with mixtures."""
+    e = embeddings(spark, sf).where(~F.col("is_test"))
+
+    def one(method):
+        red = _reduced(method, e, e.limit(0))[0].select("vec_id", "label", "features")
+        return cluster_sweep(red, SWEEP_K, em_init=EM_STARTS, seed=1).withColumn("reduction", F.lit(method))
+    with ThreadPool(4) as pool:                    # independent fits: their jobs interleave
+        parts = pool.map(one, ("svd", "pca", "ica", "grp"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------------------ reductions
