@@ -87,17 +87,17 @@ def _rows(found: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
          pa.array([v.ravel().tolist() for v in found.values()], pa.list_(pa.float64()))], names=["model", "part", "v"])
 
 
-def scan_sums(points: DataFrame, step: Callable[[np.ndarray], Iterator[tuple[tuple[int, int], np.ndarray]]]) -> dict:
-    """Sum over all rows of what ``step(rows)`` yields by (model, part)."""
+def scan_sums(points: DataFrame, step: Callable[[np.ndarray, pa.RecordBatch], Iterator[tuple[tuple[int, int], np.ndarray]]]) -> dict:
+    """Sum over all rows of what ``step(vectors, rows)`` yields by (model, part)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[int, int], np.ndarray] = {}
-        for x, _ in _chunks(batches):
-            for key, v in step(x):
+        for x, rows in _chunks(batches):
+            for key, v in step(x, rows):
                 total[key] = total[key] + v if key in total else v
         if total:
             yield _rows(total)
 
-    each = points.select("_x").mapInArrow(run, "model int, part int, v array<double>")
+    each = points.mapInArrow(run, "model int, part int, v array<double>")
     sums = (each.select("model", "part", F.posexplode("v").alias("place", "x")).groupBy("model", "part", "place").agg(F.sum("x").alias("x"))
                 .toPandas().sort_values(["model", "part", "place"]))
     heads = sums.drop_duplicates(["model", "part"])[["model", "part"]]
@@ -125,7 +125,7 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ k-means
-def _uniform(h: np.ndarray, seed: int, draw: int) -> np.ndarray:
+def uniform(h: np.ndarray, seed: int, draw: int) -> np.ndarray:
     """Numbers in (0, 1) that depend on the row's hash, the seed and the draw only."""
     with np.errstate(over="ignore"):
         z = h.view(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + (draw + 1) * 0xD1342543DE82EF95) & (2**64 - 1))
@@ -157,7 +157,7 @@ def starts(points: DataFrame, k: int, seeds: Sequence[int], init: str = "k-means
                         near = ((x - c[nearest(x, c)]) ** 2).sum(1)
                         weight = near if init == "k-means++" else (near > 0).astype(float)
                     with np.errstate(divide="ignore"):
-                        key = np.minimum(-np.log(_uniform(h, s, draw)) / weight, np.finfo(float).max)
+                        key = np.minimum(-np.log(uniform(h, s, draw)) / weight, np.finfo(float).max)
                     i = int(np.lexsort((h, key))[0])
                     if s not in best or (key[i], h[i]) < best[s][:2]:
                         best[s] = (float(key[i]), int(h[i]), x[i].tolist())
@@ -175,7 +175,7 @@ def starts(points: DataFrame, k: int, seeds: Sequence[int], init: str = "k-means
 
 def lloyd_sums(models: dict[int, np.ndarray]) -> Callable:
     """Step of a Lloyd sweep: rows, cost, central squares and sums by (model, centre)."""
-    def step(x: np.ndarray):
+    def step(x: np.ndarray, _):
         for m, c in models.items():
             near = nearest(x, c)
             one = (near[:, None] == np.arange(len(c))[None, :]).astype(float)
@@ -189,7 +189,7 @@ def lloyd_sums(models: dict[int, np.ndarray]) -> Callable:
 
 def lloyd_once(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """One sweep of all models: (new centres, sizes, cost per centre).  A centre without rows stays."""
-    sums = scan_sums(points, lloyd_sums(models))
+    sums = scan_sums(points.select("_x"), lloyd_sums(models))
     out = {}
     for m, c in models.items():
         new, n, cost = c.copy(), np.zeros(len(c)), np.zeros(len(c))
@@ -252,7 +252,7 @@ def em_sums(models: dict[int, Mixture]) -> Callable:
     """Step of an EM sweep: soft counts and moments about the old means; part -1 holds (log-likelihood, rows)."""
     ready = {i: (m.means, *_factors(m)) for i, m in models.items()}
 
-    def step(x: np.ndarray):
+    def step(x: np.ndarray, _):
         for i, (means, inv, const) in ready.items():
             joint = _log_joint(x, means, inv, const)
             top = joint.max(1)
@@ -266,7 +266,7 @@ def em_sums(models: dict[int, Mixture]) -> Callable:
 
 def hard_sums(models: dict[int, np.ndarray]) -> Callable:
     """The same moments for rows that belong to their nearest centre alone."""
-    def step(x: np.ndarray):
+    def step(x: np.ndarray, _):
         for i, c in models.items():
             near = nearest(x, c)
             for j in range(len(c)):
@@ -287,7 +287,7 @@ def _maximise(old: np.ndarray, sums: dict, i: int, reg: float) -> tuple[np.ndarr
 
 def em_once(points: DataFrame, models: dict[int, Mixture], reg: float = 1e-6) -> dict[int, tuple]:
     """One EM step of all models: (weights, means, covariances, mean log-likelihood before the step)."""
-    sums = scan_sums(points, em_sums(models))
+    sums = scan_sums(points.select("_x"), em_sums(models))
     out = {}
     for i, m in models.items():
         total, n = sums[i, -1]
@@ -297,7 +297,7 @@ def em_once(points: DataFrame, models: dict[int, Mixture], reg: float = 1e-6) ->
 
 def mixtures_from(points: DataFrame, fits: Sequence[Centres], reg: float = 1e-6) -> list[Mixture]:
     """Mixtures that start from the clusters of k-means fits, one scan for all."""
-    sums = scan_sums(points, hard_sums({i: f.centres for i, f in enumerate(fits)}))
+    sums = scan_sums(points.select("_x"), hard_sums({i: f.centres for i, f in enumerate(fits)}))
     return [Mixture(*_maximise(f.centres, sums, i, reg), seed=f.seed) for i, f in enumerate(fits)]
 
 
@@ -357,7 +357,7 @@ def counts_and_moments(points: DataFrame, label: str, models: Sequence[Centres |
     table = (points.select("_x", label).mapInArrow(count, f"model int, truth {kind}, pred int, n long")
                    .groupBy("model", "truth", "pred").agg(F.sum("n").cast("bigint").alias("n")))
 
-    def step(x: np.ndarray):
+    def step(x: np.ndarray, _):
         for i, m in enumerate(models):
             c = m.centres if isinstance(m, Centres) else m.means
             at = labeller(m)(x)
@@ -366,7 +366,7 @@ def counts_and_moments(points: DataFrame, label: str, models: Sequence[Centres |
             cost, shift = one.T @ np.einsum("ij,ij->i", gap, gap), one.T @ gap
             for j in np.flatnonzero(one.any(0)):
                 yield (i, int(j)), np.concatenate([[one[:, j].sum(), cost[j]], shift[j]])
-    return table, scan_sums(points, step)
+    return table, scan_sums(points.select("_x"), step)
 
 
 def calinski_harabasz_from(model: Centres | Mixture, sums: dict, i: int) -> float | None:

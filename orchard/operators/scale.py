@@ -109,3 +109,9 @@ def covariance(df: DataFrame, features: str = "features", sample: bool = True) -
 def gram(df: DataFrame, features: str = "features") -> DataFrame:
     """Uncentred ``X^T X`` as ``(i, j, g)`` for i <= j."""
     return co_moments(df, features).select("i", "j", F.col("sxy").alias("g"))
+
+
+def standard_scale_vectors(df: DataFrame, means: Sequence[float], sds: Sequence[float], features: str = "features") -> DataFrame:
+    """D1 for vector columns: every component minus its mean, by its standard deviation (1 where that is 0)."""
+    scale = F.array(*[F.struct(F.lit(float(m)).alias("m"), F.lit(float(s) or 1.0).alias("s")) for m, s in zip(means, sds)])
+    return df.withColumn(features, F.zip_with(F.col(features).cast("array<double>"), scale, lambda x, p: (x - p["m"]) / p["s"]))

@@ -4,6 +4,7 @@ deterministic classifiers."""
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import numpy as np
@@ -13,6 +14,7 @@ from orchard.functions.vectors import euclidean
 from orchard.operators import classify as C
 from orchard.operators import fitness as FT
 from orchard.operators import mdp as M
+from orchard.operators import mlp as MLP
 from orchard.operators import reduce as R
 from orchard.operators import many
 from orchard.operators.cluster import gmm, gmm_centres, inertia, kmeans, lloyd_step
@@ -288,23 +290,63 @@ def q_g5_weighted(spark, sf):
 
 
 # ------------------------------------------------------------------ fitted networks and kernels on learnable labels
+NET = (2, 3, 2)                              # layers of the given net
+NET_WEIGHTS = np.round(MLP.glorot(NET, 4), 3)
+
+
+def _sql_gradient() -> str:
+    """The gradient of the given net written out: one sum per weight."""
+    (w1, b1), (w2, b2) = [(w.tolist(), b.tolist()) for w, b in MLP.unpack(NET_WEIGHTS, NET)]
+    h = [f"greatest({b1[j]!r}::DOUBLE + {w1[0][j]!r}::DOUBLE * x0 + {w1[1][j]!r}::DOUBLE * x1, 0)" for j in range(3)]
+    z = [f"({b2[c]!r}::DOUBLE + " + " + ".join(f"{w2[j][c]!r}::DOUBLE * h{j}" for j in range(3)) + ")" for c in range(2)]
+    dh = [f"CASE WHEN h{j} > 0 THEN " + " + ".join(f"{w2[j][c]!r}::DOUBLE * d{c}" for c in range(2)) + " ELSE 0 END" for j in range(3)]
+    sums = ([f"sum(x{i} * g{j})" for i in range(2) for j in range(3)] + [f"sum(g{j})" for j in range(3)]
+            + [f"sum(h{j} * d{c})" for j in range(3) for c in range(2)] + [f"sum(d{c})" for c in range(2)])
+    return f"""WITH {SQL_E}, x AS (SELECT v[1] AS x0, v[2] AS x1, label % 2 AS y FROM e),
+h AS (SELECT *, {', '.join(f'{x} AS h{j}' for j, x in enumerate(h))} FROM x), z AS (SELECT *, {z[0]} AS z0, {z[1]} AS z1 FROM h),
+p AS (SELECT *, 1 / (1 + exp(z1 - z0)) AS p0 FROM z), d AS (SELECT *, p0 - (y = 0)::INT AS d0, (1 - p0) - (y = 1)::INT AS d1 FROM p),
+g AS (SELECT *, {', '.join(f'{x} AS g{j}' for j, x in enumerate(dh))} FROM d),
+s AS (SELECT [{', '.join(sums)}] AS v, sum(-ln(CASE WHEN y = 0 THEN p0 ELSE 1 - p0 END)) AS loss FROM g)
+SELECT (place - 1)::INTEGER AS place, round(v[place], 8) AS gradient, round(loss, 8) AS loss FROM s, range(1, {len(sums) + 1}) r(place)"""
+
+
+@register("c7_gradient", _sql_gradient)
+def q_c7_gradient(spark, sf):
+    """Back-propagated gradient of a given net, summed over the table."""
+    two = embeddings(spark, sf).select(F.slice("features", 1, 2).alias("features"), (F.col("label") % 2).alias("label"))
+    v = MLP.gradients(MLP.points(two, "features", "label"), {0: (NET_WEIGHTS, NET)})[0]
+    return spark.createDataFrame([(i, round(float(g), 8), round(float(v[0]), 8)) for i, g in enumerate(v[2:])], "place INT, gradient DOUBLE, loss DOUBLE")
+
+
+MODELS = ("mlp", "mlp_adam", "mlp_sgd", "svm_linear", "svm_rbf", "svm_poly")
+
+
 @register("c7_c8_floors", f"""SELECT m AS model, (SELECT CAST(count(*) AS BIGINT) FROM embeddings
        WHERE ({sql_hash_u32('vec_id', SPLIT_SEED)} % 100) < {int(TEST_FRAC * 100)}) AS n, true AS above_floor
-FROM (SELECT unnest(['mlp', 'svm_linear', 'svm_rbf']) AS m)""")
+FROM (SELECT unnest({list(MODELS)}) AS m)""")
 def q_floors(spark, sf):
-    """Labels that depend on the features (which side of a fixed plane): chance is near one half, the floor 0.7."""
+    """Labels that depend on the features (which side of a fixed plane; for ``poly`` the sign of a product, which no
+    plane separates): chance is near one half, the floor 0.7."""
     plane = np.random.RandomState(5).normal(size=64)
     side = F.aggregate(F.zip_with("features", F.array(*[F.lit(float(v)) for v in plane]), lambda a, b: a * b), F.lit(0.0),
                        lambda a, x: a + x)
     e = embeddings(spark, sf).withColumn("label", (side > 0).cast("double")).persist()
-    tr, te = e.where(~F.col("is_test")), e.where(F.col("is_test"))
-    out = None
-    for name, scored in (("mlp", C.mlp_classify(tr, te, hidden=(100,), max_iter=200)[0]),
-                         ("svm_linear", C.svm_classify(tr, te, "linear")), ("svm_rbf", C.svm_classify(tr, te, "rbf"))):
-        row = scored.agg(F.lit(name).alias("model"), F.count(F.lit(1)).cast("bigint").alias("n"),
-                         (F.avg((F.col("label") == F.col("prediction")).cast("double")) >= 0.7).alias("above_floor"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    four = F.transform(F.slice("features", 1, 4), lambda x: x * 8)
+    p = e.withColumn("features", four).withColumn("label", (F.col("features")[0] * F.col("features")[1] > 0).cast("double"))
+    try:
+        (tr, te), (ptr, pte) = ((d.where(~F.col("is_test")), d.where(F.col("is_test"))) for d in (e, p))
+        scaled = [d.withColumn("features", F.transform("features", lambda x: x * 8)) for d in (tr, te)]      # unit variance
+        own = MLP.mlp_solvers(*scaled, (("adam", "constant"), ("sgd", "adaptive")), max_iter=60, batches=2, rate=0.01)[0].persist()
+        out = [own.where(F.col("solver") == s).withColumn("model", F.lit(f"mlp_{s}")) for s in ("adam", "sgd")]
+        for name, scored in (("mlp", C.mlp_classify(tr, te, hidden=(100,), max_iter=200)[0]), ("svm_linear", C.svm_classify(tr, te, "linear")),
+                             ("svm_rbf", C.svm_classify(tr, te, "rbf")), ("svm_poly", C.svm_classify(ptr, pte, "poly"))):
+            out.append(scored.withColumn("model", F.lit(name)))
+        both = functools.reduce(lambda a, b: a.unionByName(b), [d.select("model", "label", "prediction") for d in out])
+        got = both.groupBy("model").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                        (F.avg((F.col("label") == F.col("prediction")).cast("double")) >= 0.7).alias("above_floor"))
+        return spark.createDataFrame(got.collect(), got.schema)                  # six rows
+    finally:
+        e.unpersist()
 
 
 # ------------------------------------------------------------------ MDP

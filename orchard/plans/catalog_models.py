@@ -18,6 +18,9 @@ from orchard.operators import mdp as M
 from orchard.operators import reduce as R
 from orchard.operators.cluster import cluster_sweep, gmm, gmm_centres, kmeans
 from orchard.operators.evaluate import classification_scores, cluster_scores
+from orchard.operators.mlp import mlp_solvers
+from orchard.operators.pipelines import base_vs_reduced, cluster_augmented, reduced
+from orchard.operators.scale import standard_scale_vectors, standard_scale_vectors_fit
 from orchard.operators.split import learning_sizes_list, stratified_kfold, train_test_split
 from orchard.plans.catalog_mdp import GAMMA, on_grid
 from orchard.plans.common import SPLIT_SEED, embeddings, r6, t
@@ -140,57 +143,36 @@ def q_c8(spark, sf):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
-REDUCE_K = 10
+#: Numbers of iterations of the sweep, and the compared (solver, rate schedule) pairs (fixed values).
+ITERATIONS = (10, 50, 100, 200, 400)
+VARIANTS = (("adam", "constant"), ("sgd", "constant"), ("sgd", "invscaling"), ("sgd", "adaptive"))
+
 
+@register("c7_mlp_solvers")
+def q_c7_solvers(spark, sf):
+    """Stochastic solvers on scaled features, with the accuracy after every number of epochs, from one run."""
+    tr, te = _emb_split(spark, sf)
+    means, sds = standard_scale_vectors_fit(tr)
+    scaled = [standard_scale_vectors(d, means, sds) for d in (tr, te)]
+    scored, nets, _ = mlp_solvers(*scaled, VARIANTS, max_iter=max(ITERATIONS), stages=ITERATIONS)
+    return _scores(scored, "micro", by=("solver", "schedule", "iterations"))
 
-def _reduced(method, tr, te):
-    both = tr.unionByName(te)
-    if method == "svd":
-        red = R.truncated_svd(both, REDUCE_K)[0]
-    elif method == "pca":
-        red = R.pca(both, REDUCE_K, whiten=True)[0]
-    elif method == "ica":
-        red = R.fast_ica(both, REDUCE_K, max_iter=500)[0]
-    elif method == "grp":
-        red = R.gaussian_random_projection(both, REDUCE_K, 1)
-    else:
-        return tr, te
-    red = red.withColumn("features", F.col("reduced")).drop("reduced")
-    return red.where(~F.col("is_test")), red.where(F.col("is_test"))
+
+REDUCE_K = 10
 
 
 @register("c11_base_vs_reduced")
 def q_c11(spark, sf):
-    tr, te = _emb_split(spark, sf)
-    out = []
-    for method in ("base", "svd", "pca", "ica", "grp"):
-        a, b = _reduced(method, tr, te)
-        scored, _, fit_s = C.mlp_classify(a, b, hidden=(100,), max_iter=100)
-        out.append(_scores(scored, "micro").withColumn("method", F.lit(method))
-                   .withColumn("n_features", F.lit(64 if method == "base" else REDUCE_K))
-                   .withColumn("fit_seconds", F.lit(fit_s)))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    """Three solvers on the raw features and on four reductions."""
+    e = embeddings(spark, sf).withColumn("label", F.col("label").cast("double"))
+    return base_vs_reduced(e, REDUCE_K)
 
 
 @register("c12_cluster_augmented")
 def q_c12(spark, sf):
-    from orchard.operators.reduce import augment_with_cluster
-    e = embeddings(spark, sf).withColumn("label", F.col("label").cast("double")).persist()
-    out = []
-    for method in ("kmeans", "em"):
-        if method == "kmeans":
-            a = kmeans(e, 10, seed=1)[0]
-        else:
-            red = R.pca(e, 5, whiten=True)[0].withColumn("features5", F.col("reduced"))
-            a = gmm(red.drop("reduced"), 5, "features5", n_init=13)[0].drop("features5")
-        aug = augment_with_cluster(a, "cluster", "features")
-        scored, _, fit_s = C.mlp_classify(aug.where(~F.col("is_test")), aug.where(F.col("is_test")),
-                                          hidden=(100,), max_iter=100)
-        out.append(_scores(scored, "micro").withColumn("method", F.lit(method)))
-    return out[0].unionByName(out[1])
+    """Three solvers on features with the row's cluster (k-means, mixture) in front."""
+    e = embeddings(spark, sf).withColumn("label", F.col("label").cast("double"))
+    return cluster_augmented(e, [2, 5, 10])
 
 
 # ------------------------------------------------------------------ clustering fits
@@ -235,7 +217,7 @@ def q_g7(spark, sf):
     e = embeddings(spark, sf).where(~F.col("is_test"))
 
     def one(method):
-        red = _reduced(method, e, e.limit(0))[0].select("vec_id", "label", "features")
+        red = reduced(e, method, REDUCE_K).select("vec_id", "label", "features")
         return cluster_sweep(red, SWEEP_K, em_init=EM_STARTS, seed=1).withColumn("reduction", F.lit(method))
     with ThreadPool(4) as pool:                    # independent fits: their jobs interleave
         parts = pool.map(one, ("svd", "pca", "ica", "grp"))
