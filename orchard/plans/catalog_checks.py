@@ -18,6 +18,7 @@ from orchard.operators import mlp as MLP
 from orchard.operators import reduce as R
 from orchard.operators import many
 from orchard.operators.cluster import gmm, gmm_centres, inertia, kmeans, lloyd_step
+from orchard.operators.curves import nearest_mean_curve
 from orchard.operators.neighbours import nearest_centre
 from orchard.operators.split import learning_sizes_list, stratified_kfold
 from orchard.plans.catalog_mdp import GAMMA, SQL_MDP, on_grid
@@ -144,7 +145,7 @@ SELECT m AS train_size, round(avg(a) FILTER (WHERE part = 'train'), 6) AS train_
 def q_e6_mean(spark, sf):
     d = stratified_kfold(embeddings(spark, sf), "label", "vec_id", CV).withColumn("label", F.col("label").cast("double")).persist()
     n_max = d.where(F.col("fold") != 0).count()
-    got = C.learning_curve(C.nearest_mean_fit(), d, "vec_id", CV, learning_sizes_list(n_max, 11))
+    got = nearest_mean_curve(d, "vec_id", CV, learning_sizes_list(n_max, 11))
     return got.select("train_size", r6("train_score").alias("train_score"), r6("test_score").alias("test_score"))
 
 
