@@ -16,6 +16,7 @@ from orchard.operators import fitness as FT
 from orchard.operators import mdp as M
 from orchard.operators import mlp as MLP
 from orchard.operators import reduce as R
+from orchard.operators import trees
 from orchard.operators import many
 from orchard.operators.cluster import gmm, gmm_centres, inertia, kmeans, lloyd_step
 from orchard.operators.curves import nearest_mean_curve
@@ -69,6 +70,49 @@ def q_c3_pruned(spark, sf):
     return spark.createDataFrame([(i, i in cut) for i in (0, 1, 4)], "node INT, becomes_leaf BOOLEAN")
 
 
+SPLIT_COLS = ("l_quantity", "l_discount", "l_tax")
+MIN_LEAF = 10
+
+
+def _sql_gain(kind: str) -> str:
+    imp = {"gini": "(1 - ({r} / {n}) * ({r} / {n}) - (({n} - {r}) / {n}) * (({n} - {r}) / {n}))",
+           "entropy": "-(CASE WHEN {r} > 0 THEN {r} / {n} * log2({r} / {n}) ELSE 0 END + CASE WHEN {n} > {r} THEN ({n} - {r}) / {n} * log2(({n} - {r}) / {n}) ELSE 0 END)"}[kind]
+    of = lambda n, r: imp.format(n=n, r=r)      # noqa: E731
+    return f"""SELECT '{kind}' AS impurity, node, f, thr, nl, nr, {of('(nl + nr)', '(rl + rr)')}
+       - (nl * {of('nl', 'rl')} + nr * {of('nr', 'rr')}) / (nl + nr) AS gain FROM c"""
+
+
+@register("c1_best_splits", f"""WITH r AS (SELECT CASE WHEN l_quantity <= 25 THEN 1 ELSE 2 END AS node, (l_returnflag = 'R')::INT AS y,
+       unnest([{', '.join(f'{c}::DOUBLE' for c in SPLIT_COLS)}]) AS x, unnest([0, 1, 2]) AS f FROM lineitem),
+v AS (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS nx FROM (SELECT DISTINCT f, x FROM r)),
+t AS (SELECT f, x AS last, (x + nx) / 2 AS thr FROM v WHERE nx IS NOT NULL),
+h AS (SELECT node, f, x, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS r FROM r GROUP BY ALL),
+c AS (SELECT node, t.f, thr, sum(n) FILTER (x <= last) AS nl, coalesce(sum(r) FILTER (x <= last), 0) AS rl,
+             sum(n) FILTER (x > last) AS nr, coalesce(sum(r) FILTER (x > last), 0) AS rr FROM h JOIN t USING (f) GROUP BY node, t.f, thr
+      HAVING coalesce(sum(n) FILTER (x <= last), 0) >= {MIN_LEAF} AND coalesce(sum(n) FILTER (x > last), 0) >= {MIN_LEAF}),
+g AS ({_sql_gain('gini')} UNION ALL {_sql_gain('entropy')}),
+b AS (SELECT *, row_number() OVER (PARTITION BY impurity, node ORDER BY round(gain, 12) DESC, f, thr) AS rn FROM g)
+SELECT impurity, node::INTEGER AS node, f::INTEGER AS feature, round(thr, 9) AS threshold, nl::BIGINT AS n_left, nr::BIGINT AS n_right,
+       round(gain, 9) AS gain FROM b WHERE rn = 1""")
+def q_c1_splits(spark, sf):
+    """Best cut of both nodes of a level below a given root, by gini and by entropy."""
+    li = t(spark, sf, "lineitem").select(F.array(*[F.col(c).cast("double") for c in SPLIT_COLS]).alias("features"),
+                                         (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    pts = trees.points(li, "features", "label")
+    tree = trees.Tree(trees.find_cuts(pts, 64))
+    for i, (left, right) in enumerate(((1, 2), (-1, -1), (-1, -1))):
+        tree.add(np.ones(2), 0.0, min(i, 1))
+        tree.left[i], tree.right[i] = left, right
+    tree.feature[0], tree.cut[0] = 0, int(np.searchsorted(tree.cuts[0], 25.0, side="left"))       # quantity <= 25
+    rows = []
+    for node, (w, n) in trees.level_histograms(pts, tree, [1, 2], 2).items():
+        for kind in trees.IMPURITIES:
+            f, b, gain = trees.best_split(w, n, kind, MIN_LEAF)
+            left = int(n[f, :b + 1].sum())
+            rows.append((kind, node, f, round(float(tree.cuts[f][b]), 9), left, int(n[f].sum()) - left, round(gain, 9)))
+    return spark.createDataFrame(rows, "impurity STRING, node INT, feature INT, threshold DOUBLE, n_left BIGINT, n_right BIGINT, gain DOUBLE")
+
+
 SQL_TEST_DOCS = (f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS mismatches FROM labels JOIN documents USING (doc_id) "
                  f"WHERE ({sql_hash_u32('doc_id', SPLIT_SEED)} % 100) < {int(TEST_FRAC * 100)}")
 

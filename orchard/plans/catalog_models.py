@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from orchard.operators import classify as C
 from orchard.operators import mdp as M
 from orchard.operators import reduce as R
+from orchard.operators import trees
 from orchard.operators.cluster import cluster_sweep, gmm, gmm_centres, kmeans
 from orchard.operators.evaluate import classification_scores, cluster_scores
 from orchard.operators.mlp import mlp_solvers
@@ -58,18 +59,20 @@ def _scores(pred: DataFrame, avg: str = "binary", by=()) -> DataFrame:
 # ------------------------------------------------------------------ trees
 @register("c1_decision_tree")
 def q_c1(spark, sf):
+    """Accuracies of trees of depth 3 to 6, whole and pruned; one growth serves all depths."""
     d = doc_features(spark, sf).persist()
-    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
-    rows = []
-    for depth in range(3, 7):
-        model = C.decision_tree(train, "entropy", depth, 10)
-        nodes = C.tree_nodes(model)
-        pred = test.withColumn("prediction", C.tree_expr(nodes))
-        cut = C.prune_reduced_error(nodes, test)
-        pruned = test.withColumn("prediction", C.tree_expr(nodes, collapsed=cut))
-        a0 = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-        a1 = pruned.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-        rows.append((depth, len(nodes), len(cut), float(a0) * 100, float(a1) * 100))
+    try:
+        train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
+        grown = trees.decision_tree(train, "entropy", 6, min_leaf=10, min_split=10)
+        rows = []
+        for depth in range(3, 7):
+            nodes = grown.cut_off(depth).nodes()
+            cut = C.prune_reduced_error(nodes, test)
+            hits = [F.avg((F.col("label") == C.tree_expr(nodes, collapsed=c)).cast("double")) for c in (frozenset(), cut)]
+            a0, a1 = test.agg(*[h.alias(f"a{i}") for i, h in enumerate(hits)]).first()
+            rows.append((depth, len(nodes), len(cut), float(a0) * 100, float(a1) * 100))
+    finally:
+        d.unpersist()
     return spark.createDataFrame(rows, "max_depth INT, n_nodes INT, n_collapsed INT, accuracy DOUBLE, "
                                        "pruned_accuracy DOUBLE")
 
@@ -106,12 +109,10 @@ def q_c4(spark, sf):
 
 @register("c5_adaboost_samme_r")
 def q_c5(spark, sf):
-    d = doc_features(spark, sf).persist()
-    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
-    d = d.withColumn("is_train", ~F.col("is_test"))
-    pool = [p for p in C.ESTIMATOR_POOL if p <= 10]
-    scored, rounds, staged = C.adaboost_samme_r(d, n_estimators=10, max_depth=1, train_col="is_train", pool=pool)
-    return spark.createDataFrame(staged, "estimators INT, train BOOLEAN, accuracy DOUBLE")
+    """Accuracy after 1 to 200 boosted trees, from one run."""
+    d = doc_features(spark, sf).withColumn("is_train", ~F.col("is_test"))
+    _, rounds, staged = trees.adaboost_samme_r(d, max(C.ESTIMATOR_POOL), max_depth=1, train_col="is_train", pool=C.ESTIMATOR_POOL, min_leaf=10)
+    return spark.createDataFrame([(*s, rounds) for s in staged], "estimators INT, train BOOLEAN, accuracy DOUBLE, rounds INT")
 
 
 # ------------------------------------------------------------------ networks / SVM / pipelines

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from orchard.operators import classify as C
+from orchard.operators import trees
 from orchard.operators.cluster import kmeans
 from orchard.plans.catalog_models import doc_features
 from orchard.plans.common import embeddings
+from orchard.session import ship_package
 from tests.conftest import SF_CHECK, SF_SMALL
 
 
@@ -31,8 +33,9 @@ def test_pruning_never_lowers_holdout_accuracy(spark):
 
 
 def test_adaboost_predicts_known_labels(spark):
+    ship_package(spark)
     d = doc_features(spark, SF_SMALL)
-    scored, rounds, staged = C.adaboost_samme_r(d, n_estimators=3, max_depth=1, pool=[1, 3])
+    scored, rounds, staged = trees.adaboost_samme_r(d, n_estimators=3, max_depth=1, pool=[1, 3])
     assert [r[0] for r in staged] == [1, 3]
     labels = {r[0] for r in d.select("label").distinct().collect()}
     preds = {r[0] for r in scored.select("prediction").distinct().collect()}
