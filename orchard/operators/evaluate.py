@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from orchard.functions.scalar import log_factorial
+from pyspark.sql import types as T
 
 EPS = float(2.220446049250313e-16)  # float64 machine epsilon (fixed value)
 
@@ -98,9 +99,9 @@ def cluster_scores(df: DataFrame, truth: str = "label", pred: str = "cluster",
 def scores_from_counts(cm: DataFrame, by: Sequence[str] = (), with_ami: bool = True) -> DataFrame:
     """:func:`cluster_scores` from a contingency table ``(by..., truth, pred, n)``.
 
-    One scan: margins are window sums over the contingency table (#classes x
-    #clusters rows), and a single aggregate turns its rows into every sum
-    that the scores need - no join."""
+    Margins are window sums over the contingency table (#classes x #clusters
+    rows), and a single aggregate turns its rows into every sum that the
+    scores need; E[MI] comes from the histogram of the margins."""
     by = list(by)
     wg, wt, wp = (Window.partitionBy(*by, *extra) for extra in ((), ("truth",), ("pred",)))
     cm = cm.select("*", F.sum("n").over(wt).alias("a"), F.sum("n").over(wp).alias("b"),
@@ -110,20 +111,20 @@ def scores_from_counts(cm: DataFrame, by: Sequence[str] = (), with_ami: bool = T
     a, b, n, N = (F.col(c) for c in ("a", "b", "n", "ntot"))
 
     def once(flag, x):
-        return F.sum(F.when(F.col(flag), x))
-
-    s = cm.groupBy(*by).agg(
-        F.max(N).alias("ntot"), F.sum(F.when(F.col("truth") == F.col("pred"), n).otherwise(0)).alias("hits"),
-        F.sum(n.cast("double") * n).alias("sum_nij2"),
-        # mutual information: sum n_ij/N * ln(N n_ij / (a_i b_j)), clipped at 0
-        F.sum(n / N * (F.log(n) + F.log(N) - F.log(a) - F.log(b))).alias("mi_raw"),
-        once("ft", a * F.log(a)).alias("sa_log"), once("ft", a.cast("double") * a).alias("sum_a2"),
-        once("ft", F.lit(1)).alias("n_true"), once("fp", b * F.log(b)).alias("sb_log"),
-        once("fp", b.cast("double") * b).alias("sum_b2"), once("fp", F.lit(1)).alias("n_pred"),
-        once("fp", F.col("most")).alias("maj"), F.collect_list(F.when(F.col("ft"), a)).alias("as_"),
-        F.collect_list(F.when(F.col("fp"), b)).alias("bs_")).where(N > 0)
+        return F.when(F.col(flag), x)
+
+    # what every row of the table adds to the sums of its group
+    part = {"hits": F.when(F.col("truth") == F.col("pred"), n).otherwise(0), "sum_nij2": n.cast("double") * n,
+            # mutual information: sum n_ij/N * ln(N n_ij / (a_i b_j)), clipped at 0
+            "mi_raw": n / N * (F.log(n) + F.log(N) - F.log(a) - F.log(b)),
+            "sa_log": once("ft", a * F.log(a)), "sum_a2": once("ft", a.cast("double") * a), "n_true": once("ft", F.lit(1)),
+            "sb_log": once("fp", b * F.log(b)), "sum_b2": once("fp", b.cast("double") * b), "n_pred": once("fp", F.lit(1)),
+            "maj": once("fp", F.col("most"))}
     if with_ami:
-        s = expected_mutual_info(s, by)
+        s = _sums_with_expected(cm, by, part)
+    else:
+        s = cm.groupBy(*by).agg(F.max(N).alias("ntot"), *[F.sum(x.cast("double")).alias(c) for c, x in part.items()])
+    s = s.where(N > 0)
     s = s.withColumn("h_true", F.greatest(F.log(N) - F.col("sa_log") / N, F.lit(0.0)))
     s = s.withColumn("h_pred", F.greatest(F.log(N) - F.col("sb_log") / N, F.lit(0.0)))
     s = s.withColumn("mi", F.greatest(F.col("mi_raw"), F.lit(0.0)))
@@ -155,37 +156,86 @@ def scores_from_counts(cm: DataFrame, by: Sequence[str] = (), with_ami: bool = T
     return s.select(*cols)
 
 
-def expected_mutual_info(s: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add ``emi``: E[MI] under the hypergeometric model of random labelings,
-    from one row per group with the total ``ntot`` and the margins ``as_``
-    and ``bs_``.
+#: Distinct margin sizes of either side that a task pairs at a time.
+MARGIN_BLOCK = 512
+
+
+def _sums_with_expected(cm: DataFrame, by: Sequence[str], part: dict[str, Column]) -> DataFrame:
+    """``(by..., ntot, the sums of part, emi)``, ``emi`` being E[MI] under the hypergeometric model of random labelings.
 
-    The (a_i, b_j) pairs come from the margin lists of a group row; they are
-    dealt out by value before their terms are generated, so the terms of a
-    group spread over the tasks.
+    A term of E[MI] depends on the sizes of a class and a cluster alone, so
+    margins are counted as (size, number of labels) - at most sqrt(2 N) sizes -
+    and pairs of distinct sizes are weighted by their numbers.  Sizes are
+    dealt into blocks and a pair of blocks is one group, so no pair is ever a
+    row.  The sums travel as one more record per group: one scan, no join.
     """
-    by = list(by)
-    keep = [c for c in s.columns if c not in (*by, "as_", "bs_")]
-    pairs = (s.select(*by, *keep, F.explode("as_").alias("ai"), "bs_")
-              .select(*by, *keep, "ai", F.explode("bs_").alias("bj"))
-              .repartition(int(s.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ai", "bj"))
-    lo = F.greatest(F.lit(1).cast("bigint"), F.col("ai") + F.col("bj") - F.col("ntot").cast("bigint"))
-    hi = F.least(F.col("ai"), F.col("bj"))
-    # Hoeffding's bound for sampling without replacement: terms further than
-    # t = sqrt(400 min(a, b)) from the mean a b / N have probability below
-    # e^-800, far under the smallest double, so they add exactly nothing to
-    # the sum; skipping them keeps the term count ~sqrt(N) per pair at scale.
-    mu = F.col("ai").cast("double") * F.col("bj") / F.col("ntot")
-    reach = F.sqrt(F.lit(400.0) * F.least(F.col("ai"), F.col("bj")).cast("double")) + F.lit(1.0)
-    lo = F.greatest(lo, F.floor(mu - reach).cast("bigint"))
-    hi = F.least(hi, F.ceil(mu + reach).cast("bigint"))
-    terms = pairs.select("*", F.explode(F.sequence(lo, hi)).alias("nij"))
-    N, ai, bj, nij = F.col("ntot"), F.col("ai").cast("double"), F.col("bj").cast("double"), F.col("nij").cast("double")
-    lg = (log_factorial(ai) + log_factorial(bj) + log_factorial(N - ai) + log_factorial(N - bj)
-          - log_factorial(N) - log_factorial(nij) - log_factorial(ai - nij) - log_factorial(bj - nij)
-          - log_factorial(N - ai - bj + nij))
-    term = nij / N * (F.log(N * nij) - F.log(ai * bj)) * F.exp(lg)
-    return terms.groupBy(*by).agg(F.sum(term).alias("emi"), *[F.max(c).alias(c) for c in keep]).where(F.col("ntot") > 0)
+    empty = {c: F.lit(None).cast("double") for c in part}
+
+    def record(kind, size, keep, fields):
+        return F.struct(F.lit(kind).alias("kind"), size.cast("bigint").alias("size"), keep.alias("keep"),
+                        *[x.cast("double").alias(c) for c, x in fields.items()])
+
+    recs = cm.select(*by, "ntot", F.explode(F.array(record(0, F.lit(0), F.lit(True), part), record(1, F.col("a"), F.col("ft"), empty),
+                                                    record(2, F.col("b"), F.col("fp"), empty))).alias("r")).where("r.keep")
+    m = recs.groupBy(*by, F.col("r.kind").alias("kind"), F.col("r.size").alias("size")).agg(
+        F.max("ntot").alias("ntot"), F.count(F.lit(1)).alias("labels"), *[F.sum(f"r.{c}").alias(c) for c in part])
+    w = Window.partitionBy(*(by or [F.lit(0)]))
+    blocks = [F.greatest(F.ceil(F.count_if(F.col("kind") == k).over(w) / MARGIN_BLOCK), F.lit(1)).cast("int") for k in (1, 2)]
+    m = m.select("*", *[x.alias(c) for x, c in zip(blocks, ("na", "nb"))])
+
+    def place(own, kind):
+        """Its block for the own side, every block for the other side, the first one for the sums."""
+        return (F.when(F.col("kind") == kind, F.array(F.pmod(F.xxhash64("size"), F.col(own)).cast("int")))
+                 .when(F.col("kind") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(own) - 1)))
+
+    dealt = m.select("*", F.explode(place("na", 1)).alias("_a")).select("*", F.explode(place("nb", 2)).alias("_b"))
+    fields = ["ntot", *part]
+    schema = T.StructType([*[cm.schema[c] for c in by], *[T.StructField(c, T.DoubleType()) for c in (*fields, "emi")]])
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["kind"] == 1], pdf[pdf["kind"] == 2]
+        total = int(pdf["ntot"].iloc[0])
+        emi = sum(i * j * expected_term(x, y, total) for x, i in zip(a["size"].tolist(), a["labels"].tolist())
+                  for y, j in zip(b["size"].tolist(), b["labels"].tolist()))
+        return pdf.sort_values("kind")[[*by, *fields]].head(1).assign(emi=float(emi))
+
+    return (dealt.groupBy(*by, "_a", "_b").applyInPandas(score, schema)
+                 .groupBy(*by).agg(*[F.max(c).alias(c) for c in fields], F.sum("emi").alias("emi")))
+
+
+def expected_term(a: int, b: int, total: int) -> float:
+    """E[n/N ln(N n / (a b))] for the overlap n of random sets of sizes a and b among ``total``.
+
+    The probabilities follow from the mode by the ratio of neighbours, out to
+    where they are 0 in double arithmetic, and are divided by their sum, so
+    no term that counts is left out and no large factorial is formed.
+    """
+    low, high = max(0, a + b - total), min(a, b)
+    mode = min(max((a + 1) * (b + 1) // (total + 2), low), high)
+    weight, value = 0.0, 0.0
+    for up in (True, False):
+        at, log_p, width = mode if up else mode - 1, 0.0, 64
+        if not up:
+            log_p = -_log_ratio(np.array([at], float), a, b, total)[0] if at >= low else 0.0
+        while low <= at <= high:
+            n = np.arange(at, min(at + width, high + 1) if up else max(at - width, low - 1), 1 if up else -1, dtype=float)
+            step = _log_ratio(n if up else n - 1, a, b, total)
+            logs = log_p + np.concatenate([[0.0], np.cumsum(step[:-1] if up else -step[:-1])])
+            p = np.exp(logs)
+            weight += p.sum()
+            some = n >= 1
+            value += (p[some] * n[some] / total * (np.log(total * n[some]) - np.log(float(a) * b))).sum()
+            at = int(n[-1]) + (1 if up else -1)
+            log_p, width = logs[-1] + (step[-1] if up else -step[-1]), min(width * 4, 1 << 20)
+            if not log_p > -746.0:                 # exp() is 0 from here on
+                break
+    return value / weight
+
+
+def _log_ratio(n: np.ndarray, a: int, b: int, total: int) -> np.ndarray:
+    """ln of P(n + 1) / P(n); out of range it is -inf."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.log(np.maximum(a - n, 0)) + np.log(np.maximum(b - n, 0)) - np.log(n + 1) - np.log(np.maximum(total - a - b + n + 1, 0))
 
 
 def calinski_harabasz(df: DataFrame, features: str = "features", cluster: str = "cluster",
@@ -229,10 +279,6 @@ def silhouette(df: DataFrame, key: str, features: str = "features", cluster: str
     numpy (mean distance to each cluster), so no pair is ever a row.
     A point alone in its cluster scores 0.  One row: ``(n, silhouette)``.
     """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
-
     from orchard.operators.split import sample_n
 
     s = sample_n(df.select(key, features, cluster), key, sample, seed)

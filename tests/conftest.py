@@ -11,7 +11,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from orchard.session import checkpoint_dir, get_spark
+    from orchard.session import checkpoint_dir, get_spark, ship_package
     s = get_spark(master="local[4]", partitions=8)
     checkpoint_dir(s)
+    ship_package(s)
     yield s
