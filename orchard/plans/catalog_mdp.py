@@ -11,6 +11,7 @@ import functools
 
 from pyspark.sql import functions as F
 
+from orchard.operators import halo
 from orchard.operators import mdp as M
 from orchard.plans.common import r6, t
 from orchard.plans.registry import register
@@ -19,7 +20,7 @@ from orchard.sources.grids import SQL_EVENT_GRID, grid_from_events, grid_stats
 
 GAMMA = 0.99          # discount of the reference's runs (fixed value)
 VI_SWEEPS = 5         # unrolled depth of the exact value-iteration checks
-CONV_SWEEPS = 12
+CONV_SWEEPS = 149     # most sweeps of the convergence run (fixed value)
 
 
 def on_grid(fn):
@@ -132,10 +133,10 @@ def q_m5(cells, states, tp):
 
 @register("m7_value_iteration", lambda: f"WITH {SQL_MDP},\n{_sql_sweeps(VI_SWEEPS)}\n"
           f"SELECT x, y, round(v, 6) AS v FROM v{VI_SWEEPS}")
-@on_grid
-def q_m7(cells, states, tp):
-    v = M.value_iteration(tp, states, GAMMA, VI_SWEEPS)
-    return v.select("x", "y", r6("v").alias("v"))
+def q_m7(spark, sf):
+    """All sweeps in one exchange."""
+    state, _ = halo.run_sweeps(halo.start(grid_from_events(t(spark, sf, "events"))), VI_SWEEPS, GAMMA)
+    return halo.values(state).select("x", "y", r6("v").alias("v"))
 
 
 @register("m8_policy_evaluation", lambda: f"WITH {SQL_MDP},\n{_sql_sweeps(VI_SWEEPS, policy='(t.x + t.y) % 4')}\n"
@@ -192,18 +193,23 @@ def q_m6(cells, states, tp):
 
 
 def _sql_m12():
-    deltas = "\nUNION ALL\n".join(
-        f"SELECT {i} AS iter, max(abs(coalesce(a.v, 0.0) - coalesce(b.v, 0.0))) AS d "
-        f"FROM v{i - 1} a FULL OUTER JOIN v{i} b ON a.x = b.x AND a.y = b.y" for i in range(1, CONV_SWEEPS + 1))
-    return (f"WITH {SQL_MDP},\n{_sql_sweeps(CONV_SWEEPS)}\n"
-            f"SELECT CAST(iter AS INTEGER) AS iter, round(d, 6) AS max_delta FROM ({deltas})")
+    """All sweeps as a recursion; terminal states loop at value 0 so that every successor has a row."""
+    return f"""WITH RECURSIVE {SQL_MDP},
+tz AS (SELECT x, y, a, x2, y2, p, r FROM trr UNION ALL SELECT x, y, 0, x, y, 0.0, 0.0 FROM st WHERE terminal),
+w AS (SELECT 0 AS i, x, y, CAST(0.0 AS DOUBLE) AS v FROM st
+      UNION ALL SELECT i + 1, x, y, max(q) FROM (
+        SELECT w.i, tz.x, tz.y, tz.a, sum(tz.p * (tz.r + CAST({GAMMA!r} AS DOUBLE) * w.v)) AS q FROM tz JOIN w ON w.x = tz.x2 AND w.y = tz.y2
+        WHERE w.i < {CONV_SWEEPS} GROUP BY w.i, tz.x, tz.y, tz.a) GROUP BY i, x, y),
+d AS (SELECT b.i AS iter, max(abs(a.v - b.v)) AS d FROM w a JOIN w b ON a.x = b.x AND a.y = b.y AND b.i = a.i + 1 GROUP BY b.i)
+SELECT CAST(iter AS INTEGER) AS iter, round(d, 6) AS max_delta,
+       CAST((SELECT min(iter) FROM d WHERE iter > 1 AND d <= 0.05) AS INTEGER) AS first_converged FROM d"""
 
 
 @register("m12_convergence_sweep", _sql_m12)
-@on_grid
-def q_m12(cells, states, tp):
-    rows, _ = M.convergence_sweep(tp, states, GAMMA, CONV_SWEEPS, tol=0.05, stop=False)
-    return rows.select("iter", r6("max_delta").alias("max_delta"))
+def q_m12(spark, sf):
+    """All 149 sweeps, 25 of them per exchange."""
+    rows, _ = halo.convergence(grid_from_events(t(spark, sf, "events")), GAMMA, CONV_SWEEPS, stop=False)
+    return rows.withColumn("max_delta", r6("max_delta"))
 
 
 @register("m13_value_grid", lambda: f"""WITH RECURSIVE {SQL_MDP},\n{SQL_REACH},\n{_sql_sweeps(VI_SWEEPS)}
