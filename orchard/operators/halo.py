@@ -25,6 +25,7 @@ from orchard.operators.mdp import DIRS, P_INTENDED, P_OTHER, grid_states
 from orchard.session import cut_lineage
 
 SIDE, HALO = 64, 25
+TIE_DECIMALS = 9      # action values equal to so many places go to the first action
 
 
 def _tiles(c: str, side: int, halo: int):
@@ -44,8 +45,8 @@ def _moved(a: np.ndarray, dx: int, dy: int, fill) -> np.ndarray:
     return out
 
 
-def _block(sweeps: int, gamma: float, side: int, halo: int, follow: bool):
-    """Pandas function: a block with its halo to its own cells after ``sweeps`` sweeps."""
+def _block(sweeps: int, gamma: float, side: int, halo: int, follow: bool, improve: bool = False):
+    """Pandas function: a block with its halo to its own cells after ``sweeps`` sweeps (and a greedy step with ``improve``)."""
     size = side + 2 * halo
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -73,19 +74,27 @@ def _block(sweeps: int, gamma: float, side: int, halo: int, follow: bool):
             new = np.where(live, r + gamma * (P_OTHER * sum(to) + (P_INTENDED - P_OTHER) * pick), 0.0)
             deltas.append(float(np.abs(new - v)[mine].max(initial=0.0)))
             v = new
+        if improve:
+            to = [np.where(ok, _moved(v, dx, dy, 0.0), v) for ok, (_, dx, dy) in zip(may, DIRS)]
+            q = np.stack([r + gamma * (P_OTHER * sum(to) + (P_INTENDED - P_OTHER) * u) for u in to])
+            best = np.where(live, np.round(q, TIE_DECIMALS).argmax(0), 0)
+            deltas = [float((best != action)[mine].sum())]                # actions that changed
+            out = out.assign(a=best[px[own], py[own]].astype(np.int32))
         first = [deltas] + [None] * (len(out) - 1)
         return out.assign(v=v[px[own], py[own]], deltas=first)
 
     return run
 
 
-def sweep(state: DataFrame, sweeps: int, gamma: float, side: int = SIDE, halo: int = HALO) -> tuple[DataFrame, list[float]]:
+def sweep(state: DataFrame, sweeps: int, gamma: float, side: int = SIDE, halo: int = HALO, improve: bool = False) -> tuple[DataFrame, list[float]]:
     """``sweeps`` (at most ``halo``) synchronous sweeps of ``state(x, y, r, terminal, v[, a])`` in one exchange.
 
     With a column ``a`` the sweeps follow that action, else the best one.
-    Returns the checkpointed state and the largest change of every sweep.
+    Returns the checkpointed state and the largest change of every sweep;
+    with ``improve`` (one row of halo more) the actions become greedy for the
+    new values, and the list holds the number of actions that changed per block, at most.
     """
-    if not 0 < sweeps <= halo <= side:
+    if not 0 < sweeps <= halo - improve < side + 1 - improve:
         raise ValueError("needs 0 < sweeps <= halo <= side")
     follow = "a" in state.columns
     cols = ["x", "y", "r", "terminal", "v", *(["a"] if follow else [])]
@@ -93,10 +102,10 @@ def sweep(state: DataFrame, sweeps: int, gamma: float, side: int = SIDE, halo: i
                   .select(*cols, "i", F.explode(_tiles("y", side, halo)).alias("j"))
                   .select(*cols, F.col("i.t").alias("tx"), F.col("j.t").alias("ty"), F.col("i.p").alias("px"), F.col("j.p").alias("py")))
     schema = ", ".join(f"{c} {state.schema[c].dataType.simpleString()}" for c in cols) + ", deltas array<double>"
-    out = cut_lineage(tiles.groupBy("tx", "ty").applyInPandas(_block(sweeps, gamma, side, halo, follow), schema))
+    out = cut_lineage(tiles.groupBy("tx", "ty").applyInPandas(_block(sweeps, gamma, side, halo, follow, improve), schema))
     top = out.where(F.col("deltas").isNotNull()).select(F.posexplode("deltas").alias("i", "d")).groupBy("i").agg(F.max("d").alias("d")).collect()
     change = dict(map(tuple, top))
-    return out.drop("deltas"), [float(change.get(i, 0.0)) for i in range(sweeps)]
+    return out.drop("deltas"), [float(change.get(i, 0.0)) for i in range(1 if improve else sweeps)]
 
 
 def start(cells: DataFrame, policy: DataFrame | None = None) -> DataFrame:
@@ -138,3 +147,40 @@ def convergence(cells: DataFrame, gamma: float, max_sweeps: int = 149, tol: floa
     first = first_converged(deltas, tol)
     rows = [(i, d, first) for i, d in enumerate(deltas, 1) if not (stop and first is not None and i > first)]
     return cells.sparkSession.createDataFrame(rows, "iter INT, max_delta DOUBLE, first_converged INT"), first
+
+
+def policy_iteration(cells: DataFrame, gamma: float, e_iters: int, p_iters: int, side: int = SIDE, halo: int = HALO) -> tuple[DataFrame, int]:
+    """M10 in blocks: ``e_iters`` sweeps under the policy, then a greedy step in the same exchange, until no action
+    changes or ``p_iters`` rounds.  Returns the state (values and actions) and the rounds."""
+    state = start(cells).withColumn("a", F.lit(0))                      # greedy for value 0: the first action
+    rounds = 0
+    while rounds < p_iters:
+        rounds += 1
+        left = e_iters
+        while left > halo - 1:
+            state, _ = sweep(state, min(left - 1, halo), gamma, side, halo)
+            left -= min(left - 1, halo)
+        state, changed = sweep(state, left, gamma, side, halo, improve=True)
+        if not changed[0]:
+            break
+    return state, rounds
+
+
+def policy_convergence(cells: DataFrame, gamma: float, most: int = 149, tol: float = 0.05, side: int = SIDE,
+                       halo: int = HALO) -> tuple[DataFrame, int | None]:
+    """M12, policy iteration: run i is i rounds of i sweeps at most, from value 0; rows ``(iter, rounds, max_delta,
+    first_converged)`` up to the first run whose values match those of the run before (None if none)."""
+    rows, last, first = [], None, None
+    for i in range(1, most + 1):
+        state, rounds = policy_iteration(cells, gamma, i, i, side, halo)
+        v = values(state)
+        if last is None:
+            delta = v.agg(F.max(F.abs("v"))).first()[0]
+        else:
+            delta = v.join(last.withColumnRenamed("v", "_v"), ["x", "y"]).agg(F.max(F.abs(F.col("v") - F.col("_v")))).first()[0]
+        rows.append((i, rounds, float(delta or 0.0)))
+        last = v
+        if i > 1 and rows[-1][2] <= tol:
+            first = i
+            break
+    return cells.sparkSession.createDataFrame([(*r, first) for r in rows], "iter INT, rounds INT, max_delta DOUBLE, first_converged INT"), first

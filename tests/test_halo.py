@@ -77,3 +77,42 @@ def test_far_apart_cells_nulls_and_empty_grids(spark):
     assert halo.values(halo.run_sweeps(halo.start(walls), 2, GAMMA)[0]).count() == 0
     with pytest.raises(ValueError):
         halo.sweep(halo.start(walls).withColumn("v", F.lit(0.0)), 9, GAMMA, 8, 4)
+
+
+def plain_policy(cells, e, p):
+    code = {(x, y): c for x, y, c in cells if c != WALL}
+    v, pol = dict.fromkeys(code, 0.0), dict.fromkeys(code, 0)
+    rounds = 0
+
+    def q(k, a):
+        x, y = k
+        to = [v[x + dx, y + dy] if (x + dx, y + dy) in code else v[k] for _, dx, dy in M.DIRS]
+        return sum((M.P_INTENDED if a == d else M.P_OTHER) * (M.REWARDS.get(code[k], M.REWARD_DEFAULT) + GAMMA * u) for d, u in enumerate(to))
+
+    live = [k for k, c in code.items() if c not in (GOAL, NEG_EXIT)]
+    while rounds < p:
+        rounds += 1
+        for _ in range(e):
+            v = {**dict.fromkeys(code, 0.0), **{k: q(k, pol[k]) for k in live}}
+        new = {k: max(range(4), key=lambda a: (round(q(k, a), 9), -a)) for k in live}
+        if all(new[k] == pol[k] for k in live):
+            break
+        pol.update(new)
+    return {k: v[k] for k in live}, rounds
+
+
+@pytest.mark.parametrize("e, p, wide", [(3, 9, 5), (8, 4, 4), (1, 30, 4)])
+def test_policy_iteration_equals_plain_rounds(spark, e, p, wide):
+    cells = world(13, 9, 8)
+    state, rounds = halo.policy_iteration(table(spark, cells), GAMMA, e, p, 6, wide)
+    want, n = plain_policy(cells, e, p)
+    assert rounds == n and {(r.x, r.y): r.v for r in halo.values(state).collect()} == pytest.approx(want)
+
+
+def test_policy_convergence(spark):
+    cells = world(8, 8, 9)
+    runs = [plain_policy(cells, i, i)[0] for i in range(1, 40)]
+    gaps = [max(abs(b[k] - a[k]) for k in a) for a, b in zip(runs, runs[1:])]
+    first = next(i for i, d in enumerate(gaps, 2) if d <= 0.5)
+    rows, got = halo.policy_convergence(table(spark, cells), GAMMA, 39, 0.5, side=16, halo=16)
+    assert got == first and rows.count() == first
