@@ -37,6 +37,7 @@ from orchard.llm import pairs
 from orchard.llm.common import fresh, saved, small_side, without_ids
 from orchard.llm.graph import components
 from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, set_ids, shingles, slices, unique_sets
+from orchard.operators.ordering import row_index
 
 THRESHOLD, RECALL, DEPTH, LIMIT, TOKENS = 0.8, 0.999, 3, 1024, 64
 
@@ -201,14 +202,26 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, with all their columns.
 
-    Rows that repeat an id are one document: one of them stays.  Rows with a
-    null id cannot be named and stay.
+    Decided by (id, text): a row stays when it has the smallest id (then the
+    smallest text digest) of its class, so rows that share an id but not
+    their text are judged each on its own, and of equal rows one stays.  Rows
+    with a null id cannot be named and stay.
     """
-    classes_ = saved(jaccard_join(docs, id_col, text_col, **options).where("doc_id IS NOT NULL")
-                     .groupBy("doc_id")
-                     .agg(F.min("class_id").alias("c"), F.count(F.lit(1)).alias("n")))
-    left = without_ids(docs, id_col, classes_.where("c <> doc_id").select("doc_id"), 16)
-    key, = fresh(docs, "_repeated_id")
-    repeated = classes_.where("n > 1").select(F.col("doc_id").alias(key))
-    more = left.join(repeated, left[id_col] == repeated[key], "left_semi").dropDuplicates([id_col])
-    return without_ids(left, id_col, repeated, 16).union(more)
+    named = docs.where(F.col(id_col).isNotNull())
+    if named.groupBy(id_col).count().where("count > 1").take(1):
+        return _keep_one_version(docs, id_col, text_col, options)
+    classes_ = saved(jaccard_join(docs, id_col, text_col, **options).where("class_id <> doc_id").select("doc_id"))
+    return without_ids(docs, id_col, classes_, 16)
+
+
+def _keep_one_version(docs: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
+    """:func:`keep_one` where ids repeat: distinct (id, text) pairs are numbered in order and joined in their place."""
+    key, number, digest = fresh(docs, "_id", "_version", "_digest")
+    named = docs.where(F.col(id_col).isNotNull()).withColumn(digest, F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    versions = saved(row_index(named.select(F.col(id_col).alias(key), digest).distinct(), [key, digest], name=number))
+    versions = versions.withColumnRenamed(digest, "_d_" + digest)
+    rows = named.join(versions, (named[id_col] == versions[key]) & (named[digest] == versions["_d_" + digest])).drop(key, digest, "_d_" + digest)
+    rows = saved(rows.dropDuplicates([number]))
+    gone = saved(jaccard_join(rows, number, text_col, **options).where("class_id <> doc_id").select("doc_id"))
+    left = without_ids(rows, number, gone, 16).drop(number)
+    return left.unionByName(docs.where(F.col(id_col).isNull()))

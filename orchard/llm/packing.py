@@ -40,17 +40,22 @@ from orchard.llm.text import Words, slices, space_table
 
 CAPACITY, END_ID = 4096, 1
 CACHE_WORDS = 1_500_000
+HASHED = 255
 _KEEP_CASE = space_table(lower=False)
 
 
 class WordIds:
-    """Token ids of white-space words by 64-bit word hash, kept per worker."""
+    """Token ids of white-space words by 64-bit word hash, kept per worker.
+
+    Words of more than ``HASHED`` bytes are told apart by their bytes and not
+    kept: sums of powers modulo 2^64 give some pairs of words of 1,024 bytes
+    and more one hash, whatever the base.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self._clear()
 
     def _clear(self) -> None:
@@ -63,7 +68,28 @@ class WordIds:
         """(flat ids in text order, number of ids of each word)."""
         if len(w.hash) == 0:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        uniq, first, inv = np.unique(w.hash, return_index=True, return_inverse=True)
+        long = np.flatnonzero(w.end - w.start > HASHED)
+        if len(long):
+            return self._with_long(w, long)
+        return self._hashed(w, np.arange(len(w.hash)))
+
+    def _with_long(self, w: Words, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        short = np.setdiff1d(np.arange(len(w.hash)), long)
+        flat, ln = self._hashed(w, short) if len(short) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        enc = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(w.text(long).to_pylist(), add_special_tokens=False)]
+        size = np.zeros(len(w.hash), np.int64)
+        size[short], size[long] = ln, [len(e) for e in enc]
+        out = np.zeros(int(size.sum()), np.uint32)
+        is_long = np.zeros(len(size), bool)
+        is_long[long] = True
+        mine = np.repeat(is_long, size)
+        out[~mine], out[mine] = flat, np.concatenate(enc)
+        return out, size
+
+    def _hashed(self, w: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the words numbered ``which`` (ascending), through the cache."""
+        uniq, first, inv = np.unique(w.hash[which], return_index=True, return_inverse=True)
+        first = which[first]
         if len(self.key) > CACHE_WORDS:
             self._clear()
         at = np.minimum(np.searchsorted(self.key, uniq), max(len(self.key) - 1, 0))

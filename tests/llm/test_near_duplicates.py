@@ -284,3 +284,17 @@ def test_set_id_tells_bags_apart(spark):
     df = spark.createDataFrame([("a b c d e",), ("a b c d e ",), ("a b c d f",)], "text string")
     ids = [r.id for r in jaccard_join.shingle_sets(df).orderBy(F.monotonically_increasing_id()).collect()]
     assert ids[0] == ids[1] != ids[2]
+
+
+def test_keep_one_judges_rows_of_one_id_each_on_its_own(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    near = x.rsplit(" ", 1)[0]
+    rows = [(1, x), (5, x), (5, y), (7, z), (7, z), (7, near), (None, x), (None, None), (9, None), (9, ""), (2, y + " end")]
+    df = spark.createDataFrame([(i, t, "c", 1, "d") for i, t in rows], DOCS)
+    kept = jaccard_join.keep_one(df)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert kept.columns == df.columns
+    assert [g for g in got if g[0] != 9] == sorted([(1, x), (2, y + " end"), (7, z), (None, x), (None, None)], key=str)
+    assert sum(g[0] == 9 for g in got) == 1                          # null and empty are one text
+    two = spark.createDataFrame([(1, x, "", 0, ""), (1, y, "", 0, "")], DOCS)
+    assert jaccard_join.keep_one(two).count() == 2

@@ -203,14 +203,16 @@ def test_plan_places_every_piece_once(seed):
 def test_packing_against_the_tokenizer(spark):
     from tokenizers import Tokenizer
     r = random.Random(0)
-    texts = ["Hello  WORLD it's\tfine", "", None, "<|endoftext|> x", "é é 　 ß 12345 don't", "a b\x1cc",
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    texts = ["Hello  WORLD it's\tfine", "", None, "<|endoftext|> x", "a <|endoftext|> b", "x<|endoftext|>y <|ENDOFTEXT|>",
+             morse, morse.translate(str.maketrans("ab", "ba")), f"a {morse} b",      # two long words with one polynomial hash
+             "é é 　 ß 12345 don't", "a b\x1cc",
              " ".join(r.choice(["the", "ofthstthor", "être", "42", "!!"]) for _ in range(9000)), "Hello  WORLD it's\tfine"]
     df = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)] + [(0, texts[0], 1, 2)],
                                "doc_id long, text string, length int, pid int")
     packed = packing.pack(df, tokenizer_file(), with_ids=True)
     got = packed.toPandas()
     tok = Tokenizer.from_file(tokenizer_file())
-    tok.encode_special_tokens = True
     for i, t in enumerate(texts):
         ids = tok.encode(t or "", add_special_tokens=False).ids + [1]
         mine = got[got.doc_id == i].sort_values("piece").drop_duplicates("piece")
