@@ -184,3 +184,44 @@ def policy_convergence(cells: DataFrame, gamma: float, most: int = 149, tol: flo
             first = i
             break
     return cells.sparkSession.createDataFrame([(*r, first) for r in rows], "iter INT, rounds INT, max_delta DOUBLE, first_converged INT"), first
+
+
+# ------------------------------------------------------------------ components (M5)
+def _label(side: int):
+    """Pandas function: every cell of a block with the first cell (by place) of its component inside the block."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        px, py = pdf["px"].to_numpy(), pdf["py"].to_numpy()
+        open_ = np.zeros((side, side), bool)
+        open_[px, py] = True
+        label = np.where(open_, np.arange(side * side).reshape(side, side), side * side)
+        may = [open_ & _moved(open_, dx, dy, False) for _, dx, dy in DIRS]
+        while True:
+            low = np.minimum.reduce([label, *[np.where(ok, _moved(label, dx, dy, side * side), label) for ok, (_, dx, dy) in zip(may, DIRS)]])
+            flat = np.append(low.ravel(), side * side)
+            low = flat[low]                                               # a label's own label: long ways halve
+            if (low == label).all():
+                break
+            label = low
+        at = label[px, py]
+        row = np.full(side * side, -1)
+        row[px * side + py] = np.arange(len(pdf))
+        root = row[at]
+        return pdf.assign(rx=pdf["x"].to_numpy()[root], ry=pdf["y"].to_numpy()[root])[["x", "y", "px", "py", "rx", "ry"]]
+    return run
+
+
+def block_components(cells: DataFrame, side: int = SIDE) -> tuple[DataFrame, DataFrame]:
+    """``cells(x, y)`` with the root ``(rx, ry)`` of their component inside their block (checkpointed), and the pairs of
+    roots ``(rx, ry, sx, sy)`` whose components touch across a border."""
+    kind = {f.name: f.dataType.simpleString() for f in cells.schema}
+    t, u = (_tiles(c, side, 0)[0] for c in ("x", "y"))
+    tiles = (cells.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+                  .select("x", "y", t["t"].alias("tx"), u["t"].alias("ty"), t["p"].alias("px"), u["p"].alias("py")))
+    schema = f"x {kind['x']}, y {kind['y']}, px int, py int, rx {kind['x']}, ry {kind['y']}"
+    out = cut_lineage(tiles.groupBy("tx", "ty").applyInPandas(_label(side), schema))
+    pairs = []
+    for place, dx, dy in (("px", 1, 0), ("py", 0, 1)):
+        last = out.where(F.col(place) == side - 1).select("rx", "ry", F.try_add(F.col("x"), F.lit(dx)).alias("x"), F.try_add(F.col("y"), F.lit(dy)).alias("y"))
+        first = out.where(F.col(place) == 0).select("x", "y", F.col("rx").alias("sx"), F.col("ry").alias("sy"))
+        pairs.append(last.join(first, ["x", "y"]).select("rx", "ry", "sx", "sy"))
+    return out.select("x", "y", "rx", "ry"), cut_lineage(pairs[0].unionByName(pairs[1]).distinct())

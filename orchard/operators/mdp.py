@@ -24,6 +24,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orchard.operators.ordering import row_index
 from orchard.session import checkpoint_dir, cut_lineage
 from orchard.sources.grids import COSTLY, GOAL, NEG_EXIT, WALL
 
@@ -340,38 +341,39 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return lab.join(smallest, "root").select("id", "comp")
 
 
-def grid_reachable(states: DataFrame, transitions: DataFrame, start: tuple[int, int]) -> DataFrame:
-    """M5 for grid worlds, whose moves are symmetric between open cells:
-    the component of ``start`` among non-terminal states (connected
-    components, a logarithmic number of rounds instead of one per BFS
-    level) plus the terminal states one move away.  Same set as
-    :func:`reachable` on these MDPs."""
-    spark = states.sparkSession
+def grid_reachable(states: DataFrame, transitions: DataFrame | None, start: tuple[int, int], side: int = 64) -> DataFrame:
+    """M5 for grid worlds, whose moves are symmetric between open cells: the
+    component of ``start`` among non-terminal states plus the terminal states
+    one move away.  Same set as :func:`reachable` on these MDPs.
+
+    The grid is cut into square blocks whose components are found inside the
+    tasks; only pairs of block components that touch across a border go
+    through the star rounds of :func:`connected_components`, so those work on
+    a table the size of the borders.  Any 64-bit coordinates.  The moves
+    follow from the cells; ``transitions`` is not read.
+    """
+    from orchard.operators.halo import block_components
     st = states.select("x", "y", "terminal")
-    # integer id per state: dense enough and reversible
-    width = int(states.agg(F.max("y")).first()[0] or 0) + 1
-    sid = (F.col("x").cast("bigint") * width + F.col("y")).alias("id")
-    nonterm = st.where(~F.col("terminal"))
-    tr = transitions.where(F.col("p") > 0)
-    nt2 = nonterm.select(F.col("x").alias("x2"), F.col("y").alias("y2"))
-    e_nn = (tr.join(nt2, ["x2", "y2"], "left_semi")
-              .select(sid.alias("src"), (F.col("x2").cast("bigint") * width + F.col("y2")).alias("dst"))
-              .where(F.col("src") != F.col("dst")))
-    sx, sy = start
-    start_row = st.where((F.col("x") == sx) & (F.col("y") == sy)).first()
-    here = st.where((F.col("x") == sx) & (F.col("y") == sy)).select("x", "y")
-    if start_row is None or start_row["terminal"]:
-        return here
-    roots = component_roots(e_nn)
-    mine = spark.range(1).select(mixed_id(F.lit(sx * width + sy))).first()[0]
-    found = roots.where(F.col("node") == mine).first()
-    r0 = found["root"] if found else mine
-    member = roots.where(F.col("root") == r0).select("node").union(spark.range(1).select(F.lit(r0).alias("node")))
-    inside = nonterm.withColumn("node", mixed_id(sid)).join(member, "node", "left_semi").select("x", "y")
-    term = st.where(F.col("terminal")).select(F.col("x").alias("x2"), F.col("y").alias("y2"))
-    edge_t = (tr.join(inside, ["x", "y"], "left_semi").join(term, ["x2", "y2"], "left_semi")
-                .select(F.col("x2").alias("x"), F.col("y2").alias("y")))
-    return inside.unionByName(edge_t).distinct()
+    here = st.where((F.col("x") == start[0]) & (F.col("y") == start[1]))
+    first = here.first()
+    if first is None or first["terminal"]:
+        return here.select("x", "y")
+    cells, touching = block_components(st.where(~F.col("terminal")).select("x", "y"), side)
+    root = cells.where((F.col("x") == start[0]) & (F.col("y") == start[1])).select("rx", "ry").first()
+    ends = touching.select("rx", "ry").unionByName(touching.select(F.col("sx").alias("rx"), F.col("sy").alias("ry"))).distinct()
+    ids = cut_lineage(row_index(ends, ["rx", "ry"], name="id"))
+    other = ids.select(F.col("rx").alias("sx"), F.col("ry").alias("sy"), F.col("id").alias("dst"))
+    edges = touching.join(ids, ["rx", "ry"]).join(other, ["sx", "sy"]).select(F.col("id").alias("src"), "dst")
+    comp = connected_components(ids, edges).join(ids, "id").select("comp", "rx", "ry")
+    mine = cut_lineage(comp).where((F.col("rx") == root["rx"]) & (F.col("ry") == root["ry"])).select("comp").first()
+    if mine is None:                                                        # touches nothing beyond its block
+        inside = cells.where((F.col("rx") == root["rx"]) & (F.col("ry") == root["ry"]))
+    else:
+        inside = cells.join(comp.where(F.col("comp") == mine["comp"]).select("rx", "ry"), ["rx", "ry"], "left_semi")
+    inside = inside.select("x", "y")
+    steps = F.array(*[F.struct(F.try_add(F.col("x"), F.lit(dx)).alias("x"), F.try_add(F.col("y"), F.lit(dy)).alias("y")) for _, dx, dy in DIRS])
+    beside = inside.select(F.inline(steps)).distinct()
+    return inside.unionByName(st.where(F.col("terminal")).select("x", "y").join(beside, ["x", "y"], "left_semi"))
 
 
 # ----------------------------------------------------------------------- M13

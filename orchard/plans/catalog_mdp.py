@@ -126,9 +126,12 @@ def q_m3_next(spark, sf):
 
 
 @register("m5_reachable", f"WITH RECURSIVE {SQL_MDP},\n{SQL_REACH}\nSELECT x, y FROM reach")
-@on_grid
-def q_m5(cells, states, tp):
-    return M.grid_reachable(states, tp, _start(states))
+def q_m5(spark, sf):
+    states = M.grid_states(grid_from_events(t(spark, sf, "events"))).persist()
+    try:
+        return cut_lineage(M.grid_reachable(states, None, _start(states)))
+    finally:
+        states.unpersist()
 
 
 @register("m7_value_iteration", lambda: f"WITH {SQL_MDP},\n{_sql_sweeps(VI_SWEEPS)}\n"
@@ -216,11 +219,15 @@ def q_m12(spark, sf):
 SELECT c.x, c.y, round(coalesce(v.v, 0.0), 6) AS v
 FROM cells c LEFT JOIN (SELECT v{VI_SWEEPS}.* FROM v{VI_SWEEPS} SEMI JOIN reach ON reach.x = v{VI_SWEEPS}.x
                         AND reach.y = v{VI_SWEEPS}.y) v ON v.x = c.x AND v.y = c.y""")
-@on_grid
-def q_m13(cells, states, tp):
-    v = M.value_iteration(tp, states, GAMMA, VI_SWEEPS)
-    reach = M.grid_reachable(states, tp, _start(states))
-    return M.value_grid(v, cells, reach).select("x", "y", r6("v").alias("v"))
+def q_m13(spark, sf):
+    cells = grid_from_events(t(spark, sf, "events")).persist()
+    try:
+        state, _ = halo.run_sweeps(halo.start(cells), VI_SWEEPS, GAMMA)
+        states = M.grid_states(cells)
+        reach = M.grid_reachable(states, None, _start(states))
+        return cut_lineage(M.value_grid(halo.values(state), cells, reach).select("x", "y", r6("v").alias("v")))
+    finally:
+        cells.unpersist()
 
 
 # ------------------------------------------------------------------ logged experience

@@ -116,3 +116,22 @@ def test_policy_convergence(spark):
     first = next(i for i, d in enumerate(gaps, 2) if d <= 0.5)
     rows, got = halo.policy_convergence(table(spark, cells), GAMMA, 39, 0.5, side=16, halo=16)
     assert got == first and rows.count() == first
+
+
+@pytest.mark.parametrize("side, at", [(4, (0, 0)), (7, (-9, 4)), (64, (0, 0)), (5, (2**63 - 24, -2**63))])
+def test_reachable_cells_equal_a_walk(spark, side, at):
+    cells = world(24, 17, 11, *at)
+    code = {(x, y): c for x, y, c in cells if c != WALL}
+    states = M.grid_states(table(spark, cells)).cache()
+    some = [k for k, c in code.items() if c not in (GOAL, NEG_EXIT)][::90] + [next(k for k, c in code.items() if c == GOAL), (at[0], -77)]
+    for start in some:
+        seen, walk = set(), [start] if start in code else []
+        while walk:
+            k = walk.pop()
+            if k in seen:
+                continue
+            seen.add(k)
+            if code[k] not in (GOAL, NEG_EXIT):
+                walk += [n for _, dx, dy in M.DIRS if (n := (k[0] + dx, k[1] + dy)) in code]
+        got = [tuple(r) for r in M.grid_reachable(states, None, start, side).collect()]
+        assert len(got) == len(seen) and set(got) == seen
