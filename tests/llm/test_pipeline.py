@@ -7,7 +7,7 @@ from orchard.llm.queries import ORACLE, QUERIES
 def test_one_query_per_operator():
     import __spark_entry__
     names = __spark_entry__.queries()
-    assert all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 11))
+    assert all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 14))
     assert "pipeline" in names and set(ORACLE) <= set(QUERIES)
 
 
