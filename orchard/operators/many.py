@@ -73,7 +73,7 @@ def matrix(batch: pa.RecordBatch) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
     for batch in batches:
         for a in range(0, batch.num_rows, CHUNK):
             part = batch.slice(a, CHUNK)
@@ -91,7 +91,7 @@ def scan_sums(points: DataFrame, step: Callable[[np.ndarray, pa.RecordBatch], It
     """Sum over all rows of what ``step(vectors, rows)`` yields by (model, part)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[int, int], np.ndarray] = {}
-        for x, rows in _chunks(batches):
+        for x, rows in chunks(batches):
             for key, v in step(x, rows):
                 total[key] = total[key] + v if key in total else v
         if total:
@@ -149,7 +149,7 @@ def starts(points: DataFrame, k: int, seeds: Sequence[int], init: str = "k-means
 
         def race(batches: Iterator[pa.RecordBatch], now=now, draw=draw) -> Iterator[pa.RecordBatch]:
             best: dict[int, tuple] = {}
-            for x, part in _chunks(batches):
+            for x, part in chunks(batches):
                 h = part.column("_h").to_numpy()
                 for s, c in now.items():
                     weight = np.ones(len(x))
@@ -344,7 +344,7 @@ def counts_and_moments(points: DataFrame, label: str, models: Sequence[Centres |
     """From one scan each: the contingency table ``(model, truth, pred, n)`` and, per (model, cluster), rows, cost and sums."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = [labeller(m) for m in models]
-        for x, part in _chunks(batches):
+        for x, part in chunks(batches):
             coded = part.column(label).dictionary_encode(null_encoding="encode")
             codes, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
             for i, f in enumerate(find):

@@ -4,7 +4,7 @@ Everything that touches rows is a Spark plan; only d x d / k x d matrices
 (bounded by the number of features, never by the number of rows) are
 solved on the driver with numpy - the same split ``pyspark.ml`` makes.
 
-* D3 truncated SVD: eigenvectors of the Gram matrix (uncentred), project X V.
+* D3 truncated SVD (uncentred): triangular factor by a tree of QRs, project X V.
 * D4 PCA (centred, optionally whitened): covariance (D2) -> eigen-decomposition.
 * D5 FastICA: whiten (D4), then symmetric fixed-point iterations; each
   iteration is one distributed aggregate of E[z g(w'z)] and E[g'(w'z)].
@@ -14,16 +14,21 @@ solved on the driver with numpy - the same split ``pyspark.ml`` makes.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.vectors import dot, vector_literal
-from orchard.operators.scale import co_moments, first_vector, gram
+from orchard.operators import many
+from orchard.operators.scale import co_moments, first_vector
+from orchard.session import cut_lineage
 
 
 def _fix_signs(V: np.ndarray) -> np.ndarray:
@@ -64,20 +69,44 @@ def gaussian_random_projection(df: DataFrame, k: int, seed: int, d: int | None =
 
 
 # ----------------------------------------------------------------------- D3
+def triangular_factor(df: DataFrame, features: str = "features") -> np.ndarray:
+    """R (d x d) of a QR factorisation of all rows, by a tree of QRs.
+
+    Every task factorises its rows chunk by chunk and hands on d rows; about
+    sqrt(tasks) tasks join those, and one joins theirs, so no task holds more
+    than sqrt(tasks) factors.  Unlike a Gram matrix it does not square the
+    condition of the table.  Rows without a vector take no part.
+    """
+    def factor(batches):
+        r = None
+        for x, _ in many.chunks(batches):
+            r = np.linalg.qr(x if r is None else np.vstack([r, x]), mode="r")
+        if r is not None:
+            place = int(np.abs(r).sum() * 1e6) & 0x7FFFFFFF                 # any spread over the next tasks
+            yield pa.RecordBatch.from_arrays([pa.array(r.tolist(), pa.list_(pa.float64())), pa.array(np.full(len(r), place), pa.int64())],
+                                             names=["_x", "_at"])
+
+    schema = "_x array<double>, _at long"
+    points = many.vectors(df, features)
+    level = cut_lineage(points.mapInArrow(factor, schema))
+    tasks = level.select("_at").distinct().count()
+    if tasks > 16:
+        level = level.repartition(math.ceil(math.sqrt(tasks)), "_at").mapInArrow(factor, schema)
+    rows = level.select("_x").repartition(1).mapInArrow(lambda it: (b.select(["_x"]) for b in factor(it)), "_x array<double>").collect()
+    r = np.array([x["_x"] for x in rows], float)                            # at most d rows
+    if r.size == 0:
+        return np.zeros((0, 0))
+    return np.vstack([r, np.zeros((r.shape[1] - len(r), r.shape[1]))])
+
+
 def truncated_svd(df: DataFrame, k: int, features: str = "features", out: str = "reduced"):
-    """D3: uncentred truncated SVD: the right singular vectors are the top
-    eigenvectors of the Gram matrix (D2, one scan, d x d numbers); rows are
-    projected on V (= U Sigma).  Signs fixed (largest |entry| positive).
-    Returns (projected DataFrame, singular values, V)."""
-    g = gram(df, features).collect()
-    d = 1 + max(r["i"] for r in g)
-    G = np.zeros((d, d))
-    for r in g:
-        G[r["i"], r["j"]] = G[r["j"], r["i"]] = r["g"]
-    vals, vecs = np.linalg.eigh(G)
-    order = np.argsort(vals)[::-1][:k]
-    V = _fix_signs(vecs[:, order])
-    return project(df, V, features, out), np.sqrt(np.maximum(vals[order], 0.0)), V
+    """D3: uncentred truncated SVD: singular values and right singular
+    vectors are those of the table's triangular factor (one scan, d x d
+    numbers); rows are projected on V (= U Sigma).  Signs fixed (largest
+    |entry| positive).  Returns (projected DataFrame, singular values, V)."""
+    _, s, vt = np.linalg.svd(triangular_factor(df, features))
+    V = _fix_signs(vt[:k].T)
+    return project(df, V, features, out), s[:k], V
 
 
 # ----------------------------------------------------------------------- D4
@@ -113,7 +142,6 @@ def fast_ica(df: DataFrame, k: int, features: str = "features", out: str = "redu
     data.  Each iteration is one aggregate over the rows: per task, numpy
     partial sums of z g(W z) (k x k) and g'(W z) (k), summed by a
     ``groupBy`` of #tasks x k^2 rows; the k x k update runs on the driver."""
-    from orchard.session import cut_lineage
     z, _, _ = pca(df, k, whiten=True, features=features, out="_z")
     z = cut_lineage(z)
     rng = np.random.RandomState(seed)
