@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,17 +190,59 @@ def rff_map(df: DataFrame, n_components: int, gamma: float | None = None, seed:
                                         for i in range(n_components)]))
 
 
+def kernel_matrix(x: np.ndarray, y: np.ndarray, kernel: str, gamma: float, degree: int = 3, coef0: float = 0.0) -> np.ndarray:
+    """``rbf``: exp(-gamma |x - y|^2); ``poly``: (gamma x.y + coef0)^degree."""
+    if kernel == "poly":
+        return (gamma * (x @ y.T) + coef0) ** degree
+    if kernel == "rbf":
+        return np.exp(-gamma * ((x[:, None, :] - y[None]) ** 2).sum(2))
+    raise ValueError(f"unknown kernel {kernel!r}")
+
+
+def landmarks_of(df: DataFrame, n: int, features: str = "features") -> np.ndarray:
+    """``n`` distinct vectors in hash order (``n`` is the bound of the map's size)."""
+    v = df.where(F.col(features).isNotNull()).select(F.col(features).cast("array<double>").alias("x")).distinct()
+    return np.array([r["x"] for r in v.orderBy(F.xxhash64("x"), "x").limit(n).collect()], float)
+
+
+def nystrom_map(df: DataFrame, landmarks: np.ndarray, kernel: str, gamma: float, degree: int = 3, coef0: float = 0.0,
+                features: str = "features", out: str = "nystrom", rank_tol: float = 1e-10) -> DataFrame:
+    """C8 (feature map): k(x, landmarks) K^(-1/2), whose dot products are the kernel projected on the landmarks
+    (exact between landmarks).  One column per landmark whatever the degree; directions of K below ``rank_tol`` of the
+    largest are 0.  A null vector maps to null."""
+    vals, vecs = np.linalg.eigh(kernel_matrix(landmarks, landmarks, kernel, gamma, degree, coef0))
+    keep = vals > rank_tol * max(vals.max(), 0.0)
+    back = vecs[:, keep] / np.sqrt(vals[keep])
+
+    @F.pandas_udf("array<double>")
+    def mapped(col: pd.Series) -> pd.Series:
+        got = pd.Series([None] * len(col), index=col.index, dtype=object)
+        have = np.flatnonzero(col.notna().to_numpy())
+        for a in range(0, len(have), 1024):
+            x = np.vstack(col.iloc[have[a:a + 1024]].to_numpy()).astype(float)
+            z = kernel_matrix(x, landmarks, kernel, gamma, degree, coef0) @ back
+            got.iloc[have[a:a + 1024]] = list(np.hstack([z, np.zeros((len(x), len(landmarks) - z.shape[1]))]))
+        return got
+    return df.withColumn(out, mapped(F.col(features).cast("array<double>")))
+
+
 def svm_classify(train: DataFrame, test: DataFrame, kernel: str = "linear", features: str = "features",
                  label: str = "label", max_iter: int = 100, reg: float = 0.0, rff_components: int = 256,
-                 seed: int = 1):
+                 seed: int = 1, landmarks: int | None = None):
     """``LinearSVC`` (one-vs-rest for more than two classes) on the raw
     features, a degree-3 polynomial expansion (``poly``) or random Fourier
     features (``rbf``, gamma = 1/d) - documented approximations of the
-    kernel machines.  Returns the scored test table."""
+    kernel machines.  With ``landmarks`` both kernels (gamma = 1/d, degree 3)
+    go through a Nystrom map of so many training rows instead, which stays
+    small for wide tables.  Returns the scored test table."""
     from pyspark.ml.classification import LinearSVC, OneVsRest
     from pyspark.ml.feature import PolynomialExpansion
     tr, te, col = train, test, features
-    if kernel == "rbf":
+    if landmarks and kernel != "linear":
+        marks = landmarks_of(train, landmarks, features)
+        tr, te = (nystrom_map(d, marks, kernel, 1.0 / marks.shape[1], features=features, out="_rff") for d in (tr, te))
+        col, kernel = "_rff", "linear"
+    elif kernel == "rbf":
         tr = rff_map(tr, rff_components, seed=seed, features=features, out="_rff")
         te = rff_map(te, rff_components, seed=seed, features=features, out="_rff")
         col = "_rff"

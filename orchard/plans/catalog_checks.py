@@ -363,6 +363,23 @@ def q_c7_gradient(spark, sf):
     return spark.createDataFrame([(i, round(float(g), 8), round(float(v[0]), 8)) for i, g in enumerate(v[2:])], "place INT, gradient DOUBLE, loss DOUBLE")
 
 
+N_LANDMARKS = 8
+
+
+@register("c8_nystrom_kernel", f"""WITH {SQL_E}, l AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS i, v FROM e QUALIFY i < {N_LANDMARKS}),
+p AS (SELECT a.i, b.i AS j, {_DIST.format('a.v', 'b.v')} AS d, list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS s FROM l a, l b)
+SELECT i::INTEGER AS i, j::INTEGER AS j, round(exp(-0.5 * d), 6) AS rbf, round((0.5 * s + 1) ** 3, 6) AS poly FROM p""")
+def q_c8_nystrom(spark, sf):
+    """Between given landmarks the dot products of the mapped rows are the kernels themselves."""
+    e = embeddings(spark, sf)
+    marks = np.array([r["features"] for r in e.orderBy("vec_id").limit(N_LANDMARKS).collect()])
+    z = C.nystrom_map(e, marks, "rbf", 0.5, out="rbf")
+    z = C.nystrom_map(z, marks, "poly", 0.5, 3, 1.0, out="poly").select("vec_id", "rbf", "poly").orderBy("vec_id").limit(N_LANDMARKS).collect()
+    k = {c: (m := np.array([r[c] for r in z])) @ m.T for c in ("rbf", "poly")}
+    rows = [(i, j, round(float(k["rbf"][i, j]), 6), round(float(k["poly"][i, j]), 6)) for i in range(len(z)) for j in range(len(z))]
+    return spark.createDataFrame(rows, "i INT, j INT, rbf DOUBLE, poly DOUBLE")
+
+
 MODELS = ("mlp", "mlp_adam", "mlp_sgd", "svm_linear", "svm_rbf", "svm_poly")
 
 
