@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orchard.functions.vectors import euclidean
 from orchard.operators import classify as C
 from orchard.operators import fitness as FT
+from orchard.operators import halo
 from orchard.operators import mdp as M
 from orchard.operators import mlp as MLP
 from orchard.operators import reduce as R
@@ -413,17 +414,20 @@ def q_floors(spark, sf):
 
 # ------------------------------------------------------------------ MDP
 @register("m10_policy_is_greedy", f"""WITH {SQL_MDP} SELECT CAST(count(*) AS BIGINT) AS states, CAST(0 AS BIGINT) AS improvable,
-       true AS values_settled FROM st WHERE NOT terminal""")
+       true AS values_settled, true AS optimal FROM st WHERE NOT terminal""")
 @on_grid
 def q_m10_greedy(cells, states, tp):
-    """Policy iteration run until nothing changes: the policy is greedy for its values, and a sweep moves them little."""
+    """Policy iteration run until nothing changes: the policy is greedy for its values, a sweep moves them little, and
+    400 sweeps under the policy give the values of 400 sweeps of value iteration (0.005 apart at most; 20 with each action turned)."""
     v, policy, _ = M.policy_iteration(tp, states, GAMMA, e_iters=20, p_iters=100)
     new = M.greedy_policy(tp, v, GAMMA).select("x", "y", F.col("a").alias("b"))
     diff = M.values_diff(v, M.bellman_backup(tp, v, GAMMA)).agg(F.max("diff")).first()[0] or 0.0
+    own, best = (halo.values(halo.run_sweeps(halo.start(cells, p), 400, GAMMA)[0]) for p in (policy, None))
+    gap = M.values_diff(own, best).agg(F.max("diff")).first()[0] or 0.0
     return policy.join(new, ["x", "y"]).agg(
         F.count(F.lit(1)).cast("bigint").alias("states"),
         F.coalesce(F.sum((F.col("a") != F.col("b")).cast("int")), F.lit(0)).cast("bigint").alias("improvable"),
-        F.lit(diff <= 0.05).alias("values_settled"))
+        F.lit(diff <= 0.05).alias("values_settled"), F.lit(gap <= 0.05).alias("optimal"))
 
 
 # ------------------------------------------------------------------ sources, callbacks, scalar functions
