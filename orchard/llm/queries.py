@@ -173,17 +173,33 @@ p AS (SELECT a.k AS a, b.k AS b FROM e a JOIN e b ON a.t = b.t AND a.k < b.k AND
       GROUP BY a.k, b.k, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
 q AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
 r AS (SELECT k AS a, k AS b FROM u UNION SELECT r.a, q.b FROM r JOIN q ON r.b = q.a),
-cl AS (SELECT r.a AS k, min(u.first) AS first, sum(u.c) AS occurrences FROM r JOIN u ON r.b = u.k GROUP BY r.a)
-SELECT o.doc_id, o.para, cl.first[1] AS cluster_doc_id, cl.first[2] AS cluster_para, cl.occurrences::BIGINT AS occurrences,
-       NOT (o.doc_id = cl.first[1] AND o.para = cl.first[2]) AS removed
-FROM o JOIN cl USING (k) WHERE cl.occurrences > 1
+cl AS (SELECT r.a AS k, min(u.first) AS first, sum(u.c) AS occurrences FROM r JOIN u ON r.b = u.k GROUP BY r.a),
+f AS (SELECT o.doc_id, o.para, cl.first[1] AS cluster_doc_id, cl.first[2] AS cluster_para, cl.occurrences::BIGINT AS occurrences,
+             NOT (o.doc_id = cl.first[1] AND o.para = cl.first[2]) AS removed
+      FROM o JOIN cl USING (k) WHERE cl.occurrences > 1),
+z AS (SELECT doc_id, para, w, (sum(len(w)) OVER (PARTITION BY doc_id ORDER BY para) - len(w))::BIGINT AS first_word FROM d),
+v AS (SELECT doc_id, unnest(w) AS word, first_word + unnest(range(0, len(w))) AS pos
+      FROM z ANTI JOIN (SELECT doc_id, para FROM f WHERE removed) USING (doc_id, para)),
+y AS (SELECT doc_id, list(word ORDER BY pos) AS ws, list(pos ORDER BY pos) AS ps FROM v GROUP BY doc_id),
+m AS (SELECT doc_id, unnest(range(1, len(ws) - 38)) AS i,
+             unnest(list_transform(range(1, len(ws) - 38), lambda i: md5(array_to_string(ws[i:i+39], ' ')))) AS k
+      FROM y WHERE len(ws) >= 40),
+t AS (SELECT k, min((doc_id, i)) AS first FROM m GROUP BY k HAVING count(*) > 1),
+c AS (SELECT m.doc_id, m.i, m.doc_id = t.first[1] AND m.i = t.first[2] AS stays FROM m JOIN t USING (k)),
+b AS (SELECT doc_id, i, bool_or(stays) AS stays
+      FROM (SELECT doc_id, i + unnest(range(0, 40)) AS i, stays FROM c) GROUP BY doc_id, i),
+h AS (SELECT b.doc_id, y.ps[b.i] AS pos, stays FROM b JOIN y USING (doc_id)),
+n AS (SELECT doc_id, pos, stays, pos - row_number() OVER (PARTITION BY doc_id, stays ORDER BY pos) AS island FROM h)
+SELECT 'paragraph' AS kind, f.doc_id, f.para, z.first_word, len(z.w)::BIGINT AS words, cluster_doc_id, cluster_para, occurrences, removed
+FROM f JOIN z USING (doc_id, para)
+UNION ALL SELECT 'run', doc_id, NULL, min(pos)::BIGINT, count(*)::BIGINT, NULL, NULL, NULL, NOT stays FROM n GROUP BY doc_id, stays, island
 """
 
 
 @register("op10_substring_dedup", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every occurrence of a passage (a line of 40 words or more) that repeats, and which ones go."""
-    return substring_dedup.repeats(table(spark, sf_dir, "documents")).drop("version")
+    """Every stretch that repeats (paragraphs, and runs of 40 words anywhere), by word span, and which ones go."""
+    return substring_dedup.passages(table(spark, sf_dir, "documents")).drop("version")
 
 
 # --------------------------------------------------------------------------

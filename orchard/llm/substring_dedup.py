@@ -12,8 +12,8 @@ sets, or word edit similarity, at the threshold or above.  Verified links
 are clustered by components; of each cluster the occurrence with the
 smallest (doc_id, paragraph) stays and all others are removals.
 
-``remove_repeats`` then looks at the whole of what is left, whatever its line
-breaks: every run of ``min_words`` words that stands at two places or more
+What is left without the removed paragraphs is then compared as a whole, whatever
+its line breaks: every run of ``min_words`` words that stands at two places or more
 stays at the smallest (doc_id, version, word number), and the words of its
 other occurrences are cut by span, but for words that a kept occurrence
 covers.  Runs are found by their seeds, the shorter runs of words with the
@@ -23,11 +23,13 @@ repeats are compared (by 64-bit hashes, no seed is sampled or capped).
 Passages with changed words that are not whole lines lose the unchanged
 stretches of at least ``min_words`` words, not the shorter ones.
 
+``passages`` lists all of this by word span, ``remove_repeats`` applies it.
+
 Defined cases: null texts have no paragraphs; shorter paragraphs are not
 compared as paragraphs, only as parts of runs of words; rows that repeat a doc_id and its text are one document
 (they keep and lose the same paragraphs); a null doc_id sorts first; extra
-columns are kept by ``remove_repeats`` and ignored by ``repeats``; an empty
-table gives an empty result.
+columns are kept by ``remove_repeats`` and ignored by the others; very long texts
+are read whole, each as a slice of its own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm import pairs
@@ -65,27 +67,31 @@ def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int
 
 
 def _paragraphs(part: pa.RecordBatch, min_words: int):
-    """Words of the long paragraphs of a batch: (row, paragraph number, word hashes, dense number)."""
+    """Words of the long paragraphs of a batch: (row, paragraph number, word hashes, dense number, number, words before
+    the paragraph in its text, words in it)."""
     lines = pc.split_pattern(pc.fill_null(part.column("text"), ""), "\n")
     flat = lines.flatten()
     count = lines.value_lengths().to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(len(count)), count)
     number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     w = Words(lowered(flat), ALNUM)
-    long = w.counts() >= min_words
+    words = w.counts()
+    before = np.cumsum(words) - words
+    long = words >= min_words
     keep = long[w.row]
     dense = (np.cumsum(long) - 1)[w.row[keep]]
-    return row[long], number[long], w.hash[keep], dense, int(long.sum())
+    first = (before - before[np.arange(len(row)) - number])[long]
+    return row[long], number[long], w.hash[keep], dense, int(long.sum()), first, words[long]
 
 
 def sketches(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, version, para, id, sig, keys) of every long paragraph."""
+    """(doc_id, version, para, first_word, words, id, sig, keys) of every long paragraph."""
     t = bands * rows
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                row, number, h, dense, n = _paragraphs(part, min_words)
+                row, number, h, dense, n, first, words = _paragraphs(part, min_words)
                 if n == 0:
                     continue
                 s, r = shingles(h, dense, n)
@@ -99,11 +105,13 @@ def sketches(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFram
                 low = np.ascontiguousarray(sig.astype(np.uint8))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(row)), part.column("version").take(pa.array(row)),
-                    pa.array(number.astype(np.int32)), pa.array(set_ids(s, r)),
+                    pa.array(number.astype(np.int32)), pa.array(first.astype(np.int64)), pa.array(words.astype(np.int64)),
+                    pa.array(set_ids(s, r)),
                     pa.array([x.tobytes() for x in low], pa.binary()),
                     lists(keys.view(np.int64).ravel(), np.repeat(np.arange(n), bands), n, pa.int64()),
-                ], ["doc_id", "version", "para", "id", "sig", "keys"])
-    return docs.mapInArrow(run, "doc_id long, version long, para int, id long, sig binary, keys array<long>")
+                ], ["doc_id", "version", "para", "first_word", "words", "id", "sig", "keys"])
+    return docs.mapInArrow(run, "doc_id long, version long, para int, first_word long, words long, id long, sig binary, "
+                                "keys array<long>")
 
 
 def paragraph_sets(docs: DataFrame, min_words: int) -> DataFrame:
@@ -111,7 +119,7 @@ def paragraph_sets(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                _, _, h, dense, n = _paragraphs(part, min_words)
+                _, _, h, dense, n, _, _ = _paragraphs(part, min_words)
                 if n == 0:
                     continue
                 s, r = shingles(h, dense, n)
@@ -126,7 +134,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     """One row per occurrence of a repeated paragraph.
 
     ``doc_id``, ``version`` (hash of the text), ``para`` (line number from
-    0), ``cluster_doc_id``/``cluster_para`` (the occurrence that stays),
+    0), ``first_word`` (words of the text before it), ``words`` in it,
+    ``cluster_doc_id``/``cluster_para`` (the occurrence that stays),
     ``occurrences`` in the cluster and ``removed``.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -145,8 +154,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     cls = classes(nodes.select("id", "first", "weight"), links, "first")
     total = cls.groupBy("root").agg(F.sum("weight").alias("occurrences"))
     cls = saved(cls.join(total, "root").where("occurrences > 1").select("id", "class", "occurrences"))
-    out = occ.select("doc_id", "version", "para", "id").join(cls, "id")
-    return out.select("doc_id", "version", "para", F.col("class.doc_id").alias("cluster_doc_id"),
+    out = occ.select("doc_id", "version", "para", "first_word", "words", "id").join(cls, "id")
+    return out.select("doc_id", "version", "para", "first_word", "words", F.col("class.doc_id").alias("cluster_doc_id"),
                       F.col("class.para").alias("cluster_para"), "occurrences",
                       (~(F.col("doc_id").eqNullSafe(F.col("class.doc_id")) & (F.col("para") == F.col("class.para"))
                          & (F.col("version") == F.col("class.version")))).alias("removed"))
@@ -216,10 +225,10 @@ def seeded_runs(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, version, again, stay) of every text with a run of words that stays elsewhere.
+    """(doc_id, version, again, stay) of every text with a run of words that stands at two places or more.
 
-    ``docs``: doc_id, version, text.  ``again``: word numbers at which such
-    runs start; ``stay``: starts of the repeated runs that stay here.
+    ``docs``: doc_id, version, text.  ``again``: word numbers at which runs
+    start that stay elsewhere; ``stay``: starts of those that stay here.
     """
     own = docs.select("doc_id", "version")
     found = saved(seeds(docs, min_words))
@@ -237,22 +246,85 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     marked = occ.join(first, "gram").select("doc_id", "version", "pos", here.eqNullSafe(F.col("first")).alias("stays"))
     return (marked.groupBy("doc_id", "version")
                   .agg(F.collect_set(F.when(~F.col("stays"), F.col("pos"))).alias("again"),
-                       F.collect_set(F.when(F.col("stays"), F.col("pos"))).alias("stay"))
-                  .where(F.size("again") > 0))
+                       F.collect_set(F.when(F.col("stays"), F.col("pos"))).alias("stay")))
+
+
+def covered(n: int, starts, min_words: int) -> np.ndarray:
+    """True for those of ``n`` words that a run of ``min_words`` words from one of ``starts`` holds."""
+    d = np.zeros(n + 1, np.int64)
+    s = np.unique(np.asarray(starts, np.int64))
+    d[s] += 1
+    np.add.at(d, s + min_words, -1)
+    return np.cumsum(d)[:n] > 0
+
+
+def run_spans(runs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, version, first_word, words, removed): the stretches of words in repeated runs.
+
+    ``runs``: a row of ``repeated_runs`` and ``cut``, the spans (first_word,
+    words) taken out of the text before; word numbers of the result count them.
+    """
+    def run(batches):
+        for batch in batches:
+            for part in batch.to_pylist():
+                n = max([*part["again"], *part["stay"]]) + min_words
+                at = np.arange(n)
+                for x in sorted(part["cut"] or [], key=lambda x: x["first_word"]):
+                    at[at >= x["first_word"]] += x["words"]
+                kept = covered(n, part["stay"], min_words)
+                first, words, removed = [], [], []
+                for on, gone in ((covered(n, part["again"], min_words) & ~kept, True), (kept, False)):
+                    here = at[on]
+                    if len(here):
+                        edge = np.flatnonzero(np.diff(here) != 1) + 1
+                        size = np.diff([0, *edge, len(here)])
+                        first += here[[0, *edge]].tolist()
+                        words += size.tolist()
+                        removed += [gone] * len(size)
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": pa.array([part["doc_id"]] * len(first), pa.int64()),
+                     "version": pa.array([part["version"]] * len(first), pa.int64()),
+                     "first_word": pa.array(first, pa.int64()), "words": pa.array(words, pa.int64()),
+                     "removed": pa.array(removed, pa.bool_())})
+    return runs.mapInArrow(run, "doc_id long, version long, first_word long, words long, removed boolean")
+
+
+def without_lines(text: Column, lines: Column) -> Column:
+    """``text`` without the lines whose numbers are in ``lines``; null numbers leave it as it is."""
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, at: ~F.array_contains(lines, at)), "\n")
+    return F.when(lines.isNull(), text).otherwise(kept)
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+             **options) -> DataFrame:
+    """One row per stretch of words that repeats, over the whole texts.
+
+    ``doc_id``, ``version`` (hash of the text), ``kind`` (``paragraph`` or
+    ``run``), ``first_word`` (words of the text before it), ``words`` and
+    ``removed``; for paragraphs the columns of ``repeats`` as well (null for
+    runs).  Runs are looked for without the removed paragraphs.
+    """
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("version", F.xxhash64("text"))
+    lines = saved(repeats(docs, min_words=min_words, **options))
+    span = F.struct("first_word", "words")
+    cut = saved(lines.where("removed").groupBy(F.col("doc_id").alias("_d"), F.col("version").alias("_v"))
+                     .agg(F.collect_set("para").alias("lines"), F.collect_set(span).alias("cut")))
+    rows, size = cut.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("cut")), F.lit(0))).first()
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("version") == F.col("_v"))
+    left = (docs.join(small_side(cut.select("_d", "_v", "lines"), 1, rows * 48 + size * 8), same, "left")
+                .select("doc_id", "version", without_lines(F.col("text"), F.col("lines")).alias("text")))
+    runs = repeated_runs(left, min_words).join(cut.select("_d", "_v", "cut"), same, "left")
+    spans = run_spans(runs.select("doc_id", "version", "again", "stay", "cut"), min_words)
+    return lines.withColumn("kind", F.lit("paragraph")).unionByName(spans.withColumn("kind", F.lit("run")),
+                                                                    allowMissingColumns=True)
 
 
 def without_runs(text: str, again, stay, min_words: int) -> str:
     """``text`` without the words of the runs that start at ``again``, but for those of the runs at ``stay``."""
     w = Words(pa.array([text], pa.large_string()), ALNUM)
     n = len(w.start)
-
-    def covered(starts) -> np.ndarray:
-        d = np.zeros(n + 1, np.int64)
-        s = np.unique(np.asarray(starts, np.int64))
-        d[s] += 1
-        np.add.at(d, s + min_words, -1)
-        return np.cumsum(d)[:n] > 0
-    gone = covered(again) & ~covered(stay)
+    gone = covered(n, again, min_words) & ~covered(n, stay, min_words)
     if gone.all():
         return ""
     raw, out, at = w.data.tobytes(), [], 0
@@ -275,15 +347,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  .agg(F.collect_set("para").alias(lines)))
     marked = docs.withColumn(own, F.xxhash64(F.col(text_col).cast("string")))
     joined = marked.join(small_side(drop, 64), F.col(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(v)), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1),
-                                 lambda x, at: ~F.array_contains(F.col(lines), at)), "\n")
-    new = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(kept)
-    left = joined.withColumn(text_col, new)
+    left = joined.withColumn(text_col, without_lines(F.col(text_col), F.col(lines)))
     left = (left.where(F.col(lines).isNull() | (F.trim(F.col(text_col)) != "")).select(*[f"`{c}`" for c in docs.columns])
                 .withColumn(own, F.xxhash64(F.col(text_col).cast("string"))))
     spans = saved(repeated_runs(left.select(F.col(id_col).alias("doc_id"), F.col(own).alias("version"),
                                             F.col(text_col).cast("string").alias("text")), min_words)
-                  .toDF(i, v, again, stay))
+                  .toDF(i, v, again, stay).where(F.size(again) > 0))
     rows, starts = spans.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(again) + F.size(stay)), F.lit(0))).first()
 
     @F.pandas_udf("string")

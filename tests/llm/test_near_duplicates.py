@@ -155,6 +155,17 @@ def test_embeddings_are_brute_force(spark, monkeypatch, bucket, block):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def words_outside(spans, rows):
+    """Words of every (id, text) row without those of the removed spans."""
+    version = {(x.doc_id, x.text): x.version for x in
+               frame(spans.sparkSession, rows).withColumn("version", F.xxhash64("text")).collect()}
+    gone = {}
+    for x in spans.where("removed").collect():
+        gone.setdefault((x.doc_id, x.version), set()).update(range(x.first_word, x.first_word + x.words))
+    return sorted((str(i), [w for k, w in enumerate(words(t or "")) if k not in gone.get((i, version[i, t]), ())])
+                  for i, t in rows)
+
+
 def test_substring_dedup_is_brute_force(spark):
     r = random.Random(9)
     vocab = [f"v{i}" for i in range(200)]
@@ -179,6 +190,8 @@ def test_substring_dedup_is_brute_force(spark):
     left = {x.doc_id: x.text for x in out.collect()}
     assert left[0] == texts[0] and left[1] == "unique line 1" and left[6] == texts[6]
     assert 9 not in left and left[12] == "short line" and left[13] is None and left[14] == ""
+    assert ([x for x in words_outside(substring_dedup.passages(df), rows) if x[1]]
+            == sorted((str(x.doc_id), words(x.text)) for x in out.collect() if words(x.text or "")))
     assert substring_dedup.repeats(df.limit(0)).count() == 0
 
 
@@ -202,6 +215,13 @@ def test_repeated_runs_inside_long_lines_and_across_short_ones(spark):
     assert out.columns == df.columns
     left = out.select("doc_id", "text").collect()
     got = {x.doc_id: x.text for x in left}
+    spans = substring_dedup.passages(df)
+    assert {x.doc_id for x in spans.where("removed").collect()} == {0, 1, 3, 4, 7}
+    assert ([x for x in words_outside(spans, rows) if x[1]]
+            == sorted((str(x.doc_id), words(x.text)) for x in left if words(x.text or "")))
+    one = spans.where("doc_id = 1 and removed").collect()
+    assert [(x.kind, x.first_word, x.words, x.para) for x in one] == [("run", 80, 60, None)]
+    assert substring_dedup.passages(df.limit(0)).count() == 0
     assert got[None] == rows[11][1] and [x.text for x in left if x.doc_id == 0] == [f"{p1} {p2}"] * 2
     assert got[1] == f"{s1} ({s2}" and got[2] == rows[2][1] and 4 not in got
     assert words(got[3]) == words(rows[3][1])[:17] + ["last"]
