@@ -1,18 +1,19 @@
 """Toxicity from the nearest labelled examples by exact cosine of weighted TF-IDF vectors.
 
 A bounded sample of labelled rows gives the examples.  Texts and examples are
-TF-IDF vectors of unit length over all their words; document frequencies are
-counted over all documents.  A word's weight is its inverse document
-frequency times 1 + its chi square against the label in the examples: label
-dependence weighs words, it leaves none out.  Words that no example has match
-nothing and count in a text's length only; there, words rarer than the
-``KNOWN`` most frequent ones count as if one document had them.
-
-Search: the inverted index holds the postings of every word of the examples;
-words that many examples share are rows of a dense matrix.  Every word of a
-text is looked up and all scores are summed, so the k nearest are exact (ties
-go to the example with the smaller id).  Bounds by blocks of examples would
-skip next to nothing here, as whole texts share words with all blocks.
+TF-IDF vectors of unit length over the words of the examples (a word that no
+example has is in no vector); document frequencies are counted over all
+documents.  A word's weight is its inverse document frequency times 1 + its
+chi square against the label in the examples: label dependence weighs words,
+it leaves none out.
+
+Search: the examples, in the order of label and id, are cut into blocks.  The
+inverted index holds the postings of every word, and of every word and block
+the largest value.  The sum of these maxima over a text's words bounds its
+cosine with all examples of a block.  The blocks with the highest bounds are
+scored in full first; after that only blocks whose bound reaches the k-th best
+cosine so far are, so the k nearest are exact (ties go to the example with
+the smaller id).
 
 The k neighbours vote with weight 1 / (distance + 0.1) against a prior vote;
 votes are calibrated by isotonic regression on labelled rows that are neither
@@ -21,8 +22,9 @@ neighbours and gets the calibrated prior vote.
 
 Defined cases: null and empty texts have no terms; null labels and labels
 without a document are ignored, of repeated labels the larger counts; with
-no labels every score is 0.5; repeated rows are scored alike; extra columns
-are ignored.
+no labels every score is 0.5; very long texts are searched whole, their words in
+chunks; an empty table gives an empty result; repeated rows are scored alike;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,10 +41,10 @@ from orchard.llm.quality import FOLDS, labelled
 from orchard.llm.text import ALNUM, Words, lists, lowered, slices
 
 MAX_ROWS, NEIGHBOURS, CUT = 12_000, 15, 0.5
-#: Words whose document frequency is known beside those of the examples.
-KNOWN = 1 << 20
-#: Words in more than one of so many examples are dense; texts searched at a time.
-DENSE, QUERIES = 20, 256
+#: Examples in a block; blocks scored before any is skipped; texts searched at a time.
+BLOCK, FIRST, QUERIES = 64, 2, 64
+#: Index entries expanded at a time.
+CHUNK = 1 << 20
 PRIOR_VOTES = 0.5
 
 
@@ -91,7 +93,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Vectors:
-    """Sparse rows: row (in order), column (-1 where the index has none) and value of the entries."""
+    """Sparse rows: row (in order), column and value of the entries."""
 
     rows: int
     row: np.ndarray
@@ -113,24 +115,18 @@ class Vectors:
 
 @dataclass
 class Weights:
-    """Known words (sorted hashes) with their document frequencies and columns (-1: no example has them)."""
+    """Words of the examples (sorted hashes) with their weights; a word's place is its column."""
 
     terms: np.ndarray
-    df: np.ndarray          # 32 bits: the tasks get a copy each
-    col: np.ndarray
-    factor: np.ndarray      # of each column, from the label
-    docs: int
+    weight: np.ndarray
 
     def vectors(self, h: np.ndarray, row: np.ndarray, tf: np.ndarray, rows: int) -> Vectors:
         """Rows of (1 + log tf) * weight, scaled to length 1."""
-        df, col = np.ones(len(h)), np.full(len(h), -1)
-        if len(self.terms):
-            at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
-            known = self.terms[at] == h
-            df, col = np.where(known, self.df[at], 1), np.where(known, self.col[at], -1)
-        w = np.log((self.docs + 1) / (df + 1)) + 1
-        w[col >= 0] *= self.factor[col[col >= 0]]
-        val = (1 + np.log(tf)) * w
+        at = np.searchsorted(self.terms, h)
+        on = np.flatnonzero(at < len(self.terms))
+        on = on[self.terms[at[on]] == h[on]]
+        row, col = row[on], at[on]
+        val = (1 + np.log(tf[on])) * self.weight[col]
         norm = np.sqrt(np.bincount(row, val ** 2, minlength=rows))
         return Vectors(rows, row, col, val / norm[row])
 
@@ -152,7 +148,7 @@ def label_dependence(n: int, n1: int, d: np.ndarray, a: np.ndarray) -> np.ndarra
 
 @dataclass
 class BlockMaxIndex:
-    """Examples in the order of their ids: postings of every word, the frequent ones dense."""
+    """Postings of every word, the examples in the order of label and id, and their maxima by block of examples."""
 
     ids: np.ndarray
     labels: np.ndarray
@@ -162,30 +158,30 @@ class BlockMaxIndex:
     block: int
 
     @classmethod
-    def build(cls, ids: np.ndarray, labels: np.ndarray, x, block: int = DENSE, terms: int | None = None) -> BlockMaxIndex:
-        """``block``: words in more than one of ``block`` examples are dense."""
+    def build(cls, ids: np.ndarray, labels: np.ndarray, x, block: int = BLOCK, terms: int | None = None) -> BlockMaxIndex:
         terms = x.shape[1] if terms is None else terms
         x, n = Vectors.of(x), len(ids)
-        o = np.argsort(ids, kind="stable")
+        o = np.lexsort((ids, labels))
         to = np.empty(n, np.int64)
         to[o] = np.arange(n)
-        on = np.flatnonzero(x.col >= 0)
-        on = on[np.lexsort((to[x.row[on]], x.col[on]))]
-        start = np.concatenate([[0], np.cumsum(np.bincount(x.col[on], minlength=terms))])
-        return cls(ids[o], labels[o], start, to[x.row[on]].astype(np.uint16 if n <= 1 << 16 else np.int64), x.val[on], block)
+        by = np.lexsort((to[x.row], x.col))
+        start = np.concatenate([[0], np.cumsum(np.bincount(x.col, minlength=terms))])
+        return cls(ids[o], labels[o], start, to[x.row[by]].astype(np.uint16 if n <= 1 << 16 else np.int64), x.val[by], block)
 
     def __post_init__(self):
-        df = np.diff(self.start)
-        dense = np.flatnonzero(df * self.block > len(self.ids))
-        self.place = np.full(len(df), -1, np.int32)
-        self.place[dense] = np.arange(len(dense))
-        self.head = np.zeros((len(dense), len(self.ids)))
-        for i, t in enumerate(dense):
-            p = slice(self.start[t], self.start[t + 1])
-            self.head[i, self.example[p]] = self.value[p]
+        """A part is what one block has of one word's postings."""
+        word = np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
+        blk = self.example // self.block
+        new = np.ones(len(blk), bool)
+        new[1:] = (word[1:] != word[:-1]) | (blk[1:] != blk[:-1])
+        self.part = np.append(np.flatnonzero(new), len(blk))
+        self.part_block = blk[new]
+        self.part_max = np.maximum.reduceat(self.value, self.part[:-1]) if len(blk) else np.zeros(0)
+        self.word_part = np.concatenate([[0], np.cumsum(np.bincount(word[new], minlength=len(self.start) - 1))])
+        self.blocks = -(-len(self.ids) // self.block)
 
     def __reduce__(self):
-        """The dense rows are not sent to the tasks but made there."""
+        """The parts are not sent to the tasks but made there."""
         return type(self), (self.ids, self.labels, self.start, self.example, self.value, self.block)
 
     def nearest(self, q, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,38 +192,76 @@ class BlockMaxIndex:
             return best, who
         edge = np.searchsorted(q.row, np.arange(0, q.rows + QUERIES, QUERIES))
         for j, s in enumerate(range(0, q.rows, QUERIES)):
-            part = slice(edge[j], edge[j + 1])
+            on = slice(edge[j], edge[j + 1])
             m = min(QUERIES, q.rows - s)
-            score = self.scores(m, q.row[part] - s, q.col[part], q.val[part])
-            least = np.zeros(m) if k >= len(self.ids) else -np.partition(-score, k - 1, axis=1)[:, k - 1]
-            row, ex = np.nonzero((score >= least[:, None]) & (score > 0))
+            score = self.pruned(m, q.row[on] - s, q.col[on], q.val[on], k)
+            row, ex = np.nonzero((score >= kth(score, k)[:, None]) & (score > 0))
             got = score[row, ex]
-            o = np.lexsort((ex, -got, row))         # examples are in the order of their ids
+            o = np.lexsort((self.ids[ex], -got, row))
             row, ex, got = row[o], ex[o], got[o]
             rank = np.arange(len(row)) - np.searchsorted(row, row)
             top = rank < k
             best[s + row[top], rank[top]], who[s + row[top], rank[top]] = got[top], ex[top]
         return best, who
 
-    def scores(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray) -> np.ndarray:
-        """Cosine of every query and example, to 12 digits (so equal examples tie)."""
-        on = col >= 0
-        row, col, val = row[on], col[on], val[on]
-        up = self.place[col] >= 0
-        front = np.zeros((rows, len(self.head)))
-        front[row[up], self.place[col[up]]] = val[up]
-        n = len(self.ids)
-        out = front @ self.head if len(self.head) else np.zeros((rows, n))
-        row, col, val = row[~up], col[~up], val[~up]
-        count = self.start[col + 1] - self.start[col]
-        ends = np.cumsum(count)
-        cut = np.searchsorted(ends, np.arange(0, (ends[-1] if len(ends) else 0) + 1, 1 << 21))
-        for a, b in zip(cut, [*cut[1:], len(col)]):
+    def pruned(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray, k: int) -> np.ndarray:
+        """Cosines of the queries and all examples that can be among the k nearest; 0 elsewhere."""
+        bound = self.bounds(rows, row, col, val)
+        first = np.zeros(bound.shape, bool)
+        lead = min(self.blocks, FIRST + k // self.block)
+        np.put_along_axis(first, np.argpartition(-bound, lead - 1, axis=1)[:, :lead], True, axis=1)
+        score = self.scores(rows, row, col, val, first)
+        more = (bound > 0) & (bound >= kth(score, k)[:, None] - 1e-9) & ~first
+        return score + self.scores(rows, row, col, val, more) if more.any() else score
+
+    def parts(self, row: np.ndarray, col: np.ndarray, val: np.ndarray):
+        """(row, part, value) of the parts of all entries, a chunk at a time."""
+        count = self.word_part[col + 1] - self.word_part[col]
+        for a, b in chunks(count):
             c = count[a:b]
-            at = np.arange(c.sum()) + np.repeat(self.start[col[a:b]] - (np.cumsum(c) - c), c)
-            flat = np.repeat(row[a:b] * n, c) + self.example[at]
-            out += np.bincount(flat, np.repeat(val[a:b], c) * self.value[at], minlength=rows * n).reshape(rows, n)
-        return np.round(out, 12)
+            yield np.repeat(row[a:b], c), within(self.word_part[col[a:b]], c), np.repeat(val[a:b], c)
+
+    def bounds(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray) -> np.ndarray:
+        """No cosine of a query with an example of a block is above (query, block)."""
+        out = np.zeros(rows * self.blocks)
+        for r, p, v in self.parts(row, col, val):
+            out += np.bincount(r * self.blocks + self.part_block[p], v * self.part_max[p], minlength=len(out))
+        return out.reshape(rows, self.blocks)
+
+    def scores(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Cosines with the examples of the blocks ``wanted``, to 12 digits (so equal examples tie); 0 elsewhere."""
+        n = len(self.ids)
+        out = np.zeros(rows * n)
+        on = wanted.any(axis=1)[row]
+        for r, p, v in self.parts(row[on], col[on], val[on]):
+            here = wanted[r, self.part_block[p]]
+            r, p, v = r[here], p[here], v[here]
+            count = self.part[p + 1] - self.part[p]
+            for a, b in chunks(count):
+                c = count[a:b]
+                at = within(self.part[p[a:b]], c)
+                out += np.bincount(np.repeat(r[a:b] * n, c) + self.example[at], np.repeat(v[a:b], c) * self.value[at],
+                                   minlength=len(out))
+        return np.round(out, 12).reshape(rows, n)
+
+
+def kth(score: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best of each row; 0 where there are fewer."""
+    if k > score.shape[1]:
+        return np.zeros(len(score))
+    return -np.partition(-score, k - 1, axis=1)[:, k - 1]
+
+
+def within(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... (count[i] of them) for every i."""
+    return np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
+def chunks(count: np.ndarray):
+    """(from, to) of neighbours whose counts add up to about CHUNK."""
+    if len(count):
+        cut = np.flatnonzero(np.diff(np.cumsum(count) // CHUNK)) + 1
+        yield from zip([0, *cut], [*cut, len(count)])
 
 
 def votes(index: BlockMaxIndex, q: Vectors, k: int, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,13 +302,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     if not (~inside).any():
         inside = np.arange(len(ids)) % FOLDS != 0
     n = docs.count()
-    df = saved(document_frequencies(docs))
-    common = df.orderBy(F.desc("df"), "term").limit(KNOWN)
-    used = df.join(kept.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi")
-    known = common.union(used).distinct().toArrow()
+    words = kept.select(F.explode("terms").alias("term")).distinct()
+    known = document_frequencies(docs).join(words, "term").toArrow()
     t = known.column("term").to_numpy().astype(np.int64).view(np.uint64)
     o = np.argsort(t)
-    t, df = t[o], np.minimum(known.column("df").to_numpy()[o], 2 ** 32 - 1).astype(np.uint32)
+    t, df = t[o], known.column("df").to_numpy()[o]
     h, row, tf = flat(sample.column("terms"), sample.column("tf"))
     on = inside[row]
     at = np.searchsorted(t, h[on])
@@ -282,12 +314,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     toxic = np.bincount(at, y[row[on]], minlength=len(t))
     has = d > 0
     chi = label_dependence(int(inside.sum()), y[inside].sum(), d[has], toxic[has])
-    weights = Weights(t, df, np.where(has, np.cumsum(has) - 1, -1).astype(np.int32), 1 + chi, n)
+    weights = Weights(t[has], (np.log((n + 1) / (df[has] + 1)) + 1) * (1 + chi))
     x = weights.vectors(h, row, tf, len(ids))
     index = BlockMaxIndex.build(ids[inside], y[inside], x.take(inside), terms=int(has.sum()))
-    del kept, sample, known, h, row, tf, on, at, d, toxic
+    del kept, sample, known, words, h, row, tf, on, at, d, toxic, t, df, has, chi
     prior = (y.sum() + 0.5) / (len(y) + 1)
     knots, level = isotonic(votes(index, x.take(~inside), k, prior)[0], y[~inside])
+    del x
 
     def run(batches):
         for b in batches:

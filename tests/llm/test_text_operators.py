@@ -111,6 +111,25 @@ def test_block_max_search_is_exact():
             set(ids[o].tolist())
 
 
+def test_block_max_search_skips_blocks(monkeypatch):
+    r = np.random.default_rng(2)
+    labels = (np.arange(600) % 3 == 0).astype(float)
+    x = r.random((600, 60)) * (r.random((600, 60)) < 0.2)
+    x[:, :30] *= labels[:, None] == 0                              # the labels use words of their own
+    x[:, 30:] *= labels[:, None] == 1
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    index = toxicity.BlockMaxIndex.build(np.arange(600), labels, x, block=20)
+    looked, plain = [], toxicity.BlockMaxIndex.scores
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "scores", lambda self, *a: (looked.append(a[-1].sum()), plain(self, *a))[1])
+    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    sim, who = index.nearest(x[:40], 5)
+    assert sum(looked) < 40 * 30 * 0.8
+    for i in range(40):
+        s = np.round(x @ x[i], 12)
+        want = np.lexsort((np.arange(600), -s))[:5]
+        assert index.ids[who[i]].tolist() == want[s[want] > 0].tolist() and np.allclose(sim[i], s[want])
+
+
 def test_toxicity_looks_up_every_word(spark):
     r = np.random.default_rng(5)
     texts = [f"plain{i} " + " ".join(f"c{j}" for j in r.integers(0, 400, 30)) for i in range(400)]
