@@ -16,9 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows go to Python workers in batches of at most this many bytes, whatever their lengths.
+BATCH_BYTES = 4 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Ship the package to the Python workers and set the checkpoint folder."""
+    """Ship the package to the Python workers, set the checkpoint folder and the size of their batches."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     checkpoint_dir(spark)
 
 

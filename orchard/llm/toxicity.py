@@ -1,13 +1,15 @@
-"""Toxicity from the nearest labelled examples by exact cosine of weighted TF-IDF vectors.
+"""Toxicity from the nearest labelled examples by exact cosine of TF-IDF vectors.
 
 A bounded sample of labelled rows gives the examples.  Texts and examples are
 TF-IDF vectors of unit length over the words of the examples (a word that no
 example has is in no vector); document frequencies are counted over all
-documents.  A word's weight is its inverse document frequency times 1 + its
-chi square against the label in the examples: label dependence weighs words,
-it leaves none out.
+documents.  A word's weight is its inverse document frequency, or that times
+1 + its chi square against the label in the examples (label dependence weighs
+words, it leaves none out): the one whose calibrated votes have the smaller
+log loss on the calibration rows, each half judged with the steps of the
+other half; plain weights if they tie.
 
-Search: the examples, in the order of label and id, are cut into blocks.  The
+Search: like examples are put side by side and cut into blocks.  The
 inverted index holds the postings of every word, and of every word and block
 the largest value.  The sum of these maxima over a text's words bounds its
 cosine with all examples of a block.  The blocks with the highest bounds are
@@ -17,7 +19,8 @@ the smaller id).
 
 The k neighbours vote with weight 1 / (distance + 0.1) against a prior vote;
 votes are calibrated by isotonic regression on labelled rows that are neither
-in the index nor held out.  A text without a word of any example has no
+in the index nor held out, with straight lines between the middles of its
+steps.  A text without a word of any example has no
 neighbours and gets the calibrated prior vote.
 
 Defined cases: null and empty texts have no terms; null labels and labels
@@ -36,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orchard.llm.common import fold, saved
+from orchard.llm.common import fold, saved, shuffle_partitions
 from orchard.llm.quality import FOLDS, labelled
 from orchard.llm.text import ALNUM, Words, lists, lowered, slices
 
 MAX_ROWS, NEIGHBOURS, CUT = 12_000, 15, 0.5
 #: Examples in a block; blocks scored before any is skipped; texts searched at a time.
 BLOCK, FIRST, QUERIES = 64, 2, 64
+#: The words with the longest postings, which are kept as whole rows; those of them that order the examples.
+WIDE, ORDERING = 512, 64
 #: Index entries expanded at a time.
 CHUNK = 1 << 20
 PRIOR_VOTES = 0.5
@@ -148,7 +153,12 @@ def label_dependence(n: int, n1: int, d: np.ndarray, a: np.ndarray) -> np.ndarra
 
 @dataclass
 class BlockMaxIndex:
-    """Postings of every word, the examples in the order of label and id, and their maxima by block of examples."""
+    """Postings of every word, like examples side by side, and their maxima by block of examples.
+
+    Examples are ordered by label, then by which of the most widespread words they hold (so texts of one language are
+    neighbours), then by id.  The longest postings are laid out as rows over all examples: a block's share of them is
+    scored by a matrix product, that of all other words from their lists.
+    """
 
     ids: np.ndarray
     labels: np.ndarray
@@ -161,7 +171,12 @@ class BlockMaxIndex:
     def build(cls, ids: np.ndarray, labels: np.ndarray, x, block: int = BLOCK, terms: int | None = None) -> BlockMaxIndex:
         terms = x.shape[1] if terms is None else terms
         x, n = Vectors.of(x), len(ids)
-        o = np.lexsort((ids, labels))
+        common = np.full(terms, -1)
+        common[np.argsort(-np.bincount(x.col, minlength=terms), kind="stable")[:ORDERING]] = np.arange(min(ORDERING, terms))
+        holds = np.zeros((n, ORDERING), bool)
+        on = common[x.col] >= 0
+        holds[x.row[on], common[x.col[on]]] = True
+        o = np.lexsort((ids, *holds.T[::-1], labels))
         to = np.empty(n, np.int64)
         to[o] = np.arange(n)
         by = np.lexsort((to[x.row], x.col))
@@ -169,16 +184,25 @@ class BlockMaxIndex:
         return cls(ids[o], labels[o], start, to[x.row[by]].astype(np.uint16 if n <= 1 << 16 else np.int64), x.val[by], block)
 
     def __post_init__(self):
-        """A part is what one block has of one word's postings."""
-        word = np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
+        """A part is what one block has of the postings of one word that is not wide."""
+        size = np.diff(self.start)
+        wide = np.argsort(-size, kind="stable")[:WIDE]
+        self.blocks = -(-len(self.ids) // self.block)
+        self.wide = np.full(len(size), -1)
+        self.wide[wide] = np.arange(len(wide))
+        self.rows = np.zeros((self.blocks, len(wide), self.block))
+        at = within(self.start[wide], size[wide])
+        blk, place = np.divmod(self.example[at].astype(np.int64), self.block)
+        self.rows[blk, np.repeat(np.arange(len(wide)), size[wide]), place] = self.value[at]
+        self.row_max = self.rows.max(axis=2, initial=0).T
+        word = np.repeat(np.arange(len(size)), size)
         blk = self.example // self.block
         new = np.ones(len(blk), bool)
         new[1:] = (word[1:] != word[:-1]) | (blk[1:] != blk[:-1])
         self.part = np.append(np.flatnonzero(new), len(blk))
         self.part_block = blk[new]
         self.part_max = np.maximum.reduceat(self.value, self.part[:-1]) if len(blk) else np.zeros(0)
-        self.word_part = np.concatenate([[0], np.cumsum(np.bincount(word[new], minlength=len(self.start) - 1))])
-        self.blocks = -(-len(self.ids) // self.block)
+        self.word_part = np.concatenate([[0], np.cumsum(np.bincount(word[new], minlength=len(size)))])
 
     def __reduce__(self):
         """The parts are not sent to the tasks but made there."""
@@ -221,19 +245,30 @@ class BlockMaxIndex:
             c = count[a:b]
             yield np.repeat(row[a:b], c), within(self.word_part[col[a:b]], c), np.repeat(val[a:b], c)
 
+    def split(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray):
+        """The queries' values of wide words as a matrix, and their other entries."""
+        dense = np.zeros((rows, len(self.row_max)))
+        on = self.wide[col] >= 0
+        dense[row[on], self.wide[col[on]]] = val[on]
+        return dense, row[~on], col[~on], val[~on]
+
     def bounds(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray) -> np.ndarray:
         """No cosine of a query with an example of a block is above (query, block)."""
+        dense, row, col, val = self.split(rows, row, col, val)
         out = np.zeros(rows * self.blocks)
         for r, p, v in self.parts(row, col, val):
             out += np.bincount(r * self.blocks + self.part_block[p], v * self.part_max[p], minlength=len(out))
-        return out.reshape(rows, self.blocks)
+        return out.reshape(rows, self.blocks) + dense @ self.row_max
 
     def scores(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Cosines with the examples of the blocks ``wanted``, to 12 digits (so equal examples tie); 0 elsewhere."""
-        n = len(self.ids)
-        out = np.zeros(rows * n)
-        on = wanted.any(axis=1)[row]
-        for r, p, v in self.parts(row[on], col[on], val[on]):
+        dense, row, col, val = self.split(rows, row, col, val)
+        out = np.zeros((rows, self.blocks, self.block))
+        for b in np.flatnonzero(wanted.any(axis=0)):
+            q = np.flatnonzero(wanted[:, b])
+            out[q, b] = dense[q] @ self.rows[b]
+        out, n = out.ravel(), self.blocks * self.block
+        for r, p, v in self.parts(row, col, val):
             here = wanted[r, self.part_block[p]]
             r, p, v = r[here], p[here], v[here]
             count = self.part[p + 1] - self.part[p]
@@ -242,7 +277,7 @@ class BlockMaxIndex:
                 at = within(self.part[p[a:b]], c)
                 out += np.bincount(np.repeat(r[a:b] * n, c) + self.example[at], np.repeat(v[a:b], c) * self.value[at],
                                    minlength=len(out))
-        return np.round(out, 12).reshape(rows, n)
+        return np.round(out, 12).reshape(rows, n)[:, :len(self.ids)]
 
 
 def kth(score: np.ndarray, k: int) -> np.ndarray:
@@ -285,6 +320,39 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([v for v, _, _ in stack]), np.array([(s + 0.5) / (c + 1) for _, s, c in stack])
 
 
+def levels(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(mean vote, level) of the steps of the isotonic fit; votes between two means are set in proportion."""
+    knots, level = isotonic(x, y)
+    step = np.searchsorted(knots, x, side="right") - 1
+    return np.bincount(step, x) / np.bincount(step) if len(x) else knots, level
+
+
+def crossed_loss(x: np.ndarray, y: np.ndarray) -> float:
+    """Log loss of the calibrated votes, every other row judged with the steps of the rest; 0 with under two rows."""
+    loss, odd = 0.0, np.arange(len(x)) % 2 == 1
+    for half in (odd, ~odd):
+        knots, level = levels(x[half], y[half])
+        if len(level):
+            p = np.interp(x[~half], knots, level)
+            loss -= (np.log(np.where(y[~half] == 1, p, 1 - p))).sum()
+    return round(loss, 9)
+
+
+def calibration_votes(kept: DataFrame, index: BlockMaxIndex, weights: Weights, k: int,
+                      prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """(vote, label) of the rows of ``term_lists``, in the order of their hash; searched in the tasks."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                q = weights.vectors(*flat(b.column("terms"), b.column("tf")), b.num_rows)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(votes(index, q, k, prior)[0]), b.column("y")],
+                                                 ["doc_id", "vote", "y"])
+    spread = kept.select("doc_id", "terms", "tf", "y").repartition(shuffle_partitions(kept.sparkSession), "doc_id")
+    got = (spread.mapInArrow(run, "doc_id long, vote double, y int")
+                 .orderBy(F.xxhash64("doc_id"), "vote").select("vote", "y").toArrow())
+    return got.column("vote").to_numpy(), got.column("y").to_numpy().astype(np.float64)
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label: str = "toxic", max_rows: int = MAX_ROWS, k: int = NEIGHBOURS, cut: float = CUT) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence``.
@@ -296,39 +364,40 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     rows = (labelled(docs, labels, label, max_rows).withColumn("idx", in_index)
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     kept = saved(term_lists(rows, "y int, idx boolean"))
-    sample = kept.toArrow().combine_chunks()
-    ids, y = sample.column("doc_id").to_numpy(), sample.column("y").to_numpy().astype(np.float64)
-    inside = sample.column("idx").to_numpy().astype(bool)
-    if not (~inside).any():
-        inside = np.arange(len(ids)) % FOLDS != 0
+    if not kept.where("NOT idx").take(1):
+        kept = kept.withColumn("idx", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) != 0)
     n = docs.count()
-    words = kept.select(F.explode("terms").alias("term")).distinct()
+    size, ones = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    prior = (ones + 0.5) / (size + 1)
+    words = kept.where("idx").select(F.explode("terms").alias("term")).distinct()
     known = document_frequencies(docs).join(words, "term").toArrow()
-    t = known.column("term").to_numpy().astype(np.int64).view(np.uint64)
-    o = np.argsort(t)
-    t, df = t[o], known.column("df").to_numpy()[o]
+    terms = known.column("term").to_numpy().astype(np.int64).view(np.uint64)
+    o = np.argsort(terms)
+    terms, df = terms[o], known.column("df").to_numpy()[o]
+    sample = kept.where("idx").select("doc_id", "y", "terms", "tf").toArrow()
+    ids, y = sample.column("doc_id").to_numpy(), sample.column("y").to_numpy().astype(np.float64)
     h, row, tf = flat(sample.column("terms"), sample.column("tf"))
-    on = inside[row]
-    at = np.searchsorted(t, h[on])
-    d = np.bincount(at, minlength=len(t)).astype(np.float64)
-    toxic = np.bincount(at, y[row[on]], minlength=len(t))
-    has = d > 0
-    chi = label_dependence(int(inside.sum()), y[inside].sum(), d[has], toxic[has])
-    weights = Weights(t[has], (np.log((n + 1) / (df[has] + 1)) + 1) * (1 + chi))
-    x = weights.vectors(h, row, tf, len(ids))
-    index = BlockMaxIndex.build(ids[inside], y[inside], x.take(inside), terms=int(has.sum()))
-    del kept, sample, known, words, h, row, tf, on, at, d, toxic, t, df, has, chi
-    prior = (y.sum() + 0.5) / (len(y) + 1)
-    knots, level = isotonic(votes(index, x.take(~inside), k, prior)[0], y[~inside])
-    del x
+    del sample, known
+    at = np.searchsorted(terms, h)
+    idf = np.log((n + 1) / (df + 1)) + 1
+    chi = label_dependence(len(y), y.sum(), np.bincount(at, minlength=len(terms)).astype(np.float64),
+                           np.bincount(at, y[row], minlength=len(terms)))
+    best = None
+    for weights in (Weights(terms, idf), Weights(terms, idf * (1 + chi))):
+        index = BlockMaxIndex.build(ids, y, weights.vectors(h, row, tf, len(ids)), terms=len(terms))
+        got = calibration_votes(kept.where("NOT idx"), index, weights, k, prior)
+        loss = crossed_loss(*got)
+        if best is None or loss < best[0]:
+            best = loss, index, weights, levels(*got)
+    _, index, weights, (knots, level) = best
+    del best, got, kept, words, h, row, tf, at, idf, chi, terms, df
 
     def run(batches):
         for b in batches:
             for part in slices(b, "text"):
                 q = weights.vectors(*counted(part.column("text")), part.num_rows)
                 v, sim, who = votes(index, q, k, prior)
-                score = level[np.clip(np.searchsorted(knots, v, side="right") - 1, 0, None)] if len(level) else \
-                    np.full(len(v), 0.5)
+                score = np.interp(v, knots, level) if len(level) else np.full(len(v), 0.5)
                 near = [[{"doc_id": int(index.ids[e]), "similarity": float(c), "label": int(index.labels[e])}
                          for c, e in zip(cs, es) if e >= 0] if es[0] >= 0 else []
                         for cs, es in zip(sim[:, :3], who[:, :3])]
