@@ -23,6 +23,8 @@ from orchard.llm.common import shuffle_partitions
 BLOCK = 1024
 #: Pairs compared at a time inside a task.
 CHUNK = 100_000
+#: Rows and bytes after which whole groups are handed on.
+GROUP_ROWS, GROUP_BYTES = 8192, 16 << 20
 GROUP = ("slot", "key", "lo", "hi")
 
 
@@ -54,22 +56,23 @@ def regroup(rows: DataFrame) -> DataFrame:
     return rows.repartition(n, *GROUP).sortWithinPartitions(*GROUP, "blk", "id")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 8192) -> Iterator[pa.Table]:
-    """Tables of whole groups, of about ``rows`` rows, from a sorted partition."""
+def whole_groups(batches: Iterator[pa.RecordBatch], rows: int = GROUP_ROWS, most: int = GROUP_BYTES) -> Iterator[pa.Table]:
+    """Tables of whole groups, of about ``rows`` rows or ``most`` bytes, from a sorted partition."""
     held: list[pa.RecordBatch] = []
-    have = 0
+    have = size = 0
     for b in batches:
         if b.num_rows:
             held.append(b)
             have += b.num_rows
-        if have < rows:
+            size += b.nbytes
+        if have < rows and size < most:
             continue
         t = pa.Table.from_batches(held)
         at = int(heads(t)[-1])
         if at:
             yield t.slice(0, at)
-            t = t.slice(at)
-        held, have = t.combine_chunks().to_batches(), t.num_rows
+            t = t.slice(at).combine_chunks()
+            held, have, size = t.to_batches(), t.num_rows, t.nbytes
     if have:
         yield pa.Table.from_batches(held)
 
@@ -160,19 +163,35 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 LINK_SCHEMA = "id long, root long, links long, linked_rows long"
 
 
+class Links:
+    """Sums and a spanning forest of the verified pairs of a table, a chunk of pairs at a time."""
+
+    def __init__(self, weight: np.ndarray):
+        self.weight, self.nodes = weight, np.arange(len(weight))
+        self.root = self.nodes
+        self.links, self.rows = np.zeros(len(weight), np.int64), np.zeros(len(weight), np.int64)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        if len(a):
+            n = len(self.nodes)
+            self.links += np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+            np.add.at(self.rows, a, self.weight[b])
+            np.add.at(self.rows, b, self.weight[a])
+            self.root = forest(n, np.concatenate([self.nodes, a]), np.concatenate([self.root, b]))
+
+    def batch(self, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Spanning stars; none without links."""
+        has = self.links > 0
+        if has.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[has]), pa.array(ids[self.root[has]]), pa.array(self.links[has]),
+                                              pa.array(self.rows[has])], ["id", "root", "links", "linked_rows"])
+
+
 def link_rows(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch | None:
     """Sums and spanning stars for verified pairs (row numbers a, b)."""
-    if len(a) == 0:
-        return None
-    n = len(ids)
-    links = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
-    rows = np.zeros(n, np.int64)
-    np.add.at(rows, a, weight[b])
-    np.add.at(rows, b, weight[a])
-    root = forest(n, a, b)
-    has = links > 0
-    return pa.RecordBatch.from_arrays([pa.array(ids[has]), pa.array(ids[root[has]]), pa.array(links[has]),
-                                       pa.array(rows[has])], ["id", "root", "links", "linked_rows"])
+    out = Links(weight)
+    out.add(a, b)
+    return next(out.batch(ids), None)
 
 
 def flagging(similar: Callable[[pa.Table], Callable], slots: int):
@@ -230,9 +249,8 @@ def linking(similar: Callable[[pa.Table], Callable], exact: Callable[[pa.Table],
     def run(batches):
         for t in whole_groups(batches):
             p, near, check = Pairs(t, slots), similar(t), exact(t)
-            ids, weight = column(t, "id"), column(t, "weight")
+            ids, out = column(t, "id"), Links(column(t, "weight"))
             ends = np.append(p.head[1:], t.num_rows)
-            fa, fb = [], []
             for a, b in p:
                 ok = near(a, b)
                 a, b = a[ok], b[ok]
@@ -240,15 +258,11 @@ def linking(similar: Callable[[pa.Table], Callable], exact: Callable[[pa.Table],
                 a, b = a[ok], b[ok]
                 # verify group by group: the sets of a group share their columns
                 cut = np.flatnonzero(np.diff(np.searchsorted(ends, a, side="right"))) + 1
-                for x, y in zip(np.split(a, cut), np.split(b, cut)):
-                    if len(x):
-                        ok = check(x, y)
-                        fa.append(x[ok])
-                        fb.append(y[ok])
-            if fa:
-                out = link_rows(ids, weight, np.concatenate(fa), np.concatenate(fb))
-                if out is not None:
-                    yield out
+                ok = [check(x, y) for x, y in zip(np.split(a, cut), np.split(b, cut)) if len(x)]
+                if ok:
+                    ok = np.concatenate(ok)
+                    out.add(a[ok], b[ok])
+            yield from out.batch(ids)
     return run
 
 
