@@ -204,10 +204,6 @@ class BlockMaxIndex:
         self.part_max = np.maximum.reduceat(self.value, self.part[:-1]) if len(blk) else np.zeros(0)
         self.word_part = np.concatenate([[0], np.cumsum(np.bincount(word[new], minlength=len(size)))])
 
-    def __reduce__(self):
-        """The parts are not sent to the tasks but made there."""
-        return type(self), (self.ids, self.labels, self.start, self.example, self.value, self.block)
-
     def nearest(self, q, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(similarity, example) of the k nearest of each query, best first; -1 where there is none."""
         q = Vectors.of(q)
@@ -280,6 +276,51 @@ class BlockMaxIndex:
         return np.round(out, 12).reshape(rows, n)[:, :len(self.ids)]
 
 
+@dataclass
+class Examples:
+    """What the tasks get once, by broadcast: the examples' words and counts, at most ``max_rows`` examples.
+
+    A worker makes the vectors and the index of them, and keeps the last one.
+    """
+
+    ids: np.ndarray
+    labels: np.ndarray
+    terms: np.ndarray       # sorted hashes
+    idf: np.ndarray
+    dependence: np.ndarray
+    count: np.ndarray       # examples that hold the term
+    example: np.ndarray     # by term
+    tf: np.ndarray
+
+    @classmethod
+    def build(cls, ids: np.ndarray, labels: np.ndarray, terms: np.ndarray, df: np.ndarray, documents: int,
+              h: np.ndarray, row: np.ndarray, tf: np.ndarray) -> Examples:
+        at = np.searchsorted(terms, h)
+        o = np.argsort(at, kind="stable")
+        count = np.bincount(at, minlength=len(terms))
+        chi = label_dependence(len(labels), labels.sum(), count.astype(np.float64),
+                               np.bincount(at, labels[row], minlength=len(terms)))
+        return cls(ids, labels, terms, np.log((documents + 1) / (df + 1)) + 1, 1 + chi, least_kind(count),
+                   least_kind(row[o]), least_kind(tf[o]))
+
+    def model(self, dependent: bool) -> tuple[Weights, BlockMaxIndex]:
+        made = self.__dict__.get("made")
+        if made is None or made[0] != dependent:
+            weights = Weights(self.terms, self.idf * self.dependence if dependent else self.idf)
+            n, row = len(self.ids), self.example.astype(np.int64)
+            col = np.repeat(np.arange(len(self.terms)), self.count)
+            val = (1 + np.log(self.tf)) * weights.weight[col]
+            norm = np.sqrt(np.bincount(row, val ** 2, minlength=n))
+            x = Vectors(n, row, col, val / norm[row])
+            made = self.made = dependent, weights, BlockMaxIndex.build(self.ids, self.labels, x, terms=len(self.terms))
+        return made[1:]
+
+
+def least_kind(x: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned type that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max())) if len(x) else np.uint8)
+
+
 def kth(score: np.ndarray, k: int) -> np.ndarray:
     """The k-th best of each row; 0 where there are fewer."""
     if k > score.shape[1]:
@@ -338,12 +379,12 @@ def crossed_loss(x: np.ndarray, y: np.ndarray) -> float:
     return round(loss, 9)
 
 
-def calibration_votes(kept: DataFrame, index: BlockMaxIndex, weights: Weights, k: int,
-                      prior: float) -> tuple[np.ndarray, np.ndarray]:
+def calibration_votes(kept: DataFrame, shared, dependent: bool, k: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
     """(vote, label) of the rows of ``term_lists``, in the order of their hash; searched in the tasks."""
     def run(batches):
         for b in batches:
             if b.num_rows:
+                weights, index = shared.value.model(dependent)
                 q = weights.vectors(*flat(b.column("terms"), b.column("tf")), b.num_rows)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(votes(index, q, k, prior)[0]), b.column("y")],
                                                  ["doc_id", "vote", "y"])
@@ -378,23 +419,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ids, y = sample.column("doc_id").to_numpy(), sample.column("y").to_numpy().astype(np.float64)
     h, row, tf = flat(sample.column("terms"), sample.column("tf"))
     del sample, known
-    at = np.searchsorted(terms, h)
-    idf = np.log((n + 1) / (df + 1)) + 1
-    chi = label_dependence(len(y), y.sum(), np.bincount(at, minlength=len(terms)).astype(np.float64),
-                           np.bincount(at, y[row], minlength=len(terms)))
+    shared = docs.sparkSession.sparkContext.broadcast(Examples.build(ids, y, terms, df, n, h, row, tf))
+    del h, row, tf
     best = None
-    for weights in (Weights(terms, idf), Weights(terms, idf * (1 + chi))):
-        index = BlockMaxIndex.build(ids, y, weights.vectors(h, row, tf, len(ids)), terms=len(terms))
-        got = calibration_votes(kept.where("NOT idx"), index, weights, k, prior)
+    for kind in (False, True):
+        got = calibration_votes(kept.where("NOT idx"), shared, kind, k, prior)
         loss = crossed_loss(*got)
         if best is None or loss < best[0]:
-            best = loss, index, weights, levels(*got)
-    _, index, weights, (knots, level) = best
-    del best, got, kept, words, h, row, tf, at, idf, chi, terms, df
+            best = loss, kind, levels(*got)
+    _, dependent, (knots, level) = best
 
     def run(batches):
         for b in batches:
             for part in slices(b, "text"):
+                weights, index = shared.value.model(dependent)
                 q = weights.vectors(*counted(part.column("text")), part.num_rows)
                 v, sim, who = votes(index, q, k, prior)
                 score = np.interp(v, knots, level) if len(level) else np.full(len(v), 0.5)
