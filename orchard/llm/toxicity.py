@@ -309,7 +309,7 @@ class Examples:
             weights = Weights(self.terms, self.idf * self.dependence if dependent else self.idf)
             n, row = len(self.ids), self.example.astype(np.int64)
             col = np.repeat(np.arange(len(self.terms)), self.count)
-            val = (1 + np.log(self.tf)) * weights.weight[col]
+            val = (1 + np.log(self.tf.astype(np.float64))) * weights.weight[col]
             norm = np.sqrt(np.bincount(row, val ** 2, minlength=n))
             x = Vectors(n, row, col, val / norm[row])
             made = self.made = dependent, weights, BlockMaxIndex.build(self.ids, self.labels, x, terms=len(self.terms))
