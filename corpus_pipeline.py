@@ -13,8 +13,8 @@ benchmark decontamination (documents that hold a test item go), best-fit
 packing.
 
 Defined cases: rows whose doc_id is null cannot be named and pass the
-filters; rows that repeat a doc_id are one document and the join keeps one of
-them; null texts stay (the classifier judges them as empty texts).
+filters; rows that repeat a doc_id are judged each by its text, of equal rows
+the join keeps one; null texts stay (the classifier judges them as empty texts).
 """
 
 from __future__ import annotations
