@@ -186,10 +186,18 @@ def greedy_policy(tp: DataFrame, values: DataFrame, gamma: float, actions: Seque
 
 
 # ----------------------------------------------------------------------- M10
-def policy_iteration(tp: DataFrame, states: DataFrame, gamma: float, e_iters: int = 100,
-                     p_iters: int = 100, actions: Sequence[int] = ACTIONS) -> tuple[DataFrame, DataFrame, int]:
+def policy_iteration(tp: DataFrame, states: DataFrame, gamma: float, e_iters: int = 100, p_iters: int = 100,
+                     actions: Sequence[int] = ACTIONS, cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame, int]:
     """Evaluate (``e_iters`` sweeps) / improve until the policy stops
-    changing or ``p_iters`` rounds.  Returns (values, policy, rounds)."""
+    changing or ``p_iters`` rounds.  Returns (values, policy, rounds).
+
+    With ``cells``, the grid whose :func:`grid_transitions` ``tp`` holds, the
+    same rounds run in blocks with halos: one exchange serves the sweeps and
+    the greedy step of a round (a join and an aggregate per sweep otherwise)."""
+    if cells is not None and tuple(actions) == tuple(ACTIONS):
+        from orchard.operators import halo
+        state, rounds = halo.policy_iteration(cells, gamma, e_iters, p_iters)
+        return halo.values(state), state.where(~F.col("terminal")).select("x", "y", "a"), rounds
     v = zero_values(states)
     policy = greedy_policy(tp, v, gamma, actions).select("x", "y", "a")
     policy = cut_lineage(policy)

@@ -135,3 +135,20 @@ def test_reachable_cells_equal_a_walk(spark, side, at):
                 walk += [n for _, dx, dy in M.DIRS if (n := (k[0] + dx, k[1] + dy)) in code]
         got = [tuple(r) for r in M.grid_reachable(states, None, start, side).collect()]
         assert len(got) == len(seen) and set(got) == seen
+
+
+def test_policy_iteration_on_a_grid_runs_in_blocks(spark, monkeypatch):
+    """The rounds of a grid go through the blocks, one exchange a round, with the values, actions and rounds of plain ones."""
+    cells = world(7, 6, 12)
+    grid = table(spark, cells).cache()
+    states = M.grid_states(grid)
+    tp = M.with_reward(M.grid_transitions(grid), states)
+    calls = []
+    sweep = halo.sweep
+    monkeypatch.setattr(halo, "sweep", lambda *a, **k: calls.append(1) or sweep(*a, **k))
+    monkeypatch.setattr(M, "policy_evaluation", None)
+    v, policy, rounds = M.policy_iteration(tp, states, GAMMA, 4, 9, cells=grid)
+    want, n = plain_policy(cells, 4, 9)
+    assert rounds == n == len(calls) and {(r.x, r.y): r.v for r in v.collect()} == pytest.approx(want)
+    greedy = {(r.x, r.y): r.a for r in M.greedy_policy(tp, v, GAMMA).collect()}
+    assert {(r.x, r.y): r.a for r in policy.collect()} == greedy
