@@ -419,7 +419,7 @@ def q_floors(spark, sf):
 def q_m10_greedy(cells, states, tp):
     """Policy iteration run until nothing changes: the policy is greedy for its values, a sweep moves them little, and
     400 sweeps under the policy give the values of 400 sweeps of value iteration (0.005 apart at most; 20 with each action turned)."""
-    v, policy, _ = M.policy_iteration(tp, states, GAMMA, e_iters=20, p_iters=100)
+    v, policy, _ = M.policy_iteration(tp, states, GAMMA, e_iters=20, p_iters=100, cells=cells)
     new = M.greedy_policy(tp, v, GAMMA).select("x", "y", F.col("a").alias("b"))
     diff = M.values_diff(v, M.bellman_backup(tp, v, GAMMA)).agg(F.max("diff")).first()[0] or 0.0
     own, best = (halo.values(halo.run_sweeps(halo.start(cells, p), 400, GAMMA)[0]) for p in (policy, None))
