@@ -37,3 +37,16 @@ def test_no_table_of_candidates_is_broadcast(spark, options):
     got = FT.conflict_join(FT.kcolour_graph(spark, 10), cols, **options)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [cand_id" not in plan and "SortMergeJoin [cand_id" in plan
+
+
+@pytest.mark.parametrize("n, block", [(0, 4), (3, 4), (4, 4), (5, 4), (8, 2), (23, 4), (64, 8), (65, 8), (100, 1024)])
+def test_tiles_hold_every_edge_once(spark, n, block):
+    got = [tuple(r) for r in FT.kcolour_graph(spark, n, block).collect()]
+    want = [(i, j) for i in range(max(n, 3)) for j in range(i + 2, max(n, 3), 2)]
+    assert sorted(got) == want
+
+
+def test_a_written_graph_is_small(spark, tmp_path):
+    FT.kcolour_graph(spark, 6000).write.parquet(f"{tmp_path}/g")
+    size = sum(f.stat().st_size for f in (tmp_path / "g").glob("*.parquet"))
+    assert size < 0.25 * 8_997_000                                       # edges; by source about 1.9 bytes each
