@@ -127,3 +127,32 @@ def test_checks_fail_on_broken_models(blobs):
     broken = many.Mixture(four.weights, four.means + 0.5, four.covariances, trace=[-1.0, *four.trace])
     wrong = mixture_holds(df, "features", four, broken).first()
     assert wrong.falls == 1 and not wrong.settled and not wrong.better_than_one
+
+
+def test_sums_longer_than_a_row_meet_as_whole_arrays(spark):
+    """Sums of any length come back whole, for every (model, part) that a task has seen."""
+    rng = np.random.RandomState(3)
+    x = rng.normal(size=(300, 3))
+    pts = many.vectors(spark.createDataFrame([(list(map(float, v)),) for v in x], "features array<double>").repartition(5), "features")
+
+    def step(v, _):
+        yield (0, -1), np.array([len(v), v.sum()])
+        yield (7, 2), np.tile(v.sum(0), many.PIECE)
+        if (v[:, 0] > 2.4).any():
+            yield (8, 0), np.array([(v[:, 0] > 2.4).sum()], float)
+
+    got = many.scan_sums(pts, step)
+    assert set(got) == {(0, -1), (7, 2), (8, 0)} and got[8, 0] == [(x[:, 0] > 2.4).sum()]
+    assert got[0, -1] == pytest.approx([300, x.sum()]) and got[7, 2] == pytest.approx(np.tile(x.sum(0), many.PIECE))
+    assert many.scan_sums(pts.where("false"), step) == {}
+
+
+def test_a_table_in_one_piece_is_dealt_over_the_cores(spark):
+    """Equal rows too: a group of copies is not one task."""
+    one = spark.createDataFrame([([1.0, 2.0],)] * 400, "features array<double>").coalesce(1)
+    pts = many.held(many.vectors(one, "features"))
+    try:
+        sizes = pts.rdd.glom().map(len).collect()
+        assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 400 and min(sizes) > 0
+    finally:
+        pts.unpersist()
