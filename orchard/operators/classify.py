@@ -344,19 +344,25 @@ def learning_curve(fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
     """Mean train and test accuracy per train size over the k CV
     rounds; the train sample of size m is the nested prefix ``prank < m``
     of one seeded ranking per round (T5).  ``error`` gives 1 - score."""
+    from orchard.operators.many import dealt
     from orchard.operators.split import nested_prefix_ranks
     ranks = nested_prefix_ranks(df_folds, key, k, seed, fold_col).select(key, "cv_round", "prank")
-    ranks = cut_lineage(ranks)
+    first = ranks.groupBy(key).agg(*[F.min(F.when(F.col("cv_round") == f, F.col("prank"))).alias(f"_p{f}") for f in range(k)])
+    placed = dealt(cut_lineage(df_folds.join(first, key, "left"))).persist()      # every sample of the curve is a filter of this table
+    hit = (F.col(label) == F.col("prediction")).cast("double")
+
     def one(job):
         m, f = job
-        ids = ranks.where((F.col("cv_round") == f) & (F.col("prank") < m)).select(key)
-        train = df_folds.join(ids, key, "left_semi")
-        hit = F.avg((F.col(label) == F.col("prediction")).cast("double"))
-        predict = fit(train)
-        return [float(predict(d).agg(hit).first()[0] or 0.0) for d in (train, df_folds.where(F.col(fold_col) == f))]
+        mine, held_out = F.col(f"_p{f}") < m, F.col(fold_col) == f
+        predict = fit(placed.where(mine).drop(*[f"_p{i}" for i in range(k)]))
+        got = predict(placed.where(mine | held_out)).agg(F.avg(F.when(mine, hit)), F.avg(F.when(held_out, hit))).first()
+        return [float(x or 0.0) for x in got]
     jobs = [(int(m), f) for m in sizes for f in range(k)]
-    with ThreadPool(parallelism) as pool:
-        scores = pool.map(one, jobs)
+    try:
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(one, jobs)
+    finally:
+        placed.unpersist()
     rows = []
     for m in sizes:
         got = [s for s, (size, _) in zip(scores, jobs) if size == int(m)]

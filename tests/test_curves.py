@@ -50,3 +50,21 @@ def test_estimator_as_a_fit_function(spark, folds):
     fit = C.estimator_fit(LogisticRegression(featuresCol="_vec", maxIter=20))
     rows = {r.fold: r.accuracy for r in C.cross_val_score(fit, d, 4).collect()}
     assert set(rows) == {-1, 0, 1, 2, 3} and rows[-1] > 70 and rows[-1] == pytest.approx(sum(rows[f] for f in range(4)) / 4)
+
+
+def test_samples_of_a_curve_are_filters_of_one_table(folds):
+    """No fit reads a join; every sample has its size and none of the held-out rows."""
+    whole = folds.where("features is not null and label is not null and fold is not null").cache()
+    seen = []
+
+    def fit(train):
+        plan = train._jdf.queryExecution().optimizedPlan().toString()
+        ids = {r.id for r in train.select("id").collect()}
+        seen.append(("Join" in plan, len(ids), {r.fold for r in train.select("fold").distinct().collect()}))
+        return lambda df: df.withColumn("prediction", F.lit(0.0))
+
+    rows = {r.train_size: r for r in C.learning_curve(fit, whole, "id", 4, [5, 180], parallelism=1).collect()}
+    assert not any(j for j, _, _ in seen) and sorted(n for _, n, _ in seen) == [5] * 4 + [180] * 4
+    assert all(len(f) <= 3 for _, _, f in seen) and set(rows) == {5, 180}
+    zeros = whole.groupBy("fold").agg(F.avg((F.col("label") == 0).cast("double")).alias("a")).agg(F.avg("a")).first()[0]
+    assert rows[5].test_score == pytest.approx(zeros)
