@@ -156,3 +156,41 @@ def test_a_table_in_one_piece_is_dealt_over_the_cores(spark):
         assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 400 and min(sizes) > 0
     finally:
         pts.unpersist()
+
+
+def test_all_models_are_measured_as_each_alone(spark, blobs):
+    """Lloyd moves and EM sums of many models at once are those of one model at a time; equal centres and a mixture that
+    is too narrow to multiply out are among them."""
+    df, x, _ = blobs
+    points = many.held(many.vectors(df, "features"))
+    rng = np.random.default_rng(5)
+    centres = {i: x[rng.choice(len(x), k, replace=False)].copy() for i, k in enumerate((1, 2, 4, 4, 4, 2))}
+    centres[3][1] = centres[3][0]
+    moved, alone = many.moved_centres(points, centres), many.lloyd_once(points, centres)
+    assert all(moved[i] == pytest.approx(alone[i][0], abs=1e-12) for i in centres)
+    for k, own in many.by_size({i: len(c) for i, c in centres.items()}).items():
+        at = many.nearest_of_all(x, np.stack([centres[i] for i in own], axis=1))
+        assert all((at[place] == many.nearest(x, centres[i])).all() for place, i in enumerate(own))
+    mixtures = {i: many.Mixture(np.full(len(c), 1 / len(c)), c, np.stack([np.eye(3) * (1e-7 if i == 2 else 1 + j) for j in range(len(c))]))
+                for i, c in centres.items()}
+    step, read = many.em_group_sums(mixtures)
+    got, plain = read(many.scan_sums(points, step)), many.scan_sums(points, many.em_sums(mixtures))
+    points.unpersist()
+    assert set(got) == set(plain) and all(got[key] == pytest.approx(plain[key], rel=1e-9, abs=1e-8) for key in plain)
+
+
+def test_sums_of_few_tasks_need_no_shuffle(spark, blobs, monkeypatch):
+    """The same sums with and without the shuffle; few tasks go without."""
+    df, x, _ = blobs
+    points = many.vectors(df, "features")
+
+    def step(v, _):
+        yield (0, 0), np.tile(v.sum(0), many.PIECE)
+    asked = []
+    whole = type(points).repartition
+    monkeypatch.setattr(type(points), "repartition", lambda self, *a: asked.append(a) or whole(self, *a))
+    few = many.scan_sums(points, step)
+    assert not asked and few[0, 0] == pytest.approx(np.tile(x.sum(0), many.PIECE))
+    monkeypatch.setattr(many, "DIRECT_TASKS", 1)
+    met = many.scan_sums(points, step)
+    assert asked and met[0, 0] == pytest.approx(few[0, 0])
