@@ -25,6 +25,21 @@ from orchard.functions.vectors import dot, vector_literal
 from orchard.session import checkpoint_dir, cut_lineage
 
 
+#: Products (rows times weights) of an evaluation that are worth a task.
+TASK_WORK = 500_000
+
+
+def even(df: DataFrame, weights: int, *columns: str) -> DataFrame:
+    """``columns`` of a training table in parts that fit the work of an evaluation with ``weights`` weights, one per core at most.
+
+    An iterative fit runs a job or two per evaluation, hundreds of times: a
+    table in one part leaves the cores idle, one in many small parts (of a
+    join, say) costs more to schedule than to compute.
+    """
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.select(*columns).repartition(max(1, min(cores, math.ceil(rows * weights / TASK_WORK))))
+
+
 def to_vector(df: DataFrame, features: str = "features", out: str = "_vec") -> DataFrame:
     from pyspark.ml.functions import array_to_vector
     return df.withColumn(out, array_to_vector(F.col(features).cast("array<double>")))
@@ -162,7 +177,7 @@ def mlp_classify(train: DataFrame, test: DataFrame, hidden: Sequence[int] = (100
     t0 = time.time()
     model = MultilayerPerceptronClassifier(layers=[d, *hidden, max(k, 2)], maxIter=max_iter, solver=solver,
                                            stepSize=step_size, seed=seed, featuresCol="_vec",
-                                           labelCol=label).fit(to_vector(train, features))
+                                           labelCol=label).fit(to_vector(even(train, d * sum(hidden), features, label), features))
     fit_s = time.time() - t0
     scored = model.transform(to_vector(test, features)).drop("_vec", "rawPrediction", "probability")
     return scored, model, fit_s
@@ -180,14 +195,20 @@ def rff_matrix(d: int, n_components: int, gamma: float, seed: int):
 
 def rff_map(df: DataFrame, n_components: int, gamma: float | None = None, seed: int = 1,
             features: str = "features", out: str = "rff") -> DataFrame:
-    """C8 (feature map): sqrt(2/D) cos(W x + b), W and b inlined."""
-    d = len(df.select(features).first()[0])
-    g = gamma if gamma is not None else 1.0 / d
-    W, b = rff_matrix(d, n_components, g, seed)
-    x = F.col(features).cast("array<double>")
+    """C8 (feature map): sqrt(2/D) cos(W x + b), a matrix product per batch of rows.  A null vector maps to null."""
+    d = len(df.where(F.col(features).isNotNull()).select(features).first()[0])
+    W, b = rff_matrix(d, n_components, gamma if gamma is not None else 1.0 / d, seed)
     sc = math.sqrt(2.0 / n_components)
-    return df.withColumn(out, F.array(*[F.lit(sc) * F.cos(dot(x, vector_literal(W[i])) + F.lit(float(b[i])))
-                                        for i in range(n_components)]))
+
+    @F.pandas_udf("array<double>")
+    def mapped(col: pd.Series) -> pd.Series:
+        got = pd.Series([None] * len(col), index=col.index, dtype=object)
+        have = np.flatnonzero(col.notna().to_numpy())
+        for a in range(0, len(have), 1024):
+            x = np.vstack(col.iloc[have[a:a + 1024]].to_numpy()).astype(float)
+            got.iloc[have[a:a + 1024]] = list(sc * np.cos(x @ W.T + b))
+        return got
+    return df.withColumn(out, mapped(F.col(features).cast("array<double>")))
 
 
 def kernel_matrix(x: np.ndarray, y: np.ndarray, kernel: str, gamma: float, degree: int = 3, coef0: float = 0.0) -> np.ndarray:
@@ -237,7 +258,9 @@ def svm_classify(train: DataFrame, test: DataFrame, kernel: str = "linear", feat
     small for wide tables.  Returns the scored test table."""
     from pyspark.ml.classification import LinearSVC, OneVsRest
     from pyspark.ml.feature import PolynomialExpansion
-    tr, te, col = train, test, features
+    d = len(train.where(F.col(features).isNotNull()).select(features).first()[0])
+    width = landmarks or rff_components if kernel == "rbf" or landmarks and kernel != "linear" else math.comb(d + 3, 3) if kernel == "poly" else d
+    tr, te, col = even(train, width, features, label), test, features
     if landmarks and kernel != "linear":
         marks = landmarks_of(train, landmarks, features)
         tr, te = (nystrom_map(d, marks, kernel, 1.0 / marks.shape[1], features=features, out="_rff") for d in (tr, te))

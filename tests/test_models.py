@@ -1,5 +1,6 @@
 """Fitted models: metric floors and structural checks (rows-only queries)."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from orchard.operators import classify as C
@@ -57,3 +58,21 @@ def test_nn_forward_range(spark):
     h = np.tanh(W[0][:, 0] + W[0][:, 1:] @ x)
     want = 1 / (1 + np.exp(-(W[1][0, 0] + W[1][0, 1:] @ h)))
     assert abs(s[0] - want) < 1e-12 and all(0 < v < 1 for v in s)
+
+
+def test_training_rows_are_dealt_by_the_work_of_an_evaluation(spark):
+    """One part for little work, one per core for much, whatever the parts of the table; Fourier features are no lambdas."""
+    from orchard.operators import classify as C
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(2000).selectExpr("array(cast(id as double), 1d) AS features", "cast(id % 2 as double) AS label")
+    for parts in (1, 50):
+        d = df.repartition(parts)
+        assert C.even(d, 3, "features", "label").rdd.getNumPartitions() == 1
+        assert C.even(d, 100_000, "features", "label").rdd.getNumPartitions() == cores
+        assert C.even(d, 100_000, "features").count() == 2000
+    z = C.rff_map(df, 4, seed=3).limit(5)
+    assert "lambda" not in z._jdf.queryExecution().optimizedPlan().toString()
+    W, b = C.rff_matrix(2, 4, 0.5, 3)
+    for r in z.collect():
+        want = [(2 / 4) ** 0.5 * np.cos(W[i] @ np.array(r["features"]) + b[i]) for i in range(4)]
+        assert r["rff"] == pytest.approx(want, abs=1e-9)
