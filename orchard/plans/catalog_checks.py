@@ -393,7 +393,7 @@ def q_floors(spark, sf):
     plane = np.random.RandomState(5).normal(size=64)
     side = F.aggregate(F.zip_with("features", F.array(*[F.lit(float(v)) for v in plane]), lambda a, b: a * b), F.lit(0.0),
                        lambda a, x: a + x)
-    e = embeddings(spark, sf).withColumn("label", (side > 0).cast("double")).persist()
+    e = many.held(embeddings(spark, sf).withColumn("label", (side > 0).cast("double")))
     four = F.transform(F.slice("features", 1, 4), lambda x: x * 8)
     p = e.withColumn("features", four).withColumn("label", (F.col("features")[0] * F.col("features")[1] > 0).cast("double"))
     try:
