@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from orchard.llm import pairs
 from orchard.llm.common import fresh, saved, small_side, without_ids
 from orchard.llm.graph import components
-from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, set_ids, shingles, slices, unique_sets
+from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, set_ids, shingles, slices, unique_sets, tidy
 from orchard.operators.ordering import row_index
 
 THRESHOLD, RECALL, DEPTH, LIMIT, TOKENS = 0.8, 0.999, 3, 1024, 64
@@ -90,7 +90,7 @@ def sketches(docs: DataFrame, runs: int, depth: int, tokens: int) -> DataFrame:
                     pa.array([x.tobytes() for x in low], pa.binary()),
                     lists(keys.ravel(), np.repeat(np.arange(len(rows)), keys.shape[1]), len(rows), pa.int64()),
                 ], ["doc_id", "id", "sig", "keys"])
-    return docs.mapInArrow(run, "doc_id long, id long, sig binary, keys array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, id long, sig binary, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 _, dense = np.unique(r, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), lists(u.view(np.int64), dense, len(ids), pa.int64())],
                                                  ["id", "items"])
-    return docs.select("text").mapInArrow(run, "id long, items array<long>")
+    return docs.select("text").mapInArrow(tidy(run), "id long, items array<long>")
 
 
 def leaf_members(nodes: DataFrame, runs: int, depth: int, limit: int) -> DataFrame:
@@ -148,10 +148,10 @@ def verified_links(members: DataFrame, nodes: DataFrame, sets, slots: int, simil
     ids, returns (id, items).
     """
     dealt = pairs.deal(pairs.gather(members, nodes))
-    flagged = saved(dealt.mapInArrow(pairs.flagging(similar, slots), dealt.schema))
+    flagged = saved(dealt.mapInArrow(tidy(pairs.flagging(similar, slots)), dealt.schema))
     ids = saved(flagged.select("id").distinct())
     rows = pairs.regroup(flagged.join(sets(ids), "id"))
-    return saved(rows.mapInArrow(pairs.linking(similar, exact, slots), pairs.LINK_SCHEMA))
+    return saved(rows.mapInArrow(tidy(pairs.linking(similar, exact, slots)), pairs.LINK_SCHEMA))
 
 
 def only_flagged(items: DataFrame, ids: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.llm.common import saved, shuffle_partitions
-from orchard.llm.text import Words, slices, space_table
+from orchard.llm.text import Words, slices, space_table, tidy
 
 CAPACITY, END_ID = 4096, 1
 CACHE_WORDS = 1_500_000
@@ -153,7 +153,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> dict[str, np.ndarray]:
@@ -229,7 +229,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                                                      pa.array(to["place"][f])], [*names, "sequence_id", "offset"])
     schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
-    return ranged.mapInArrow(run, schema)
+    return ranged.mapInArrow(tidy(run), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ from orchard.llm.common import shuffle_partitions
 BLOCK = 1024
 #: Pairs compared at a time inside a task.
 CHUNK = 100_000
+#: Pairs whose keys or signatures lie side by side in memory at a time.
+STEP = 8192
 #: Rows and bytes after which whole groups are handed on.
 GROUP_ROWS, GROUP_BYTES = 8192, 16 << 20
 GROUP = ("slot", "key", "lo", "hi")
@@ -141,9 +143,13 @@ class Pairs:
 
     def counted_here(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """True where no lower slot holds the pair as well."""
-        ka = self.keys[a]
-        both = (ka == self.keys[b]) & (ka != 0) & (self.columns < self.slot[a][:, None])
-        return ~both.any(axis=1)
+        here = np.empty(len(a), bool)
+        for i in range(0, len(a), STEP):
+            x, y = a[i:i + STEP], b[i:i + STEP]
+            ka = self.keys[x]
+            both = (ka == self.keys[y]) & (ka != 0) & (self.columns < self.slot[x][:, None])
+            here[i:i + STEP] = ~both.any(axis=1)
+        return here
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -270,7 +276,11 @@ def signature_filter(t: int, least: int):
     """Pairs whose byte signatures (column ``sig``) agree in ``least`` of ``t`` places."""
     def similar(tab: pa.Table):
         sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint8).reshape(-1, t)
-        return lambda a, b: (sig[a] == sig[b]).sum(axis=1) >= least
+
+        def agree(a, b):
+            parts = [(sig[a[i:i + STEP]] == sig[b[i:i + STEP]]).sum(axis=1) >= least for i in range(0, len(a), STEP)]
+            return np.concatenate(parts) if parts else np.zeros(0, bool)
+        return agree
     return similar
 
 

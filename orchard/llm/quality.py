@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm.common import fold, saved, without_ids
-from orchard.llm.text import Words, buffers, lists, shingles, slices, space_table
+from orchard.llm.text import Words, buffers, lists, shingles, slices, space_table, tidy
 
 MAX_ROWS, BINS, PAIR_BINS, ROUNDS, PAIR_ROUNDS, RATE, PAIRS = 20_000, 48, 12, 200, 60, 0.1, 8
 CUT = 0.3
@@ -112,7 +112,7 @@ def features(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"),
                                                   lists(x.astype(np.float32).ravel(), np.repeat(np.arange(n), k), n,
                                                         pa.float32())], ["doc_id", "x"])
-    return docs.mapInArrow(run, "doc_id long, x array<float>")
+    return docs.mapInArrow(tidy(run), "doc_id long, x array<float>")
 
 
 @dataclass
@@ -249,7 +249,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
             if b.num_rows:
                 v = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(model.score(v))], ["doc_id", "score"])
-    out = x.mapInArrow(run, "doc_id long, score double")
+    out = x.mapInArrow(tidy(run), "doc_id long, score double")
     return out.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "score",
                       (F.col("score") >= cut).cast("int").alias("predicted"))
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from orchard.llm import pairs
 from orchard.llm.common import fresh, saved, small_side
 from orchard.llm.jaccard_join import classes, least_agreeing, only_flagged, verified_links
-from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, runs_of, set_ids, shingles, slices, unique_sets
+from orchard.llm.text import ALNUM, Words, lists, lowered, minhash, mix, runs_of, set_ids, shingles, slices, unique_sets, tidy
 
 #: Passages from this many words on count as repeats.
 MIN_WORDS = 40
@@ -110,7 +110,7 @@ def sketches(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFram
                     pa.array([x.tobytes() for x in low], pa.binary()),
                     lists(keys.view(np.int64).ravel(), np.repeat(np.arange(n), bands), n, pa.int64()),
                 ], ["doc_id", "version", "para", "first_word", "words", "id", "sig", "keys"])
-    return docs.mapInArrow(run, "doc_id long, version long, para int, first_word long, words long, id long, sig binary, "
+    return docs.mapInArrow(tidy(run), "doc_id long, version long, para int, first_word long, words long, id long, sig binary, "
                                 "keys array<long>")
 
 
@@ -126,7 +126,7 @@ def paragraph_sets(docs: DataFrame, min_words: int) -> DataFrame:
                 u, ur = unique_sets(s, r)
                 yield pa.RecordBatch.from_arrays([pa.array(set_ids(s, r)), lists(u.view(np.int64), ur, n, pa.int64())],
                                                  ["id", "items"])
-    return docs.select("text").mapInArrow(run, "id long, items array<long>")
+    return docs.select("text").mapInArrow(tidy(run), "id long, items array<long>")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -196,7 +196,7 @@ def seeds(docs: DataFrame, min_words: int) -> DataFrame:
                     part.column("doc_id"), part.column("version"),
                     lists((at - first).astype(np.int32), row, part.num_rows, pa.int32()),
                     lists(h.view(np.int64), row, part.num_rows, pa.int64())], ["doc_id", "version", "at", "h"])
-    return docs.mapInArrow(run, "doc_id long, version long, at array<int>, h array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, version long, at array<int>, h array<long>")
 
 
 def seeded_runs(docs: DataFrame, min_words: int) -> DataFrame:
@@ -221,7 +221,7 @@ def seeded_runs(docs: DataFrame, min_words: int) -> DataFrame:
                     part.column("doc_id").take(pa.array(row)), part.column("version").take(pa.array(row)),
                     pa.array((at - np.searchsorted(w.row, row)).astype(np.int32)), pa.array(h.view(np.int64))],
                     ["doc_id", "version", "pos", "gram"])
-    return docs.mapInArrow(run, "doc_id long, version long, pos int, gram long")
+    return docs.mapInArrow(tidy(run), "doc_id long, version long, pos int, gram long")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -286,7 +286,7 @@ def run_spans(runs: DataFrame, min_words: int) -> DataFrame:
                      "version": pa.array([part["version"]] * len(first), pa.int64()),
                      "first_word": pa.array(first, pa.int64()), "words": pa.array(words, pa.int64()),
                      "removed": pa.array(removed, pa.bool_())})
-    return runs.mapInArrow(run, "doc_id long, version long, first_word long, words long, removed boolean")
+    return runs.mapInArrow(tidy(run), "doc_id long, version long, first_word long, words long, removed boolean")
 
 
 def without_lines(text: Column, lines: Column) -> Column:

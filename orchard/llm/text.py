@@ -10,13 +10,15 @@ its own), which bounds memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 SHINGLE = 5
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -103,6 +105,25 @@ def lowered(arr: pa.Array) -> pa.Array:
     return pc.utf8_lower(pc.fill_null(arr, ""))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is kept for the next tasks and would hold the peak of the largest one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, followed by ``give_back`` when its task ends."""
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return tidied
+
+
 class Words:
     """Spans, row numbers and 64-bit hashes of the words of a string array."""
 

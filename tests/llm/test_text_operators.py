@@ -289,3 +289,15 @@ def test_lattice_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = lattice_lm.score_texts(docs, pieces_file(), component_col="lang").where("held_out").toPandas()
     assert got.score.sum() / got.n_tokens.sum() > got.base_score.sum() / got.n_tokens.sum() - 0.3
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """A task ends with freed memory returned, also when its reader stops early."""
+    from orchard.llm import text
+    calls = []
+    monkeypatch.setattr(text, "give_back", lambda: calls.append(1))
+    assert list(text.tidy(lambda it: (x + 1 for x in it))(iter([1, 2]))) == [2, 3] and calls == [1]
+    left = text.tidy(lambda it: (x for x in it))(iter([1, 2]))
+    next(left)
+    left.close()
+    assert calls == [1, 1]

@@ -1,6 +1,7 @@
 """Fitted models: metric floors and structural checks (rows-only queries)."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from orchard.operators import classify as C
