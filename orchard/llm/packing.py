@@ -4,7 +4,9 @@ Tokens: the ids of an existing tokenizer file, then the end id.  A tokenizer
 of this kind never joins characters across white space, so each distinct
 white-space word of a batch is encoded once (per worker, words stay in a
 bounded cache) and the ids of a document are put together from those of its
-words.  Only documents longer than a sequence are cut.
+words.  New words are encoded ``LINE`` at a time, side by side with a space
+between, and told apart by where their tokens begin.  Only documents longer
+than a sequence are cut.
 
 Packing is bulk-synchronous best fit.  Pieces are range-sorted by length, so
 a piece is known by its length and its rank within the length.  Lengths and
@@ -27,6 +29,7 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_left, insort
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,8 @@ from orchard.llm.text import Words, slices, space_table, tidy
 CAPACITY, END_ID = 4096, 1
 CACHE_WORDS = 1_500_000
 HASHED = 255
+#: Words encoded in one call's string; words kept apart before they are merged with the rest.
+LINE, RECENT = 64, 1 << 15
 _KEEP_CASE = space_table(lower=False)
 
 
@@ -59,10 +64,45 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.key = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.len = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.kept, self.recent = none, none               # (hash, place in flat, number of ids), by hash
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _look(self, uniq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in flat, number of ids) of word hashes; place -1 where a word is not kept."""
+        at, ln = np.full(len(uniq), -1), np.zeros(len(uniq), np.int64)
+        for key, start, size in (self.kept, self.recent):
+            if len(key):
+                i = np.minimum(np.searchsorted(key, uniq), len(key) - 1)
+                hit = key[i] == uniq
+                at[hit], ln[hit] = start[i[hit]], size[i[hit]]
+        return at, ln
+
+    def _keep(self, key: np.ndarray, flat: np.ndarray, ln: np.ndarray) -> np.ndarray:
+        """Keep new words; their places in flat.  What is kept is copied only when it has grown by an eighth."""
+        upto = self.used + len(flat)
+        if upto > len(self.flat):
+            grown = np.zeros(max(upto, len(self.flat) * 3 // 2), np.uint32)
+            grown[:self.used] = self.flat[:self.used]
+            self.flat = grown
+        self.flat[self.used:upto] = flat
+        at = self.used + np.cumsum(ln) - ln
+        self.used = upto
+        self.recent = merged(self.recent, (key, at, ln))
+        if len(self.recent[0]) > max(RECENT, len(self.kept[0]) // 8):
+            self.kept, self.recent = merged(self.kept, self.recent), tuple(x[:0] for x in self.recent)
+        return at
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, number of ids of each word); no word has a space."""
+        enc = self.tok.encode_batch([" ".join(words[i:i + LINE]) for i in range(0, len(words), LINE)], add_special_tokens=False)
+        count = np.fromiter(map(len, enc), np.int64, len(enc))
+        flat = np.fromiter(chain.from_iterable(e.ids for e in enc), np.uint32, int(count.sum()))
+        begin = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in enc)), np.int64, 2 * len(flat))[::2]
+        width = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        line = np.add.reduceat(width, np.arange(0, len(words), LINE))
+        begin = begin + np.repeat(np.cumsum(line) - line, count)
+        return flat, np.bincount(np.searchsorted(np.cumsum(width), begin, side="right"), minlength=len(words))
 
     def ids(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids in text order, number of ids of each word)."""
@@ -90,27 +130,25 @@ class WordIds:
         """The same for the words numbered ``which`` (ascending), through the cache."""
         uniq, first, inv = np.unique(w.hash[which], return_index=True, return_inverse=True)
         first = which[first]
-        if len(self.key) > CACHE_WORDS:
+        if len(self.kept[0]) + len(self.recent[0]) > CACHE_WORDS:
             self._clear()
-        at = np.minimum(np.searchsorted(self.key, uniq), max(len(self.key) - 1, 0))
-        new = np.flatnonzero(self.key[at] != uniq) if len(self.key) else np.arange(len(uniq))
+        at, size = self._look(uniq)
+        new = np.flatnonzero(at < 0)
         if len(new):
-            enc = [e.ids for e in self.tok.encode_batch_fast(w.text(first[new]).to_pylist(), add_special_tokens=False)]
-            ln = np.fromiter(map(len, enc), np.int64, len(enc))
-            flat = np.fromiter((i for e in enc for i in e), np.uint32, int(ln.sum()))
-            key = np.concatenate([self.key, uniq[new]])
-            start = np.concatenate([self.at, len(self.flat) + np.cumsum(ln) - ln])
-            size = np.concatenate([self.len, ln])
-            o = np.argsort(key, kind="stable")
-            self.key, self.at, self.len = key[o], start[o], size[o]
-            self.flat = np.concatenate([self.flat, flat])
-            at = np.searchsorted(self.key, uniq)
-        ln = self.len[at][inv]
-        begin = self.at[at][inv]
+            flat, size[new] = self._encode(w.text(first[new]).to_pylist())
+            at[new] = self._keep(uniq[new], flat, size[new])
+        ln, begin = size[inv], at[inv]
         upto = np.cumsum(ln)
         return self.flat[np.arange(upto[-1]) + np.repeat(begin - (upto - ln), ln)], ln
 
 
+def merged(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """The rows of both, by their first column."""
+    out = [np.concatenate(x) for x in zip(a, b)]
+    o = np.argsort(out[0], kind="stable")
+    return tuple(x[o] for x in out)
+
+
 _TOKENIZERS: dict[str, WordIds] = {}
 
 

@@ -245,6 +245,35 @@ def test_packing_against_the_tokenizer(spark):
     assert packing.pack(df.limit(0), tokenizer_file()).count() == 0
 
 
+def test_new_words_are_encoded_together_and_kept(monkeypatch):
+    from tokenizers import Tokenizer
+    plain, asked, copied, put = Tokenizer.from_file(tokenizer_file()), [], [], getattr(packing, "merged", None)
+
+    class Counting:
+        def __getattr__(self, name):
+            return lambda texts, **how: (asked.append(len(texts)), getattr(plain, name)(texts, **how))[1]
+
+    words = packing.WordIds(tokenizer_file())
+    words.tok = Counting()
+    monkeypatch.setattr(packing, "RECENT", 500, raising=False)
+    monkeypatch.setattr(packing, "merged", lambda a, b: (copied.append(len(a[0]) + len(b[0])), put(a, b))[1], raising=False)
+    r, seen = random.Random(4), set()
+    kinds = [*"abtheé019'!.$<>|", "\u0301", "\u0327", "\u1100", "\u1161", "e\u0301", "\u0130", "\u03a3", "\u00a0", "\u3000",
+             "\x1c", "\x00", "\U0001f600", "\u4e2d", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "\u212b", "\u0966"]
+    for limit in (1 << 20, 1 << 20, 3000):                         # the last round empties the cache now and then
+        monkeypatch.setattr(packing, "CACHE_WORDS", limit)
+        for _ in range(25):
+            some = ["".join(r.choice(kinds) for _ in range(r.randint(1, 7))) for _ in range(r.choice([1, 63, 64, 65, 400]))]
+            some += r.sample(sorted(seen), min(len(seen), 50))
+            flat, ln = words.ids(Words(pa.array([" ".join(some)]), packing._KEEP_CASE))
+            ids = [e.ids for e in plain.encode_batch_fast(some, add_special_tokens=False)]
+            assert ln.tolist() == [len(x) for x in ids] and flat.tolist() == [i for x in ids for i in x]
+            seen |= set(some)
+        if limit > 1 << 19:
+            assert sum(asked) < len(seen) / 64 + 60 and sum(copied) < 8 * len(seen) + 60 * 500
+    assert words.ids(Words(pa.array(["", ""]), packing._KEEP_CASE))[0].tolist() == []
+
+
 def test_lattice_sums_all_segmentations():
     names, logp = lattice_lm.vocabulary(pieces_file())
     have = dict(zip(names, logp))
