@@ -10,9 +10,11 @@ log loss on the calibration rows, each half judged with the steps of the
 other half; plain weights if they tie.
 
 Search: like examples are put side by side and cut into blocks.  The
-inverted index holds the postings of every word, and of every word and block
-the largest value.  The sum of these maxima over a text's words bounds its
-cosine with all examples of a block.  The blocks with the highest bounds are
+inverted index holds the postings of every word, and of every widespread word
+and block the largest value.  All postings of a text's other words are added
+up once, text by text.  Their largest sum in a block and the sum of the maxima
+of the text's widespread words bound its cosine with all examples of the
+block.  The blocks with the highest bounds are
 scored in full first; after that only blocks whose bound reaches the k-th best
 cosine so far are, so the k nearest are exact (ties go to the example with
 the smaller id).
@@ -153,11 +155,11 @@ def label_dependence(n: int, n1: int, d: np.ndarray, a: np.ndarray) -> np.ndarra
 
 @dataclass
 class BlockMaxIndex:
-    """Postings of every word, like examples side by side, and their maxima by block of examples.
+    """Postings of every word, like examples side by side, and maxima of the longest by block of examples.
 
     Examples are ordered by label, then by which of the most widespread words they hold (so texts of one language are
     neighbours), then by id.  The longest postings are laid out as rows over all examples: a block's share of them is
-    scored by a matrix product, that of all other words from their lists.
+    scored by a matrix product; all other words are added up from their lists, of one query at a time.
     """
 
     ids: np.ndarray
@@ -184,7 +186,6 @@ class BlockMaxIndex:
         return cls(ids[o], labels[o], start, to[x.row[by]].astype(np.uint16 if n <= 1 << 16 else np.int64), x.val[by], block)
 
     def __post_init__(self):
-        """A part is what one block has of the postings of one word that is not wide."""
         size = np.diff(self.start)
         wide = np.argsort(-size, kind="stable")[:WIDE]
         self.blocks = -(-len(self.ids) // self.block)
@@ -195,14 +196,6 @@ class BlockMaxIndex:
         blk, place = np.divmod(self.example[at].astype(np.int64), self.block)
         self.rows[blk, np.repeat(np.arange(len(wide)), size[wide]), place] = self.value[at]
         self.row_max = self.rows.max(axis=2, initial=0).T
-        word = np.repeat(np.arange(len(size)), size)
-        blk = self.example // self.block
-        new = np.ones(len(blk), bool)
-        new[1:] = (word[1:] != word[:-1]) | (blk[1:] != blk[:-1])
-        self.part = np.append(np.flatnonzero(new), len(blk))
-        self.part_block = blk[new]
-        self.part_max = np.maximum.reduceat(self.value, self.part[:-1]) if len(blk) else np.zeros(0)
-        self.word_part = np.concatenate([[0], np.cumsum(np.bincount(word[new], minlength=len(size)))])
 
     def nearest(self, q, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(similarity, example) of the k nearest of each query, best first; -1 where there is none."""
@@ -226,54 +219,39 @@ class BlockMaxIndex:
 
     def pruned(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray, k: int) -> np.ndarray:
         """Cosines of the queries and all examples that can be among the k nearest; 0 elsewhere."""
-        bound = self.bounds(rows, row, col, val)
+        dense, listed = self.split(rows, row, col, val)
+        bound = dense @ self.row_max + listed.max(axis=2)      # no cosine with an example of the block is above
         first = np.zeros(bound.shape, bool)
         lead = min(self.blocks, FIRST + k // self.block)
         np.put_along_axis(first, np.argpartition(-bound, lead - 1, axis=1)[:, :lead], True, axis=1)
-        score = self.scores(rows, row, col, val, first)
+        score = self.scores(dense, listed, first)
         more = (bound > 0) & (bound >= kth(score, k)[:, None] - 1e-9) & ~first
-        return score + self.scores(rows, row, col, val, more) if more.any() else score
+        return score + self.scores(dense, listed, more) if more.any() else score
 
-    def parts(self, row: np.ndarray, col: np.ndarray, val: np.ndarray):
-        """(row, part, value) of the parts of all entries, a chunk at a time."""
-        count = self.word_part[col + 1] - self.word_part[col]
-        for a, b in chunks(count):
-            c = count[a:b]
-            yield np.repeat(row[a:b], c), within(self.word_part[col[a:b]], c), np.repeat(val[a:b], c)
-
-    def split(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray):
-        """The queries' values of wide words as a matrix, and their other entries."""
+    def split(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The queries' values of wide words as a matrix; what all other words add to (query, block, place)."""
         dense = np.zeros((rows, len(self.row_max)))
         on = self.wide[col] >= 0
         dense[row[on], self.wide[col[on]]] = val[on]
-        return dense, row[~on], col[~on], val[~on]
-
-    def bounds(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray) -> np.ndarray:
-        """No cosine of a query with an example of a block is above (query, block)."""
-        dense, row, col, val = self.split(rows, row, col, val)
-        out = np.zeros(rows * self.blocks)
-        for r, p, v in self.parts(row, col, val):
-            out += np.bincount(r * self.blocks + self.part_block[p], v * self.part_max[p], minlength=len(out))
-        return out.reshape(rows, self.blocks) + dense @ self.row_max
-
-    def scores(self, rows: int, row: np.ndarray, col: np.ndarray, val: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        row, col, val = row[~on], col[~on], val[~on]
+        start, count = self.start[col], self.start[col + 1] - self.start[col]
+        listed = np.zeros((rows, self.blocks * self.block))
+        edge = np.searchsorted(row, np.arange(rows + 1))
+        for i in range(rows):
+            st, ct, v = (x[edge[i]:edge[i + 1]] for x in (start, count, val))
+            for a, b in chunks(ct):
+                at = within(st[a:b], ct[a:b])
+                listed[i] += np.bincount(self.example[at], np.repeat(v[a:b], ct[a:b]) * self.value[at],
+                                         minlength=listed.shape[1])
+        return dense, listed.reshape(rows, self.blocks, self.block)
+
+    def scores(self, dense: np.ndarray, listed: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Cosines with the examples of the blocks ``wanted``, to 12 digits (so equal examples tie); 0 elsewhere."""
-        dense, row, col, val = self.split(rows, row, col, val)
-        out = np.zeros((rows, self.blocks, self.block))
+        out = np.zeros(listed.shape)
         for b in np.flatnonzero(wanted.any(axis=0)):
             q = np.flatnonzero(wanted[:, b])
-            out[q, b] = dense[q] @ self.rows[b]
-        out, n = out.ravel(), self.blocks * self.block
-        for r, p, v in self.parts(row, col, val):
-            here = wanted[r, self.part_block[p]]
-            r, p, v = r[here], p[here], v[here]
-            count = self.part[p + 1] - self.part[p]
-            for a, b in chunks(count):
-                c = count[a:b]
-                at = within(self.part[p[a:b]], c)
-                out += np.bincount(np.repeat(r[a:b] * n, c) + self.example[at], np.repeat(v[a:b], c) * self.value[at],
-                                   minlength=len(out))
-        return np.round(out, 12).reshape(rows, n)[:, :len(self.ids)]
+            out[q, b] = np.round(dense[q] @ self.rows[b] + listed[q, b], 12)
+        return out.reshape(len(out), -1)[:, :len(self.ids)]
 
 
 @dataclass

@@ -130,6 +130,28 @@ def test_block_max_search_skips_blocks(monkeypatch):
         assert index.ids[who[i]].tolist() == want[s[want] > 0].tolist() and np.allclose(sim[i], s[want])
 
 
+def test_postings_are_added_once(monkeypatch):
+    monkeypatch.setattr(toxicity, "WIDE", 6)
+    monkeypatch.setattr(toxicity, "CHUNK", 50)
+    r = np.random.default_rng(3)
+    x = r.random((300, 80)) * (r.random((300, 80)) < 0.15)
+    x[120:150] = x[120]                                            # ties
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    ids = r.permutation(300)
+    index = toxicity.BlockMaxIndex.build(ids, r.integers(0, 2, 300).astype(float), x, block=16)
+    q = np.vstack([x[100:170], np.zeros((1, 80)), np.eye(80)[:3]])
+    touched, plain = [], toxicity.within
+    monkeypatch.setattr(toxicity, "within", lambda *a: (touched.append(a[1].sum()), plain(*a))[1])
+    sim, who = index.nearest(q, 7)
+    held, listed = (x > 0).sum(axis=0), index.wide < 0
+    assert listed.sum() == 74 and sum(touched) == ((q > 0) * held)[:, listed].sum()
+    for i in range(len(q)):
+        s = np.round(x @ q[i], 12)
+        want = [j for j in np.lexsort((ids, -s))[:7] if s[j] > 0]
+        assert index.ids[who[i, :len(want)]].tolist() == ids[want].tolist() and (who[i, len(want):] == -1).all()
+        assert np.allclose(sim[i, :len(want)], s[want], atol=1e-11)
+
+
 def test_toxicity_looks_up_every_word(spark):
     r = np.random.default_rng(5)
     texts = [f"plain{i} " + " ".join(f"c{j}" for j in r.integers(0, 400, 30)) for i in range(400)]
