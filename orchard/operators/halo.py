@@ -1,14 +1,17 @@
 """Bellman sweeps over grid worlds in blocks with halos.
 
 A cell's value after s sweeps depends on cells at most s steps away.  The
-grid is cut into square blocks; a block with a halo as wide as the number of
-sweeps is one group of a shuffle, and a task runs all those sweeps on it as
-array operations.  One exchange thus serves ``HALO`` sweeps, and the values
+grid is cut into square blocks.  Between exchanges a block is one row of
+packed arrays; an exchange sends it, and to each neighbour that exists the
+cells within the number of sweeps of that border, and the task that has a
+block with this halo runs all those sweeps on it as array operations.  One
+exchange thus serves ``HALO`` sweeps, and the values
 of a block's own cells are those of plain synchronous sweeps after every one
 of them, so the largest change of each sweep comes out exactly as well.
 
 Blocks are addressed by quotient and remainder of the coordinates, so any
-64-bit ids work, however far apart.  A task holds one block: (side + 2 halo)^2
+64-bit ids work, however far apart.  A task sweeps one block at a time, or
+small ones together: (side + 2 halo)^2
 cells whatever the size of the grid.  Walls are absent; moves off the map or
 into a wall stay; terminal cells have value 0.  Repeated cells count once
 (the last one of a block's rows), null coordinates take no part.
@@ -16,15 +19,19 @@ into a wall stay; terminal cells have value 0.  Repeated cells count once
 
 from __future__ import annotations
 
+import zlib
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.operators.mdp import DIRS, P_INTENDED, P_OTHER, grid_states
 from orchard.session import cut_lineage
 
-SIDE, HALO = 64, 25
+SIDE, HALO = 256, 50
 TIE_DECIMALS = 9      # action values equal to so many places go to the first action
 
 
@@ -45,67 +52,266 @@ def _moved(a: np.ndarray, dx: int, dy: int, fill) -> np.ndarray:
     return out
 
 
-def _block(sweeps: int, gamma: float, side: int, halo: int, follow: bool, improve: bool = False):
-    """Pandas function: a block with its halo to its own cells after ``sweeps`` sweeps (and a greedy step with ``improve``)."""
-    size = side + 2 * halo
+class Blocks(NamedTuple):
+    """A state table with one row per block: ``(tx, ty, src, near, n, deltas, cells, v[, a])``.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        px, py = pdf["px"].to_numpy(), pdf["py"].to_numpy()
-        own = (px >= halo) & (px < halo + side) & (py >= halo) & (py < halo + side)
-        out = pdf.loc[own, [c for c in pdf.columns if c not in ("tx", "ty", "px", "py")]]
-        if not own.any():
-            return out.assign(deltas=None)
-
-        def grid(values, fill, kind):
-            g = np.full((size, size), fill, kind)
-            g[px, py] = values
-            return g
-
-        open_ = grid(True, False, bool)
-        live = open_ & ~grid(pdf["terminal"].to_numpy(), False, bool)
-        mine = live & grid(own, False, bool)
-        r, v = grid(pdf["r"].to_numpy(), 0.0, float), grid(pdf["v"].to_numpy(), 0.0, float)
-        action = grid(pdf["a"].to_numpy(), 0, np.int64) if follow else None
-        may = [_moved(open_, dx, dy, False) for _, dx, dy in DIRS]
-        deltas = []
-        for _ in range(sweeps):
-            to = [np.where(ok, _moved(v, dx, dy, 0.0), v) for ok, (_, dx, dy) in zip(may, DIRS)]
-            pick = np.maximum.reduce(to) if action is None else np.choose(action, to)
-            new = np.where(live, r + gamma * (P_OTHER * sum(to) + (P_INTENDED - P_OTHER) * pick), 0.0)
-            deltas.append(float(np.abs(new - v)[mine].max(initial=0.0)))
-            v = new
-        if improve:
-            to = [np.where(ok, _moved(v, dx, dy, 0.0), v) for ok, (_, dx, dy) in zip(may, DIRS)]
-            q = np.stack([r + gamma * (P_OTHER * sum(to) + (P_INTENDED - P_OTHER) * u) for u in to])
-            best = np.where(live, np.round(q, TIE_DECIMALS).argmax(0), 0)
-            deltas = [float((best != action)[mine].sum())]                # actions that changed
-            out = out.assign(a=best[px[own], py[own]].astype(np.int32))
-        first = [deltas] + [None] * (len(out) - 1)
-        return out.assign(v=v[px[own], py[own]], deltas=first)
+    ``cells`` holds places, rewards and ends of the block's cells (:func:`_static`), ``v`` and ``a`` their values and
+    actions in that order.  ``near`` has a bit for every direction of ``AROUND`` in which there may be a block, ``src``
+    is the direction a row came from (its own block: the last one).
+    """
+    table: DataFrame
+    kinds: dict[str, str]                     # columns of the cells and their types
+    side: int
+    parts: int
+
+
+AROUND = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy] + [(0, 0)]
+OWN = len(AROUND) - 1
+CHUNK = 1 << 14                               # cells that are swept at once
+TASK = 1 << 18                                # cells of a task
+
+
+def _static(px: np.ndarray, py: np.ndarray, r: np.ndarray, end: np.ndarray, level: int) -> bytes:
+    return zlib.compress(px.astype("<i4").tobytes() + py.astype("<i4").tobytes() + r.astype("<f8").tobytes() + end.astype("u1").tobytes(), level)
+
+
+def _read(static: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    raw = zlib.decompress(static)
+    n = len(raw) // 17
+    return (np.frombuffer(raw, "<i4", n), np.frombuffer(raw, "<i4", n, 4 * n), np.frombuffer(raw, "<f8", n, 8 * n),
+            np.frombuffer(raw, "u1", n, 16 * n).astype(bool))
+
+
+def _runs(tx: np.ndarray, ty: np.ndarray) -> np.ndarray:
+    """Where the blocks of rows sorted by block begin."""
+    return np.flatnonzero(np.append(True, (tx[1:] != tx[:-1]) | (ty[1:] != ty[:-1])))
+
+
+def _whole(batches):
+    """Batches sorted by block as tables of whole blocks."""
+    held = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([*held, b])
+        last = int(_runs(t["tx"].to_numpy(), t["ty"].to_numpy())[-1])
+        if last:
+            yield t.slice(0, last)
+        held = t.slice(last).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _schema(follow: bool) -> str:
+    return "tx long, ty long, src int, near int, n int, deltas array<double>, cells binary, v binary" + (", a binary" if follow else "")
 
+
+def _batch(rows: list[tuple], follow: bool) -> pa.RecordBatch:
+    kinds = [("tx", pa.int64()), ("ty", pa.int64()), ("src", pa.int32()), ("near", pa.int32()), ("n", pa.int32()), ("deltas", pa.list_(pa.float64())),
+             ("cells", pa.binary()), ("v", pa.binary()), ("a", pa.binary())][:9 if follow else 8]
+    return pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], kind) for i, (_, kind) in enumerate(kinds)], names=[k for k, _ in kinds])
+
+
+def _pack(follow: bool):
+    """Arrow function: cells sorted by block to one row per block."""
+    def run(batches):
+        for t in _whole(batches):
+            tx, ty, px, py, r, end, v = (t[c].to_numpy() for c in ("tx", "ty", "px", "py", "r", "terminal", "v"))
+            a = t["a"].to_numpy() if follow else None
+            if follow and not ((a >= 0) & (a < len(DIRS))).all():
+                raise ValueError("an action is none of the four directions")
+            begin = _runs(tx, ty)
+            for i, j in zip(begin, [*begin[1:], len(tx)]):
+                at = i + np.lexsort((py[i:j], px[i:j]))                   # stable: repeated cells keep their order
+                row = (int(tx[i]), int(ty[i]), OWN, (1 << OWN) - 1, j - i, None, _static(px[at], py[at], r[at], end[at], 1), v[at].astype("<f8").tobytes())
+                yield _batch([(*row, a[at].astype("u1").tobytes()) if follow else row], follow)
+    return run
+
+
+def _strips(side: int, wide: int, follow: bool):
+    """Arrow function: every block, and what lies within ``wide`` of a neighbour's border for that neighbour, in its places."""
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                out = [tuple(row.values())]
+                px, py, r, end = _read(row["cells"])
+                v, a = np.frombuffer(row["v"], "<f8"), np.frombuffer(row["a"], "u1") if follow else None
+                for k, (dx, dy) in enumerate(AROUND[:OWN]):
+                    tx, ty = row["tx"] + dx, row["ty"] + dy
+                    if not row["near"] >> k & 1 or not all(-2**63 <= t < 2**63 for t in (tx, ty)):
+                        continue
+                    at = np.full(len(px), True)
+                    for p, d in ((px, dx), (py, dy)):
+                        if d:
+                            at &= p >= side - wide if d > 0 else p < wide
+                    at = np.flatnonzero(at)
+                    piece = (tx, ty, AROUND.index((-dx, -dy)), 0, len(at), None, _static(px[at] - dx * side, py[at] - dy * side, r[at], end[at], 0), v[at].tobytes())
+                    out.append((*piece, a[at].tobytes()) if follow else piece)
+                yield _batch(out, follow)
     return run
 
 
-def sweep(state: DataFrame, sweeps: int, gamma: float, side: int = SIDE, halo: int = HALO, improve: bool = False) -> tuple[DataFrame, list[float]]:
+def _swept(group, px, py, r, end, v, a, own, sweeps: int, gamma: float, wide: int, side: int, improve: bool):
+    """Cells of some blocks with their halos after ``sweeps`` sweeps: values, actions (as they were without ``improve``)
+    and the changes of every block, by sweep (the number of changed actions with ``improve``)."""
+    size = side + 2 * wide + 1
+    key = (group.astype(np.int64) * size + px + wide) * size + py + wide
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    last = np.append(key[1:] != key[:-1], True)                           # of repeated cells the last one counts
+    place = np.empty(len(key), np.int64)
+    place[order] = np.cumsum(last) - last
+    key, at = key[last], order[last]
+    n = len(key)
+
+    first = np.argsort(~(own & ~end)[at], kind="stable")                  # own live cells come first
+    mine, rank = int((own & ~end).take(at).sum()), np.empty(n, np.int64)
+    rank[first] = np.arange(n)
+    to = []
+    for _, dx, dy in DIRS:
+        step = dx * size + dy
+        near = np.minimum(np.searchsorted(key, key + step), n - 1)
+        to.append(rank[np.where(key[near] == key + step, near, np.arange(n))[first]])
+    place, at = rank[place], at[first]
+    r, v, dead = r[at], v[at], np.flatnonzero(end[at])
+    act = a[at].astype(np.int64) if a is not None else None
+    chosen = np.choose(act, to) if a is not None else None
+    u, total, best = np.empty(n), np.empty(n), np.empty(n)
+    begin = np.flatnonzero(np.append(True, group[at[1:mine]] != group[at[:mine - 1]])) if mine else np.empty(0, np.int64)
+    deltas = []
+
+    def reach(v, picked):
+        """Sum of the four neighbours' values, and the best one with ``picked``."""
+        v.take(to[0], out=total, mode="clip")
+        if picked:
+            best[:] = total
+        for t in to[1:]:
+            v.take(t, out=u, mode="clip")
+            np.add(total, u, out=total)
+            if picked:
+                np.maximum(best, u, out=best)
+
+    for _ in range(sweeps):
+        reach(v, chosen is None)
+        if chosen is not None:
+            v.take(chosen, out=best, mode="clip")
+        np.multiply(total, P_OTHER, out=total)
+        np.multiply(best, P_INTENDED - P_OTHER, out=best)
+        np.add(total, best, out=total)
+        np.multiply(total, gamma, out=total)
+        np.add(total, r, out=total)
+        total[dead] = 0.0
+        if mine and not improve:
+            np.subtract(total[:mine], v[:mine], out=u[:mine])
+            deltas.append(np.maximum.reduceat(np.abs(u[:mine], out=u[:mine]), begin))
+        v, total = total, v
+    if improve:
+        reach(v, False)
+        q = np.stack([r + gamma * (P_OTHER * total + (P_INTENDED - P_OTHER) * v.take(t)) for t in to])
+        new = np.round(q, TIE_DECIMALS).argmax(0)
+        new[dead] = 0
+        if mine:
+            deltas.append(np.add.reduceat((new != act)[:mine].astype(float), begin))
+        act = new
+    changes = np.zeros((int(group[-1]) + 1, 1 if improve else sweeps))
+    if mine:
+        changes[group[at[:mine]][begin]] = np.stack(deltas, 1)
+    return v[place], act[place] if act is not None else None, changes
+
+
+def _block(sweeps: int, gamma: float, side: int, wide: int, follow: bool, improve: bool = False):
+    """Arrow function: blocks with their halos, sorted by block, to the blocks after ``sweeps`` sweeps (and a greedy step
+    with ``improve``).  Small blocks are swept together."""
+    def sweep_all(blocks):
+        cells = [_read(p["cells"]) for b in blocks for p in b]
+        sizes = [len(c[0]) for c in cells]
+        group = np.repeat([g for g, b in enumerate(blocks) for _ in b], sizes)
+        own = np.repeat([p["src"] == OWN for b in blocks for p in b], sizes)
+        px, py, r, end = (np.concatenate(c) for c in zip(*cells))
+        v = np.concatenate([np.frombuffer(p["v"], "<f8") for b in blocks for p in b])
+        a = np.concatenate([np.frombuffer(p["a"], "u1") for b in blocks for p in b]) if follow else None
+        v, a, changes = _swept(group, px, py, r, end, v, a, own, sweeps, gamma, wide, side, improve)
+        begin, g, out = np.cumsum([0, *sizes]), 0, []
+        for i, p in enumerate(p for b in blocks for p in b):
+            if p["src"] == OWN:
+                near = sum(1 << q["src"] for q in blocks[g] if q["src"] != OWN)
+                at = slice(begin[i], begin[i + 1])
+                row = (p["tx"], p["ty"], OWN, near, p["n"], changes[g].tolist(), p["cells"], v[at].astype("<f8").tobytes())
+                out.append((*row, a[at].astype("u1").tobytes()) if follow else row)
+                g += 1
+        return _batch(out, follow)
+
+    def run(batches):
+        held, cells = [], 0
+        for t in _whole(batches):
+            begin = _runs(t["tx"].to_numpy(), t["ty"].to_numpy())
+            for i, j in zip(begin, [*begin[1:], t.num_rows]):
+                block = t.slice(i, j - i).to_pylist()
+                if all(p["src"] != OWN for p in block):                   # no cell of its own
+                    continue
+                held.append(block)
+                cells += sum(p["n"] for p in block)
+                if cells >= CHUNK:
+                    yield sweep_all(held)
+                    held, cells = [], 0
+        if held:
+            yield sweep_all(held)
+
+    return run
+
+
+def blocks(state: DataFrame, side: int = SIDE) -> Blocks:
+    """The checkpointed blocks of ``state(x, y, r, terminal, v[, a])``."""
+    follow = "a" in state.columns
+    cols = ["x", "y", "r", "terminal", "v", *(["a"] if follow else [])]
+    t, u = (_tiles(c, side, 0)[0] for c in ("x", "y"))
+    tiles = (state.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+                  .select(t["t"].alias("tx"), u["t"].alias("ty"), t["p"].alias("px"), u["p"].alias("py"),
+                          F.col("r").cast("double").alias("r"), "terminal", F.col("v").cast("double").alias("v"), *cols[5:]))
+    table = cut_lineage(tiles.repartition("tx", "ty").sortWithinPartitions("tx", "ty").mapInArrow(_pack(follow), _schema(follow)))
+    count, cells = table.agg(F.count(F.lit(1)), F.sum("n")).first()
+    parts = max(3 * state.sparkSession.sparkContext.defaultParallelism, (cells or 0) // TASK)
+    return Blocks(table, {c: state.schema[c].dataType.simpleString() for c in cols}, side, max(1, min(count, parts)))
+
+
+def cells_of(state: Blocks) -> DataFrame:
+    """The cells ``(x, y, r, terminal, v[, a])`` of blocks."""
+    side, follow = state.side, "a" in state.kinds
+
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                px, py, r, end = _read(row["cells"])
+                x, y = (np.full(len(p), row[t]) * side + p for t, p in (("tx", px), ("ty", py)))     # wraps round and back
+                out = {"x": x, "y": y, "r": r, "terminal": end, "v": np.frombuffer(row["v"], "<f8")}
+                if follow:
+                    out["a"] = np.frombuffer(row["a"], "u1").astype(np.int32)
+                yield pa.RecordBatch.from_pydict({c: pa.array(col) for c, col in out.items()})
+
+    schema = "x long, y long, r double, terminal boolean, v double" + (", a int" if follow else "")
+    return state.table.mapInArrow(run, schema).select(*[F.col(c).cast(kind).alias(c) for c, kind in state.kinds.items()])
+
+
+def sweep(state: DataFrame | Blocks, sweeps: int, gamma: float, side: int = SIDE, halo: int = HALO,
+          improve: bool = False) -> tuple[DataFrame | Blocks, list[float]]:
     """``sweeps`` (at most ``halo``) synchronous sweeps of ``state(x, y, r, terminal, v[, a])`` in one exchange.
 
     With a column ``a`` the sweeps follow that action, else the best one.
-    Returns the checkpointed state and the largest change of every sweep;
+    Returns the checkpointed state (:class:`Blocks` of :func:`blocks` stay blocks) and the largest change of every sweep;
     with ``improve`` (one row of halo more) the actions become greedy for the
     new values, and the list holds the number of actions that changed per block, at most.
     """
     if not 0 < sweeps <= halo - improve < side + 1 - improve:
         raise ValueError("needs 0 < sweeps <= halo <= side")
-    follow = "a" in state.columns
-    cols = ["x", "y", "r", "terminal", "v", *(["a"] if follow else [])]
-    tiles = (state.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(*cols, F.explode(_tiles("x", side, halo)).alias("i"))
-                  .select(*cols, "i", F.explode(_tiles("y", side, halo)).alias("j"))
-                  .select(*cols, F.col("i.t").alias("tx"), F.col("j.t").alias("ty"), F.col("i.p").alias("px"), F.col("j.p").alias("py")))
-    schema = ", ".join(f"{c} {state.schema[c].dataType.simpleString()}" for c in cols) + ", deltas array<double>"
-    out = cut_lineage(tiles.groupBy("tx", "ty").applyInPandas(_block(sweeps, gamma, side, halo, follow, improve), schema))
-    top = out.where(F.col("deltas").isNotNull()).select(F.posexplode("deltas").alias("i", "d")).groupBy("i").agg(F.max("d").alias("d")).collect()
+    if not isinstance(state, Blocks):
+        state, change = sweep(blocks(state, side), sweeps, gamma, side, halo, improve)
+        return cells_of(state), change
+    follow, wide = "a" in state.kinds, sweeps + improve
+    out = cut_lineage(state.table.mapInArrow(_strips(side, wide, follow), _schema(follow)).repartition(state.parts, "tx", "ty").sortWithinPartitions("tx", "ty")
+                      .mapInArrow(_block(sweeps, gamma, side, wide, follow, improve), _schema(follow)))
+    top = out.select(F.posexplode("deltas").alias("i", "d")).groupBy("i").agg(F.max("d").alias("d")).collect()
     change = dict(map(tuple, top))
-    return out.drop("deltas"), [float(change.get(i, 0.0)) for i in range(1 if improve else sweeps)]
+    return state._replace(table=out), [float(change.get(i, 0.0)) for i in range(1 if improve else sweeps)]
 
 
 def start(cells: DataFrame, policy: DataFrame | None = None) -> DataFrame:
@@ -123,13 +329,16 @@ def values(state: DataFrame) -> DataFrame:
 
 def run_sweeps(state: DataFrame, sweeps: int, gamma: float, side: int = SIDE, halo: int = HALO, tol: float | None = None) -> tuple[DataFrame, list[float]]:
     """M7 / M8: ``sweeps`` sweeps, ``halo`` of them per exchange; with ``tol`` no exchange is begun after a change within it."""
+    if sweeps < 1:
+        return state, []
     deltas: list[float] = []
+    state = blocks(state, side)
     while len(deltas) < sweeps:
         state, new = sweep(state, min(halo, sweeps - len(deltas)), gamma, side, halo)
         deltas += new
         if tol is not None and first_converged(deltas, tol) is not None:
             break
-    return state, deltas
+    return cells_of(state), deltas
 
 
 def first_converged(deltas: list[float], tol: float) -> int | None:
@@ -152,7 +361,7 @@ def convergence(cells: DataFrame, gamma: float, max_sweeps: int = 149, tol: floa
 def policy_iteration(cells: DataFrame, gamma: float, e_iters: int, p_iters: int, side: int = SIDE, halo: int = HALO) -> tuple[DataFrame, int]:
     """M10 in blocks: ``e_iters`` sweeps under the policy, then a greedy step in the same exchange, until no action
     changes or ``p_iters`` rounds.  Returns the state (values and actions) and the rounds."""
-    state = start(cells).withColumn("a", F.lit(0))                      # greedy for value 0: the first action
+    state = blocks(start(cells).withColumn("a", F.lit(0)), side)        # greedy for value 0: the first action
     rounds = 0
     while rounds < p_iters:
         rounds += 1
@@ -163,7 +372,7 @@ def policy_iteration(cells: DataFrame, gamma: float, e_iters: int, p_iters: int,
         state, changed = sweep(state, left, gamma, side, halo, improve=True)
         if not changed[0]:
             break
-    return state, rounds
+    return cells_of(state), rounds
 
 
 def policy_convergence(cells: DataFrame, gamma: float, most: int = 149, tol: float = 0.05, side: int = SIDE,
@@ -210,7 +419,7 @@ def _label(side: int):
     return run
 
 
-def block_components(cells: DataFrame, side: int = SIDE) -> tuple[DataFrame, DataFrame]:
+def block_components(cells: DataFrame, side: int = 64) -> tuple[DataFrame, DataFrame]:
     """``cells(x, y)`` with the root ``(rx, ry)`` of their component inside their block (checkpointed), and the pairs of
     roots ``(rx, ry, sx, sy)`` whose components touch across a border."""
     kind = {f.name: f.dataType.simpleString() for f in cells.schema}

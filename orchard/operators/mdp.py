@@ -82,14 +82,28 @@ def grid_moves(cells: DataFrame) -> DataFrame:
 def grid_transitions(cells: DataFrame, p_intended: float = P_INTENDED) -> DataFrame:
     """M2 (U4): ``(x, y, a, x2, y2, p)``: the intended direction with
     ``p_intended``, each other one with the rest / 3; equal outcomes merged
-    by summing.  Terminal states have no outgoing rows."""
+    by summing.  Terminal states have no outgoing rows.
+
+    One aggregate: every open cell counts the open cells its directions lead
+    to (as in :func:`grid_moves`), and the rows of a state follow from its counts."""
     p_other = (1.0 - p_intended) / 3 if p_intended != P_INTENDED else P_OTHER
-    st = grid_states(cells).where(~F.col("terminal")).select("x", "y")
-    mv = grid_moves(cells).join(st, ["x", "y"], "left_semi")
-    acts = F.array(*[F.lit(a) for a in ACTIONS])
-    t = mv.select("*", F.explode(acts).alias("a"))
-    t = t.withColumn("p", F.when(F.col("a") == F.col("d"), F.lit(p_intended)).otherwise(F.lit(p_other)))
-    return t.groupBy("x", "y", "a", "x2", "y2").agg(F.sum("p").alias("p"))
+    open_ = cells.where((F.col("code") != WALL) & F.col("x").isNotNull() & F.col("y").isNotNull())
+    # every open cell tells itself (direction -1) and the cells it is a target of that it is there
+    told = F.array(*[F.struct(F.try_add(F.col("x"), F.lit(-dx)).alias("x"), F.try_add(F.col("y"), F.lit(-dy)).alias("y"), F.lit(d).alias("d"))
+                     for d, dx, dy in [(-1, 0, 0), *DIRS]])
+    here = F.col("d") == -1
+    near = (open_.select(F.inline(told), (~grid_terminal("code")).alias("live"))
+                 .groupBy("x", "y").agg(F.count_if(here & F.col("live")).alias("live"), F.count_if(here).alias("n"),
+                                        *[F.count_if(F.col("d") == d).alias(f"k{d}") for d, _, _ in DIRS])
+                 .where("live > 0"))                                      # no neighbour off the map, cell there and not terminal
+    outcomes = []
+    for a in ACTIONS:
+        p = {d: F.lit(p_intended if a == d else p_other) for d, _, _ in DIRS}
+        to = [(F.col(f"k{d}") > 0, F.try_add(F.col("x"), F.lit(dx)), F.try_add(F.col("y"), F.lit(dy)), F.col(f"k{d}") * p[d]) for d, dx, dy in DIRS]
+        shut = [F.when(F.col(f"k{d}") == 0, p[d]).otherwise(0.0) for d, _, _ in DIRS]
+        to.append((F.least(*[F.col(f"k{d}") for d, _, _ in DIRS]) == 0, F.col("x"), F.col("y"), sum(shut[1:], shut[0])))
+        outcomes += [F.when(some, F.struct(F.lit(a).alias("a"), x2.alias("x2"), y2.alias("y2"), (F.col("n") * q).alias("p"))) for some, x2, y2, q in to]
+    return near.select("x", "y", F.inline(F.array(*outcomes))).where(F.col("a").isNotNull())
 
 
 def with_reward(transitions: DataFrame, states: DataFrame, reward_on: str = "s") -> DataFrame:

@@ -210,7 +210,7 @@ SELECT CAST(iter AS INTEGER) AS iter, round(d, 6) AS max_delta,
 
 @register("m12_convergence_sweep", _sql_m12)
 def q_m12(spark, sf):
-    """All 149 sweeps, 25 of them per exchange."""
+    """All 149 sweeps, 50 of them per exchange."""
     rows, _ = halo.convergence(grid_from_events(t(spark, sf, "events")), GAMMA, CONV_SWEEPS, stop=False)
     return rows.withColumn("max_delta", r6("max_delta"))
 

@@ -152,3 +152,54 @@ def test_policy_iteration_on_a_grid_runs_in_blocks(spark, monkeypatch):
     assert rounds == n == len(calls) and {(r.x, r.y): r.v for r in v.collect()} == pytest.approx(want)
     greedy = {(r.x, r.y): r.a for r in M.greedy_policy(tp, v, GAMMA).collect()}
     assert {(r.x, r.y): r.a for r in policy.collect()} == greedy
+
+
+def test_exchanges_carry_one_row_per_block(spark, monkeypatch):
+    """What is written between exchanges is a row per block, and 400 sweeps need few exchanges."""
+    cells = world(23, 11, 4)
+    rows = []
+    cut = halo.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(halo, "cut_lineage", counted)
+    state, deltas = halo.run_sweeps(halo.start(table(spark, cells)), 7, GAMMA, 8, 4)
+    assert {(r.x, r.y): r.v for r in halo.values(state).collect()} == pytest.approx(plain(cells, 7)[0]) and len(deltas) == 7
+    assert len(rows) == 3 and max(rows) <= 3 * 2
+    rows.clear()
+    state, deltas = halo.run_sweeps(halo.start(table(spark, cells)), 400, GAMMA)
+    assert len(rows) <= 9 and set(rows) == {1} and deltas == pytest.approx(plain(cells, 400)[1])
+
+
+@pytest.mark.parametrize("chunk", [1, 1 << 14])
+def test_scattered_blocks_are_swept_together(spark, monkeypatch, chunk):
+    """Blocks far apart, and next to each other, whether a task takes them one by one or many at once; repeated cells stay."""
+    monkeypatch.setattr(halo, "CHUNK", chunk)
+    parts = [world(5, 4, s, x0, y0) for s, (x0, y0) in enumerate([(0, 0), (5, 0), (-40, 9), (2**60, -2**61), (2**60 + 6, -2**61 + 1)])]
+    cells = list({(x, y): (x, y, c) for part in parts for x, y, c in part}.values())
+    twice = [k for k in cells if k[2] == 0][::5]
+    policy = {(x, y): (x + 2 * y) % 4 for x, y, _ in cells}
+    pol = spark.createDataFrame([(x, y, a) for (x, y), a in policy.items()], "x long, y long, a int")
+    for p, want in ((None, plain(cells, 7)), (policy, plain(cells, 7, policy))):
+        state, deltas = halo.run_sweeps(halo.start(table(spark, cells + twice), pol if p else None), 7, GAMMA, 4, 3)
+        got = halo.values(state).collect()
+        assert {(r.x, r.y): r.v for r in got} == pytest.approx(want[0]) and len(got) == len(want[0]) + len(twice)
+        assert deltas == pytest.approx(want[1])
+
+
+def test_transitions_are_the_merged_moves(spark):
+    """The rows that follow from the counts are those of the four moves under each action, repeated and null cells included."""
+    cells = [*world(9, 7, 13), *world(3, 7, 13), (None, 2, 0), (2, None, 0), (2**63 - 1, -2**63, 0)]
+    grid = table(spark, cells)
+    states = M.grid_states(grid).where(~F.col("terminal")).select("x", "y")
+    moves = [tuple(r) for r in M.grid_moves(grid.where("x < 100")).join(states, ["x", "y"], "left_semi").collect()]
+    moves += [(2**63 - 1, -2**63, d, 2**63 - 1, -2**63) for d in range(4)]
+    want = {}
+    for x, y, d, x2, y2 in moves:
+        for a in range(4):
+            want[x, y, a, x2, y2] = want.get((x, y, a, x2, y2), 0.0) + (0.7 if a == d else 0.1)
+    got = M.grid_transitions(grid, 0.7).collect()
+    assert len(got) == len(want) and {tuple(r)[:5]: r.p for r in got} == pytest.approx(want)
